@@ -31,8 +31,19 @@ def coerce_timestamp(df: DataFrame, cols, drop: bool = True) -> DataFrame:
 
 
 def localize_timestamps(df: DataFrame, cols, timezone: str) -> DataFrame:
-    present = [c for c in cols if c in df.columns]
-    return df.withColumns({c: to_local_time(c, timezone) for c in present})
+    """Text and instants -> naive wall time in ``timezone``; naive values stay."""
+    out = {}
+    for c in cols:
+        if c not in df.columns:
+            continue
+        kind = df.schema[c].dataType.typeName()
+        if kind == "timestamp_ntz":
+            continue
+        if kind == "timestamp":
+            out[c] = F.convert_timezone(F.current_timezone(), F.lit(timezone), F.col(c).cast("timestamp_ntz"))
+        else:
+            out[c] = to_local_time(c, timezone)
+    return df.withColumns(out) if out else df
 
 
 def tag_location(df: DataFrame, city: str, country: str, latitude: float, longitude: float,
@@ -121,4 +132,4 @@ def add_time_features(df: DataFrame, ts: str = "timestamp") -> DataFrame:
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column with the shared rint arithmetic."""
     dbl = [f.name for f in df.schema.fields if f.dataType.typeName() == "double"]
-    return df.withColumns({c: np_round(c, digits) for c in dbl})
+    return df.withColumns({c: np_round(F.col(f"`{c}`"), digits) for c in dbl})

@@ -12,26 +12,29 @@ from .clean import (add_time_features, coerce_timestamp, dedupe_keep_last, local
 from .median import median_impute
 
 
-def latest_run_column(df: DataFrame) -> str | None:
-    """forecast_run_timestamp if present with a value, else ingestion_timestamp."""
-    for c in ("forecast_run_timestamp", "ingestion_timestamp"):
-        if c in df.columns and not df.select(c).filter(F.col(c).isNotNull()).isEmpty():
-            return c
-    return None
+RUN_COLUMNS = ("forecast_run_timestamp", "ingestion_timestamp")
 
 
 def latest_run(df: DataFrame, run_col: str | None = None, key: str = "city") -> DataFrame:
     """Keep each city's rows of its newest run.
 
-    The newest run per city is a grouped max (partial aggregation); joining
-    it back is left to AQE, which broadcasts it once its measured size is
-    small and otherwise splits skewed partitions.
+    The run column is ``forecast_run_timestamp`` when the city has any value
+    in it, else ``ingestion_timestamp``; with neither, rows are kept.  Both
+    maxima come from one grouped aggregate (partial aggregation); the join
+    back is left to AQE, which broadcasts the per-city table once its
+    measured size is small and otherwise splits skewed partitions.
     """
-    run_col = run_col or latest_run_column(df)
-    if run_col is None:
+    cols = [run_col] if run_col else [c for c in RUN_COLUMNS if c in df.columns]
+    if not cols:
         return df
-    newest = df.groupBy(key).agg(F.max(run_col).alias("_newest"))
-    return (df.join(newest, key).filter(F.col(run_col) == F.col("_newest")).drop("_newest"))
+    newest = df.groupBy(key).agg(*[F.max(c).alias(f"_newest_{i}") for i, c in enumerate(cols)])
+    keep = None
+    for i, c in enumerate(cols):
+        cond = F.col(c) == F.col(f"_newest_{i}")
+        keep = (F.when(F.col(f"_newest_{i}").isNotNull(), cond) if keep is None
+                else keep.when(F.col(f"_newest_{i}").isNotNull(), cond))
+    keep = keep.otherwise(F.lit(True))
+    return df.join(newest, key).filter(keep).drop(*[f"_newest_{i}" for i in range(len(cols))])
 
 
 def future_rows(df: DataFrame, as_of=None, ts: str = "timestamp") -> DataFrame:
@@ -81,10 +84,9 @@ def prepare_scoring(store: DataFrame, feature_columns=None, horizon: int = S.DEF
         raise ValueError("Forecast table must contain a timestamp column.")
     df = localize_timestamps(df, ["timestamp", "forecast_run_timestamp", "ingestion_timestamp"], timezone)
     df = coerce_timestamp(df, ["timestamp"])
-    run_col = latest_run_column(df)
-    df = latest_run(df, run_col)
+    df = latest_run(df)
     df = future_rows(df, as_of)
-    order = [c for c in (run_col, "timestamp") if c]
+    order = [c for c in (*RUN_COLUMNS, "timestamp") if c in df.columns]
     df = dedupe_keep_last(df, key=("city", "timestamp"), order=order)
     df = horizon_rows(df, horizon)
     missing = [c for c in feature_columns if c not in df.columns]

@@ -214,3 +214,74 @@ def forecast_ctes(variant: str = "events", as_of: str = AS_OF, horizon: int = S.
 
 
 TWO_PI = 2 * math.pi
+
+
+def category_sql(x: str) -> str:
+    parts = [f"WHEN {x} <= {dbl(u)} THEN '{lab}'" for u, lab in S.AQI_CATEGORY_EDGES]
+    return f"(CASE WHEN {x} IS NULL OR isnan({x}) THEN 'Unknown' {' '.join(parts)} ELSE '{S.AQI_TOP_CATEGORY}' END)"
+
+
+def advice_sql(cat: str, dashboard: bool = False) -> str:
+    parts = []
+    for lab, text in S.AQI_ADVICE.items():
+        if dashboard and lab == "Good":
+            text = S.AQI_ADVICE_DASHBOARD_GOOD
+        parts.append(f"WHEN {cat} = '{lab}' THEN '{text}'")
+    return f"(CASE {' '.join(parts)} ELSE '{S.AQI_ADVICE_FALLBACK}' END)"
+
+
+def level_sql(column_name: str, x: str) -> str:
+    edges = S.POLLUTANT_BREAKPOINTS.get(column_name)
+    if edges is None:
+        return f"(CASE WHEN {x} IS NULL OR isnan({x}) THEN 'Unknown' ELSE 'Measured' END)"
+    parts = [f"WHEN {x} <= {dbl(u)} THEN '{lab}'" for u, (_, lab) in zip(edges, S.AQI_CATEGORY_EDGES)]
+    return f"(CASE WHEN {x} IS NULL OR isnan({x}) THEN 'Unknown' {' '.join(parts)} ELSE '{S.AQI_TOP_CATEGORY}' END)"
+
+
+def clip_sql(x: str, lo, hi) -> str:
+    return f"(CASE WHEN ({x}) IS NULL THEN NULL ELSE greatest(least({x}, {dbl(hi)}), {dbl(lo)}) END)"
+
+
+STANDIN_SQL = "((round_even(pm25_24h * 1e6, 0) / 1e6) * (round_even(pm25_24h * 1e6, 0) / 1e6) / 2e1)"
+
+OLD_RUN = "2024-01-24 00:00:00"
+
+
+def scoring_ctes(horizon: int = S.DEFAULT_HORIZON_HOURS) -> list[str]:
+    """Forecast store (old + current snapshot) -> prepared horizon rows ``prep``."""
+    ref = S.REFERENCE_COLUMN
+    med = ", ".join(
+        f"CAST(coalesce({c}, median({c}) OVER (PARTITION BY city), 0) AS "
+        f"{'BIGINT' if c in S.LONG_COLUMNS else 'DOUBLE'}) AS {c}" for c in S.MODEL_FEATURE_COLUMNS)
+    return forecast_context_ctes() + [
+        f"cur AS (SELECT * REPLACE (TIMESTAMP '{RUN_TIMESTAMPS[2]}' AS forecast_run_timestamp) FROM fctx)",
+        f"old AS (SELECT * REPLACE (TIMESTAMP '{OLD_RUN}' AS forecast_run_timestamp, {ref} + 1e0 AS {ref}) FROM fctx)",
+        "store AS (SELECT * FROM cur UNION ALL SELECT * FROM old)",
+        "slat AS (SELECT s.* FROM store s WHERE s.forecast_run_timestamp = "
+        "(SELECT max(s2.forecast_run_timestamp) FROM store s2 WHERE s2.city = s.city))",
+        "sfut AS (SELECT * FROM slat WHERE is_future = 1)",
+        dedupe_cte("sdd", "sfut", "forecast_run_timestamp DESC, timestamp DESC"),
+        f"shz AS (SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY city ORDER BY timestamp) AS _rn "
+        f"FROM sdd) WHERE _rn <= {int(horizon)})",
+        f"prep AS (SELECT * REPLACE ({med}) FROM shz)",
+    ]
+
+
+def api_ctes() -> list[str]:
+    return scoring_ctes() + [
+        f"api0 AS (SELECT *, round_even({clip_sql(STANDIN_SQL, 0, 500)} * 1e1, 0) / 1e1 AS predicted_aqi FROM prep)",
+        f"api AS (SELECT *, {category_sql('predicted_aqi')} AS aqi_category, "
+        "row_number() OVER (PARTITION BY city ORDER BY timestamp) AS forecast_hour FROM api0)",
+        "apid AS (SELECT *, CAST((forecast_hour - 1) // 24 + 1 AS BIGINT) AS forecast_day FROM api)",
+    ]
+
+
+def eval_ctes() -> list[str]:
+    ref = S.REFERENCE_COLUMN
+    return scoring_ctes() + [
+        f"ev0 AS (SELECT *, round_even({clip_sql(STANDIN_SQL, 0, 500)} * 1e2, 0) / 1e2 AS predicted_aqi FROM prep)",
+        f"ev AS (SELECT *, round_even(abs({ref} - predicted_aqi) * 1e2, 0) / 1e2 AS absolute_error, "
+        f"round_even(({ref} - predicted_aqi) * ({ref} - predicted_aqi) * 1e2, 0) / 1e2 AS squared_error, "
+        "CAST(row_number() OVER (PARTITION BY city ORDER BY timestamp) AS BIGINT) AS forecast_hour FROM ev0)",
+        "evd AS (SELECT *, CAST((forecast_hour - 1) // 24 + 1 AS BIGINT) AS forecast_day FROM ev)",
+    ]
