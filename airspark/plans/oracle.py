@@ -155,7 +155,7 @@ def not_null(cols) -> str:
 
 
 def with_(ctes, final: str) -> str:
-    return "WITH " + ",\n".join(ctes) + "\n" + final
+    return ("WITH " + ",\n".join(ctes) + "\n" + final) if ctes else final
 
 
 def round_select(cols, doubles, src: str, extra: str = "") -> str:

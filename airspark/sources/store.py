@@ -127,3 +127,68 @@ def display_table(df: DataFrame) -> DataFrame:
             col = F.date_format(col, MINUTE_FORMAT)
         exprs.append(col.alias(S.DISPLAY_NAMES.get(c, c)))
     return df.select(*exprs)
+
+
+# ---------------------------------------------------------------------------
+# Model registry: one row per (name, version); artifacts are Spark ML folders.
+# ---------------------------------------------------------------------------
+
+REGISTRY_COLUMNS = ["name", "version", "mae", "rmse", "r2", "feature_count", "best_model_name",
+                    "feature_columns", "training_rows", "training_start", "training_end", "created_at",
+                    "model_path"]
+
+
+def registry_append(spark: SparkSession, registry_path: str, record: DataFrame) -> DataFrame:
+    """Append one model record; version = previous highest + 1 for the name."""
+    try:
+        current = spark.read.parquet(registry_path)
+        top = current.groupBy("name").agg(F.max("version").alias("_top"))
+        rec = (record.join(top, "name", "left")
+               .withColumn("version", (F.coalesce(F.col("_top"), F.lit(0)) + 1).cast("bigint")).drop("_top"))
+    except Exception:  # noqa: BLE001 - empty registry
+        rec = record.withColumn("version", F.lit(1).cast("bigint"))
+    rec.select(*REGISTRY_COLUMNS).write.mode("append").parquet(registry_path)
+    return spark.read.parquet(registry_path)
+
+
+def registry_latest(registry: DataFrame, name: str | None = None, version: int | None = None) -> DataFrame:
+    """Explicit version if given, else each name's highest version."""
+    df = registry if name is None else registry.filter(F.col("name") == name)
+    if version is not None:
+        return df.filter(F.col("version") == version)
+    top = df.groupBy("name").agg(F.max_by(F.struct(*[F.col(c) for c in df.columns if c != "name"]),
+                                          F.col("version")).alias("_r"))
+    return top.select("name", *[F.col("_r")[c].alias(c) for c in df.columns if c != "name"])
+
+
+def registry_metadata_merge(documents: DataFrame, default_name: str = "Best AQI Model",
+                            key: str = "name", order: str = "doc_order") -> DataFrame:
+    """Merge metadata documents per model: later documents override earlier keys.
+
+    Display name = best_model_name, else model_name, else ``default_name``;
+    the feature list is the file's list over the bundle's, trimmed and
+    lower-cased.  Each merged key is the last non-NULL value in document
+    order (grouped ``max_by``, no per-model window).
+    """
+    def last(c):
+        return F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(order)))
+
+    merged = documents.groupBy(key).agg(
+        last("best_model_name").alias("best_model_name"), last("model_name").alias("model_name"),
+        last("file_feature_columns").alias("_ff"), last("bundle_feature_columns").alias("_bf"),
+        last("training_rows").alias("training_rows"))
+    features = F.transform(F.coalesce("_ff", "_bf"), lambda x: F.lower(F.trim(x)))
+    return merged.select(
+        key, F.coalesce("best_model_name", "model_name", F.lit(default_name)).alias("display_name"),
+        "best_model_name", "model_name", features.alias("feature_columns"),
+        F.size(features).cast("bigint").alias("feature_count"), "training_rows")
+
+
+def selected_features(table: DataFrame, features=None) -> DataFrame:
+    """feature, selected, rank 1..n for the model features present in ``table``."""
+    features = list(features or S.MODEL_FEATURE_COLUMNS)
+    counts = table.agg(*[F.count(F.col(c)).alias(c) for c in features])
+    long = counts.unpivot([], features, "feature", "_n")
+    rank = F.create_map(*[x for i, f in enumerate(features) for x in (F.lit(f), F.lit(i + 1))])
+    return long.select("feature", (F.col("_n") > 0).alias("selected"),
+                       rank[F.col("feature")].cast("bigint").alias("rank"))
