@@ -75,6 +75,8 @@ def build_forecast_features(observations: DataFrame, as_of, horizon: int = S.DEF
     df = observations
     if S.REFERENCE_COLUMN not in df.columns and S.TARGET_COLUMN in df.columns:
         df = df.withColumnRenamed(S.TARGET_COLUMN, S.REFERENCE_COLUMN)
+    if "forecast_run_timestamp" not in df.columns:
+        df = df.withColumn("forecast_run_timestamp", F.col("ingestion_timestamp"))
     df = flag_future(df, as_of)
     df = dedupe_keep_last(df, order=("forecast_run_timestamp", "ingestion_timestamp"))
     value_cols = S.RAW_FEATURE_COLUMNS + [S.REFERENCE_COLUMN]
