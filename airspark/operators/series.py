@@ -9,6 +9,8 @@ is ever partitioned by city alone:
 2. Rows are cut into position buckets of ``bucket_rows`` rows.  The last
    ``halo`` rows of each bucket are copied into the next bucket as context,
    so every ROWS window of length <= halo+1 is exact inside one bucket.
+   The positioned rows are checkpointed once (shared folder), since two
+   branches read them.
 3. Forward fill inside a bucket is a running ``last(..., ignorenulls)``;
    what comes before the bucket is a per-bucket summary carried with a
    window over the small summary table and joined back.  Back fill of
@@ -22,6 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from ..functions.numeric import clip
+from ..session import checkpoint
 
 DEFAULT_BUCKET_ROWS = 8192
 
@@ -44,7 +47,8 @@ def add_positions(df: DataFrame, key: str = "city", ts: str = "timestamp",
 
 def series_features(df: DataFrame, fill_cols=(), clip_bounds=None, rolls=(),
                     key: str = "city", ts: str = "timestamp",
-                    bucket_rows: int = DEFAULT_BUCKET_ROWS, keep_pos: bool = False) -> DataFrame:
+                    bucket_rows: int = DEFAULT_BUCKET_ROWS, keep_pos: bool = False,
+                    materialize: bool = True) -> DataFrame:
     """Per-key forward+backward fill, clip, then trailing row-count means.
 
     ``rolls``: (output, source, n) -> mean of the current and n-1 preceding
@@ -59,6 +63,11 @@ def series_features(df: DataFrame, fill_cols=(), clip_bounds=None, rolls=(),
     B = int(bucket_rows)
 
     base = df if "_pos" in df.columns else add_positions(df, key, ts)
+    if materialize and fill_cols:
+        # Two branches (bucket summaries and the windows) read the positioned
+        # rows: write them once to the shared checkpoint folder instead of
+        # recomputing the dedupe and position shuffles in each branch.
+        base = checkpoint(base)
     base = base.withColumns({
         "_b": F.floor((F.col("_pos") - 1) / F.lit(B)).cast("bigint"),
         "_tail": ((F.col("_pos") - 1) % F.lit(B)) >= F.lit(B - halo) if halo > 0 else F.lit(False),

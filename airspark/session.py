@@ -14,9 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 LOCAL_DEFAULT_CHECKPOINT_DIR = "/tmp/airspark-checkpoints"
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8) -> SparkSession:
+def get_session(master: str = "local[*]", shuffle_partitions: int = 8,
+                driver_memory: str | None = None) -> SparkSession:
+    builder = SparkSession.builder.master(master)
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     spark = (
-        SparkSession.builder.master(master)
+        builder
         .appName("airspark")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -29,9 +33,22 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8) -> SparkS
     )
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    tune_session(spark)
     return spark
 
 
+def tune_session(spark: SparkSession) -> None:
+    """Optimizer settings for wide feature plans.
+
+    Constraint propagation infers predicates from every alias of every
+    column; on 30+ column plans with many derived expressions it grows
+    combinatorially and dominates planning (it ran a 1 GB driver out of
+    heap).  It only adds inferred filters, so turning it off changes no
+    result.
+    """
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
     sc = spark.sparkContext
