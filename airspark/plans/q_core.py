@@ -327,3 +327,26 @@ def q_to_local_time(spark, sf_dir):
     from ..session import read_table
     ev = read_table(spark, sf_dir, "events")
     return ev.select("event_id", to_local_time(F.expr(_TZ_TEXT_SPARK), FX.CITY_TIMEZONE).alias("local_time"))
+
+
+@register("sort_city_time", sql(FX_CTES, RAW_OUT, "raw", RAW_DBL, "ORDER BY city, timestamp"))
+def q_sort_city_time(spark, sf_dir):
+    """Order by (city, timestamp): a range-partitioned distributed sort."""
+    return out(raw_rows(spark, sf_dir).select(*RAW_OUT).orderBy("city", "timestamp"))
+
+
+UNION_COLS = ["city", "timestamp", "series", "value"]
+
+
+@register("union_all", sql(FC + [
+    "u AS (SELECT city, timestamp, 'pm25_24h' AS series, pm25_24h AS value FROM fc UNION ALL "
+    f"SELECT city, timestamp, 'reference', {S.REFERENCE_COLUMN} FROM fc)"], UNION_COLS, "u", {"value"}))
+def q_union_all(spark, sf_dir):
+    """Stack two value series (the dashboard appends reference values to predictions)."""
+    from pyspark.sql import functions as F
+
+    from .features import build_forecast_features
+    fc = build_forecast_features(observations(spark, sf_dir), FX.AS_OF, horizon=72)
+    a = fc.select("city", "timestamp", F.lit("pm25_24h").alias("series"), F.col("pm25_24h").alias("value"))
+    b = fc.select("city", "timestamp", F.lit("reference").alias("series"), F.col(S.REFERENCE_COLUMN).alias("value"))
+    return out(a.unionByName(b))

@@ -101,3 +101,11 @@ def q_registry_append(spark, sf_dir):
     reg = scratch_path(spark, "registry")
     registry_append(spark, reg, rec)
     return registry_append(spark, reg, rec).drop("feature_columns", "model_path")
+
+
+@register("ml_preprocess")
+def q_ml_preprocess(spark, sf_dir):
+    """Assembled feature vectors (imputation is done by the feature plan)."""
+    from pyspark.ml.functions import vector_to_array
+    t = q_build_training_features(spark, sf_dir)
+    return M.assembler().transform(t).select("city", "timestamp", vector_to_array("features").alias("features"))

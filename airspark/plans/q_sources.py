@@ -283,3 +283,10 @@ def q_prediction_payload(spark, sf_dir):
     return prediction_payload(hourly, daily, SU.pollutant_summary(hourly), SU.headline_summary(hourly),
                               {"model_name": "aqi_model", "model_version": 1, "best_model_name": "stand-in",
                                "feature_columns": S.MODEL_FEATURE_COLUMNS}, "pakistan", FX.CITY_TIMEZONE)
+
+
+@register("sink_cache", sql(O.training_ctes(), S.TRAINING_OUTPUT_COLUMNS, "train"))
+def q_sink_cache(spark, sf_dir):
+    """Binary cache of the training table: Parquet in the shared folder, read back."""
+    path = ST.write_table(q_build_training_features(spark, sf_dir), "training_cache")
+    return out(spark.read.parquet(path).select(*S.TRAINING_OUTPUT_COLUMNS))

@@ -9,7 +9,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"prediction_payload", "ml_ridge", "ml_forest", "ml_boosted", "ml_compare", "ml_refit",
+ROWS_ONLY = {"prediction_payload", "ml_preprocess", "ml_ridge", "ml_forest", "ml_boosted", "ml_compare", "ml_refit",
              "ml_importance", "ml_score", "registry_append"}
 
 
