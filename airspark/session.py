@@ -66,10 +66,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/airspark/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint (cuts lineage; survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Cut lineage with a written table in the shared checkpoint folder.
+
+    One write, then a columnar read-back (pruning and pushdown still apply).
+    Unlike ``Dataset.checkpoint`` this does not recompute the plan to save
+    it, and the table survives executor loss like any shared file.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -40,6 +40,10 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     spark = get_session(f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
                         driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "16g"))
+    # Bench-scale data is tens of MB per shuffle; AQE would coalesce it into
+    # one task and serialise the window stages.  Keep 2 x cores partitions.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled",
+                   os.environ.get("BENCH_COALESCE", "false"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     paths = {k: scratch_path(spark, f"bench-{k}") for k in ("landed", "training", "forecast")}
