@@ -113,13 +113,15 @@ def exact_medians(df: DataFrame, cols, **kw) -> dict:
     return {c: q[c][0.5] for c in cols}
 
 
-def median_impute(df: DataFrame, cols, by=None, **kw) -> DataFrame:
+def median_impute(df: DataFrame, cols, by=None, null_counts: dict | None = None, **kw) -> DataFrame:
     """NULL -> column median; all-NULL column -> 0.0.
 
     ``by=None``: one median over the whole frame (reference behaviour); it
     is computed eagerly and exactly, only for columns that have NULLs.
     ``by=[...]``: per-group median as a window aggregate; use it only where
     groups are bounded (e.g. a forecast horizon of at most 168 rows).
+    ``null_counts``: NULL counts already observed (e.g. during a write), which
+    saves the counting pass.
     """
     cols = [c for c in cols if c in df.columns]
     if not cols:
@@ -130,8 +132,10 @@ def median_impute(df: DataFrame, cols, by=None, **kw) -> DataFrame:
         return df.withColumns({
             c: F.coalesce(F.col(c), F.median(F.col(c)).over(w), F.lit(0.0)).cast(df.schema[c].dataType)
             for c in cols})
-    nulls = df.agg(*[F.count(F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), 1)).alias(c)
-                     for c in cols]).first()
+    nulls = null_counts
+    if nulls is None or any(c not in nulls for c in cols):
+        nulls = df.agg(*[F.count(F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), 1)).alias(c)
+                         for c in cols]).first().asDict()
     need = [c for c in cols if nulls[c]]
     if not need:
         return df

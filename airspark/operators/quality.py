@@ -16,7 +16,6 @@ def quality_report(table: DataFrame, context: DataFrame | None = None, features=
     Schema checks run on the driver (they read metadata only); data checks
     are grouped aggregates.  ``strict=True`` raises on any error row.
     """
-    spark = table.sparkSession
     features = list(features or S.MODEL_FEATURE_COLUMNS)
     expected = list(expected_columns or S.FORECAST_OUTPUT_COLUMNS)
     missing = [c for c in expected if c not in table.columns]
@@ -68,5 +67,4 @@ def quality_report(table: DataFrame, context: DataFrame | None = None, features=
         errors = out.filter(F.col("status") == "error").collect()
         if errors:
             raise ValueError(f"Quality check failed: {[tuple(r) for r in errors]}")
-    _ = spark
     return out

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
@@ -55,5 +53,3 @@ def drift_psi(df_with_split: DataFrame, cols, expected: str = "train", actual: s
     pa = F.greatest(F.col("_ca") / F.col("_na"), F.lit(eps))
     return j.groupBy("feature").agg(F.sum((pa - pe) * F.log(pa / pe)).alias("psi"))
 
-
-_ = math

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from .. import schemas as S
 from ..operators.clean import (add_time_features, clip_bounds, convert_units, dedupe_keep_last,
@@ -49,11 +49,16 @@ def build_training_features(observations: DataFrame, bucket_rows: int = DEFAULT_
     df = derive_series(df, S.RAW_FEATURE_COLUMNS + [S.TARGET_COLUMN], bucket_rows)
     required = S.RAW_FEATURE_COLUMNS + S.DERIVED_DIAGNOSTIC_COLUMNS + S.MODEL_FEATURE_COLUMNS + [S.TARGET_COLUMN]
     df = df.select(*S.TRAINING_OUTPUT_COLUMNS)
+    null_counts = None
     if materialize:
         # The whole-frame median needs more than one pass: cut the lineage
         # into the shared checkpoint folder instead of recomputing the windows.
-        df = checkpoint(df)
-    df = median_impute(df, required, by=median_by)
+        # NULL counts are observed during that write (no extra pass).
+        seen = Observation("nulls")
+        df = checkpoint(df.observe(seen, *[
+            F.count(F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), 1)).alias(c) for c in required]))
+        null_counts = seen.get
+    df = median_impute(df, required, by=median_by, null_counts=null_counts)
     df = clip_bounds(df)
     df = drop_incomplete(df, required)
     return select_outputs(df, S.TRAINING_OUTPUT_COLUMNS)

@@ -8,8 +8,6 @@ are rounded on both sides with ``rint(x*1e6)/1e6`` (``round_even`` here).
 
 from __future__ import annotations
 
-import math
-
 from .. import schemas as S
 from ..sources.fixture import AS_OF, RUN_TIMESTAMPS
 
@@ -213,8 +211,6 @@ def forecast_ctes(variant: str = "events", as_of: str = AS_OF, horizon: int = S.
     ]
 
 
-TWO_PI = 2 * math.pi
-
 
 def category_sql(x: str) -> str:
     parts = [f"WHEN {x} <= {dbl(u)} THEN '{lab}'" for u, lab in S.AQI_CATEGORY_EDGES]

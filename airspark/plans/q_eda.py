@@ -13,7 +13,7 @@ from ..functions.numeric import np_round
 from . import eda as E
 from . import oracle as O
 from .catalog import register
-from .q_core import FC, FCTX, forecast_context, out, q_build_training_features, sql
+from .q_core import FC, forecast_context, out, q_build_training_features, sql
 from .q_scoring import EV, scored_eval
 
 TRAIN = O.training_ctes()
@@ -181,5 +181,3 @@ def q_eda_actual_vs_predicted(spark, sf_dir):
                         F.col("predicted_aqi").alias("predicted"),
                         (F.col(S.REFERENCE_COLUMN) - F.col("predicted_aqi")).alias("residual")))
 
-
-_ = (FCTX,)

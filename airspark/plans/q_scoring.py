@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.classify import aqi_advice, aqi_category, pollutant_level_for
+from ..functions.classify import aqi_advice, pollutant_level_for
 from ..operators import forecast as FO
 from ..operators import summarize as SU
 from ..operators.clean import round_doubles
