@@ -48,12 +48,15 @@ def add_positions(df: DataFrame, key: str = "city", ts: str = "timestamp",
 def series_features(df: DataFrame, fill_cols=(), clip_bounds=None, rolls=(),
                     key: str = "city", ts: str = "timestamp",
                     bucket_rows: int = DEFAULT_BUCKET_ROWS, keep_pos: bool = False,
-                    materialize: bool = True) -> DataFrame:
+                    materialize: bool = True, prior: DataFrame | None = None) -> DataFrame:
     """Per-key forward+backward fill, clip, then trailing row-count means.
 
     ``rolls``: (output, source, n) -> mean of the current and n-1 preceding
     rows of ``source`` (after fill and clip), NULLs ignored, min 1 value.
     ``clip_bounds``: {column: (lo, hi)} applied to present columns after fill.
+    ``prior``: optional (key, fill columns...) table of the last non-NULL
+    values *before* ``df`` starts (when ``df`` is a suffix of a longer
+    series); forward fill continues from them.
     """
     fill_cols = [c for c in fill_cols]
     rolls = list(rolls)
@@ -103,6 +106,11 @@ def series_features(df: DataFrame, fill_cols=(), clip_bounds=None, rolls=(),
                          *[F.when(F.col("_q") > 0, F.col(f"_carry_{c}")).alias(f"_carry_{c}")
                            for c in fill_cols],
                          *[F.col(f"_lead_{c}") for c in fill_cols]))
+        if prior is not None:
+            p = prior.select(key, *[F.col(c).alias(f"_prior_{c}") for c in fill_cols])
+            carry = carry.join(p, key, "left").select(
+                key, "_q", *[F.coalesce(f"_carry_{c}", f"_prior_{c}").alias(f"_carry_{c}") for c in fill_cols],
+                *[F.col(f"_lead_{c}") for c in fill_cols])
         out = out.join(carry, [key, "_q"], "left")
         running = W.partitionBy(key, "_q").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
         out = out.withColumns({

@@ -71,7 +71,8 @@ def flag_future(df: DataFrame, as_of, ts: str = "timestamp") -> DataFrame:
 
 
 def build_forecast_features(observations: DataFrame, as_of, horizon: int = S.DEFAULT_HORIZON_HOURS,
-                            bucket_rows: int = DEFAULT_BUCKET_ROWS, context: bool = False) -> DataFrame:
+                            bucket_rows: int = DEFAULT_BUCKET_ROWS, context: bool = False,
+                            prior: DataFrame | None = None) -> DataFrame:
     """Past+future rows -> 33-column forecast table: first ``horizon`` future rows per city.
 
     Windows run over past and future together; only then the future rows
@@ -80,6 +81,8 @@ def build_forecast_features(observations: DataFrame, as_of, horizon: int = S.DEF
     df = observations
     if S.REFERENCE_COLUMN not in df.columns and S.TARGET_COLUMN in df.columns:
         df = df.withColumnRenamed(S.TARGET_COLUMN, S.REFERENCE_COLUMN)
+    if prior is not None and S.REFERENCE_COLUMN not in prior.columns and S.TARGET_COLUMN in prior.columns:
+        prior = prior.withColumnRenamed(S.TARGET_COLUMN, S.REFERENCE_COLUMN)
     if "forecast_run_timestamp" not in df.columns:
         df = df.withColumn("forecast_run_timestamp", F.col("ingestion_timestamp"))
     df = flag_future(df, as_of)
@@ -87,7 +90,7 @@ def build_forecast_features(observations: DataFrame, as_of, horizon: int = S.DEF
     value_cols = S.RAW_FEATURE_COLUMNS + [S.REFERENCE_COLUMN]
     bounds = {c: S.CLIP_BOUNDS[c] for c in value_cols}
     out = series_features(df, fill_cols=value_cols, clip_bounds=bounds, rolls=ROLLS,
-                          bucket_rows=bucket_rows, keep_pos=True)
+                          bucket_rows=bucket_rows, keep_pos=True, prior=prior)
     out = add_time_features(convert_units(out))
     out = clip_bounds(out)
     if context:
@@ -98,3 +101,28 @@ def build_forecast_features(observations: DataFrame, as_of, horizon: int = S.DEF
     out = (out.join(past, "city")
            .filter((F.col("is_future") == 1) & (F.col("_pos") <= F.col("_past") + F.lit(horizon))))
     return select_outputs(out, S.FORECAST_OUTPUT_COLUMNS)
+
+
+def forecast_context_rows(observations: DataFrame, as_of, value_cols=None, key: str = "city",
+                          ts: str = "timestamp"):
+    """Bounded input for rescoring: future rows + the last 23 past rows per city,
+    and the last non-NULL value of each column among the older past rows.
+
+    ``build_forecast_features(rows, as_of, prior=prior)`` then equals the
+    result over the whole series: the 24-row windows of every future row see
+    the same rows, and forward fill continues from ``prior``.  The tail is a
+    per-city top-23 (WindowGroupLimit); ``prior`` is one grouped ``max_by``.
+    """
+    from pyspark.sql import Window as W
+    value_cols = list(value_cols or S.RAW_FEATURE_COLUMNS + [S.TARGET_COLUMN])
+    cutoff = F.date_trunc("hour", F.lit(as_of).cast("timestamp_ntz")).cast("timestamp_ntz")
+    future = observations.filter(F.col(ts) > cutoff)
+    past = observations.filter(F.col(ts) <= cutoff)
+    halo = max(n for _, _, n in ROLLS) - 1
+    ranked = past.withColumn("_r", F.row_number().over(W.partitionBy(key).orderBy(F.col(ts).desc())))
+    tail = ranked.filter(F.col("_r") <= halo).drop("_r")
+    start = tail.groupBy(key).agg(F.min(ts).alias("_start"))
+    older = past.join(start, key).filter(F.col(ts) < F.col("_start"))
+    prior = older.groupBy(key).agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col(ts))).alias(c)
+                                     for c in value_cols])
+    return future.unionByName(tail), prior

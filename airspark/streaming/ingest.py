@@ -9,9 +9,11 @@ a watermark on the run time; each micro-batch, in ``foreachBatch``:
    batch is idempotent);
 2. for the cities the batch touches, the newest air and weather row per
    (city, timestamp) are joined and upserted into the observation table;
-3. optionally, forecast features of those cities are recomputed over the
-   whole city series (rolling windows need the preceding rows, so a late
-   hour changes the next 23 rows) and scored into the prediction table.
+3. optionally, forecast features of those cities are recomputed and
+   scored into the prediction table.  The recompute is bounded: future rows
+   plus the last 23 past rows per city (what the 24-row windows read), with
+   forward fill continuing from the last values of the older rows (one
+   grouped aggregate), so the result equals a full recompute.
 
 ``trigger(availableNow=True)`` processes everything landed and stops; the
 checkpoint folder lets a restarted job resume exactly where it stopped.
@@ -91,11 +93,13 @@ def stream_ingest(spark: SparkSession, landing_path: str, table_path: str, stage
 
 def score_touched(spark: SparkSession, table_path: str, predictions_path: str, as_of, scorer, horizon: int = 72):
     """Return an ``on_batch`` callback that rescores the touched cities."""
-    from ..plans.features import build_forecast_features
+    from ..plans.features import build_forecast_features, forecast_context_rows
 
     def on_batch(touched: DataFrame, batch_id: int):
         obs = spark.read.parquet(table_path).join(touched, "city", "left_semi")
-        fc = build_forecast_features(obs, as_of, horizon=horizon)
+        # Bounded recompute: future rows + 23-row tail + carried values.
+        rows, prior = forecast_context_rows(obs, as_of)
+        fc = build_forecast_features(rows, as_of, horizon=horizon, prior=prior)
         keyed_upsert(scorer(fc), predictions_path, order=("forecast_run_timestamp", "ingestion_timestamp"))
 
     return on_batch

@@ -72,3 +72,31 @@ def test_fill_leaves_no_null_when_city_has_a_value(spark):
 def test_bucket_must_exceed_window(spark):
     with pytest.raises(ValueError):
         series_features(to_spark(spark, frame()), rolls=[("r", "x", 24)], bucket_rows=10)
+
+
+def test_bounded_context_equals_full_recompute(spark):
+    """Future rows + 23-row tail + carried prior values give the full-series result."""
+    import datetime as dt
+
+    from airspark import schemas as S
+    from airspark.plans.features import build_forecast_features, forecast_context_rows
+    rng = np.random.default_rng(7)
+    rows = []
+    for city in ("a", "b"):
+        for h in range(150):
+            vals = [None if rng.random() < 0.3 else float(rng.integers(0, 80)) for _ in S.RAW_FEATURE_COLUMNS]
+            if h < 60:  # long early gap in pm25 so the fill must come from far back
+                vals[0] = None if h > 3 else vals[0]
+            rows.append((city, dt.datetime(2024, 1, 1) + dt.timedelta(hours=h),
+                         dt.datetime(2024, 1, 9), *vals, float(h)))
+    schema = ("city string, timestamp timestamp_ntz, ingestion_timestamp timestamp_ntz, "
+              + ", ".join(f"{c} double" for c in S.RAW_FEATURE_COLUMNS) + ", us_aqi double")
+    obs = spark.createDataFrame(rows, schema)
+    as_of = "2024-01-05 12:00:00"
+    full = build_forecast_features(obs, as_of, horizon=72)
+    ctx, prior = forecast_context_rows(obs, as_of)
+    part = build_forecast_features(ctx, as_of, horizon=72, prior=prior)
+    cols = [c for c in full.columns if c not in ("ingestion_timestamp", "forecast_run_timestamp")]
+    assert full.count() == 82  # 41 future hours per city
+    assert full.select(*cols).exceptAll(part.select(*cols)).count() == 0
+    assert part.select(*cols).exceptAll(full.select(*cols)).count() == 0
