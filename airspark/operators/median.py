@@ -23,7 +23,7 @@ from ..functions.numeric import nan_to_null
 
 
 def exact_quantiles(df: DataFrame, cols, probs=(0.5,), max_collect: int = 50_000,
-                    bins: int = 1024) -> dict:
+                    bins: int = 1024, max_fetch_total: int = 1_000_000) -> dict:
     """{col: {p: value or None}} for every column and probability."""
     cols = list(cols)
     vals = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
@@ -46,8 +46,16 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.5,), max_collect: int = 50_000
         probes.setdefault((i, stats[f"lo{i}"], stats[f"hi{i}"], 0, n), set()).update(ranks)
 
     while probes:
-        # Resolve probes that are constant or small enough to fetch.
-        small = {k: v for k, v in probes.items() if k[1] == k[2] or k[4] <= max_collect}
+        # Resolve probes that are constant or small enough to fetch; the
+        # values fetched in one round stay under ``max_fetch_total`` (the
+        # rest take another histogram pass, which always narrows them).
+        small, budget = {}, max_fetch_total
+        for k, v in sorted(probes.items(), key=lambda kv: kv[0][4]):
+            if k[1] == k[2]:
+                small[k] = v
+            elif k[4] <= max_collect and k[4] <= budget:
+                small[k] = v
+                budget -= k[4]
         for (i, lo, hi, below, cnt), ranks in small.items():
             if lo == hi:
                 for r in ranks:

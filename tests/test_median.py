@@ -28,3 +28,13 @@ def test_median_impute_whole_frame_and_all_null(spark):
 def test_median_impute_nan_is_missing(spark):
     df = spark.createDataFrame([(1.0,), (float("nan"),), (3.0,)], "a double")
     assert [r["a"] for r in median_impute(df, ["a"]).collect()] == [1.0, 2.0, 3.0]
+
+
+def test_fetch_budget_forces_extra_rounds(spark):
+    rng = np.random.default_rng(3)
+    data = {c: np.round(rng.uniform(0, 100, size=300), 2) for c in ("a", "b", "c")}
+    df = spark.createDataFrame(pd.DataFrame(data))
+    got = exact_quantiles(df, list(data), (0.2, 0.5, 0.8), max_collect=40, bins=8, max_fetch_total=45)
+    for c, vals in data.items():
+        for p in (0.2, 0.5, 0.8):
+            assert got[c][p] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
