@@ -9,8 +9,9 @@ bin holding the rank is kept, and once a bracket holds at most
 Bins are monotone in the value, so each bracket [min, max] of the chosen bin
 holds exactly that bin's values and the count below it is exact.
 
-Quantiles interpolate linearly between neighbouring ranks (pandas/numpy
-default and DuckDB ``quantile_cont``).
+Quantiles use numpy's default linear interpolation bit for bit (what
+pandas ``quantile`` returns); the median is the mean of the two middle
+values, as pandas ``median``.
 """
 
 from __future__ import annotations
@@ -41,8 +42,7 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.5,), max_collect: int = 50_000
             continue
         ranks = set()
         for p in probs:
-            pos = p * (n - 1)
-            ranks.update({int(math.floor(pos)), int(math.ceil(pos))})
+            ranks.update(_ranks(n, p))
         probes.setdefault((i, stats[f"lo{i}"], stats[f"hi{i}"], 0, n), set()).update(ranks)
 
     while probes:
@@ -109,16 +109,38 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.5,), max_collect: int = 50_000
         if not n:
             continue
         for p in probs:
-            pos = p * (n - 1)
-            lo_r, hi_r = int(math.floor(pos)), int(math.ceil(pos))
+            lo_r, hi_r = _ranks(n, p)
             a, b = found[(i, lo_r)], found[(i, hi_r)]
-            result[c][p] = a + (b - a) * (pos - lo_r) if hi_r != lo_r else a
+            result[c][p] = (a + b) / 2 if p == MEDIAN else lerp(a, b, _gamma(n, p))
     return result
 
 
+MEDIAN = "median"
+
+
+def _ranks(n: int, p) -> tuple:
+    """0-based ranks holding quantile ``p`` of ``n`` values."""
+    if p == MEDIAN:
+        return (n - 1) // 2, n // 2
+    lo = int(math.floor((n - 1) * p))
+    return lo, min(lo + 1, n - 1)
+
+
+def _gamma(n: int, p: float) -> float:
+    v = (n - 1) * p
+    return v - math.floor(v)
+
+
+def lerp(a: float, b: float, g: float) -> float:
+    """numpy's linear interpolation (the g >= 0.5 branch counts from b)."""
+    d = b - a
+    return b - d * (1 - g) if g >= 0.5 else a + d * g
+
+
 def exact_medians(df: DataFrame, cols, **kw) -> dict:
-    q = exact_quantiles(df, cols, (0.5,), **kw)
-    return {c: q[c][0.5] for c in cols}
+    """Mean of the two middle values (pandas ``median``)."""
+    q = exact_quantiles(df, cols, (MEDIAN,), **kw)
+    return {c: q[c][MEDIAN] for c in cols}
 
 
 def median_impute(df: DataFrame, cols, by=None, null_counts: dict | None = None, **kw) -> DataFrame:

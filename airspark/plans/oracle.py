@@ -141,9 +141,27 @@ def time_cte(name: str, src: str) -> str:
             f"{name} AS (SELECT *, {CYCLIC_SELECT} FROM {name}_t)")
 
 
+def quantile_sql(c: str, src: str, p: float) -> str:
+    """numpy linear quantile, spelled out over the sorted values (scalar subquery)."""
+    v = f"((n - 1) * {float(p)!r}e0)"
+    lo = f"CAST(floor({v}) AS BIGINT)"
+    a = f"l[{lo} + 1]"
+    b = f"l[least({lo} + 1, n - 1) + 1]"
+    g = f"({v} - floor({v}))"
+    return (f"(SELECT CASE WHEN n = 0 THEN NULL WHEN {g} >= 0.5e0 THEN {b} - ({b} - {a}) * (1 - {g}) "
+            f"ELSE {a} + ({b} - {a}) * {g} END FROM (SELECT list_sort(list(CAST({c} AS DOUBLE))) AS l, "
+            f"count({c}) AS n FROM {src}))")
+
+
+def median_sql(c: str, src: str) -> str:
+    """Mean of the two middle values (pandas median)."""
+    return (f"(SELECT CASE WHEN n = 0 THEN NULL ELSE (l[(n - 1) // 2 + 1] + l[n // 2 + 1]) / 2 END FROM "
+            f"(SELECT list_sort(list(CAST({c} AS DOUBLE))) AS l, count({c}) AS n FROM {src}))")
+
+
 def median_cte(name: str, src: str, cols) -> str:
     repl = ", ".join(
-        f"CAST(coalesce({c}, (SELECT median({c}) FROM {src}), 0) AS {'BIGINT' if c in S.LONG_COLUMNS else 'DOUBLE'}) AS {c}"
+        f"CAST(coalesce({c}, {median_sql(c, src)}, 0) AS {'BIGINT' if c in S.LONG_COLUMNS else 'DOUBLE'}) AS {c}"
         for c in cols)
     return f"{name} AS (SELECT * REPLACE ({repl}) FROM {src})"
 

@@ -25,12 +25,17 @@ def out(df: DataFrame) -> DataFrame:
     return round_doubles(df)
 
 
+def training_table(spark: SparkSession, sf_dir: str, variant: str = VARIANT) -> DataFrame:
+    """The training feature table (unrounded), input of every derived query."""
+    obs = observations(spark, sf_dir, variant).drop("emax", "run", "forecast_run_timestamp")
+    return build_training_features(obs)
+
+
 @register("build_training_features",
           O.with_(O.training_ctes(), O.round_select(S.TRAINING_OUTPUT_COLUMNS,
                                                     O.doubles_of(S.TRAINING_OUTPUT_COLUMNS), "train")))
 def q_build_training_features(spark, sf_dir):
-    obs = observations(spark, sf_dir).drop("emax", "run", "forecast_run_timestamp")
-    return out(build_training_features(obs))
+    return out(training_table(spark, sf_dir))
 
 
 # ---------------------------------------------------------------------------
@@ -246,7 +251,7 @@ def q_training_clean(spark, sf_dir):
     from pyspark.sql import functions as F
 
     from ..operators.clean import training_clean
-    train = q_build_training_features(spark, sf_dir)
+    train = training_table(spark, sf_dir)
     cols = ["city", F.col("timestamp").cast("string").alias("timestamp"), "ingestion_timestamp"]
     a = train.select(*cols, *[(F.col(c).cast("double") + F.lit(0.4)).alias(c) if c in S.INT_TIME_COLUMNS
                               else F.col(c) for c in S.MODEL_FEATURE_COLUMNS], S.TARGET_COLUMN)

@@ -13,7 +13,7 @@ from ..functions.numeric import np_round
 from . import eda as E
 from . import oracle as O
 from .catalog import register
-from .q_core import FC, forecast_context, out, q_build_training_features, sql
+from .q_core import FC, forecast_context, out, training_table, sql
 from .q_scoring import EV, scored_eval
 
 TRAIN = O.training_ctes()
@@ -27,7 +27,7 @@ TARGET = S.TARGET_COLUMN
     f"min(timestamp) AS min_timestamp, max(timestamp) AS max_timestamp, CAST({len(TCOLS)} AS BIGINT) AS column_count FROM train"
     for c in TCOLS)))
 def q_table_profile(spark, sf_dir):
-    return SU.table_profile(q_build_training_features(spark, sf_dir))
+    return SU.table_profile(training_table(spark, sf_dir))
 
 
 def _quality_sql():
@@ -88,7 +88,7 @@ def _mm_sql():
 
 
 def model_metrics_df(spark, sf_dir):
-    t = time_split(q_build_training_features(spark, sf_dir))
+    t = time_split(training_table(spark, sf_dir))
     preds = t.select("split", F.col(TARGET).alias("y"), F.explode(F.array(
         F.struct(F.lit("standin_pm25").alias("model_name"), standin_score().alias("p")),
         F.struct(F.lit("standin_pm10").alias("model_name"), _standin_b().alias("p")))).alias("x")).select(
@@ -115,7 +115,7 @@ def q_best_model(spark, sf_dir):
     f"SELECT feature, {O.r6('importance')} AS importance, CAST(row_number() OVER (ORDER BY importance DESC, feature) AS BIGINT) "
     "AS rank FROM imp"))
 def q_importance_rank(spark, sf_dir):
-    c = E.correlation(q_build_training_features(spark, sf_dir), FEATS)
+    c = E.correlation(training_table(spark, sf_dir), FEATS)
     imp = c.select("feature", F.abs("correlation").alias("importance"))
     return out(SU.importance_rank(imp))
 
@@ -127,17 +127,17 @@ DIST_FEATS = FEATS + [TARGET]
 @register("eda_distribution", O.with_(TRAIN, " UNION ALL ".join(
     f"SELECT '{c}' AS feature, CAST(count({c}) AS BIGINT) AS count, {O.r6(f'avg({c})')} AS mean, "
     f"{O.r6(f'stddev_samp({c})')} AS std, {O.r6(f'min(CAST({c} AS DOUBLE))')} AS min, "
-    f"{O.r6(f'quantile_cont({c}, 0.25)')} AS q25, {O.r6(f'quantile_cont({c}, 0.5)')} AS q50, "
-    f"{O.r6(f'quantile_cont({c}, 0.75)')} AS q75, {O.r6(f'max(CAST({c} AS DOUBLE))')} AS max FROM train"
+    f"{O.r6(O.quantile_sql(c, 'train', 0.25))} AS q25, {O.r6(O.quantile_sql(c, 'train', 0.5))} AS q50, "
+    f"{O.r6(O.quantile_sql(c, 'train', 0.75))} AS q75, {O.r6(f'max(CAST({c} AS DOUBLE))')} AS max FROM train"
     for c in DIST_FEATS)))
 def q_eda_distribution(spark, sf_dir):
-    return out(E.distribution(q_build_training_features(spark, sf_dir), DIST_FEATS).select(*DIST_COLS))
+    return out(E.distribution(training_table(spark, sf_dir), DIST_FEATS).select(*DIST_COLS))
 
 
 @register("eda_correlation", O.with_(TRAIN, " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {O.r6(f'corr({c}, {TARGET})')} AS correlation FROM train" for c in FEATS)))
 def q_eda_correlation(spark, sf_dir):
-    return out(E.correlation(q_build_training_features(spark, sf_dir), FEATS))
+    return out(E.correlation(training_table(spark, sf_dir), FEATS))
 
 
 DRIFT_FEATS = ["pm25_24h", "pm10_24h", "temperature_2m", "relative_humidity_2m"]
@@ -148,12 +148,12 @@ def _drift_sql():
              "(SELECT CAST(floor(count(*) * 0.8e0) AS BIGINT) FROM train) THEN 'train' ELSE 'test' END AS split FROM train)")
     parts = []
     for c in DRIFT_FEATS:
-        qs = ", ".join(f"quantile_cont({c}, {i / 10}) AS e{i}" for i in range(1, 10))
+        qs = ", ".join(f"{O.quantile_sql(c, 'sptrain', i / 10)} AS e{i}" for i in range(1, 10))
         b = " + ".join(f"CAST({c} > (SELECT e{i} FROM q_{c}) AS INTEGER)" for i in range(1, 10))
-        parts.append(f"q_{c} AS (SELECT {qs} FROM sp WHERE split = 'train')")
+        parts.append(f"q_{c} AS (SELECT {qs})")
         parts.append(f"b_{c} AS (SELECT '{c}' AS feature, split, {b} AS bin FROM sp)")
     union = " UNION ALL ".join(f"SELECT * FROM b_{c}" for c in DRIFT_FEATS)
-    return TRAIN + [split] + parts + [
+    return TRAIN + [split, "sptrain AS (SELECT * FROM sp WHERE split = 'train')"] + parts + [
         f"bins AS ({union})",
         "tot AS (SELECT feature, sum(CASE WHEN split = 'train' THEN 1 ELSE 0 END) AS ne, "
         "sum(CASE WHEN split = 'test' THEN 1 ELSE 0 END) AS na FROM bins GROUP BY feature)",
@@ -165,7 +165,7 @@ def _drift_sql():
 
 @register("eda_drift", O.with_(_drift_sql(), f"SELECT feature, {O.r6('sum((pa - pe) * ln(pa / pe))')} AS psi FROM pp GROUP BY feature"))
 def q_eda_drift(spark, sf_dir):
-    t = time_split(q_build_training_features(spark, sf_dir))
+    t = time_split(training_table(spark, sf_dir))
     return out(E.drift_psi(t, DRIFT_FEATS))
 
 

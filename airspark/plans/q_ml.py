@@ -14,7 +14,7 @@ from ..operators.split import time_split
 from ..session import scratch_path
 from . import ml as M
 from .catalog import register
-from .q_core import q_build_training_features
+from .q_core import training_table
 from .q_scoring import prepared
 
 CHECK_FOREST = {"numTrees": 20}
@@ -22,7 +22,7 @@ CHECK_BOOSTED = {"maxIter": 20}
 
 
 def _split(spark, sf_dir):
-    t = time_split(q_build_training_features(spark, sf_dir))
+    t = time_split(training_table(spark, sf_dir))
     return t.filter(F.col("split") == "train").drop("split"), t.filter(F.col("split") == "test").drop("split")
 
 
@@ -61,7 +61,7 @@ def q_ml_compare(spark, sf_dir):
 def _refit(spark, sf_dir):
     train, test = _split(spark, sf_dir)
     _, _, best = M.compare(train, test, _ests(train))
-    full = q_build_training_features(spark, sf_dir)
+    full = training_table(spark, sf_dir)
     return best, M.estimators(full, forest=CHECK_FOREST, boosted=CHECK_BOOSTED)[best].fit(full), full
 
 
@@ -107,5 +107,5 @@ def q_registry_append(spark, sf_dir):
 def q_ml_preprocess(spark, sf_dir):
     """Assembled feature vectors (imputation is done by the feature plan)."""
     from pyspark.ml.functions import vector_to_array
-    t = q_build_training_features(spark, sf_dir)
+    t = training_table(spark, sf_dir)
     return M.assembler().transform(t).select("city", "timestamp", vector_to_array("features").alias("features"))

@@ -17,7 +17,7 @@ from ..operators.clean import round_doubles
 from ..sources import fixture as FX
 from . import oracle as O
 from .catalog import register
-from .q_core import forecast_context, out, q_build_training_features, sql
+from .q_core import forecast_context, out, sql, training_table
 
 REF = S.REFERENCE_COLUMN
 FOUT = S.FORECAST_OUTPUT_COLUMNS
@@ -296,4 +296,4 @@ SPLIT_COLS = ["city", "timestamp", "split"]
                                 "FROM train) THEN 'train' ELSE 'test' END AS split FROM train"))
 def q_time_split(spark, sf_dir):
     from ..operators.split import time_split
-    return time_split(q_build_training_features(spark, sf_dir)).select(*SPLIT_COLS)
+    return time_split(training_table(spark, sf_dir)).select(*SPLIT_COLS)

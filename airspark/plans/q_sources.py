@@ -13,7 +13,7 @@ from ..sources.geo import city_slug, geo_resolve
 from ..session import read_table, scratch_path
 from . import oracle as O
 from .catalog import register
-from .q_core import (DD_CTES, FX_CTES, RAW_DBL, RAW_OUT, TC_COLS, observations, out, q_build_training_features,
+from .q_core import (DD_CTES, FX_CTES, RAW_DBL, RAW_OUT, TC_COLS, observations, out, training_table,
                      raw_rows, sql)
 from .q_scoring import API, HR_COLS, scored_api
 
@@ -130,7 +130,7 @@ def q_city_slug(spark, sf_dir):
 
 @register("src_training_table", sql(O.training_ctes(), TC_COLS, "train"))
 def q_src_training_table(spark, sf_dir):
-    path = ST.write_table(q_build_training_features(spark, sf_dir), "training_table", partition_by=["city"])
+    path = ST.write_table(training_table(spark, sf_dir), "training_table", partition_by=["city"])
     return out(ST.read_training_table(spark, path).select(*TC_COLS))
 
 
@@ -158,7 +158,7 @@ CAST_COLS = ["city", "timestamp", "ingestion_timestamp", "hour", "day_of_week",
     f"{O.r6('TRY_CAST(p AS DOUBLE)')} AS pm25, {O.r6('us_aqi')} AS us_aqi FROM ci "
     "WHERE TRY_CAST(ts AS TIMESTAMP) IS NOT NULL"))
 def q_cast_for_store(spark, sf_dir):
-    t = q_build_training_features(spark, sf_dir)
+    t = training_table(spark, sf_dir)
     h = F.col("hour")
     messy = t.select(
         "city", F.when((h == 5) & (F.col("day_of_week") == 2), F.lit("bad"))
@@ -171,7 +171,7 @@ def q_cast_for_store(spark, sf_dir):
 
 @register("sink_csv", sql(O.training_ctes(), S.TRAINING_OUTPUT_COLUMNS, "train"))
 def q_sink_csv(spark, sf_dir):
-    path = ST.write_csv(q_build_training_features(spark, sf_dir), "training_csv")
+    path = ST.write_csv(training_table(spark, sf_dir), "training_csv")
     return out(ST.read_csv(spark, path, S.TRAINING_SCHEMA))
 
 
@@ -179,7 +179,7 @@ def q_sink_csv(spark, sf_dir):
     f"SELECT '{c}' AS feature, count({c}) > 0 AS selected, CAST({i + 1} AS BIGINT) AS rank FROM train"
     for i, c in enumerate(S.MODEL_FEATURE_COLUMNS))))
 def q_selected_features(spark, sf_dir):
-    return ST.selected_features(q_build_training_features(spark, sf_dir))
+    return ST.selected_features(training_table(spark, sf_dir))
 
 
 # Registry records derived from the training table: one model per city,
@@ -187,7 +187,7 @@ def q_selected_features(spark, sf_dir):
 def registry_records(spark, sf_dir):
     from ..operators.forecast import standin_score
     from ..operators.summarize import regression_metrics
-    t = q_build_training_features(spark, sf_dir).withColumn("_pred", standin_score())
+    t = training_table(spark, sf_dir).withColumn("_pred", standin_score())
     t = t.withColumns({"name": F.concat(F.lit("aqi_"), F.col("city")),
                        "version": (F.floor(F.datediff(F.to_date("timestamp"), F.lit("2024-01-01").cast("date")) / 7)
                                    + 1).cast("bigint")})
@@ -288,5 +288,5 @@ def q_prediction_payload(spark, sf_dir):
 @register("sink_cache", sql(O.training_ctes(), S.TRAINING_OUTPUT_COLUMNS, "train"))
 def q_sink_cache(spark, sf_dir):
     """Binary cache of the training table: Parquet in the shared folder, read back."""
-    path = ST.write_table(q_build_training_features(spark, sf_dir), "training_cache")
+    path = ST.write_table(training_table(spark, sf_dir), "training_cache")
     return out(spark.read.parquet(path).select(*S.TRAINING_OUTPUT_COLUMNS))
