@@ -1,4 +1,4 @@
-"""Time-ordered train/test split without a global sort of the rows."""
+"""Time-ordered train/test split without a global sort or a full shuffle."""
 
 from __future__ import annotations
 
@@ -11,24 +11,35 @@ def time_split(df: DataFrame, fraction: float = S.TRAIN_FRACTION, ts: str = "tim
                tie: str = "city") -> DataFrame:
     """Adds ``split`` = 'train' for the first int(n*fraction) rows in (ts, tie) order.
 
-    Positions come from per-timestamp counts (a table bounded by the number
-    of distinct hours), their running sum, and a rank inside a timestamp;
-    the rows themselves are never sorted globally.
+    Only one timestamp can straddle the cut.  Per-timestamp counts (a table
+    bounded by the number of distinct hours) and their running sum locate
+    that boundary hour and how many of its rows are train; every other row
+    is classified by comparing its timestamp with the boundary (a narrow
+    filter, no shuffle), and only the boundary hour's rows (one per city)
+    are ranked by ``tie``.
     """
     counts = df.groupBy(ts).agg(F.count(F.lit(1)).alias("_n"))
-    # One small table of distinct hours; a single ordered window over it is fine.
-    cum = counts.select(ts, "_n", F.coalesce(
-        F.sum("_n").over(W.orderBy(ts).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
-    total = counts.agg(F.sum("_n").alias("_total")).first()["_total"] or 0
-    cut = int(total * fraction)
-    if cut <= 0 or cut >= total:
+    # One job over the per-hour table (distinct hours only): running and
+    # total counts, the cut, and the first hour whose running count reaches it.
+    upto = W.orderBy(ts).rowsBetween(W.unboundedPreceding, 0)
+    whole = W.orderBy(ts).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
+    cut_col = F.floor(F.col("_total") * F.lit(float(fraction))).cast("bigint")
+    boundary = (counts.withColumns({"_upto": F.sum("_n").over(upto), "_total": F.sum("_n").over(whole)})
+                .filter(F.col("_upto") >= cut_col)
+                .agg(F.min_by(F.struct(F.col(ts).alias("b"), (cut_col - (F.col("_upto") - F.col("_n"))).alias("k"),
+                                       cut_col.alias("cut"), F.col("_total").alias("total")), F.col(ts)).alias("x"))
+                .first()["x"])
+    if boundary is None or boundary["cut"] <= 0 or boundary["cut"] >= boundary["total"]:
         raise ValueError("Invalid train/test split. Need more training rows.")
-    out = df.join(cum.select(ts, "_before"), ts)
-    rank_in_ts = F.row_number().over(W.partitionBy(ts).orderBy(tie))
-    out = out.withColumn("_position", F.col("_before") + rank_in_ts)
-    return (out.withColumn("split", F.when(F.col("_position") <= F.lit(cut), F.lit("train"))
-                           .otherwise(F.lit("test")))
-            .drop("_before", "_position"))
+    boundary = {ts: boundary["b"], "_k": boundary["k"]}
+    b_ts, k = boundary[ts], boundary["_k"]
+    at = F.col(ts) == F.lit(b_ts)
+    rest = df.filter(~at).withColumn(
+        "split", F.when(F.col(ts) < F.lit(b_ts), F.lit("train")).otherwise(F.lit("test")))
+    edge = (df.filter(at).withColumn("_r", F.row_number().over(W.partitionBy(ts).orderBy(tie)))
+            .withColumn("split", F.when(F.col("_r") <= F.lit(k), F.lit("train")).otherwise(F.lit("test")))
+            .drop("_r"))
+    return rest.unionByName(edge)
 
 
 def check_split(df_with_split: DataFrame) -> None:
