@@ -10,8 +10,13 @@ from .numeric import col_of
 
 
 def floor_hour(c) -> Column:
-    # date_trunc returns TIMESTAMP; keep the naive (NTZ) type.
-    return F.date_trunc("hour", col_of(c)).cast("timestamp_ntz")
+    """Start of the hour as a naive timestamp, from the wall-clock fields.
+
+    ``date_trunc`` would route a naive value through the session time zone
+    (and shift wall times that fall in a daylight-saving gap).
+    """
+    c = col_of(c)
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.lit(0), F.lit(0))
 
 
 def hour_of(c) -> Column:
@@ -46,9 +51,24 @@ def cyclic_columns(hour="hour", dow="day_of_week") -> dict[str, Column]:
 
 
 def parse_timestamp(c) -> Column:
-    """Unparsable -> NULL; accepts 'YYYY-MM-DDTHH:MM' and full ISO forms."""
-    c = col_of(c)
-    return F.try_to_timestamp(c.cast("string")).cast("timestamp_ntz")
+    """Text -> naive timestamp; unparsable -> NULL; accepts 'YYYY-MM-DDTHH:MM'.
+
+    Parsed straight to TIMESTAMP_NTZ, never through the session time zone.
+    """
+    return col_of(c).cast("string").try_cast("timestamp_ntz")
+
+
+EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def instant_to_local(instant, timezone: str) -> Column:
+    """A TIMESTAMP (instant) -> naive wall time in ``timezone``.
+
+    Via epoch microseconds and UTC, so the session time zone plays no part.
+    """
+    utc_wall = F.timestamp_add("MICROSECOND", F.unix_micros(col_of(instant)),
+                               F.lit(EPOCH_NTZ).cast("timestamp_ntz"))
+    return F.convert_timezone(F.lit("UTC"), F.lit(timezone), utc_wall)
 
 
 def to_local_time(c, timezone: str) -> Column:
@@ -60,7 +80,5 @@ def to_local_time(c, timezone: str) -> Column:
     """
     c = col_of(c).cast("string")
     has_offset = c.rlike(r"([+-]\d{2}:?\d{2}|Z)$")
-    instant = F.try_to_timestamp(c)  # session-zone TIMESTAMP (an instant)
-    local = F.convert_timezone(F.current_timezone(), F.lit(timezone),
-                               instant.cast("timestamp_ntz"))
-    return F.when(has_offset, local).otherwise(F.try_to_timestamp(c).cast("timestamp_ntz"))
+    local = instant_to_local(c.try_cast("timestamp"), timezone)  # offset text names an instant
+    return F.when(has_offset, local).otherwise(parse_timestamp(c))

@@ -40,7 +40,8 @@ def localize_timestamps(df: DataFrame, cols, timezone: str) -> DataFrame:
         if kind == "timestamp_ntz":
             continue
         if kind == "timestamp":
-            out[c] = F.convert_timezone(F.current_timezone(), F.lit(timezone), F.col(c).cast("timestamp_ntz"))
+            from ..functions.time import instant_to_local
+            out[c] = instant_to_local(F.col(c), timezone)
         else:
             out[c] = to_local_time(c, timezone)
     return df.withColumns(out) if out else df

@@ -41,8 +41,8 @@ def future_rows(df: DataFrame, as_of=None, ts: str = "timestamp") -> DataFrame:
     if "is_future" in df.columns:
         flag = F.coalesce(F.col("is_future").try_cast("double"), F.lit(0.0)).cast("int")
         return df.filter(flag == 1)
-    cutoff = F.date_trunc("hour", F.lit(as_of).cast("timestamp_ntz")).cast("timestamp_ntz")
-    return df.filter(F.col(ts) > cutoff)
+    from ..functions.time import floor_hour
+    return df.filter(F.col(ts) > floor_hour(F.lit(as_of).cast("timestamp_ntz")))
 
 
 def horizon_rows(df: DataFrame, n: int = S.DEFAULT_HORIZON_HOURS, key: str = "city",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, functions as F
 
 from .. import schemas as S
+from ..functions.time import floor_hour
 from ..operators.clean import (add_time_features, clip_bounds, convert_units, dedupe_keep_last,
                                drop_incomplete, select_outputs)
 from ..operators.median import median_impute
@@ -66,7 +67,7 @@ def build_training_features(observations: DataFrame, bucket_rows: int = DEFAULT_
 
 def flag_future(df: DataFrame, as_of, ts: str = "timestamp") -> DataFrame:
     """is_future = timestamp > floor_hour(as_of) (strict)."""
-    cutoff = F.date_trunc("hour", F.lit(as_of).cast("timestamp_ntz")).cast("timestamp_ntz")
+    cutoff = floor_hour(F.lit(as_of).cast("timestamp_ntz"))
     return df.withColumn("is_future", (F.col(ts) > cutoff).cast("bigint"))
 
 
@@ -115,7 +116,7 @@ def forecast_context_rows(observations: DataFrame, as_of, value_cols=None, key:
     """
     from pyspark.sql import Window as W
     value_cols = list(value_cols or S.RAW_FEATURE_COLUMNS + [S.TARGET_COLUMN])
-    cutoff = F.date_trunc("hour", F.lit(as_of).cast("timestamp_ntz")).cast("timestamp_ntz")
+    cutoff = floor_hour(F.lit(as_of).cast("timestamp_ntz"))
     future = observations.filter(F.col(ts) > cutoff)
     past = observations.filter(F.col(ts) <= cutoff)
     halo = max(n for _, _, n in ROLLS) - 1

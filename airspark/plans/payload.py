@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
+from ..functions.time import parse_timestamp
 from ..sources.store import daily_records, hourly_records
 
 HOURLY_FIELDS = ["timestamp STRING", "predicted_aqi DOUBLE", "aqi_category STRING",
@@ -67,9 +68,8 @@ def payload_read(payloads: DataFrame):
     doc = payloads.select("city", F.from_json("payload", PAYLOAD_DDL).alias("d"))
     if not doc.filter((F.col("d.hourly").isNull()) | (F.size("d.hourly") == 0)).isEmpty():
         raise ValueError("Payload has no hourly prediction rows.")
-    hourly = doc.select("city", F.inline("d.hourly")).withColumn(
-        "timestamp", F.try_to_timestamp("timestamp").cast("timestamp_ntz"))
+    hourly = doc.select("city", F.inline("d.hourly")).withColumn("timestamp", parse_timestamp("timestamp"))
     daily = doc.select("city", F.inline("d.daily")).withColumns({
-        c: F.try_to_timestamp(c).cast("timestamp_ntz") for c in ("start_time", "end_time")})
+        c: parse_timestamp(c) for c in ("start_time", "end_time")})
     pollutants = doc.select("city", F.inline("d.pollutants"))
     return hourly, daily, pollutants

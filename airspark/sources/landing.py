@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas as S
+from ..functions.time import parse_timestamp
 from ..session import scratch_path
 
 TIME_TEXT = "yyyy-MM-dd'T'HH:mm"
@@ -55,7 +56,7 @@ def rows_from_responses(responses: DataFrame, rename: dict, key: str = "city",
     exploded = responses.select(key, *extra, F.posexplode("hourly.time").alias("_i", "_t"), "hourly")
     return exploded.select(
         key, *extra,
-        F.try_to_timestamp("_t").cast("timestamp_ntz").alias("timestamp"),
+        parse_timestamp("_t").alias("timestamp"),
         *[F.col("hourly")[v][F.col("_i")].cast("double").alias(col) for v, col in rename.items()])
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas as S
+from ..functions.time import parse_timestamp
 from ..operators.clean import dedupe_keep_last
 from ..session import scratch_path
 
@@ -53,7 +54,7 @@ def cast_for_store(df: DataFrame, time_columns=("timestamp", "ingestion_timestam
     if "city" in df.columns:
         exprs["city"] = F.col("city").cast("string")
     for c in times:
-        exprs[c] = F.try_to_timestamp(F.col(c).cast("string")).cast("timestamp_ntz")
+        exprs[c] = parse_timestamp(c)
     for c in df.columns:
         if c not in skip:
             v = F.col(c).try_cast("double")
