@@ -58,11 +58,22 @@ def q_ml_compare(spark, sf_dir):
     return metrics
 
 
+_FITTED: dict = {}
+
+
 def _refit(spark, sf_dir):
-    train, test = _split(spark, sf_dir)
-    _, _, best = M.compare(train, test, _ests(train))
-    full = training_table(spark, sf_dir)
-    return best, M.estimators(full, forest=CHECK_FOREST, boosted=CHECK_BOOSTED)[best].fit(full), full
+    """Compare on the time split, refit the winner on all rows.
+
+    The fitted winner is kept per (application, data folder): the queries
+    that need it (refit, importance, score, registry) fit once per session.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _FITTED:
+        train, test = _split(spark, sf_dir)
+        _, _, best = M.compare(train, test, _ests(train))
+        full = training_table(spark, sf_dir)
+        _FITTED[key] = (best, M.estimators(full, forest=CHECK_FOREST, boosted=CHECK_BOOSTED)[best].fit(full), full)
+    return _FITTED[key]
 
 
 @register("ml_refit")

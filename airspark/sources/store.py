@@ -7,6 +7,7 @@ the caller gives).  The keyed upsert keeps the newest row per
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas as S
@@ -82,7 +83,7 @@ def keyed_upsert(incoming: DataFrame, path: str, key=("city", "timestamp"),
         touched = incoming.select(*partition_by).distinct()
         # semi join keeps only partitions the batch touches (the side is one row per city)
         merged = existing.join(touched, list(partition_by), "left_semi").unionByName(incoming)
-    except Exception:  # noqa: BLE001 - table does not exist yet
+    except AnalysisException:  # table does not exist yet
         merged = incoming
     merged = dedupe_keep_last(merged, key=key, order=order)
     # Materialise before overwriting the partitions the plan reads from.
@@ -146,7 +147,7 @@ def registry_append(spark: SparkSession, registry_path: str, record: DataFrame)
         top = current.groupBy("name").agg(F.max("version").alias("_top"))
         rec = (record.join(top, "name", "left")
                .withColumn("version", (F.coalesce(F.col("_top"), F.lit(0)) + 1).cast("bigint")).drop("_top"))
-    except Exception:  # noqa: BLE001 - empty registry
+    except AnalysisException:  # empty registry
         rec = record.withColumn("version", F.lit(1).cast("bigint"))
     rec.select(*REGISTRY_COLUMNS).write.mode("append").parquet(registry_path)
     return spark.read.parquet(registry_path)
