@@ -4,11 +4,13 @@ Landed response files (air and weather, several runs) are read with a file
 ``readStream``; duplicates of the same landed response are dropped inside
 a watermark on the run time; each micro-batch, in ``foreachBatch``:
 
-1. its responses become rows and are staged per kind under the batch id
-   (rewriting a replayed batch id overwrites the same folder, so a retried
-   batch is idempotent);
-2. for the cities the batch touches, the newest air and weather row per
-   (city, timestamp) are joined and upserted into the observation table;
+1. its responses become rows, upserted into two keyed tables holding the
+   newest air and the newest weather row per (city, timestamp) (upserts are
+   idempotent, so a retried batch is harmless, and storage is bounded by
+   the keys, not by the number of batches);
+2. for the keys the batch touches, the two sides are joined and upserted
+   into the observation table (an hour whose other side has not landed yet
+   joins when it arrives);
 3. optionally, forecast features of those cities are recomputed and
    scored into the prediction table.  The recompute is bounded: future rows
    plus the last 23 past rows per city (what the 24-row windows read), with
@@ -21,10 +23,10 @@ checkpoint folder lets a restarted job resume exactly where it stopped.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas as S
-from ..operators.clean import dedupe_keep_last
 from ..sources import landing as L
 from ..sources.store import keyed_upsert
 
@@ -66,26 +68,31 @@ def stream_ingest(spark: SparkSession, landing_path: str, table_path: str, stage
               .dropDuplicatesWithinWatermark(["kind", "city", "chunk_start", "run_ts"]))
 
     def process(batch: DataFrame, batch_id: int):
-        air = _rows(batch, "air", L.AIR_RENAME)
-        weather = _rows(batch, "weather", L.WEATHER_RENAME)
-        for kind, rows in (("air", air), ("weather", weather)):
-            # Partitioned by city as well, so reading back the touched cities
-            # prunes partitions instead of scanning every staged batch.
-            (rows.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("city", "batch_id")
-             .parquet(f"{stage_path}/{kind}"))
-        touched = air.select("city").union(weather.select("city")).distinct()
-        if touched.isEmpty():
-            return
-        key = ["city", "timestamp"]
-        a = dedupe_keep_last(spark.read.parquet(f"{stage_path}/air").drop("batch_id")
-                             .join(touched, "city", "left_semi"), key=key, order=("ingestion_timestamp",))
-        w = dedupe_keep_last(spark.read.parquet(f"{stage_path}/weather").drop("batch_id")
-                             .join(touched, "city", "left_semi"), key=key, order=("ingestion_timestamp",))
-        joined = a.join(w.drop("ingestion_timestamp"), key, "inner")
-        keyed_upsert(joined, table_path)
-        if on_batch is not None:
-            on_batch(touched, batch_id)
+        batch.persist()
+        try:
+            air = _rows(batch, "air", L.AIR_RENAME)
+            weather = _rows(batch, "weather", L.WEATHER_RENAME)
+            key = ["city", "timestamp"]
+            keys = air.select(*key).union(weather.select(*key)).distinct()
+            if keys.isEmpty():
+                return
+            # Newest row per key and kind: keyed tables, so a replayed batch
+            # upserts the same rows again and storage is bounded by the keys.
+            for kind, rows in (("air", air), ("weather", weather)):
+                if not rows.isEmpty():
+                    keyed_upsert(rows, f"{stage_path}/{kind}")
+            sides = {}
+            for kind in ("air", "weather"):
+                try:
+                    sides[kind] = spark.read.parquet(f"{stage_path}/{kind}").join(keys, key, "left_semi")
+                except AnalysisException:  # that side has not arrived yet
+                    return
+            joined = sides["air"].join(sides["weather"].drop("ingestion_timestamp"), key, "inner")
+            keyed_upsert(joined, table_path)
+            if on_batch is not None:
+                on_batch(keys.select("city").distinct(), batch_id)
+        finally:
+            batch.unpersist()
 
     q = (stream.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint_path)
          .trigger(availableNow=True).start())
