@@ -67,19 +67,28 @@ def cast_for_store(df: DataFrame, time_columns=("timestamp", "ingestion_timestam
     return out.na.drop(subset=[c for c in time_columns if c in out.columns])
 
 
+MONTH_PARTITION = "obs_month"
+
+
 def keyed_upsert(incoming: DataFrame, path: str, key=("city", "timestamp"),
-                 order=("ingestion_timestamp",), partition_by=("city",)) -> DataFrame:
+                 order=("ingestion_timestamp",), partition_by=("city",),
+                 month_partitions: bool = False, ts: str = "timestamp") -> DataFrame:
     """Insert-or-replace by primary key into a Parquet table partitioned by city.
 
-    Existing rows of the touched cities are unioned with the batch, the
+    Existing rows of the touched partitions are unioned with the batch, the
     newest row per key wins (grouped ``max_by``, skew-safe), and only the
-    touched city partitions are overwritten (dynamic partition overwrite).
-    Returns the table as read back.
+    touched partitions are overwritten (dynamic partition overwrite).
+    ``month_partitions`` adds a (city, month) layout so an upsert of recent
+    hours rewrites one month of a city, not its whole history.
+    Returns the table as read back (without the partition helper column).
     """
     spark = incoming.sparkSession
     cols = incoming.columns
+    if month_partitions:
+        incoming = incoming.withColumn(MONTH_PARTITION, F.trunc(F.to_date(ts), "month"))
+        partition_by = (*partition_by, MONTH_PARTITION)
     try:
-        existing = spark.read.parquet(path).select(*cols)
+        existing = spark.read.parquet(path).select(*incoming.columns)
         touched = incoming.select(*partition_by).distinct()
         # semi join keeps only partitions the batch touches (the side is one row per city)
         merged = existing.join(touched, list(partition_by), "left_semi").unionByName(incoming)
@@ -89,7 +98,7 @@ def keyed_upsert(incoming: DataFrame, path: str, key=("city", "timestamp"),
     # Materialise before overwriting the partitions the plan reads from.
     staged = scratch_path(spark, "upsert-stage")
     merged.write.mode("overwrite").parquet(staged)
-    (spark.read.parquet(staged).select(*cols).write.mode("overwrite")
+    (spark.read.parquet(staged).select(*incoming.columns).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
     return spark.read.parquet(path).select(*cols)
 

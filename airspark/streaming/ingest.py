@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas as S
 from ..sources import landing as L
-from ..sources.store import keyed_upsert
+from ..sources.store import MONTH_PARTITION, keyed_upsert
 
 LANDED_SCHEMA = T.StructType([
     T.StructField("kind", T.StringType()),
@@ -80,15 +80,16 @@ def stream_ingest(spark: SparkSession, landing_path: str, table_path: str, stage
             # upserts the same rows again and storage is bounded by the keys.
             for kind, rows in (("air", air), ("weather", weather)):
                 if not rows.isEmpty():
-                    keyed_upsert(rows, f"{stage_path}/{kind}")
+                    keyed_upsert(rows, f"{stage_path}/{kind}", month_partitions=True)
             sides = {}
             for kind in ("air", "weather"):
                 try:
                     sides[kind] = spark.read.parquet(f"{stage_path}/{kind}").join(keys, key, "left_semi")
                 except AnalysisException:  # that side has not arrived yet
                     return
-            joined = sides["air"].join(sides["weather"].drop("ingestion_timestamp"), key, "inner")
-            keyed_upsert(joined, table_path)
+            joined = (sides["air"].drop(MONTH_PARTITION)
+                      .join(sides["weather"].drop("ingestion_timestamp", MONTH_PARTITION), key, "inner"))
+            keyed_upsert(joined, table_path, month_partitions=True)
             if on_batch is not None:
                 on_batch(keys.select("city").distinct(), batch_id)
         finally:
@@ -105,10 +106,11 @@ def score_touched(spark: SparkSession, table_path: str, predictions_path: str, a
     from ..plans.features import build_forecast_features, forecast_context_rows
 
     def on_batch(touched: DataFrame, batch_id: int):
-        obs = spark.read.parquet(table_path).join(touched, "city", "left_semi")
+        obs = spark.read.parquet(table_path).drop(MONTH_PARTITION).join(touched, "city", "left_semi")
         # Bounded recompute: future rows + 23-row tail + carried values.
         rows, prior = forecast_context_rows(obs, as_of)
         fc = build_forecast_features(rows, as_of, horizon=horizon, prior=prior)
-        keyed_upsert(scorer(fc), predictions_path, order=("forecast_run_timestamp", "ingestion_timestamp"))
+        keyed_upsert(scorer(fc), predictions_path, order=("forecast_run_timestamp", "ingestion_timestamp"),
+                     month_partitions=True)
 
     return on_batch

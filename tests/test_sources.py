@@ -102,3 +102,18 @@ def test_quality_report_strict(spark):
     assert rep[("missing_columns", "table")].status == "error"
     with pytest.raises(ValueError):
         quality_report(df, features=["pm25_24h"], strict=True)
+
+
+def test_keyed_upsert_month_partitions_rewrite_only_touched(spark):
+    import glob
+    import os
+    path = tempfile.mkdtemp(prefix="upsert-m-", dir="/tmp") + "/t"
+    jan, feb = dt.datetime(2024, 1, 5), dt.datetime(2024, 2, 5)
+    ST.keyed_upsert(_obs(spark, [("a", jan, jan, 1.0), ("a", feb, feb, 2.0)]), path, month_partitions=True)
+    jan_files = sorted(glob.glob(f"{path}/city=a/obs_month=2024-01-01/*.parquet"))
+    jan_mtime = [os.path.getmtime(f) for f in jan_files]
+    out = ST.keyed_upsert(_obs(spark, [("a", feb, feb + dt.timedelta(hours=1), 5.0)]), path, month_partitions=True)
+    assert sorted((r.timestamp, r.x) for r in out.collect()) == [(jan, 1.0), (feb, 5.0)]
+    assert "obs_month" not in out.columns
+    assert sorted(glob.glob(f"{path}/city=a/obs_month=2024-01-01/*.parquet")) == jan_files
+    assert [os.path.getmtime(f) for f in jan_files] == jan_mtime  # January untouched
