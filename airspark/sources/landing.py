@@ -17,6 +17,8 @@ TIME_TEXT = "yyyy-MM-dd'T'HH:mm"
 # Upstream variable name -> table column (historical flavour).
 AIR_RENAME = {"pm2_5": "pm25", "pm10": "pm10", "carbon_monoxide": "carbon_monoxide",
               "nitrogen_dioxide": "nitrogen_dioxide", "ozone": "ozone", "us_aqi": "us_aqi"}
+# Forecast flavour: the provider's AQI is a reference, not the target.
+FORECAST_AIR_RENAME = {**AIR_RENAME, "us_aqi": S.REFERENCE_COLUMN}
 WEATHER_RENAME = {v: v for v in S.WEATHER_RESPONSE_VARIABLES}
 
 
