@@ -111,11 +111,15 @@ def series_features(df: DataFrame, fill_cols=(), clip_bounds=None, rolls=(),
             carry = carry.join(p, key, "left").select(
                 key, "_q", *[F.coalesce(f"_carry_{c}", f"_prior_{c}").alias(f"_carry_{c}") for c in fill_cols],
                 *[F.col(f"_lead_{c}") for c in fill_cols])
-        out = out.join(carry, [key, "_q"], "left")
+        # Fill inside the bucket first, then attach the (small) carry table:
+        # joining after the window keeps the carried columns out of the big
+        # shuffle, and the join preserves the (key, _q) partitioning that the
+        # rolling windows below reuse.
         running = W.partitionBy(key, "_q").orderBy("_pos").rowsBetween(W.unboundedPreceding, 0)
+        out = out.withColumns({c: F.last(c, True).over(running) for c in fill_cols})
+        out = out.join(carry, [key, "_q"], "left")
         out = out.withColumns({
-            c: F.coalesce(F.last(c, True).over(running), F.col(f"_carry_{c}"), F.col(f"_lead_{c}"))
-            for c in fill_cols})
+            c: F.coalesce(F.col(c), F.col(f"_carry_{c}"), F.col(f"_lead_{c}")) for c in fill_cols})
         out = out.drop(*[f"_carry_{c}" for c in fill_cols], *[f"_lead_{c}" for c in fill_cols])
 
     if clip_bounds:
