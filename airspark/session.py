@@ -47,6 +47,8 @@ def tune_session(spark: SparkSession) -> None:
     result.
     """
     spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+    # A series window bucket holds up to 8,192 + 23 rows: keep it in memory.
+    spark.conf.set("spark.sql.windowExec.buffer.in.memory.threshold", "16384")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
