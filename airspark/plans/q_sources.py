@@ -120,12 +120,14 @@ def q_geo_resolve(spark, sf_dir):
     return out(geo_resolve(req, cand).select(*GEO_COLS))
 
 
-@register("city_slug", O.with_([], "SELECT n_nationkey, replace(lower(concat(replace(n_name, '_', ' '), ' City')), ' ', '_') "
-                                   "AS city FROM nation"))
+@register("city_slug", O.with_([], "SELECT s.s_suppkey, replace(lower(concat(replace(n.n_name, '_', ' '), ' ', "
+                                   "s.s_name, ' City')), ' ', '_') AS city FROM supplier s JOIN nation n "
+                                   "ON s.s_nationkey = n.n_nationkey"))
 def q_city_slug(spark, sf_dir):
-    nat = read_table(spark, sf_dir, "nation")
-    name = F.concat(F.replace("n_name", F.lit("_"), F.lit(" ")), F.lit(" City"))
-    return nat.select("n_nationkey", city_slug(name).alias("city"))
+    """Slugs of one place name per supplier (grows with the supplier table)."""
+    sup, nat = read_table(spark, sf_dir, "supplier"), read_table(spark, sf_dir, "nation")
+    name = F.concat(F.replace("n_name", F.lit("_"), F.lit(" ")), F.lit(" "), F.col("s_name"), F.lit(" City"))
+    return sup.join(nat, sup.s_nationkey == nat.n_nationkey).select("s_suppkey", city_slug(name).alias("city"))
 
 
 @register("src_training_table", sql(O.training_ctes(), TC_COLS, "train"))
