@@ -194,13 +194,13 @@ TAG_COLS = RAW_OUT + ["country", "latitude", "longitude", "ingestion_timestamp"]
 
 
 @register("tag_location", sql(FX_CTES + [
-    f"t AS (SELECT *, 'pakistan' AS country, 25.396e0 AS latitude, 68.3578e0 AS longitude, "
+    f"t AS (SELECT *, 'norland' AS country, 25.5e0 AS latitude, 68.25e0 AS longitude, "
     f"TIMESTAMP '{FX.AS_OF}' AS ingestion_timestamp FROM raw)"], TAG_COLS, "t", RAW_DBL | {"latitude", "longitude"}))
 def q_tag_location(spark, sf_dir):
     from pyspark.sql import functions as F
     df = raw_rows(spark, sf_dir)
-    tagged = df.withColumns({"country": F.lit("pakistan"), "latitude": F.lit(25.396),
-                             "longitude": F.lit(68.3578),
+    tagged = df.withColumns({"country": F.lit("norland"), "latitude": F.lit(25.5),
+                             "longitude": F.lit(68.25),
                              "ingestion_timestamp": F.lit(FX.AS_OF).cast("timestamp_ntz")})
     return out(tagged.select(*TAG_COLS))
 

@@ -82,11 +82,11 @@ def q_src_union_chunks(spark, sf_dir):
 
 GEO_CAND_SQL = ("SELECT s.s_nationkey AS request_id, CASE WHEN s.s_suppkey % 3 = 0 THEN replace(n.n_name, '_', ' ') "
                 "ELSE concat(replace(n.n_name, '_', ' '), ' EAST') END AS cname, r.r_name AS ccountry, "
-                "CASE WHEN s.s_suppkey % 4 = 0 THEN NULL WHEN s.s_suppkey % 2 = 0 THEN 'SINDH' ELSE 'PUNJAB' END AS cadmin1, "
+                "CASE WHEN s.s_suppkey % 4 = 0 THEN NULL WHEN s.s_suppkey % 2 = 0 THEN 'EAST' ELSE 'WEST' END AS cadmin1, "
                 "s.s_acctbal / 1e2 AS clat, s.s_suppkey / 1e1 AS clon, s.s_suppkey AS position "
                 "FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey")
 GEO_REQ_SQL = ("SELECT n_nationkey AS request_id, lower(replace(n_name, '_', ' ')) AS name, lower(r_name) AS country, "
-               "'sindh' AS admin1, CASE WHEN n_nationkey % 5 = 0 THEN 25e0 END AS latitude, "
+               "'east' AS admin1, CASE WHEN n_nationkey % 5 = 0 THEN 25e0 END AS latitude, "
                "CASE WHEN n_nationkey % 5 = 0 THEN 68e0 END AS longitude FROM nation JOIN region ON n_regionkey = r_regionkey")
 GEO_COLS = ["request_id", "name", "country", "city", "latitude", "longitude", "matched"]
 
@@ -109,12 +109,12 @@ def q_geo_resolve(spark, sf_dir):
         .otherwise(F.concat(F.replace("n_name", F.lit("_"), F.lit(" ")), F.lit(" EAST"))).alias("name"),
         F.col("r_name").alias("country"),
         F.when(F.col("s_suppkey") % 4 == 0, F.lit(None).cast("string"))
-        .when(F.col("s_suppkey") % 2 == 0, F.lit("SINDH")).otherwise(F.lit("PUNJAB")).alias("admin1"),
+        .when(F.col("s_suppkey") % 2 == 0, F.lit("EAST")).otherwise(F.lit("WEST")).alias("admin1"),
         (F.col("s_acctbal") / F.lit(100.0)).alias("latitude"), (F.col("s_suppkey") / F.lit(10.0)).alias("longitude"),
         F.col("s_suppkey").alias("position"))
     req = geo.select(F.col("n_nationkey").alias("request_id"),
                      F.lower(F.replace("n_name", F.lit("_"), F.lit(" "))).alias("name"),
-                     F.lower("r_name").alias("country"), F.lit("sindh").alias("admin1"),
+                     F.lower("r_name").alias("country"), F.lit("east").alias("admin1"),
                      F.when(F.col("n_nationkey") % 5 == 0, F.lit(25.0)).alias("latitude"),
                      F.when(F.col("n_nationkey") % 5 == 0, F.lit(68.0)).alias("longitude"))
     return out(geo_resolve(req, cand).select(*GEO_COLS))
@@ -269,7 +269,7 @@ def q_payload_read(spark, sf_dir):
     daily = SU.daily_summary_api(hourly)
     doc = prediction_payload(hourly, daily, SU.pollutant_summary(hourly), SU.headline_summary(hourly),
                              {"model_name": "aqi_model", "model_version": 1, "best_model_name": "stand-in",
-                              "feature_columns": S.MODEL_FEATURE_COLUMNS}, "pakistan", FX.CITY_TIMEZONE)
+                              "feature_columns": S.MODEL_FEATURE_COLUMNS}, "norland", FX.CITY_TIMEZONE)
     path = scratch_path(spark, "payloads")
     doc.write.mode("overwrite").parquet(path)
     h, _, _ = payload_read(spark.read.parquet(path))
@@ -284,7 +284,7 @@ def q_prediction_payload(spark, sf_dir):
     daily = SU.daily_summary_api(hourly)
     return prediction_payload(hourly, daily, SU.pollutant_summary(hourly), SU.headline_summary(hourly),
                               {"model_name": "aqi_model", "model_version": 1, "best_model_name": "stand-in",
-                               "feature_columns": S.MODEL_FEATURE_COLUMNS}, "pakistan", FX.CITY_TIMEZONE)
+                               "feature_columns": S.MODEL_FEATURE_COLUMNS}, "norland", FX.CITY_TIMEZONE)
 
 
 @register("sink_cache", sql(O.training_ctes(), S.TRAINING_OUTPUT_COLUMNS, "train"))

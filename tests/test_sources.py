@@ -47,19 +47,19 @@ def test_response_round_trip_and_empty_error(spark):
 
 
 def test_geo_resolve_match_fallback_and_configured(spark):
-    req = spark.createDataFrame([(1, "hyderabad", "pakistan", "sindh", None, None),
-                                 (2, "nowhere", "pakistan", "sindh", None, None),
-                                 (3, "hyderabad", "pakistan", "sindh", 1.5, 2.5)],
+    req = spark.createDataFrame([(1, "riverton", "norland", "east", None, None),
+                                 (2, "nowhere", "norland", "east", None, None),
+                                 (3, "riverton", "norland", "east", 1.5, 2.5)],
                                 "request_id int, name string, country string, admin1 string, latitude double, longitude double")
-    cand = spark.createDataFrame([(1, "Hyderabad", "India", "Telangana", 17.0, 78.0, 0),
-                                  (1, "Hyderabad", "Pakistan", "Sindh", 25.4, 68.4, 1),
-                                  (2, "Elsewhere", "Pakistan", None, 10.0, 20.0, 5),
-                                  (2, "Other", "Pakistan", None, 11.0, 21.0, 3),
-                                  (3, "Hyderabad", "Pakistan", "Sindh", 25.4, 68.4, 0)],
+    cand = spark.createDataFrame([(1, "Riverton", "Southland", "West", 17.0, 78.0, 0),
+                                  (1, "Riverton", "Norland", "East", 25.4, 68.4, 1),
+                                  (2, "Elsewhere", "Norland", None, 10.0, 20.0, 5),
+                                  (2, "Other", "Norland", None, 11.0, 21.0, 3),
+                                  (3, "Riverton", "Norland", "East", 25.4, 68.4, 0)],
                                  "request_id int, name string, country string, admin1 string, latitude double, "
                                  "longitude double, position int")
     got = {r.request_id: r for r in geo_resolve(req, cand).collect()}
-    assert (got[1].latitude, got[1].matched, got[1].city) == (25.4, True, "hyderabad")
+    assert (got[1].latitude, got[1].matched, got[1].city) == (25.4, True, "riverton")
     assert (got[2].latitude, got[2].matched) == (11.0, False)   # first candidate by position
     assert (got[3].latitude, got[3].longitude) == (1.5, 2.5)     # configured coordinates win
 
