@@ -73,11 +73,14 @@ def flag_future(df: DataFrame, as_of, ts: str = "timestamp") -> DataFrame:
 
 def build_forecast_features(observations: DataFrame, as_of, horizon: int = S.DEFAULT_HORIZON_HOURS,
                             bucket_rows: int = DEFAULT_BUCKET_ROWS, context: bool = False,
-                            prior: DataFrame | None = None) -> DataFrame:
+                            prior: DataFrame | None = None, bounded: bool = True) -> DataFrame:
     """Past+future rows -> 33-column forecast table: first ``horizon`` future rows per city.
 
     Windows run over past and future together; only then the future rows
     are kept.  The per-city cut uses exact positions (no per-city window).
+    ``bounded`` (default) windows only the future rows and the 23 past rows
+    they read, with fill carried from the older rows, instead of the whole
+    history; ``context=True`` returns every row with its features.
     """
     df = observations
     if S.REFERENCE_COLUMN not in df.columns and S.TARGET_COLUMN in df.columns:
@@ -90,6 +93,13 @@ def build_forecast_features(observations: DataFrame, as_of, horizon: int = S.DEF
     df = dedupe_keep_last(df, order=("forecast_run_timestamp", "ingestion_timestamp"))
     value_cols = S.RAW_FEATURE_COLUMNS + [S.REFERENCE_COLUMN]
     bounds = {c: S.CLIP_BOUNDS[c] for c in value_cols}
+    if bounded and not context and prior is None:
+        # Only the future rows are output: window future rows + the 23-row
+        # tail per city, with fill carried from the older rows (exact; see
+        # forecast_context_rows).  The deduped rows feed three branches, so
+        # they are written once.
+        df = checkpoint(df, "forecast-dedupe")
+        df, prior = forecast_context_rows(df, as_of, value_cols=value_cols)
     out = series_features(df, fill_cols=value_cols, clip_bounds=bounds, rolls=ROLLS,
                           bucket_rows=bucket_rows, keep_pos=True, prior=prior)
     out = add_time_features(convert_units(out))

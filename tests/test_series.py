@@ -93,10 +93,12 @@ def test_bounded_context_equals_full_recompute(spark):
               + ", ".join(f"{c} double" for c in S.RAW_FEATURE_COLUMNS) + ", us_aqi double")
     obs = spark.createDataFrame(rows, schema)
     as_of = "2024-01-05 12:00:00"
-    full = build_forecast_features(obs, as_of, horizon=72)
+    full = build_forecast_features(obs, as_of, horizon=72, bounded=False)
     ctx, prior = forecast_context_rows(obs, as_of)
     part = build_forecast_features(ctx, as_of, horizon=72, prior=prior)
+    default = build_forecast_features(obs, as_of, horizon=72)  # bounded inside
     cols = [c for c in full.columns if c not in ("ingestion_timestamp", "forecast_run_timestamp")]
     assert full.count() == 82  # 41 future hours per city
-    assert full.select(*cols).exceptAll(part.select(*cols)).count() == 0
-    assert part.select(*cols).exceptAll(full.select(*cols)).count() == 0
+    for other in (part, default):
+        assert full.select(*cols).exceptAll(other.select(*cols)).count() == 0
+        assert other.select(*cols).exceptAll(full.select(*cols)).count() == 0
