@@ -9,8 +9,8 @@ is ever partitioned by city alone:
 2. Rows are cut into position buckets of ``bucket_rows`` rows.  The last
    ``halo`` rows of each bucket are copied into the next bucket as context,
    so every ROWS window of length <= halo+1 is exact inside one bucket.
-   The positioned rows are checkpointed once (shared folder), since two
-   branches read them.
+   The positioned rows are written once to the shared checkpoint folder,
+   since two branches read them.
 3. Forward fill inside a bucket is a running ``last(..., ignorenulls)``;
    what comes before the bucket is a per-bucket summary carried with a
    window over the small summary table and joined back.  Back fill of

@@ -1,7 +1,7 @@
 """Model training, comparison and scoring with Spark ML.
 
 Fitting is distributed by Spark ML (tree statistics and normal equations
-are aggregated across partitions); the training frame is checkpointed by
+are aggregated across partitions); the training frame is written once by
 the feature plan, so repeated passes read it instead of recomputing it.
 """
 
