@@ -32,10 +32,13 @@ def time_split(df: DataFrame, fraction: float = S.TRAIN_FRACTION, ts: str = "tim
     if boundary is None or boundary["cut"] <= 0 or boundary["cut"] >= boundary["total"]:
         raise ValueError("Invalid train/test split. Need more training rows.")
     boundary = {ts: boundary["b"], "_k": boundary["k"]}
-    b_ts, k = boundary[ts], boundary["_k"]
-    at = F.col(ts) == F.lit(b_ts)
+    k = boundary["_k"]
+    # Back as a naive Python datetime; rebuild the literal from text so the
+    # session time zone cannot shift it (F.lit(datetime) would be TIMESTAMP).
+    b_ts = F.lit(boundary[ts].isoformat(sep=" ")).cast(df.schema[ts].dataType)
+    at = F.col(ts) == b_ts
     rest = df.filter(~at).withColumn(
-        "split", F.when(F.col(ts) < F.lit(b_ts), F.lit("train")).otherwise(F.lit("test")))
+        "split", F.when(F.col(ts) < b_ts, F.lit("train")).otherwise(F.lit("test")))
     edge = (df.filter(at).withColumn("_r", F.row_number().over(W.partitionBy(ts).orderBy(tie)))
             .withColumn("split", F.when(F.col("_r") <= F.lit(k), F.lit("train")).otherwise(F.lit("test")))
             .drop("_r"))

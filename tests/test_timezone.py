@@ -24,3 +24,16 @@ def test_results_do_not_depend_on_session_zone(spark):
         assert r.le == dt.datetime(2024, 3, 10, 2, 30)   # naive text is already local
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_time_split_under_other_session_zone(spark):
+    from airspark.operators.split import time_split
+    old = spark.conf.get("spark.sql.session.timeZone")
+    rows = [(f"c{c}", dt.datetime(2024, 1, 1) + dt.timedelta(hours=h)) for h in range(10) for c in range(2)]
+    df = spark.createDataFrame(rows, "city string, timestamp timestamp_ntz")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = {r.split: r["count"] for r in time_split(df).groupBy("split").count().collect()}
+        assert got == {"train": 16, "test": 4}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
