@@ -1,5 +1,34 @@
 """DuckDB SQL for the operators that SQL can express, written from their definitions by brute force."""
 
+# Pairs are counted through every shared shingle; components by following links from each document.
+JACCARD = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+  FROM documents
+), s AS (
+  SELECT doc_id, CASE
+    WHEN len(words) = 0 THEN []
+    WHEN len(words) < 4 THEN [array_to_string(words, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(words) - 2),
+                                      lambda i: array_to_string(words[i:i + 3], ' '))) END AS shingles
+  FROM w
+), sets AS MATERIALIZED (
+  SELECT min(doc_id) AS d, list_sort(shingles) AS shingles, len(shingles) AS n FROM s
+  WHERE len(shingles) > 0 GROUP BY ALL
+), e AS MATERIALIZED (SELECT d, n, unnest(shingles) AS x FROM sets
+), links AS MATERIALIZED (
+  SELECT a.d AS a, b.d AS b FROM e a JOIN e b ON a.x = b.x AND a.d <> b.d AND 100 * a.n >= 85 * b.n AND 100 * b.n >= 85 * a.n
+  GROUP BY a.d, b.d, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+), reach AS (
+  SELECT d AS a, d AS b FROM sets UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), label AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, len(s.shingles)::BIGINT AS n_shingles,
+       CASE WHEN len(s.shingles) = 0 THEN s.doc_id ELSE l.component_id END AS component_id
+FROM s LEFT JOIN sets t ON list_sort(s.shingles) = t.shingles LEFT JOIN label l ON l.a = t.d
+"""
+
 TOPK = """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS e

@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import oracle_sql, piece_codec, quality_rank, quality_rules, token_counts, topk_search, toxicity, url_rules
+from . import (jaccard_join, line_dedup, oracle_sql, packing, piece_codec, quality_rank, quality_rules, token_counts,
+               topk_search, toxicity, url_rules)
 from .common import read_table
 
 
@@ -28,10 +29,25 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, text without repeated later runs, removed_lines, removed_words."""
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup.clean(docs, report=True)
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rank.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (jaccard_join.group_documents(read_table(spark, sf_dir, "documents"), words=4, percent=85)
+            .select("doc_id", "n_shingles", "component_id"))
+
+
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(read_table(spark, sf_dir, "documents"), "word_bpe_49k.json", capacity=2048)
+
+
 def op9_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(read_table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0, k=5)
 
@@ -42,5 +58,5 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_sentencepiece, op3_quality_rules, op4_toxicity,
-                            op6_quality_classifier, op9_topk_search, op10_url_filter)}
-ORACLE: dict[str, str] = {"op9_topk_search": oracle_sql.TOPK, "op10_url_filter": oracle_sql.URLS}
+                            op5_line_dedup, op6_quality_classifier, op7_jaccard_join, op8_packing, op9_topk_search, op10_url_filter)}
+ORACLE: dict[str, str] = {"op7_jaccard_join": oracle_sql.JACCARD, "op9_topk_search": oracle_sql.TOPK, "op10_url_filter": oracle_sql.URLS}
