@@ -149,7 +149,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     sample = label_sample(labels, label_col, modulus, remainder, bound)
     keyed = per_text("folded string, line string", lambda: _keys)
-    rows = (docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).join(sample, "doc_id")
+    rows = (docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
             .select("label", keyed("text").alias("k"))
             .select("label", F.col("k.folded").alias("folded"), F.xxhash64("k.line").alias("line"))
             .groupBy("line").agg(F.max_by("folded", F.struct("label", F.length("folded"), "folded")).alias("folded"),
