@@ -58,6 +58,9 @@ TIME_FEATURE_COLUMNS = [
 
 DERIVED_DIAGNOSTIC_COLUMNS = ["o3_8h", "co_8h", "no2_1h"]
 
+# Display name of a model whose metadata name none.
+DEFAULT_MODEL_TITLE = "Best AQI Model"
+
 TARGET_COLUMN = "us_aqi"
 REFERENCE_COLUMN = "openmeteo_us_aqi_reference"
 

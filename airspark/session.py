@@ -58,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not sc.master.startswith(("local[", "local-cluster[")) and sc.master != "local":
+        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share.")
     sc.setCheckpointDir(configured or LOCAL_DEFAULT_CHECKPOINT_DIR)
     return sc.getCheckpointDir()
 
@@ -81,5 +83,20 @@ def checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder exists (the only test for "not written yet")."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by ``scratch_path``; any other path is refused."""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/airspark/"
+    if not path.startswith(base):
+        raise ValueError(f"Not a scratch folder: {path}")
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -7,13 +7,12 @@ the caller gives).  The keyed upsert keeps the newest row per
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas as S
 from ..functions.time import parse_timestamp
 from ..operators.clean import dedupe_keep_last
-from ..session import scratch_path
+from ..session import drop_scratch, path_exists, scratch_path
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
@@ -32,7 +31,9 @@ def write_table(df: DataFrame, name: str, path: str | None = None, partition_by=
 def read_training_table(spark: SparkSession, path: str, columns=None) -> DataFrame:
     """Chosen columns only (pruned at the scan); empty table is an error."""
     cols = columns or ["city", "timestamp", *S.MODEL_FEATURE_COLUMNS, S.TARGET_COLUMN]
-    df = spark.read.parquet(path).select(*cols)
+    schema = T.StructType([f for f in spark.read.parquet(path).schema if f.name != "city"])
+    # A partition value has no stored type: declare the city as text.
+    df = spark.read.schema(schema.add("city", "string")).parquet(path).select(*cols)
     if df.isEmpty():
         raise ValueError(f"Training table is empty: {path}")
     return df
@@ -70,6 +71,50 @@ def cast_for_store(df: DataFrame, time_columns=("timestamp", "ingestion_timestam
 MONTH_PARTITION = "obs_month"
 
 
+def read_keyed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read a partitioned table with its declared schema.
+
+    Without it, partition values are typed by guess: cities ``007`` and ``7`` would both become 7.
+    """
+    return spark.read.schema(schema).parquet(path)
+
+
+def stored_schema(spark: SparkSession, path: str, batch: T.StructType) -> T.StructType:
+    """The stored columns in their stored types, then the batch's new ones.
+
+    A column of both must have one type; partition columns take the batch's, as folders have none.
+    """
+    with_types = {f.name: f for f in batch}
+    found = spark.read.parquet(path).schema
+    parts = _partition_columns(spark, path)
+    out = T.StructType()
+    for f in found:
+        mine = with_types.get(f.name)
+        if f.name in parts and mine is not None:
+            out.add(mine)
+            continue
+        if mine is not None and mine.dataType != f.dataType:
+            raise ValueError(f"Column {f.name} is {f.dataType.simpleString()} in the table, "
+                             f"{mine.dataType.simpleString()} in the batch.")
+        out.add(f)
+    for f in batch:
+        if f.name not in found.names:
+            out.add(f)
+    return out
+
+
+def _partition_columns(spark: SparkSession, path: str) -> set[str]:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    out: set[str] = set()
+    while True:
+        names = [x.getPath() for x in fs.listStatus(p) if x.isDirectory() and "=" in x.getPath().getName()]
+        if not names:
+            return out
+        out.add(names[0].getName().partition("=")[0])
+        p = names[0]
+
+
 def keyed_upsert(incoming: DataFrame, path: str, key=("city", "timestamp"),
                  order=("ingestion_timestamp",), partition_by=("city",),
                  month_partitions: bool = False, ts: str = "timestamp") -> DataFrame:
@@ -79,28 +124,42 @@ def keyed_upsert(incoming: DataFrame, path: str, key=("city", "timestamp"),
     newest row per key wins (grouped ``max_by``, skew-safe), and only the
     touched partitions are overwritten (dynamic partition overwrite).
     ``month_partitions`` adds a (city, month) layout so an upsert of recent
-    hours rewrites one month of a city, not its whole history.
+    hours rewrites one month of a city, not its whole history; the batch's
+    first and last month are literals in the scan's partition filter.
+    A column that only the batch has is added (NULL in stored rows); one that
+    only the table has is kept (NULL in new rows); a changed type is an error.
     Returns the table as read back (without the partition helper column).
     """
     spark = incoming.sparkSession
-    cols = incoming.columns
     if month_partitions:
         incoming = incoming.withColumn(MONTH_PARTITION, F.trunc(F.to_date(ts), "month"))
         partition_by = (*partition_by, MONTH_PARTITION)
-    try:
-        existing = spark.read.parquet(path).select(*incoming.columns)
+    merged, schema = incoming, incoming.schema
+    if path_exists(spark, path):
+        schema = stored_schema(spark, path, incoming.schema)
+        existing = read_keyed(spark, path, schema)
+        if month_partitions:
+            existing = existing.filter(month_range(incoming))
         touched = incoming.select(*partition_by).distinct()
-        # semi join keeps only partitions the batch touches (the side is one row per city)
-        merged = existing.join(touched, list(partition_by), "left_semi").unionByName(incoming)
-    except AnalysisException:  # table does not exist yet
-        merged = incoming
-    merged = dedupe_keep_last(merged, key=key, order=order)
+        # semi join keeps only partitions the batch touches (the side is one row per city and month)
+        merged = existing.join(touched, list(partition_by), "left_semi").unionByName(
+            incoming, allowMissingColumns=True)
+    merged = dedupe_keep_last(merged.select(*schema.names), key=key, order=order)
     # Materialise before overwriting the partitions the plan reads from.
     staged = scratch_path(spark, "upsert-stage")
     merged.write.mode("overwrite").parquet(staged)
-    (spark.read.parquet(staged).select(*incoming.columns).write.mode("overwrite")
+    (spark.read.parquet(staged).select(*schema.names).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
-    return spark.read.parquet(path).select(*cols)
+    drop_scratch(spark, staged)
+    return read_keyed(spark, path, schema).drop(MONTH_PARTITION)
+
+
+def month_range(rows: DataFrame, column: str = MONTH_PARTITION):
+    """Partition filter: ``column`` between the first and the last month of ``rows``, as literals."""
+    lo, hi = rows.agg(F.min(column), F.max(column)).first()
+    if lo is None:
+        return F.lit(False)
+    return F.col(column).between(F.lit(lo), F.lit(hi))
 
 
 def write_csv(df: DataFrame, name: str, path: str | None = None) -> str:
@@ -151,12 +210,12 @@ REGISTRY_COLUMNS = ["name", "version", "mae", "rmse", "r2", "feature_count", "be
 
 def registry_append(spark: SparkSession, registry_path: str, record: DataFrame) -> DataFrame:
     """Append one model record; version = previous highest + 1 for the name."""
-    try:
+    if path_exists(spark, registry_path):
         current = spark.read.parquet(registry_path)
         top = current.groupBy("name").agg(F.max("version").alias("_top"))
         rec = (record.join(top, "name", "left")
                .withColumn("version", (F.coalesce(F.col("_top"), F.lit(0)) + 1).cast("bigint")).drop("_top"))
-    except AnalysisException:  # empty registry
+    else:
         rec = record.withColumn("version", F.lit(1).cast("bigint"))
     rec.select(*REGISTRY_COLUMNS).write.mode("append").parquet(registry_path)
     return spark.read.parquet(registry_path)
@@ -172,7 +231,7 @@ def registry_latest(registry: DataFrame, name: str | None = None, version: int |
     return top.select("name", *[F.col("_r")[c].alias(c) for c in df.columns if c != "name"])
 
 
-def registry_metadata_merge(documents: DataFrame, default_name: str = "Best AQI Model",
+def registry_metadata_merge(documents: DataFrame, default_name: str = S.DEFAULT_MODEL_TITLE,
                             key: str = "name", order: str = "doc_order") -> DataFrame:
     """Merge metadata documents per model: later documents override earlier keys.
 

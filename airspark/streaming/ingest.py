@@ -1,8 +1,9 @@
 """Incremental ingestion and scoring as Structured Streaming jobs.
 
 Landed response files (air and weather, several runs) are read with a file
-``readStream``; duplicates of the same landed response are dropped inside
-a watermark on the run time; each micro-batch, in ``foreachBatch``:
+``readStream``.  No watermark drops late files: a run that lands hours or
+days late, or lands twice, is absorbed by the keyed upsert.  Each
+micro-batch, in ``foreachBatch``:
 
 1. its responses become rows, upserted into two keyed tables holding the
    newest air and the newest weather row per (city, timestamp) (upserts are
@@ -23,12 +24,12 @@ checkpoint folder lets a restarted job resume exactly where it stopped.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas as S
 from ..sources import landing as L
-from ..sources.store import MONTH_PARTITION, keyed_upsert
+from ..session import path_exists
+from ..sources.store import MONTH_PARTITION, keyed_upsert, month_range, read_keyed, stored_schema
 
 LANDED_SCHEMA = T.StructType([
     T.StructField("kind", T.StringType()),
@@ -56,16 +57,17 @@ def _rows(batch: DataFrame, kind: str, rename: dict) -> DataFrame:
     return rows.withColumnRenamed("run_ts", "ingestion_timestamp")
 
 
+def _month_schema(rows: DataFrame) -> T.StructType:
+    return T.StructType([*rows.schema, T.StructField(MONTH_PARTITION, T.DateType())])
+
+
 def stream_ingest(spark: SparkSession, landing_path: str, table_path: str, stage_path: str,
                   checkpoint_path: str, on_batch=None, max_files_per_trigger: int | None = None):
     """Run the ingestion stream to completion (availableNow); returns the query."""
     reader = spark.readStream.schema(LANDED_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    stream = (reader.json(landing_path)
-              .withColumn("_event_time", F.col("run_ts").cast("timestamp"))  # watermarks need TIMESTAMP
-              .withWatermark("_event_time", "2 hours")
-              .dropDuplicatesWithinWatermark(["kind", "city", "chunk_start", "run_ts"]))
+    stream = reader.json(landing_path)
 
     def process(batch: DataFrame, batch_id: int):
         batch.persist()
@@ -81,14 +83,20 @@ def stream_ingest(spark: SparkSession, landing_path: str, table_path: str, stage
             for kind, rows in (("air", air), ("weather", weather)):
                 if not rows.isEmpty():
                     keyed_upsert(rows, f"{stage_path}/{kind}", month_partitions=True)
+            months = month_range(keys.withColumn(MONTH_PARTITION, F.trunc(F.to_date("timestamp"), "month")))
             sides = {}
-            for kind in ("air", "weather"):
-                try:
-                    sides[kind] = spark.read.parquet(f"{stage_path}/{kind}").join(keys, key, "left_semi")
-                except AnalysisException:  # that side has not arrived yet
-                    return
-            joined = (sides["air"].drop(MONTH_PARTITION)
-                      .join(sides["weather"].drop("ingestion_timestamp", MONTH_PARTITION), key, "inner"))
+            for kind, rows in (("air", air), ("weather", weather)):
+                path = f"{stage_path}/{kind}"
+                if not path_exists(spark, path):
+                    return  # that side has not arrived yet; its hours join when it does
+                schema = stored_schema(spark, path, _month_schema(rows))
+                sides[kind] = (read_keyed(spark, path, schema).filter(months).drop(MONTH_PARTITION)
+                               .join(keys, key, "left_semi"))
+            # A joined row is as new as the newer of its sides, so a correction of either one wins.
+            weather_side = sides["weather"].withColumnRenamed("ingestion_timestamp", "_weather_run")
+            joined = (sides["air"].join(weather_side, key, "inner")
+                      .withColumn("ingestion_timestamp", F.greatest("ingestion_timestamp", "_weather_run"))
+                      .drop("_weather_run"))
             keyed_upsert(joined, table_path, month_partitions=True)
             if on_batch is not None:
                 on_batch(keys.select("city").distinct(), batch_id)
@@ -106,7 +114,9 @@ def score_touched(spark: SparkSession, table_path: str, predictions_path: str, a
     from ..plans.features import build_forecast_features, forecast_context_rows
 
     def on_batch(touched: DataFrame, batch_id: int):
-        obs = spark.read.parquet(table_path).drop(MONTH_PARTITION).join(touched, "city", "left_semi")
+        declared = T.StructType([T.StructField("city", T.StringType()), T.StructField(MONTH_PARTITION, T.DateType())])
+        obs = (read_keyed(spark, table_path, stored_schema(spark, table_path, declared)).drop(MONTH_PARTITION)
+               .join(touched, "city", "left_semi"))
         # Bounded recompute: future rows + 23-row tail + carried values.
         rows, prior = forecast_context_rows(obs, as_of)
         fc = build_forecast_features(rows, as_of, horizon=horizon, prior=prior)
