@@ -26,8 +26,8 @@ def np_round(c, digits: int) -> Column:
 
 
 def clip(c, lower, upper) -> Column:
-    """pandas clip: NULL stays NULL (least/greatest alone would skip nulls)."""
-    c = col_of(c)
+    """pandas clip: missing (NULL or NaN) stays NULL (least/greatest alone would skip nulls)."""
+    c = nan_to_null(c)
     return F.when(c.isNotNull(), F.greatest(F.least(c, F.lit(upper)), F.lit(lower)))
 
 

@@ -61,18 +61,17 @@ def tag_location(df: DataFrame, city: str, country: str, latitude: float, longit
 def dedupe_keep_last(df: DataFrame, key=("city", "timestamp"), order=("ingestion_timestamp",)) -> DataFrame:
     """One row per key: the greatest ``order`` tuple wins ("keep last").
 
-    Written as a grouped ``max_by`` over a struct, not a ``row_number``
-    window, so duplicates are combined map-side before the shuffle and a
-    key with a huge number of copies never sits whole in one task.
+    Written as a grouped maximum of a struct, not a ``row_number`` window, so
+    duplicates are combined map-side before the shuffle and a key with a huge
+    number of copies never sits whole in one task.
+    Rows that tie on ``order`` (or have none of its columns) are ordered by
+    their remaining values, so the choice never depends on the partitioning.
     """
     key = list(key)
-    order = [c for c in order if c in df.columns]
+    order = [c for c in order if c in df.columns and c not in key]
     rest = [c for c in df.columns if c not in key]
-    if not order:
-        raise ValueError("dedupe_keep_last needs at least one ordering column")
-    packed = F.struct(*[F.col(c) for c in rest]).alias("_row")
-    ordering = F.struct(*[F.col(c) for c in order])
-    out = df.groupBy(*key).agg(F.max_by(packed, ordering).alias("_row"))
+    last = F.max(F.struct(*[F.col(c) for c in order], *[F.col(c) for c in rest if c not in order])).alias("_row")
+    out = df.groupBy(*key).agg(last)
     return out.select(*key, *[F.col("_row")[c].alias(c) for c in rest]).select(*df.columns)
 
 
@@ -109,7 +108,6 @@ def training_clean(df: DataFrame, order=("ingestion_timestamp",)) -> DataFrame:
                          + [S.TARGET_COLUMN])
     out = out.withColumns({c: try_double(c) for c in S.INT_TIME_COLUMNS})
     out = round_to_int(out, S.INT_TIME_COLUMNS)
-    order = [c for c in order if c in out.columns] or ["timestamp"]
     out = dedupe_keep_last(out, key=("city", "timestamp"), order=order)
     return drop_incomplete(out, S.MODEL_FEATURE_COLUMNS + [S.TARGET_COLUMN])
 

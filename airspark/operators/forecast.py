@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .. import schemas as S
 from ..functions.classify import aqi_category
-from ..functions.numeric import clip, np_round
+from ..functions.numeric import clip, np_round, try_double
 from .clean import (add_time_features, coerce_timestamp, dedupe_keep_last, localize_timestamps,
                     normalize_columns)
 from .median import median_impute
@@ -94,7 +94,7 @@ def prepare_scoring(store: DataFrame, feature_columns=None, horizon: int = S.DEF
         raise ValueError(f"Forecast table is missing model features: {missing}")
     if recompute_time:
         df = add_time_features(df)
-    df = df.withColumns({c: F.col(c).try_cast("double") if c not in S.INT_TIME_COLUMNS else F.col(c)
+    df = df.withColumns({c: try_double(c) if c not in S.INT_TIME_COLUMNS else F.col(c)
                          for c in feature_columns})
     return median_impute(df, feature_columns, by=["city"])
 

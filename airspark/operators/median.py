@@ -28,9 +28,13 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.5,), max_collect: int = 50_000
     """{col: {p: value or None}} for every column and probability."""
     cols = list(cols)
     vals = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
+    # Infinities are counted at the ends and kept out of the histogram.
+    finite = [F.when(F.abs(f"c{i}") < float("inf"), F.col(f"c{i}")) for i in range(len(cols))]
     stats = vals.agg(*[F.count(f"c{i}").alias(f"n{i}") for i in range(len(cols))],
-                     *[F.min(f"c{i}").alias(f"lo{i}") for i in range(len(cols))],
-                     *[F.max(f"c{i}").alias(f"hi{i}") for i in range(len(cols))]).first()
+                     *[F.count(F.when(F.col(f"c{i}") == float("-inf"), 1)).alias(f"neg{i}") for i in range(len(cols))],
+                     *[F.count(x).alias(f"fin{i}") for i, x in enumerate(finite)],
+                     *[F.min(x).alias(f"lo{i}") for i, x in enumerate(finite)],
+                     *[F.max(x).alias(f"hi{i}") for i, x in enumerate(finite)]).first()
 
     result = {c: {p: None for p in probs} for c in cols}
     found = {}            # (col index, rank) -> value
@@ -43,7 +47,12 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.5,), max_collect: int = 50_000
         ranks = set()
         for p in probs:
             ranks.update(_ranks(n, p))
-        probes.setdefault((i, stats[f"lo{i}"], stats[f"hi{i}"], 0, n), set()).update(ranks)
+        neg, fin = stats[f"neg{i}"], stats[f"fin{i}"]
+        found.update({(i, r): float("-inf") for r in ranks if r < neg})
+        found.update({(i, r): float("inf") for r in ranks if r >= neg + fin})
+        inside = {r for r in ranks if neg <= r < neg + fin}
+        if inside:
+            probes.setdefault((i, stats[f"lo{i}"], stats[f"hi{i}"], neg, fin), set()).update(inside)
 
     while probes:
         # Resolve probes that are constant or small enough to fetch; the
@@ -84,8 +93,12 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.5,), max_collect: int = 50_000
         parts = []
         for j, ((i, lo, hi, below, cnt), _) in enumerate(plist):
             c = F.col(f"c{i}")
-            width = (hi - lo) / bins
-            b = F.least(F.floor((c - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+            # In halves, so that the width of the whole double range is finite.
+            width = (hi * 0.5 - lo * 0.5) / bins
+            if width > 0:
+                b = F.least(F.floor((c * 0.5 - F.lit(lo * 0.5)) / F.lit(width)), F.lit(bins - 1)).cast("int")
+            else:  # too narrow to divide: split off the smallest value
+                b = F.when(c == F.lit(lo), 0).otherwise(1)
             parts.append(F.when((c >= F.lit(lo)) & (c <= F.lit(hi)),
                                 F.struct(F.lit(j).alias("p"), b.alias("b"), c.alias("v"))))
         hist = (vals.select(F.explode(F.array(*parts)).alias("s")).filter(F.col("s").isNotNull())
@@ -101,6 +114,8 @@ def exact_quantiles(df: DataFrame, cols, probs=(0.5,), max_collect: int = 50_000
             for b, n, mn, mx in sorted(per.get(j, [])):
                 inside = {r for r in ranks if acc <= r < acc + n}
                 if inside:
+                    if (mn, mx, n) == (lo, hi, cnt) and lo != hi:
+                        raise ValueError(f"Quantile bracket [{lo}, {hi}] of {cols[i]} does not narrow.")
                     probes.setdefault((i, mn, mx, acc, n), set()).update(inside)
                 acc += n
 
@@ -160,7 +175,7 @@ def median_impute(df: DataFrame, cols, by=None, null_counts: dict | None = None,
         from pyspark.sql import Window as W
         w = W.partitionBy(*by)
         return df.withColumns({
-            c: F.coalesce(F.col(c), F.median(F.col(c)).over(w), F.lit(0.0)).cast(df.schema[c].dataType)
+            c: F.coalesce(nan_to_null(c), F.median(nan_to_null(c)).over(w), F.lit(0.0)).cast(df.schema[c].dataType)
             for c in cols})
     nulls = null_counts
     if nulls is None or any(c not in nulls for c in cols):

@@ -50,9 +50,12 @@ def quality_report(table: DataFrame, context: DataFrame | None = None, features=
     out = out.unionByName(dup.select(F.lit("duplicate_keys").alias("check"), F.lit("table").alias("subject"),
                                      F.col("_d").cast("bigint").alias("value"), st(F.col("_d") > 0).alias("status")))
     per_city = table.groupBy("city").agg(F.count(F.lit(1)).alias("_h"))
+    if context is not None:  # a city without a single future row is an error, not an absent line
+        per_city = (context.select("city").distinct().join(per_city, "city", "full")
+                    .select("city", F.coalesce("_h", F.lit(0)).alias("_h")))
     out = out.unionByName(per_city.select(F.lit("horizon_rows").alias("check"), F.col("city").alias("subject"),
                                           F.col("_h").cast("bigint").alias("value"),
-                                          st(F.lit(False), F.col("_h") < horizon).alias("status")))
+                                          st(F.col("_h") == 0, F.col("_h") < horizon).alias("status")))
     if context is not None:
         days = context.groupBy("city").agg(
             F.count_distinct(F.when(F.col("is_future") == 0, F.to_date("timestamp"))).alias("_past"),
@@ -64,7 +67,8 @@ def quality_report(table: DataFrame, context: DataFrame | None = None, features=
                                           F.col("_fut").cast("bigint").alias("value"),
                                           st(F.lit(False), F.col("_fut") < 5).alias("status")))
     if strict:
-        errors = out.filter(F.col("status") == "error").collect()
-        if errors:
-            raise ValueError(f"Quality check failed: {[tuple(r) for r in errors]}")
+        errors = out.filter(F.col("status") == "error")
+        shown = errors.limit(20).collect()  # one line per failing city: show some, count all
+        if shown:
+            raise ValueError(f"Quality check failed, {errors.count()} errors, of them {[tuple(r) for r in shown]}")
     return out

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from ..functions.numeric import clip
+from ..functions.numeric import clip, nan_to_null
 from ..session import checkpoint
 
 DEFAULT_BUCKET_ROWS = 8192
@@ -65,6 +65,9 @@ def series_features(df: DataFrame, fill_cols=(), clip_bounds=None, rolls=(),
         raise ValueError("bucket_rows must exceed the longest window")
     B = int(bucket_rows)
 
+    missing_aware = {c: nan_to_null(c) for c in dict.fromkeys([*fill_cols, *(src for _, src, _ in rolls)])
+                     if df.schema[c].dataType.typeName() in ("double", "float")}
+    df = df.withColumns(missing_aware)  # NaN is missing: it is filled and never averaged
     base = df if "_pos" in df.columns else add_positions(df, key, ts)
     if materialize and fill_cols:
         # Two branches (bucket summaries and the windows) read the positioned

@@ -197,11 +197,11 @@ TAG_COLS = RAW_OUT + ["country", "latitude", "longitude", "ingestion_timestamp"]
     f"t AS (SELECT *, 'norland' AS country, 25.5e0 AS latitude, 68.25e0 AS longitude, "
     f"TIMESTAMP '{FX.AS_OF}' AS ingestion_timestamp FROM raw)"], TAG_COLS, "t", RAW_DBL | {"latitude", "longitude"}))
 def q_tag_location(spark, sf_dir):
-    from pyspark.sql import functions as F
+    from ..operators.clean import tag_location
     df = raw_rows(spark, sf_dir)
-    tagged = df.withColumns({"country": F.lit("norland"), "latitude": F.lit(25.5),
-                             "longitude": F.lit(68.25),
-                             "ingestion_timestamp": F.lit(FX.AS_OF).cast("timestamp_ntz")})
+    # The operator tags one city's rows; each row's own city is put back for the comparison.
+    tagged = (tag_location(df.withColumnRenamed("city", "_city"), "any", "norland", 25.5, 68.25, FX.AS_OF)
+              .drop("city").withColumnRenamed("_city", "city"))
     return out(tagged.select(*TAG_COLS))
 
 

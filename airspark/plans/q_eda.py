@@ -140,7 +140,7 @@ def q_eda_correlation(spark, sf_dir):
     return out(E.correlation(training_table(spark, sf_dir), FEATS))
 
 
-DRIFT_FEATS = ["pm25_24h", "pm10_24h", "temperature_2m", "relative_humidity_2m"]
+DRIFT_FEATS = FEATS
 
 
 def _drift_sql():

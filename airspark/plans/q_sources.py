@@ -87,18 +87,20 @@ GEO_CAND_SQL = ("SELECT s.s_nationkey AS request_id, CASE WHEN s.s_suppkey % 3 =
                 "FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey")
 GEO_REQ_SQL = ("SELECT n_nationkey AS request_id, lower(replace(n_name, '_', ' ')) AS name, lower(r_name) AS country, "
                "'east' AS admin1, CASE WHEN n_nationkey % 5 = 0 THEN 25e0 END AS latitude, "
-               "CASE WHEN n_nationkey % 5 = 0 THEN 68e0 END AS longitude FROM nation JOIN region ON n_regionkey = r_regionkey")
+               "CASE WHEN n_nationkey % 10 = 0 THEN 68e0 END AS longitude FROM nation JOIN region ON n_regionkey = r_regionkey "
+               "WHERE n_nationkey IN (SELECT s_nationkey FROM supplier)")
 GEO_COLS = ["request_id", "name", "country", "city", "latitude", "longitude", "matched"]
 
 
 @register("geo_resolve", O.with_([
     f"cand AS ({GEO_CAND_SQL})", f"req AS ({GEO_REQ_SQL})",
     "j AS (SELECT c.*, (lower(c.cname) = q.name AND lower(c.ccountry) = q.country AND "
-    "(c.cadmin1 IS NULL OR lower(c.cadmin1) = q.admin1)) AS m FROM cand c JOIN req q USING (request_id))",
+    "coalesce(lower(c.cadmin1) = q.admin1, false)) AS m FROM cand c JOIN req q USING (request_id))",
     "b AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY request_id ORDER BY CASE WHEN m THEN 0 ELSE 1 END, "
     "position) AS rn FROM j) WHERE rn = 1)"],
     "SELECT q.request_id, q.name, q.country, replace(lower(q.name), ' ', '_') AS city, "
-    f"{O.r6('coalesce(q.latitude, b.clat)')} AS latitude, {O.r6('coalesce(q.longitude, b.clon)')} AS longitude, "
+    f"{O.r6('CASE WHEN q.latitude IS NOT NULL AND q.longitude IS NOT NULL THEN q.latitude ELSE b.clat END')} AS latitude, "
+    f"{O.r6('CASE WHEN q.latitude IS NOT NULL AND q.longitude IS NOT NULL THEN q.longitude ELSE b.clon END')} AS longitude, "
     "coalesce(b.m, false) AS matched FROM req q LEFT JOIN b USING (request_id)"))
 def q_geo_resolve(spark, sf_dir):
     sup, nat, reg = (read_table(spark, sf_dir, t) for t in ("supplier", "nation", "region"))
@@ -116,7 +118,9 @@ def q_geo_resolve(spark, sf_dir):
                      F.lower(F.replace("n_name", F.lit("_"), F.lit(" "))).alias("name"),
                      F.lower("r_name").alias("country"), F.lit("east").alias("admin1"),
                      F.when(F.col("n_nationkey") % 5 == 0, F.lit(25.0)).alias("latitude"),
-                     F.when(F.col("n_nationkey") % 5 == 0, F.lit(68.0)).alias("longitude"))
+                     F.when(F.col("n_nationkey") % 10 == 0, F.lit(68.0)).alias("longitude"))
+    # Only half of a pair configured counts as none; nations without any candidate are no requests.
+    req = req.join(cand.select("request_id").distinct(), "request_id", "left_semi")
     return out(geo_resolve(req, cand).select(*GEO_COLS))
 
 

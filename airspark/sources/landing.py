@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas as S
+from ..functions.numeric import nan_to_null
 from ..functions.time import parse_timestamp
 from ..session import scratch_path
 
@@ -55,11 +56,13 @@ def rows_from_responses(responses: DataFrame, rename: dict, key: str = "city",
         bad = responses.filter(F.col("hourly").isNull() | (F.coalesce(F.size("hourly.time"), F.lit(0)) <= 0))
         if not bad.isEmpty():
             raise ValueError("Response has no hourly data.")
-    exploded = responses.select(key, *extra, F.posexplode("hourly.time").alias("_i", "_t"), "hourly")
-    return exploded.select(
-        key, *extra,
-        parse_timestamp("_t").alias("timestamp"),
-        *[F.col("hourly")[v][F.col("_i")].cast("double").alias(col) for v, col in rename.items()])
+    # Zipped inside the response: the arrays are not copied onto each exploded row.
+    zipped = F.arrays_zip(F.col("hourly.time").alias("time"), *[F.col(f"hourly.{v}").alias(v) for v in rename])
+    names = [f"_{i}" for i in range(len(rename))]
+    rows = responses.select(key, *extra, F.inline(zipped).alias("_time", *names))
+    return rows.where(F.col("_time").isNotNull()).select(
+        key, *extra, parse_timestamp("_time").alias("timestamp"),
+        *[nan_to_null(F.col(n).cast("double")).alias(col) for n, col in zip(names, rename.values())])
 
 
 def land_responses(responses: DataFrame, path: str | None = None, name: str = "landing") -> str:
