@@ -18,6 +18,7 @@ import re
 from math import inf
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,9 +27,9 @@ from .common import per_text
 from .tokenizing import resolve
 
 SPACE = "▁"
-MEMO_WORDS = 200_000
+MEMO_WORDS = 400_000
 MEMO_CHARS = 64
-MEMO_PAIRS = 400_000
+MEMO_PAIRS = 300_000
 
 
 class PieceCodec:
@@ -58,7 +59,7 @@ class PieceCodec:
         singles = "".join(map(re.escape, sorted(p for p in self.score if len(p) == 1)))
         self._strangers = re.compile(f"([^{singles}])")
         self._apart: dict[tuple[str, str], bool] = {}
-        self._memo: dict[str, tuple[int, ...]] = {}
+        self._memo: dict[str, bytes] = {}
 
     # BPE on a short string, by merging the best pair first and the leftmost among equals.
     def _merge(self, text: str) -> list[str]:
@@ -130,31 +131,32 @@ class PieceCodec:
             at -= len(last[at])
         return out[::-1]
 
-    def _word_ids(self, word: str) -> tuple[int, ...]:
-        got = self._memo.get(word)
-        if got is None:
-            ids: list[int] = []
-            # A character that is no piece stands alone, as bytes or as the unknown piece.
-            for part, ok in ((p, i % 2 == 0) for i, p in enumerate(self._strangers.split(word))):
-                if ok:
-                    ids += map(self.ids.__getitem__, self._path(part))
-                elif self.byte_ids:
-                    ids += [self.byte_ids[b] for b in part.encode("utf-8", "surrogatepass")]
-                elif not ids or ids[-1] != self.unknown:
-                    ids.append(self.unknown)
-            got = tuple(ids)
-            if len(word) <= MEMO_CHARS:
-                if len(self._memo) >= MEMO_WORDS:
-                    self._memo.clear()
-                self._memo[word] = got
-        return got
-
-    def encode(self, text: str) -> list[int]:
-        text = self.normalise(text)
+    def _word_ids(self, word: str) -> bytes:
         ids: list[int] = []
-        for w in self._words.findall(text) if self._words else [text]:
-            ids += self._word_ids(w)
-        return ids
+        # A character that is no piece stands alone, as bytes or as the unknown piece.
+        for i, part in enumerate(self._strangers.split(word)):
+            if i % 2 == 0:
+                ids += map(self.ids.__getitem__, self._path(part))
+            elif self.byte_ids:
+                ids += [self.byte_ids[b] for b in part.encode("utf-8", "surrogatepass")]
+            elif not ids or ids[-1] != self.unknown:
+                ids.append(self.unknown)
+        return np.array(ids, dtype=np.int32).tobytes()
+
+    def encode(self, text: str) -> np.ndarray:
+        text = self.normalise(text)
+        words = self._words.findall(text) if self._words else [text]
+        memo = self._memo
+        got = list(map(memo.get, words))
+        for i, known in enumerate(got):
+            if known is None:
+                w = words[i]
+                got[i] = memo.get(w) or self._word_ids(w)
+                if len(w) <= MEMO_CHARS:
+                    if len(memo) >= MEMO_WORDS:
+                        memo.clear()
+                    memo[w] = got[i]
+        return np.frombuffer(b"".join(got), dtype=np.int32)
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids: pieces joined, byte pieces as UTF-8, the first space mark dropped."""
