@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from . import tokenizing
+from . import tokenizing, word_memo
 from .common import checkpoint, per_text, scratch_path, text_or_empty
 
 CACHE_SCHEMA = T.StructType([
@@ -25,6 +25,13 @@ def content_digest(text) -> F.Column:
     return F.unhex(F.substring(F.sha2(F.encode(text_or_empty(text), "UTF-8"), 256), 1, 32))
 
 
+def _counter(tokenizer: str):
+    if tokenizer.endswith(".json"):
+        return word_memo.encoder(tokenizer).count
+    encode = tokenizing.encoder(tokenizer)
+    return lambda text: len(encode(text))
+
+
 def _cached(spark, cache_path: str, version: str) -> DataFrame:
     jvm = spark._jvm
     path = jvm.org.apache.hadoop.fs.Path(cache_path)
@@ -55,11 +62,13 @@ def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", cache_pa
                          "token-digests")
     misses = (digests.groupBy("content").agg(F.min("row").alias("row"))
               .join(_cached(spark, cache_path, version), "content", "left_anti"))
-    encode = per_text("n_tokens long", lambda: (lambda e: lambda t: (len(e(t)),))(tokenizing.encoder(tokenizer)))
+    encode = per_text("n_tokens long", lambda: (lambda count: lambda t: (count(t),))(_counter(tokenizer)))
     # The texts stream through a hashed semi-join: their side is neither sorted nor collected.  Rows that
     # repeat both id and text remain, and the cache's reader keeps one of them.
     chosen = keyed.select("content", "row", "text").join(misses.hint("shuffle_hash"), ["content", "row"], "left_semi")
     (chosen.select("content", F.lit(version).alias("tokenizer"), encode("text")["n_tokens"].alias("n_tokens"))
      .write.mode("append").parquet(cache_path))
-    return (digests.select("doc_id", "content", "n_bytes").join(_cached(spark, cache_path, version), "content")
+    # Written apart, so that the join below has no aggregate in it and Spark can split a hot digest.
+    counts = checkpoint(_cached(spark, cache_path, version), "token-counts")
+    return (digests.select("doc_id", "content", "n_bytes").join(counts, "content")
             .select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit")))
