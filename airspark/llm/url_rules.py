@@ -122,7 +122,8 @@ def judge(pages: DataFrame, rules: list[Rule] | None = None, id_col: str = "page
     mined = mine(seen.where(F.col("rule").isNotNull()).select("tokens", ruled.alias("verdict")),
                  min_support, min_confidence)
     hit = blocked_token_sets(seen.where(F.col("rule").isNull()).select("tokens").distinct(), mined)
-    hit = hit.select("tokens", F.lit(True).alias("hit"))
+    # Written apart, so that the join below has no aggregate in it and Spark can split a hot token set.
+    hit = checkpoint(hit.select("tokens", F.lit(True).alias("hit")), "url-hits")
     return (seen.join(hit, "tokens", "left")
             .select("page_id", "host", "path", "rule",
                     F.coalesce(ruled, F.when(F.col("hit"), "block").otherwise("allow")).alias("verdict")))
