@@ -10,12 +10,30 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import checkpoint, ensure_checkpoint_dir, read_table, scratch_path
+from .. import session
+from ..session import ensure_checkpoint_dir, read_table, scratch_path
 
 __all__ = ["checkpoint", "ensure_checkpoint_dir", "read_table", "scratch_path", "per_text", "text_or_empty",
            "held_out", "label_sample", "sigmoid", "fit_logistic", "mix64"]
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
+    """``session.checkpoint``; the shuffle files of the write go with it, since only the table is read on.
+
+    The session's own setting is put back.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, None)
+    conf.set(_CLEANUP, "true")
+    try:
+        return session.checkpoint(df, name)
+    finally:
+        conf.set(_CLEANUP, before) if before is not None else conf.unset(_CLEANUP)
+
+
 def text_or_empty(col: str | Column) -> Column:
     return F.coalesce(F.col(col) if isinstance(col, str) else col, F.lit(""))
 
