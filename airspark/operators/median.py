@@ -148,6 +148,8 @@ def _gamma(n: int, p: float) -> float:
 
 def lerp(a: float, b: float, g: float) -> float:
     """numpy's linear interpolation (the g >= 0.5 branch counts from b)."""
+    if g == 0 or a == b:  # also where infinities have no difference
+        return a
     d = b - a
     return b - d * (1 - g) if g >= 0.5 else a + d * g
 

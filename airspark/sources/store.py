@@ -151,7 +151,8 @@ def keyed_upsert(incoming: DataFrame, path: str, key=("city", "timestamp"),
     (spark.read.parquet(staged).select(*schema.names).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
     drop_scratch(spark, staged)
-    return read_keyed(spark, path, schema).drop(MONTH_PARTITION)
+    names = dict.fromkeys([*incoming.columns, *schema.names])
+    return read_keyed(spark, path, schema).select(*names).drop(MONTH_PARTITION)
 
 
 def month_range(rows: DataFrame, column: str = MONTH_PARTITION):

@@ -38,3 +38,25 @@ def test_fetch_budget_forces_extra_rounds(spark):
     for c, vals in data.items():
         for p in (0.2, 0.5, 0.8):
             assert got[c][p] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
+
+
+def test_infinities_and_tiny_ranges_end(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    cols = {"a": [*rng.normal(size=99), float("inf"), float("-inf")],
+            "b": [float("inf")] * 60 + [float("-inf")] * 41,
+            "c": [*rng.choice([5e-324, 1e-323, 1.5e-323], 101)],
+            "d": [*(rng.uniform(-1, 1, size=99) * 1e308), -1.7e308, 1.7e308]}
+    df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*cols.values())], "a double, b double, c double, d double")
+    probs = (0.0, 0.1, 0.5, 1.0)
+    got = exact_quantiles(df, list(cols), probs, max_collect=10, bins=8)
+    for c, v in cols.items():
+        v = sorted(v)
+        assert [got[c][p] for p in probs] == [v[0], v[10], v[50], v[100]]
+
+
+def test_median_impute_takes_nan_as_missing(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([("a", nan), ("a", 1.0), ("a", 3.0), ("a", 5.0)], "city string, x double")
+    for by in (None, ["city"]):
+        assert sorted(r.x for r in median_impute(df, ["x"], by=by).collect()) == [1.0, 3.0, 3.0, 5.0]

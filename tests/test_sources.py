@@ -59,6 +59,8 @@ def test_geo_resolve_match_fallback_and_configured(spark):
                                  "request_id int, name string, country string, admin1 string, latitude double, "
                                  "longitude double, position int")
     got = {r.request_id: r for r in geo_resolve(req, cand).collect()}
+    with pytest.raises(ValueError):
+        geo_resolve(req, cand.where("request_id <> 2")).collect()
     assert (got[1].latitude, got[1].matched, got[1].city) == (25.4, True, "riverton")
     assert (got[2].latitude, got[2].matched) == (11.0, False)   # first candidate by position
     assert (got[3].latitude, got[3].longitude) == (1.5, 2.5)     # configured coordinates win
@@ -117,3 +119,66 @@ def test_keyed_upsert_month_partitions_rewrite_only_touched(spark):
     assert "obs_month" not in out.columns
     assert sorted(glob.glob(f"{path}/city=a/obs_month=2024-01-01/*.parquet")) == jan_files
     assert [os.path.getmtime(f) for f in jan_files] == jan_mtime  # January untouched
+
+
+def test_geo_missing_admin1_is_no_match_and_half_a_pair_is_none(spark):
+    req = spark.createDataFrame([(1, "riverton", "norland", "east", 5.0, None), (2, "riverton", "norland", "east", 0.0, 6.0)],
+                                "request_id int, name string, country string, admin1 string, latitude double, longitude double")
+    cand = spark.createDataFrame([(i, "Riverton", "Norland", a, x, x, p) for i in (1, 2)
+                                  for a, x, p in ((None, 1.0, 0), ("East", 2.0, 1))],
+                                 "request_id int, name string, country string, admin1 string, latitude double, "
+                                 "longitude double, position int")
+    got = [(r.latitude, r.longitude, r.matched) for r in geo_resolve(req, cand).collect()]
+    assert got == [(2.0, 2.0, True)] * 2
+    plain = [(r.latitude, r.matched) for r in geo_resolve(req, cand.drop("admin1")).collect()]
+    assert plain == [(1.0, True)] * 2
+
+
+def test_upsert_keeps_rows_when_the_batch_has_a_new_column(spark):
+    path = tempfile.mkdtemp(prefix="upsert-", dir="/tmp") + "/t"
+    ST.keyed_upsert(_obs(spark, [("a", T0 + dt.timedelta(hours=h), T0, 1.0) for h in range(5)]), path)
+    new = _obs(spark, [("a", T0, T0 + dt.timedelta(days=1), 2.0)]).withColumn("y", F.lit("new"))
+    got = ST.keyed_upsert(new, path).orderBy("timestamp").collect()
+    assert [(r.x, r.y) for r in got] == [(2.0, "new")] + [(1.0, None)] * 4
+    old = ST.keyed_upsert(_obs(spark, [("a", T0 + dt.timedelta(hours=9), T0, 3.0)]), path)
+    assert old.count() == 6 and old.where("y = 'new'").count() == 1
+    with pytest.raises(ValueError):
+        ST.keyed_upsert(new.withColumn("x", F.lit("text")), path)
+    assert ST.read_keyed(spark, path, old.schema).count() == 6
+
+
+def test_upsert_keeps_city_text(spark):
+    path = tempfile.mkdtemp(prefix="upsert-", dir="/tmp") + "/t"
+    ST.keyed_upsert(_obs(spark, [("007", T0, T0, 1.0), ("7", T0, T0, 2.0)]), path)
+    got = ST.keyed_upsert(_obs(spark, [("007", T0, T0 + dt.timedelta(days=1), 3.0)]), path).collect()
+    assert sorted((r.city, r.x) for r in got) == [("007", 3.0), ("7", 2.0)]
+
+
+def test_upsert_reads_only_the_batch_months(spark, capsys):
+    path = tempfile.mkdtemp(prefix="upsert-", dir="/tmp") + "/t"
+    rows = [("a", dt.datetime(2024, m, 2), T0, float(m)) for m in range(1, 7)]
+    ST.keyed_upsert(_obs(spark, rows), path, month_partitions=True)
+    batch = _obs(spark, [("a", dt.datetime(2024, 3, 2), T0 + dt.timedelta(days=1), 9.0)])
+    with_month = batch.withColumn(ST.MONTH_PARTITION, F.trunc(F.to_date("timestamp"), "month"))
+    schema = ST.stored_schema(spark, path, with_month.schema)
+    ST.read_keyed(spark, path, schema).filter(ST.month_range(with_month)).explain("formatted")
+    plan = capsys.readouterr().out
+    assert "PartitionFilters" in plan and "2024-03-01" in plan.split("PartitionFilters")[1].split("\n")[0]
+    got = ST.keyed_upsert(batch, path, month_partitions=True).orderBy("timestamp").collect()
+    assert [r.x for r in got] == [1.0, 2.0, 9.0, 4.0, 5.0, 6.0]
+
+
+def test_training_table_keeps_city_text(spark):
+    df = spark.createDataFrame([("007", T0, 1.0), ("7", T0, 2.0)], "city string, timestamp timestamp_ntz, x double")
+    path = ST.write_table(df, "train", partition_by=["city"])
+    got = ST.read_training_table(spark, path, ["city", "timestamp", "x"]).collect()
+    assert sorted((r.city, r.x) for r in got) == [("007", 1.0), ("7", 2.0)]
+
+
+def test_quality_lists_cities_without_future_rows(spark):
+    context = spark.createDataFrame([("a", T0, 0), ("b", T0, 0), ("a", T0 + dt.timedelta(days=1), 1)],
+                                    "city string, timestamp timestamp_ntz, is_future long")
+    table = context.where("is_future = 1").withColumn("f", F.lit(1.0))
+    got = {(r.check, r.subject): (r.value, r.status) for r in quality_report(
+        table, context, features=["f"], horizon=1, expected_columns=["city", "timestamp", "f"]).collect()}
+    assert got["horizon_rows", "a"] == (1, "ok") and got["horizon_rows", "b"] == (0, "error")
