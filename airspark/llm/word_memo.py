@@ -64,16 +64,26 @@ class MemoEncoder:
         memo = self.memo
         got = list(map(memo.get, parts))
         if None in got:
-            for i, ids in enumerate(got):
-                if ids is None:
-                    p = parts[i]
-                    ids = got[i] = self._encode(p if isinstance(p, str) else p.decode("utf-8", "surrogatepass"))
-                    if len(p) <= MEMO_BYTES:
-                        if len(memo) >= MEMO_WORDS:
-                            memo.clear()
-                        memo[p] = ids
+            new = dict.fromkeys(p for p, ids in zip(parts, got) if ids is None)
+            new = dict(zip(new, self._encode_apart(list(new))))
+            got = [new[p] if ids is None else ids for p, ids in zip(parts, got)]
+            if len(memo) + len(new) > MEMO_WORDS:
+                memo.clear()
+            memo.update((p, ids) for p, ids in new.items() if len(p) <= MEMO_BYTES)
         return got
 
+    def _encode_apart(self, parts: list) -> list[bytes]:
+        """Each part's ids, by one call: an added token between two parts keeps them apart."""
+        texts = [p if isinstance(p, str) else p.decode("utf-8", "surrogatepass") for p in parts]
+        if self.added and len(texts) > 1:
+            ids = np.array(self.whole(self.added[-1].join(texts)), dtype=self.type)
+            at = np.flatnonzero(ids == self.tokenizer.token_to_id(self.added[-1]))
+            if len(at) == len(texts) - 1:
+                raw, width = ids.tobytes(), self.type.itemsize
+                edges = [-1, *at.tolist(), len(ids)]
+                return [raw[(s + 1) * width: e * width] for s, e in zip(edges, edges[1:])]
+        return [self._encode(t) for t in texts]
+
     def ids(self, text: str) -> np.ndarray:
         return np.frombuffer(b"".join(self._bytes(text)), dtype=self.type)
 
