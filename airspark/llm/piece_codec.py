@@ -27,6 +27,7 @@ from .common import per_text
 from .tokenizing import resolve
 
 SPACE = "▁"
+#: Words of a generation; two are held.
 MEMO_WORDS = 400_000
 MEMO_CHARS = 64
 MEMO_PAIRS = 300_000
@@ -60,6 +61,7 @@ class PieceCodec:
         self._strangers = re.compile(f"([^{singles}])")
         self._apart: dict[tuple[str, str], bool] = {}
         self._memo: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     # BPE on a short string, by merging the best pair first and the leftmost among equals.
     def _merge(self, text: str) -> list[str]:
@@ -151,11 +153,11 @@ class PieceCodec:
         for i, known in enumerate(got):
             if known is None:
                 w = words[i]
-                got[i] = memo.get(w) or self._word_ids(w)
+                got[i] = memo.get(w) or self._older.get(w) or self._word_ids(w)
                 if len(w) <= MEMO_CHARS:
-                    if len(memo) >= MEMO_WORDS:
-                        memo.clear()
                     memo[w] = got[i]
+        if len(memo) > MEMO_WORDS:  # words not met again in one generation go with the next
+            self._older, self._memo = memo, {}
         return np.frombuffer(b"".join(got), dtype=np.int32)
 
     def decode(self, ids: list[int]) -> str:

@@ -14,7 +14,8 @@ import numpy as np
 
 from . import tokenizing
 
-MEMO_WORDS = 400_000
+#: Words of a generation; two are held.
+MEMO_WORDS = 500_000
 MEMO_BYTES = 48
 # Characters whose classes and case are alike in every Unicode version; single spaces and line feeds.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ſ \n]*")
@@ -50,6 +51,7 @@ class MemoEncoder:
         self.dropped = steps[0]["type"] == "Split" and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.memo: dict = {}
+        self.older: dict = {}
 
     def _encode(self, part: str) -> bytes:
         return np.array(self.whole(part), dtype=self.type).tobytes()
@@ -64,12 +66,14 @@ class MemoEncoder:
         memo = self.memo
         got = list(map(memo.get, parts))
         if None in got:
-            new = dict.fromkeys(p for p, ids in zip(parts, got) if ids is None)
-            new = dict(zip(new, self._encode_apart(list(new))))
+            new = {p: self.older.get(p) for p, ids in zip(parts, got) if ids is None}
+            unknown = [p for p, ids in new.items() if ids is None]
+            if unknown:
+                new.update(zip(unknown, self._encode_apart(unknown)))
             got = [new[p] if ids is None else ids for p, ids in zip(parts, got)]
-            if len(memo) + len(new) > MEMO_WORDS:
-                memo.clear()
             memo.update((p, ids) for p, ids in new.items() if len(p) <= MEMO_BYTES)
+            if len(memo) > MEMO_WORDS:  # words not met again in one generation go with the next
+                self.older, self.memo = memo, {}
         return got
 
     def _encode_apart(self, parts: list) -> list[bytes]:
