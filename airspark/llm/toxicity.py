@@ -27,9 +27,10 @@ CUT = 0.3
 #: Expected number of labelled rows that are learned from; the others are only scored.
 SAMPLE_ROWS = 20_000
 #: Lengths of word beginnings that may become entries beside whole words.
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
 MIN_DOCS = 5          # learned documents an entry must be seen in
 MIN_SHARE = 0.8       # and the share of them that must be toxic
+MIN_STEM_DOCS, MIN_STEM_SHARE = 8, 0.95  # the same for word beginnings, which clean words may share
 MIN_SURPRISE = 20.0   # and how unlikely that must be by chance (log-likelihood ratio)
 _LOOKALIKES = ("аa бb вb гr еe зe иu кk мm нh оo пn рp сc тt уy хx ѕs іi јj ԁd ԛq ԝw αa βb εe ηn ικ κk νv οo ρp τt υu χx "
                "ıi łl øo đd ßs 0o 1i 3e 4a 5s 7t @a $s")
@@ -65,7 +66,7 @@ class Lexicon:
 
 
 def evidence(folded: str, automaton) -> tuple[float, ...]:
-    """(1, length-normalised weight, any hit) of a folded text.
+    """(1, length-normalised weight, heaviest hit) of a folded text.
 
     A word counts once, at its heaviest entry, and not at all inside an exception phrase.
     """
@@ -87,7 +88,7 @@ def evidence(folded: str, automaton) -> tuple[float, ...]:
         hits = {int(p): hits[int(p)] for p, j in zip(at, k) if j < 0 or p >= reach[j]}
     total = sum(hits.values())
     words = max(folded.count(" ") - 1, 1)
-    return 1.0, total / math.sqrt(words), float(total > 0)
+    return 1.0, total / math.sqrt(words), max(hits.values(), default=0.0)
 
 
 def _keys(text: str) -> tuple[str, str]:
@@ -161,8 +162,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if n1 and n0:
         counted = _sums(rows.mapInPandas(_count_entries, "entry string, toxic long, clean long"))
         t, c = F.col("toxic"), F.col("clean")
-        good = counted.where((t + c >= MIN_DOCS) & (t >= MIN_SHARE * (t + c)) & (
-            _surprise(t, c, n1, n0) >= MIN_SURPRISE))
+        whole = F.col("entry").endswith(" ")
+        good = counted.where((t + c >= F.when(whole, MIN_DOCS).otherwise(MIN_STEM_DOCS))
+                             & (t >= F.when(whole, MIN_SHARE).otherwise(MIN_STEM_SHARE) * (t + c))
+                             & (_surprise(t, c, n1, n0) >= MIN_SURPRISE))
         for r in good.collect():
             entries[r["entry"]] = math.log((r["toxic"] + 0.5) / (n1 + 1)) - math.log((r["clean"] + 0.5) / (n0 + 1))
     entries |= {fold(e): w for e, w in (more_entries or {}).items()}
