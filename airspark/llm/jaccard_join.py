@@ -26,6 +26,7 @@ from .common import checkpoint, mix64, per_text, text_or_empty
 from .components import components
 
 BLOCK = 256
+WIDE = 4096
 SEEN_SETS = 100_000
 CHUNK_WORDS = 400_000
 SUBSET, LESS_ONE, EMPTY, EMPTY_PROBE = 0, 1, 2, 3
@@ -325,8 +326,17 @@ def links(docs: DataFrame, described: DataFrame, words: int, percent: int, id_co
                .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"),
                     F.bit_xor(F.xxhash64("rec")).alias("h1"), F.bit_xor(F.xxhash64("rec", F.lit(1))).alias("h2"))
                .where("lo <> hi").groupBy("n", "h1", "h2").agg(F.min("sig").alias("sig")))  # equal buckets once
-    todo = (open_rows.join(buckets.select("sig", "n"), "sig")
-            .withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    # Open buckets that overlap hold much the same sets: they are compared as one cluster, each set sent once.
+    # A cluster over WIDE sets is left in its buckets, so chance bridges between clusters cost nothing.
+    rest = checkpoint(open_rows.join(buckets.select("sig", "n"), "sig"), "open-buckets")
+    least = rest.groupBy("sig").agg(F.min("rec").alias("v"))
+    cluster = components(rest.join(least, "sig").select(F.col("rec").alias("u"), "v"))
+    wide = cluster.groupBy("component").agg(F.count("*").alias("size"))
+    cluster = checkpoint(cluster.join(wide, "component").select(F.col("node").alias("rec"), "component", "size"), "clusters")
+    rest = rest.join(cluster, "rec")
+    todo = (rest.where(F.col("size") <= WIDE).select(F.col("component").alias("sig"), "rec", "label", "size").distinct()
+            .union(rest.where(F.col("size") > WIDE).select("sig", "rec", "label", "n")).toDF("sig", "rec", "label", "n"))
+    todo = (todo.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
             .withColumn("block", F.pmod(F.xxhash64("rec", F.lit("block")), F.col("blocks")).cast("int"))
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
             .select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),

@@ -1,6 +1,6 @@
 """Toxicity by a weighted lexicon.
 
-Texts are folded (case, homoglyphs, accents, digits and signs written for letters), the lexicon's entries
+Texts are folded (case, homoglyphs, digits and signs written for letters), the lexicon's entries
 are found by an Aho-Corasick automaton in one pass, hits inside exception phrases do not count, and the
 weight found is normalised by text length.  Entries, weights and exceptions are learned from labels; more
 can be given.
@@ -29,7 +29,7 @@ SAMPLE_ROWS = 20_000
 #: Lengths of word beginnings that may become entries beside whole words.
 STEMS = (4, 5, 6, 7, 8)
 MIN_DOCS = 5          # learned documents an entry must be seen in
-MIN_SHARE = 0.8       # and the share of them that must be toxic
+MIN_SHARE = 0.85      # and the share of them that must be toxic
 MIN_STEM_DOCS, MIN_STEM_SHARE = 8, 0.95  # the same for word beginnings, which clean words may share
 MIN_SURPRISE = 20.0   # and how unlikely that must be by chance (log-likelihood ratio)
 _LOOKALIKES = ("аa бb вb гr еe зe иu кk мm нh оo пn рp сc тt уy хx ѕs іi јj ԁd ԛq ԝw αa βb εe ηn ικ κk νv οo ρp τt υu χx "
@@ -42,7 +42,7 @@ def fold(text: str) -> str:
     """Words of letters with single spaces between and around them; an empty text gives one space."""
     text = text.lower()
     if not text.isascii():
-        text = "".join(c for c in unicodedata.normalize("NFKD", text) if not unicodedata.combining(c)).lower()
+        text = unicodedata.normalize("NFKC", text).lower()  # accents stay: they tell words apart
     return " " + _GAP.sub(" ", text.translate(_FOLD)).strip() + " "
 
 

@@ -119,7 +119,7 @@ def test_classifier_on_held_out_rows(spark):
 
 def test_fold():
     assert toxicity.fold("L0$er") == " loser " == toxicity.fold("lоsеr")  # Cyrillic o and e
-    assert toxicity.fold("Trè-s  bon!") == " tres bon " and toxicity.fold("") == "  "
+    assert toxicity.fold("Très-  bon!") == " très bon " and toxicity.fold("") == "  "
 
 
 def test_exceptions_and_length():
