@@ -8,12 +8,16 @@ the feature plan, so repeated passes read it instead of recomputing it.
 from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
+from ..operators.median import exact_medians
+from ..operators.split import time_split
 from ..operators.summarize import regression_metrics
+from ..session import scratch_path
+from ..sources.store import registry_append, registry_latest
 
 RIDGE, FOREST, BOOSTED = "Ridge Regression", "Random Forest", "Boosted Trees"
 
@@ -22,11 +26,26 @@ FOREST_PARAMS = dict(numTrees=300, maxDepth=14, minInstancesPerNode=3, featureSu
 BOOSTED_PARAMS = dict(maxIter=300, stepSize=0.05, maxDepth=4, minInstancesPerNode=3, subsamplingRate=0.85,
                       featureSubsetStrategy="0.85", seed=42)
 RIDGE_ALPHA = 1.0
+FILLED = "_filled_"
 
 
-def assembler(features=None) -> VectorAssembler:
-    return VectorAssembler(inputCols=list(features or S.MODEL_FEATURE_COLUMNS), outputCol="features",
-                           handleInvalid="keep")
+def preprocessing(train: DataFrame, features=None) -> list:
+    """Stages saved with every model: missing features take the exact training medians, then one vector.
+
+    Scaling needs no stage: the ridge estimator standardises inside, the trees do not need it.  A
+    feature without any training value becomes 0.
+    """
+    feats = list(features or S.MODEL_FEATURE_COLUMNS)
+    medians = exact_medians(train, feats)
+    filled = ", ".join(f"coalesce(nullif(cast(`{c}` AS double), double('NaN')), {float(medians[c] or 0.0)!r}D) "
+                       f"AS `{FILLED}{c}`" for c in feats)
+    return [SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+            VectorAssembler(inputCols=[FILLED + c for c in feats], outputCol="features")]
+
+
+def without_inner(df: DataFrame) -> DataFrame:
+    """Predictions without the preprocessing's own columns."""
+    return df.drop("features", *[c for c in df.columns if c.startswith(FILLED)])
 
 
 def ridge_reg_param(train: DataFrame, alpha: float = RIDGE_ALPHA, label: str = S.TARGET_COLUMN) -> float:
@@ -42,7 +61,8 @@ def estimators(train: DataFrame, features=None, label: str = S.TARGET_COLUMN, fo
                              standardization=True, regParam=ridge_reg_param(train, alpha, label))
     rf = RandomForestRegressor(featuresCol="features", labelCol=label, **{**FOREST_PARAMS, **(forest or {})})
     gbt = GBTRegressor(featuresCol="features", labelCol=label, **{**BOOSTED_PARAMS, **(boosted or {})})
-    return {name: Pipeline(stages=[assembler(feats), est]) for name, est in
+    stages = preprocessing(train, feats)
+    return {name: Pipeline(stages=[*stages, est]) for name, est in
             ((RIDGE, ridge), (FOREST, rf), (BOOSTED, gbt))}
 
 
@@ -87,9 +107,42 @@ def score(model: PipelineModel, rows: DataFrame, digits: int = 1) -> DataFrame:
     """Batch (or streaming) prediction, clipped to 0..500 and rounded."""
     from ..operators.forecast import predict_api
     pred = model.transform(rows)
-    return predict_api(pred.drop("features"), F.col("prediction")).drop("prediction")
+    return predict_api(without_inner(pred), F.col("prediction")).drop("prediction")
 
 
 def save_model(model: PipelineModel, path: str) -> str:
     model.write().overwrite().save(path)
     return path
+
+
+def train_and_register(table: DataFrame, registry_path: str, name: str, features=None, forest=None, boosted=None,
+                       label: str = S.TARGET_COLUMN):
+    """Training job: compare on the time split, refit the winner on all rows, save and register it.
+
+    The registered metrics are the winner's on the held-out test part.  Returns (winner, fitted model,
+    the registry as read back).
+    """
+    spark = table.sparkSession
+    feats = list(features or S.MODEL_FEATURE_COLUMNS)
+    parts = time_split(table)
+    train, test = (parts.filter(F.col("split") == p).drop("split") for p in ("train", "test"))
+    metrics, _, best = compare(train, test, estimators(train, feats, label, forest, boosted), label)
+    held = metrics.filter(F.col("model_name") == best).first()
+    model = estimators(table, feats, label, forest, boosted)[best].fit(table)
+    path = save_model(model, scratch_path(spark, "model"))
+    record = table.agg(F.count(F.lit(1)).cast("bigint").alias("training_rows"),
+                       F.min("timestamp").alias("training_start"), F.max("timestamp").alias("training_end")).select(
+        F.lit(name).alias("name"), F.lit(held["test_MAE"]).alias("mae"), F.lit(held["test_RMSE"]).alias("rmse"),
+        F.lit(held["test_R2"]).alias("r2"), F.lit(len(feats)).cast("bigint").alias("feature_count"),
+        F.lit(best).alias("best_model_name"), F.array(*[F.lit(c) for c in feats]).alias("feature_columns"),
+        "training_rows", "training_start", "training_end", F.col("training_end").alias("created_at"),
+        F.lit(path).alias("model_path"))
+    return best, model, registry_append(spark, registry_path, record)
+
+
+def score_registered(registry: DataFrame, name: str, rows, digits: int = 1) -> DataFrame:
+    """Load the newest registered model of a name and score ``rows(its stored features)`` with it."""
+    latest = registry_latest(registry, name).first()
+    if latest is None:
+        raise ValueError(f"No registered model: {name}")
+    return score(PipelineModel.load(latest["model_path"]), rows(list(latest["feature_columns"])), digits)

@@ -1,28 +1,43 @@
-"""Spark ML queries (rows-only checks: model fits have no SQL equivalent).
+"""Spark ML queries.  Model fits have no SQL equivalent (rows-only checks); the preprocessing has.
 
 ``queries()`` fits forests/boosting with fewer trees/rounds than the
 library defaults (the reference's 300) to keep the per-round check short;
-tree depth, leaf size, sampling and seed are the reference's.
+tree depth, leaf size, sampling and seed are the reference's.  Every query
+fits its own models: nothing is kept between calls.
 """
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..operators.clean import training_clean
+from ..operators.forecast import prepare_scoring
 from ..operators.split import time_split
 from ..session import scratch_path
+from ..sources import fixture as FX
+from ..sources import store as ST
 from . import ml as M
+from . import oracle as O
 from .catalog import register
 from .q_core import training_table
-from .q_scoring import prepared
+from .q_scoring import forecast_store
 
 CHECK_FOREST = {"numTrees": 20}
 CHECK_BOOSTED = {"maxIter": 20}
+MODEL_NAME = "aqi_model"
+
+
+def _table(spark, sf_dir):
+    """The training job's input: the stored feature table, read back and cleaned."""
+    path = ST.write_table(training_table(spark, sf_dir), "training_table", partition_by=["city"])
+    return training_clean(ST.read_training_table(spark, path))
 
 
 def _split(spark, sf_dir):
-    t = time_split(training_table(spark, sf_dir))
+    t = time_split(_table(spark, sf_dir))
     return t.filter(F.col("split") == "train").drop("split"), t.filter(F.col("split") == "test").drop("split")
 
 
@@ -58,65 +73,60 @@ def q_ml_compare(spark, sf_dir):
     return metrics
 
 
-_FITTED: dict = {}
-
-
-def _refit(spark, sf_dir):
-    """Compare on the time split, refit the winner on all rows.
-
-    The fitted winner is kept per (application, data folder): the queries
-    that need it (refit, importance, score, registry) fit once per session.
-    """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _FITTED:
-        train, test = _split(spark, sf_dir)
-        _, _, best = M.compare(train, test, _ests(train))
-        full = training_table(spark, sf_dir)
-        _FITTED[key] = (best, M.estimators(full, forest=CHECK_FOREST, boosted=CHECK_BOOSTED)[best].fit(full), full)
-    return _FITTED[key]
+def _trained(spark, sf_dir):
+    """(winner, fitted model, registry, table): the whole training job, run anew."""
+    table = _table(spark, sf_dir)
+    best, model, registry = M.train_and_register(table, scratch_path(spark, "registry"), MODEL_NAME,
+                                                 forest=CHECK_FOREST, boosted=CHECK_BOOSTED)
+    return best, model, registry, table
 
 
 @register("ml_refit")
 def q_ml_refit(spark, sf_dir):
-    best, model, full = _refit(spark, sf_dir)
+    best, model, _, full = _trained(spark, sf_dir)
     return model.transform(full).select("city", "timestamp", S.TARGET_COLUMN, "prediction",
                                         F.lit(best).alias("model_name"))
 
 
 @register("ml_importance")
 def q_ml_importance(spark, sf_dir):
-    best, model, full = _refit(spark, sf_dir)
+    best, model, _, full = _trained(spark, sf_dir)
     return M.feature_importance(model, best, full)
 
 
 @register("ml_score")
 def q_ml_score(spark, sf_dir):
-    _, model, _ = _refit(spark, sf_dir)
-    return M.score(model, prepared(spark, sf_dir)).select("city", "timestamp", "predicted_aqi", "aqi_category")
+    """The registered model, loaded from its folder, with its stored feature list."""
+    _, _, registry, _ = _trained(spark, sf_dir)
+    return M.score_registered(registry, MODEL_NAME, lambda features: prepare_scoring(
+        forecast_store(spark, sf_dir), features, horizon=72, timezone=FX.CITY_TIMEZONE)
+    ).select("city", "timestamp", "predicted_aqi", "aqi_category")
 
 
 @register("registry_append")
 def q_registry_append(spark, sf_dir):
-    from ..sources.store import registry_append
-    best, model, full = _refit(spark, sf_dir)
-    path = M.save_model(model, scratch_path(spark, "model"))
-    m = M.side_metrics(model, full)
-    rec = full.agg(F.count(F.lit(1)).alias("training_rows"), F.min("timestamp").alias("training_start"),
-                   F.max("timestamp").alias("training_end")).select(
-        F.lit("aqi_model").alias("name"), F.lit(m["MAE"]).alias("mae"), F.lit(m["RMSE"]).alias("rmse"),
-        F.lit(m["R2"]).alias("r2"), F.lit(len(S.MODEL_FEATURE_COLUMNS)).cast("bigint").alias("feature_count"),
-        F.lit(best).alias("best_model_name"),
-        F.array(*[F.lit(c) for c in S.MODEL_FEATURE_COLUMNS]).alias("feature_columns"),
-        F.col("training_rows").cast("bigint").alias("training_rows"), "training_start", "training_end",
-        F.col("training_end").alias("created_at"), F.lit(path).alias("model_path"))
-    reg = scratch_path(spark, "registry")
-    registry_append(spark, reg, rec)
-    return registry_append(spark, reg, rec).drop("feature_columns", "model_path")
-
-
-@register("ml_preprocess")
+    """Two versions of one model; the metrics are the winner's on the held-out part."""
+    best, model, registry, _ = _trained(spark, sf_dir)
+    path = scratch_path(spark, "registry-twice")
+    ST.registry_append(spark, path, registry.drop("version"))
+    return ST.registry_append(spark, path, registry.drop("version")).drop("feature_columns", "model_path")
+
+
+GAP = "hour % 7 = 0"  # rows whose features are taken away, to be filled by the medians
+
+
+@register("ml_preprocess", O.with_(O.training_ctes() + [
+    "gap AS (SELECT city, timestamp, " + ", ".join(
+        f"CASE WHEN {GAP} THEN NULL ELSE CAST({c} AS DOUBLE) END AS {c}" for c in S.MODEL_FEATURE_COLUMNS) + " FROM train)",
+    "med AS (SELECT " + ", ".join(f"coalesce(median({c}), 0e0) AS {c}" for c in S.MODEL_FEATURE_COLUMNS) + " FROM gap)"],
+    "SELECT g.city, g.timestamp, " + ", ".join(
+        f"{O.r6(f'coalesce(g.{c}, m.{c})')} AS {c}" for c in S.MODEL_FEATURE_COLUMNS) + " FROM gap g, med m"))
 def q_ml_preprocess(spark, sf_dir):
-    """Assembled feature vectors (imputation is done by the feature plan)."""
-    from pyspark.ml.functions import vector_to_array
+    """The model pipeline's own stages on rows with missing features: medians, then the vector, element by element."""
+    from ..functions.numeric import stable6
     t = training_table(spark, sf_dir)
-    return M.assembler().transform(t).select("city", "timestamp", vector_to_array("features").alias("features"))
+    gaps = t.select("city", "timestamp", *[F.when(F.expr(GAP), None).otherwise(F.col(c).cast("double")).alias(c)
+                                           for c in S.MODEL_FEATURE_COLUMNS])
+    done = Pipeline(stages=M.preprocessing(gaps)).fit(gaps).transform(gaps)
+    vector = vector_to_array("features")
+    return done.select("city", "timestamp", *[stable6(vector[i]).alias(c) for i, c in enumerate(S.MODEL_FEATURE_COLUMNS)])
