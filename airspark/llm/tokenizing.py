@@ -65,9 +65,10 @@ def encoder(path_or_name: str) -> Callable[[str], list[int]]:
             tok.no_padding()
 
             def encode(text: str) -> list[int]:
+                # The batch call without offsets; pieces one by one, so one piece's encoding is held at a time.
                 ids: list[int] = []
                 for part in pieces(text):
-                    ids += tok.encode(part, add_special_tokens=False).ids
+                    ids += tok.encode_batch_fast([part], add_special_tokens=False)[0].ids
                 return ids
 
             _LOADED[path] = encode
