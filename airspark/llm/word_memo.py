@@ -15,7 +15,7 @@ import numpy as np
 from . import tokenizing
 
 #: Words of a generation; two are held.
-MEMO_WORDS = 500_000
+MEMO_WORDS = 600_000
 MEMO_BYTES = 48
 # Characters whose classes and case are alike in every Unicode version; single spaces and line feeds.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ſ \n]*")
