@@ -38,6 +38,8 @@ def prediction_payload(hourly: DataFrame, daily: DataFrame, pollutants: DataFram
     """One JSON document per city.  Arrays are per-city horizon rows (<= 168)."""
     if not 1 <= max_hours <= S.MAX_HORIZON_HOURS:
         raise ValueError("hours must be within 1..168")
+    if "forecast_hour" in hourly.columns:  # the hourly array holds at most the hours asked for
+        hourly = hourly.filter(F.col("forecast_hour") <= max_hours)
     hr = hourly_records(hourly)
     hnames = [c for c in _names(HOURLY_FIELDS) if c in hr.columns]
     h = hr.groupBy("city").agg(F.array_sort(F.collect_list(F.struct(*hnames))).alias("hourly"))

@@ -288,6 +288,17 @@ def q_forecast_table_view(spark, sf_dir):
     return round_doubles(display_table(daily.select(*VIEW_SRC)))
 
 
+HOURLY_VIEW = [c for c in HR_COLS if c in ("city", *S.DISPLAY_NAMES)]
+
+
+@register("forecast_table_view_hourly", O.with_(API, "SELECT city, strftime(timestamp, '%Y-%m-%d %H:%M') AS \"Time\", "
+          + ", ".join(f"{c if c == 'aqi_category' else O.r6(c)} AS \"{S.DISPLAY_NAMES[c]}\"" for c in HOURLY_VIEW[2:])
+          + " FROM api"))
+def q_forecast_table_view_hourly(spark, sf_dir):
+    from ..sources.store import display_table
+    return round_doubles(display_table(scored_api(spark, sf_dir).select(*HOURLY_VIEW)))
+
+
 SPLIT_COLS = ["city", "timestamp", "split"]
 
 

@@ -10,15 +10,16 @@ from ..sources import fixture as FX
 from ..sources import landing as L
 from ..sources import store as ST
 from ..sources.geo import city_slug, geo_resolve
-from ..session import read_table, scratch_path
+from ..session import checkpoint, read_table, scratch_path
 from . import oracle as O
-from .catalog import register
+from .catalog import ORACLE, register
 from .q_core import (DD_CTES, FX_CTES, RAW_DBL, RAW_OUT, TC_COLS, observations, out, training_table,
                      raw_rows, sql)
-from .q_scoring import API, HR_COLS, scored_api
+from .q_scoring import API, DAPI_COLS, HR_COLS, PS_COLS, scored_api
 
 AIR_OUT = ["city", "timestamp"] + O.AIR
 WEATHER_OUT = ["city", "timestamp"] + O.WEATHER
+FORECAST_OUT = ["city", "timestamp"] + O.AIR[:-1] + [S.REFERENCE_COLUMN]
 
 
 def air_responses(spark, sf_dir, chunk_days=30):
@@ -264,31 +265,48 @@ def q_registry_metadata_merge(spark, sf_dir):
     return m.withColumn("features", F.array_join("feature_columns", ",")).select(*MERGE_COLS)
 
 
+def _payloads(spark, sf_dir):
+    """The documents of all cities; the scored rows that feed their four parts are derived once."""
+    from ..operators import summarize as SU
+    from .payload import prediction_payload
+    hourly = checkpoint(scored_api(spark, sf_dir), "scored-hours")
+    return prediction_payload(hourly, SU.daily_summary_api(hourly), SU.pollutant_summary(hourly),
+                              SU.headline_summary(hourly),
+                              {"model_name": "aqi_model", "model_version": 1, "best_model_name": "stand-in",
+                               "feature_columns": S.MODEL_FEATURE_COLUMNS}, "norland", FX.CITY_TIMEZONE)
+
+
+def _parsed(spark, sf_dir):
+    from .payload import payload_read
+    return payload_read(checkpoint(_payloads(spark, sf_dir), "payloads"))
+
+
 @register("payload_read", sql(API + [
     "pr AS (SELECT * FROM api)"], HR_COLS, "pr", set(HR_COLS) - {"city", "timestamp", "aqi_category"}))
 def q_payload_read(spark, sf_dir):
-    from ..operators import summarize as SU
-    from .payload import payload_read, prediction_payload
-    hourly = scored_api(spark, sf_dir)
-    daily = SU.daily_summary_api(hourly)
-    doc = prediction_payload(hourly, daily, SU.pollutant_summary(hourly), SU.headline_summary(hourly),
-                             {"model_name": "aqi_model", "model_version": 1, "best_model_name": "stand-in",
-                              "feature_columns": S.MODEL_FEATURE_COLUMNS}, "norland", FX.CITY_TIMEZONE)
-    path = scratch_path(spark, "payloads")
-    doc.write.mode("overwrite").parquet(path)
-    h, _, _ = payload_read(spark.read.parquet(path))
-    return out(h.select(*HR_COLS))
+    return out(_parsed(spark, sf_dir)[0].select(*HR_COLS))
+
+
+@register("payload_read_daily", ORACLE["daily_summary_api"])
+def q_payload_read_daily(spark, sf_dir):
+    return out(_parsed(spark, sf_dir)[1].select(*DAPI_COLS))
+
+
+@register("payload_read_pollutants", ORACLE["pollutant_summary"])
+def q_payload_read_pollutants(spark, sf_dir):
+    return _parsed(spark, sf_dir)[2].select(*PS_COLS)
 
 
 @register("prediction_payload")
 def q_prediction_payload(spark, sf_dir):
-    from ..operators import summarize as SU
-    from .payload import prediction_payload
-    hourly = scored_api(spark, sf_dir)
-    daily = SU.daily_summary_api(hourly)
-    return prediction_payload(hourly, daily, SU.pollutant_summary(hourly), SU.headline_summary(hourly),
-                              {"model_name": "aqi_model", "model_version": 1, "best_model_name": "stand-in",
-                               "feature_columns": S.MODEL_FEATURE_COLUMNS}, "norland", FX.CITY_TIMEZONE)
+    return _payloads(spark, sf_dir)
+
+
+@register("src_air_forecast", sql(FX_CTES + [f"fc AS (SELECT * RENAME (us_aqi AS {S.REFERENCE_COLUMN}) FROM air)"],
+                                  FORECAST_OUT, "fc", set(FORECAST_OUT[2:])))
+def q_src_air_forecast(spark, sf_dir):
+    """Forecast flavour of the air source: the provider's index is a reference, not the target."""
+    return out(L.rows_from_responses(air_responses(spark, sf_dir), L.FORECAST_AIR_RENAME).select(*FORECAST_OUT))
 
 
 @register("sink_cache", sql(O.training_ctes(), S.TRAINING_OUTPUT_COLUMNS, "train"))
