@@ -109,3 +109,40 @@ def test_horizon_rows_bounds(spark):
     with pytest.raises(ValueError):
         horizon_rows(df, 169)
     _ = F
+
+
+def test_nan_is_missing_in_clip_fill_prediction_and_scoring(spark):
+    from airspark.operators.forecast import predict_api, prepare_scoring
+    from airspark.operators.series import fill_gaps
+    from airspark import schemas as S
+    nan = float("nan")
+    df = spark.createDataFrame([("a", T0 + dt.timedelta(hours=h), v) for h, v in enumerate([nan, 2.0, nan, 900.0])],
+                               "city string, timestamp timestamp_ntz, x double")
+    assert [r[0] for r in df.select(clip("x", 0.0, 500.0)).collect()] == [None, 2.0, None, 500.0]
+    assert [r.x for r in fill_gaps(df, ["x"]).orderBy("timestamp").collect()] == [2.0, 2.0, 2.0, 900.0]
+    got = [(r.predicted_aqi, r.aqi_category) for r in predict_api(df, F.col("x")).orderBy("timestamp").collect()]
+    assert got[0] == (None, "Unknown") and got[3] == (500.0, "Hazardous")
+    store = df.select("city", "timestamp", F.lit(1).alias("is_future"), F.lit(T0).alias("ingestion_timestamp"),
+                      *[F.col("x").alias(c) for c in S.BASE_MODEL_FEATURE_COLUMNS])
+    out = prepare_scoring(store, S.BASE_MODEL_FEATURE_COLUMNS, timezone="UTC").orderBy("timestamp").collect()
+    assert [r[S.BASE_MODEL_FEATURE_COLUMNS[0]] for r in out] == [451.0, 2.0, 451.0, 900.0]
+
+
+def test_training_build_takes_nan_as_missing(spark):
+    from airspark import schemas as S
+    from airspark.plans.features import build_training_features
+    nan = float("nan")
+    cols = S.RAW_FEATURE_COLUMNS + [S.TARGET_COLUMN]
+    rows = [("a", T0 + dt.timedelta(hours=h), T0, *[nan if h == 2 else 10.0] * len(cols)) for h in range(4)]
+    obs = spark.createDataFrame(rows, "city string, timestamp timestamp_ntz, ingestion_timestamp timestamp_ntz, "
+                                + ", ".join(f"{c} double" for c in cols))
+    got = build_training_features(obs.select("*", *[F.lit(None).cast("string").alias(c) for c in ("country",)
+                                                    if c in S.TRAINING_OUTPUT_COLUMNS])).orderBy("timestamp").collect()
+    assert len(got) == 4 and [r.pm25 for r in got] == [10.0] * 4 and [r.pm25_24h for r in got] == [10.0] * 4
+
+
+def test_keep_last_ties_are_broken_by_values(spark):
+    rows = [("a", T0, T0, float(i % 50)) for i in range(200)]
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "city string, timestamp timestamp_ntz, ingestion_timestamp timestamp_ntz, x double")
+        assert [r.x for r in dedupe_keep_last(df.repartition(parts)).collect()] == [49.0]
