@@ -7,8 +7,10 @@ part of all sets; it is skipped, and paid for by looking at one of K reserved se
 allowed: under those, each set is indexed under all subsets lacking one element too.  K is chosen for each
 group by expected cost.  A set with more empty segments than K can pay for looks the rest up exactly.
 
-Candidates are verified on the whole sets.  Equal sets are one set.  In a bucket every set is first held
-against the smallest one; what those links do not join is then compared in blocks of bounded size.
+Equal sets are one set.  Candidates are screened by profiles: element counts of 64 coarse segments, whose
+L1 distance no pair's difference can be under.  Buckets are screened in blocks of bounded size, and a block
+hands on no more links than join its members.  Sets that screened links connect form a cluster, and the
+sets of a cluster are compared whole, exactly, again in blocks; so nothing lists the pairs of a group.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from .common import checkpoint, mix64, per_text, text_or_empty
 from .components import components
 
 BLOCK = 256
-WIDE = 4096
+PROFILE = 64
 SEEN_SETS = 100_000
 CHUNK_WORDS = 400_000
 SUBSET, LESS_ONE, EMPTY, EMPTY_PROBE = 0, 1, 2, 3
@@ -59,6 +61,17 @@ def set_digest(x: np.ndarray) -> int:
     return int(total.view(np.int64)[0])
 
 
+def profile(x: np.ndarray) -> bytes:
+    """Elements of the set in each of PROFILE coarse segments, counted up to 255."""
+    return np.minimum(np.bincount((mix64(x ^ _U(0x7F4A7C15)) >> _U(58)).astype(np.int64), minlength=PROFILE),
+                      255).astype(np.uint8).tobytes()
+
+
+def may_reach(distance, a, b, percent: int):
+    """Whether sets of sizes a and b whose profiles are ``distance`` apart can reach the similarity."""
+    return reaches((a + b - distance) // 2, a, b, percent)
+
+
 @lru_cache(None)
 def band_starts(percent: int, most: int = 1 << 40) -> tuple[int, ...]:
     """First sizes of the bands: a set's partners that are not smaller lie in its band or the next one."""
@@ -171,21 +184,51 @@ def reaches(common, a, b, percent: int):
     return 100 * common >= percent * (a + b - common)
 
 
-def _verify(percent: int):
+def _profiles(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype=np.uint8).reshape(-1, PROFILE).astype(np.int16)
+
+
+def _screen_pairs(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            keep = []
-            for x, y in zip(b["a_set"], b["b_set"]):
-                x, y = np.frombuffer(x, dtype=_U), np.frombuffer(y, dtype=_U)
-                least, most = sorted((len(x), len(y)))
-                keep.append(100 * least >= percent * most and bool(
-                    reaches(len(np.intersect1d(x, y, assume_unique=True)), len(x), len(y), percent)))
-            yield b.loc[keep, ["u", "v"]]
+            if len(b):
+                far = np.abs(_profiles(b["u_profile"]) - _profiles(b["v_profile"])).sum(axis=1, dtype=np.int64)
+                yield b.loc[may_reach(far, b["u_size"].to_numpy(), b["v_size"].to_numpy(), percent), ["u", "v"]]
     return run
 
 
-def block_links(sets: list[np.ndarray], labels: np.ndarray, percent: int, cross_from: int = 0) -> list[tuple[int, int]]:
-    """Index pairs (i < j) with different labels that reach the similarity; j >= cross_from > i if it is set.
+def forest(n: int, pairs) -> list[tuple[int, int]]:
+    """Of the index pairs those that join something new: at most n - 1."""
+    parent, tree = list(range(n)), []
+
+    def top(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i, j in pairs:
+        a, z = top(i), top(j)
+        if a != z:
+            parent[z] = a
+            tree.append((i, j))
+            if len(tree) == n - 1:
+                break
+    return tree
+
+
+def near_profiles(profiles: np.ndarray, sizes: np.ndarray, percent: int, cross_from: int = 0):
+    """Index pairs (i < j) that may reach the similarity; j >= cross_from > i if it is set."""
+    n = len(sizes)
+    for i in range(cross_from or n - 1):
+        low = cross_from or i + 1
+        far = np.abs(profiles[low:] - profiles[i]).sum(axis=1, dtype=np.int64)
+        for j in np.flatnonzero(may_reach(far, sizes[i], sizes[low:], percent)):
+            yield i, low + int(j)
+
+
+def block_links(sets: list[np.ndarray], percent: int, cross_from: int = 0) -> list[tuple[int, int]]:
+    """Index pairs (i < j) that reach the similarity; j >= cross_from > i if it is set.
 
     Exact: counts common elements by products of 0/1 matrices, a slice of the shared vocabulary at a time.
     """
@@ -208,7 +251,6 @@ def block_links(sets: list[np.ndarray], labels: np.ndarray, percent: int, cross_
             grid[owner[order[s:e]], column[order[s:e]] - k * step] = 1
             common += grid @ grid.T
     ok = reaches(np.rint(common).astype(np.int64), sizes[:, None], sizes[None, :], percent)
-    ok &= labels[:, None] != labels[None, :]
     ok = np.triu(ok, 1)
     if cross_from:
         ok[cross_from:] = False
@@ -216,52 +258,55 @@ def block_links(sets: list[np.ndarray], labels: np.ndarray, percent: int, cross_
     return list(zip(*(x.tolist() for x in np.nonzero(ok))))
 
 
-def _block_links(percent: int):
+def _by_block(links_of):
+    """Rows sorted by (key, i, j, block): one block, or pair of blocks, of a key's members after the other.
+
+    ``links_of(rows, cross_from)`` gives index pairs; of them a forest goes on.
+    """
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows sorted by (sig, i, j, block): one block or pair of blocks of a bucket after the other."""
         key, rows = None, []
 
         def out():
-            if len(rows) < 2:
-                return
-            first = sum(r[0] == rows[0][0] for r in rows)
-            sets = [np.frombuffer(r[3], dtype=_U) for r in rows]
-            ids = np.array([r[1] for r in rows])
-            if key[1] != key[2] and first == len(rows):
-                return
-            links = block_links(sets, np.array([r[2] for r in rows]), percent, first if key[1] != key[2] else 0)
-            parent = list(range(len(rows)))  # links that join nothing new are left out
-
-            def top(i):
-                while parent[i] != i:
-                    parent[i] = parent[parent[i]]
-                    i = parent[i]
-                return i
-
-            tree = []
-            for i, j in links:
-                a, z = top(i), top(j)
-                if a != z:
-                    parent[z] = a
-                    tree.append((i, j))
-            if tree:
-                yield pd.DataFrame({"u": ids[[i for i, _ in tree]], "v": ids[[j for _, j in tree]]})
+            first = sum(r.block == rows[0].block for r in rows) if rows else 0
+            cross = key is not None and key[1] != key[2]
+            if len(rows) > 1 and not (cross and first == len(rows)):
+                tree = forest(len(rows), links_of(rows, first if cross else 0))
+                if tree:
+                    yield pd.DataFrame({"u": [rows[i].rec for i, _ in tree], "v": [rows[j].rec for _, j in tree]})
 
         for b in batches:
-            for sig, i, j, block, rec, label, x in zip(b["sig"], b["i"], b["j"], b["block"], b["rec"], b["label"],
-                                                       b["x"]):
-                if (sig, i, j) != key:
+            for r in b.itertuples(index=False):
+                if (r.key, r.i, r.j) != key:
                     yield from out()
-                    key, rows = (sig, i, j), []
-                rows.append((block, rec, label, x))
+                    key, rows = (r.key, r.i, r.j), []
+                rows.append(r)
         yield from out()
     return run
 
 
+def _screen_blocks(percent: int):
+    return _by_block(lambda rows, cross: near_profiles(
+        _profiles(r.profile for r in rows), np.array([r.size for r in rows]), percent, cross))
+
+
+def _compare_blocks(percent: int):
+    return _by_block(lambda rows, cross: block_links(
+        [np.frombuffer(r.x, dtype=_U) for r in rows], percent, cross))
+
+
+def in_blocks(rows: DataFrame, values: DataFrame) -> DataFrame:
+    """Rows (key, rec, n: members of the key) with ``values`` joined by rec, in every pair of the key's blocks."""
+    placed = (rows.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+              .withColumn("block", F.pmod(F.xxhash64("rec", F.lit("block")), F.col("blocks")).cast("int"))
+              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+              .select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rec"))
+    return (placed.join(values, "rec").repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "block"))
+
+
 def _describe(words: int):
-    def one(text: str) -> tuple[int, int]:
+    def one(text: str) -> tuple:
         x = shingle_set(word_hashes(text), words)
-        return len(x), set_digest(x)
+        return len(x), set_digest(x), profile(x)
     return lambda: one
 
 
@@ -271,18 +316,16 @@ def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
-    """doc_id, id, digest, n_shingles, rec (the set's digest) of every row; written once."""
+    """doc_id, id, digest, n_shingles, rec (the set's digest) and profile of every row; written once."""
     return checkpoint(keyed(docs, id_col, text_col)
                       .select("doc_id", "id", "digest",
-                              per_text("n_shingles long, rec long", _describe(words))("text").alias("s"))
+                              per_text("n_shingles long, rec long, profile binary", _describe(words))("text").alias("s"))
                       .select("doc_id", "id", "digest", "s.*"), "shingle-sets")
 
 
 def links(docs: DataFrame, described: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     """u, v: links between different sets that connect all that the similarity connects."""
-    spark = docs.sparkSession
     starts = list(band_starts(percent))
-    band = F.lit(0)
     # Distinct sets of each group, for the cost of its spare segments: a few dozen rows.
     sizes = (described.where("n_shingles > 0").groupBy("rec").agg(F.first("n_shingles").alias("n"))
              .groupBy("n").count().collect())
@@ -298,15 +341,29 @@ def links(docs: DataFrame, described: DataFrame, words: int, percent: int, id_co
     wanted = F.max(F.col("kind").isin(SUBSET, EMPTY_PROBE)).over(bucket)  # someone must be looking
     members = (rows.select("*", F.min("rec").over(bucket).alias("hub"), F.max("rec").over(bucket).alias("last"),
                            wanted.alias("wanted"))
-               .where((F.col("hub") < F.col("last")) & F.col("wanted")).select("sig", "rec", "hub", "kind").distinct())
+               .where((F.col("hub") < F.col("last")) & F.col("wanted")).select("sig", "rec", "kind").distinct())
     members = checkpoint(members, "buckets")
+    profiles = checkpoint(
+        described.join(members.select("rec").distinct(), "rec").groupBy("rec")
+        .agg(F.first("n_shingles").alias("size"), F.first("profile").alias("profile")), "profiles")
+    # Buckets of two, and lookups of empty segments, as pairs; larger buckets in blocks.
     probes = members.where(F.col("kind") == EMPTY_PROBE).select("sig", F.col("rec").alias("u"))
-    subsets = members.where(F.col("kind") < EMPTY).select("sig", "rec", "hub").distinct()
-    pairs = (subsets.where("rec <> hub").select(F.col("hub").alias("u"), F.col("rec").alias("v"))
+    subsets = members.where(F.col("kind") < EMPTY).select("sig", "rec").distinct()
+    buckets = subsets.groupBy("sig").agg(F.count("*").alias("n"), F.min("rec").alias("u"), F.max("rec").alias("v"))
+    pairs = (buckets.where("n = 2").select("u", "v")
              .union(members.where(F.col("kind") >= EMPTY).join(probes, "sig").where("rec <> u")
                     .select(F.least("u", "rec"), F.greatest("u", "rec"))).distinct())
-    # The whole sets of all members, each from one row that has it.
-    reps = (described.join(members.select("rec").distinct(), "rec").groupBy("rec")
+    for side in ("u", "v"):
+        pairs = pairs.join(profiles.select(F.col("rec").alias(side), F.col("size").alias(f"{side}_size"),
+                                           F.col("profile").alias(f"{side}_profile")), side)
+    large = subsets.join(buckets.where("n > 2").select("sig", "n"), "sig").withColumnRenamed("sig", "key")
+    screened = checkpoint(pairs.mapInPandas(_screen_pairs(percent), "u long, v long")
+                          .union(in_blocks(large, profiles).mapInPandas(_screen_blocks(percent), "u long, v long"))
+                          .distinct(), "screened")
+    cluster = components(screened).select(F.col("node").alias("rec"), F.col("component").alias("key"))
+    cluster = checkpoint(cluster.join(cluster.groupBy("key").agg(F.count("*").alias("n")), "key"), "clusters")
+    # The whole sets of the clusters' members, each from one row that has it.
+    reps = (described.join(cluster.select("rec"), "rec").groupBy("rec")
             .agg(F.min(F.struct("id", "digest")).alias("r")).select("rec", "r.*"))
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -315,36 +372,7 @@ def links(docs: DataFrame, described: DataFrame, words: int, percent: int, id_co
 
     sets = checkpoint(texts.select("id", "digest", "text").join(reps.hint("shuffle_hash"), ["id", "digest"])
                       .select("rec", "text").mapInPandas(whole, "rec long, x binary").dropDuplicates(["rec"]), "sets")
-    pairs = (pairs.join(sets.select(F.col("rec").alias("v"), F.col("x").alias("b_set")), "v")
-             .join(sets.select(F.col("rec").alias("u"), F.col("x").alias("a_set")), "u"))
-    found = checkpoint(pairs.select("u", "v", "a_set", "b_set").mapInPandas(_verify(percent), "u long, v long"), "links")
-    # Buckets whose members, the smallest one apart, are not all joined by now.
-    joined = components(found).select(F.col("node").alias("rec"), "component")
-    open_rows = (subsets.where("rec <> hub").join(joined, "rec", "left")
-                 .select("sig", "rec", F.coalesce("component", "rec").alias("label")))
-    buckets = (open_rows.groupBy("sig")
-               .agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n"),
-                    F.bit_xor(F.xxhash64("rec")).alias("h1"), F.bit_xor(F.xxhash64("rec", F.lit(1))).alias("h2"))
-               .where("lo <> hi").groupBy("n", "h1", "h2").agg(F.min("sig").alias("sig")))  # equal buckets once
-    # Open buckets that overlap hold much the same sets: they are compared as one cluster, each set sent once.
-    # A cluster over WIDE sets is left in its buckets, so chance bridges between clusters cost nothing.
-    rest = checkpoint(open_rows.join(buckets.select("sig", "n"), "sig"), "open-buckets")
-    least = rest.groupBy("sig").agg(F.min("rec").alias("v"))
-    cluster = components(rest.join(least, "sig").select(F.col("rec").alias("u"), "v"))
-    wide = cluster.groupBy("component").agg(F.count("*").alias("size"))
-    cluster = checkpoint(cluster.join(wide, "component").select(F.col("node").alias("rec"), "component", "size"), "clusters")
-    rest = rest.join(cluster, "rec")
-    todo = (rest.where(F.col("size") <= WIDE).select(F.col("component").alias("sig"), "rec", "label", "size").distinct()
-            .union(rest.where(F.col("size") > WIDE).select("sig", "rec", "label", "n")).toDF("sig", "rec", "label", "n"))
-    todo = (todo.withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-            .withColumn("block", F.pmod(F.xxhash64("rec", F.lit("block")), F.col("blocks")).cast("int"))
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("sig", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                    "block", "rec", "label"))
-    todo = (todo.join(sets, "rec").repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j", "block")
-            .select("sig", "i", "j", "block", "rec", "label", "x"))
-    more = checkpoint(todo.mapInPandas(_block_links(percent), "u long, v long"), "more-links")
-    return found.union(more)
+    return checkpoint(in_blocks(cluster, sets).mapInPandas(_compare_blocks(percent), "u long, v long"), "links")
 
 
 def group_documents(docs: DataFrame, words: int = 4, percent: int = 85, id_col: str = "doc_id",
@@ -355,7 +383,7 @@ def group_documents(docs: DataFrame, words: int = 4, percent: int = 85, id_col:
     doc_id that links reach.  NULL and empty texts have the empty set and link with nothing; a text of
     fewer words than a shingle has its whole sequence as one.  Repeated rows have equal sets and link.
     Ids that are NULL take part and get their group's smallest other id.  Sets are named by 64-bit
-    digests of 64-bit shingle hashes; similarity is verified on the whole sets.
+    digests of 64-bit shingle hashes; similarity is decided on the whole sets.
     """
     described = sets_of(docs, words, id_col, text_col)
     found = components(links(docs, described, words, percent, id_col, text_col))
