@@ -207,6 +207,16 @@ def decode(encoded: DataFrame, model: str = "piece_bpe_32k.model", id_col: str =
     return encoded.select(F.col(id_col).alias("doc_id"), _decoded(model, F.col(ids_col)).alias("text"))
 
 
-def with_decoded(encoded: DataFrame, model: str = "piece_bpe_32k.model") -> DataFrame:
-    """``encode``'s rows with the text that their ids give back."""
-    return encoded.select("*", _decoded(model, F.col("ids")).alias("decoded"))
+def round_trip(docs: DataFrame, model: str = "piece_bpe_32k.model", id_col: str = "doc_id",
+               text_col: str = "text") -> DataFrame:
+    """doc_id, ids, n_ids and the text decoded from the ids, in one pass (one Python worker per task)."""
+    def make():
+        c = codec(model)
+
+        def one(text: str) -> tuple:
+            ids = c.encode(text)
+            return ids, c.decode(ids.tolist())
+        return one
+    both = per_text("ids array<int>, decoded string", make)(text_col)
+    return (docs.select(F.col(id_col).alias("doc_id"), both.alias("c")).select("doc_id", "c.ids", "c.decoded")
+            .select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "decoded"))

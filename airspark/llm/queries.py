@@ -17,8 +17,7 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, n_ids, ids, and the text decoded from them."""
-    encoded = piece_codec.encode(read_table(spark, sf_dir, "documents"), "piece_bpe_32k.model")
-    return piece_codec.with_decoded(encoded, "piece_bpe_32k.model")
+    return piece_codec.round_trip(read_table(spark, sf_dir, "documents"), "piece_bpe_32k.model")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

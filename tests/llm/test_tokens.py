@@ -95,7 +95,9 @@ def test_codec_gives_library_ids_and_text():
 def test_codec_on_tables(spark):
     df = frame(spark, TEXTS)
     enc = piece_codec.encode(df)
-    rows = piece_codec.with_decoded(enc).collect()
+    rows = piece_codec.round_trip(df).collect()
+    assert sorted(map(str, enc.select('doc_id', 'ids').collect())) == sorted(
+        map(str, piece_codec.round_trip(df).select('doc_id', 'ids').collect()))
     assert sorted(r.decoded for r in rows) == sorted(t or "" for t in TEXTS)
     assert all(r.n_ids == len(r.ids) for r in rows)
     back = piece_codec.decode(enc.withColumn("ids", F.when(F.col("n_ids") > 2, F.col("ids")))).collect()
