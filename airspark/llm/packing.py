@@ -128,7 +128,10 @@ def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capaci
     whole = rows.where(F.col("length") == capacity)
     short = rows.where(F.col("length") < capacity)
     n_blocks = max(1, -(-short.count() // BLOCK_PIECES))
-    short = short.withColumn("_block", F.pmod(F.xxhash64("_piece"), F.lit(n_blocks)))
+    # Ids pass as text: pandas would turn a column of longs with NULLs into doubles.
+    id_type = rows.schema["doc_id"].dataType
+    short = short.withColumns({"_block": F.pmod(F.xxhash64("_piece"), F.lit(n_blocks)),
+                               "doc_id": F.col("doc_id").cast("string")})
 
     def fill(block: pd.DataFrame) -> pd.DataFrame:
         block = block.sort_values("_piece", kind="stable")
@@ -138,8 +141,9 @@ def pack_documents(docs: DataFrame, tokenizer: str = "word_bpe_49k.json", capaci
         block["sequence_id"] = (block["_block"] * (1 << WINDOWS_BITS) + block["_window"]) * 2
         return block[[*names, "sequence_id", "offset"]]
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "_piece")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in short.schema if f.name not in ("_piece", "_block"))
     packed = short.groupBy("_block").applyInPandas(fill, schema + ", sequence_id long, offset long")
+    packed = packed.withColumn("doc_id", F.col("doc_id").cast(id_type))
     alone = whole.select(*names, (F.col("_piece") * 2 + 1).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     out = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids
     return packed.unionByName(alone).select(*out)

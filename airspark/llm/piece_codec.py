@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import heapq
 import re
+from collections.abc import Iterator
 from math import inf
 
 import ahocorasick
@@ -23,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_text
+from .common import text_or_empty
 from .tokenizing import resolve
 
 SPACE = "▁"
@@ -47,6 +48,8 @@ class PieceCodec:
         self.score = {p: sp.get_score(i) for i, p in enumerate(self.names)
                       if i not in self.special and i not in self.bytes}
         self.ids = {p: i for i, p in enumerate(self.names) if p in self.score}
+        self._raw = [bytes([self.bytes[i]]) if i in self.bytes else " ⁇ ".encode() if i == self.unknown
+                     else b"" if i in self.special else p.encode() for i, p in enumerate(self.names)]
         # BPE scores are minus the merge rank; a unigram model's are log-probabilities.
         learned = [s for s in self.score.values() if s > -1e8]
         self.is_bpe = all(s == int(s) for s in learned)
@@ -162,15 +165,7 @@ class PieceCodec:
 
     def decode(self, ids: list[int]) -> str:
         """Text of the ids: pieces joined, byte pieces as UTF-8, the first space mark dropped."""
-        out = bytearray()
-        for i in ids:
-            if i in self.bytes:
-                out.append(self.bytes[i])
-            elif i == self.unknown:
-                out += " ⁇ ".encode()
-            elif i not in self.special:
-                out += self.names[i].encode()
-        text = out.decode("utf-8", "replace").replace(SPACE, " ")
+        text = b"".join(map(self._raw.__getitem__, ids)).decode("utf-8", "replace").replace(SPACE, " ")
         return text[1:] if text.startswith(" ") else text
 
 
@@ -183,14 +178,37 @@ def codec(model: str) -> PieceCodec:
     return _CODECS[model]
 
 
+OUT_ROWS = 256
+
+
+def round_trip(docs: DataFrame, model: str = "piece_bpe_32k.model", id_col: str = "doc_id",
+               text_col: str = "text", decoded: bool = True) -> DataFrame:
+    """doc_id, ids, n_ids and, unless told not to, the text decoded from the ids, for every row.
+
+    A NULL or empty text has no ids and decodes to an empty text.  Repeated rows repeat.  One pass, and a
+    task's worker holds the results of OUT_ROWS texts at a time.
+    """
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        c = codec(model)
+        for b in batches:
+            for s in range(0, len(b), OUT_ROWS):
+                part = b.iloc[s: s + OUT_ROWS]
+                ids = [c.encode(t) for t in part["text"]]
+                out = {"doc_id": part["doc_id"], "ids": ids, "n_ids": [len(x) for x in ids]}
+                if decoded:
+                    out["decoded"] = [c.decode(x.tolist()) for x in ids]
+                yield pd.DataFrame(out)
+
+    # Ids pass as text: pandas would turn a column of longs with NULLs into doubles.
+    texts = docs.select(F.col(id_col).cast("string").alias("doc_id"), text_or_empty(text_col).alias("text"))
+    done = texts.mapInPandas(run, "doc_id string, ids array<int>, n_ids long" + ", decoded string" * decoded)
+    return done.withColumn("doc_id", F.col("doc_id").cast(docs.schema[id_col].dataType))
+
+
 def encode(docs: DataFrame, model: str = "piece_bpe_32k.model", id_col: str = "doc_id",
            text_col: str = "text") -> DataFrame:
-    """doc_id, ids, n_ids for every row; a NULL or empty text has no ids.  Repeated rows repeat."""
-    def make():
-        c = codec(model)
-        return lambda t: (c.encode(t),)
-    return (docs.select(F.col(id_col).alias("doc_id"), per_text("ids array<int>", make)(text_col)["ids"].alias("ids"))
-            .select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids")))
+    """doc_id, ids, n_ids: ``round_trip`` without the decoded text."""
+    return round_trip(docs, model, id_col, text_col, decoded=False)
 
 
 def _decoded(model: str, ids) -> F.Column:
@@ -205,18 +223,3 @@ def decode(encoded: DataFrame, model: str = "piece_bpe_32k.model", id_col: str =
            ids_col: str = "ids") -> DataFrame:
     """doc_id, text for every row; NULL ids give an empty text."""
     return encoded.select(F.col(id_col).alias("doc_id"), _decoded(model, F.col(ids_col)).alias("text"))
-
-
-def round_trip(docs: DataFrame, model: str = "piece_bpe_32k.model", id_col: str = "doc_id",
-               text_col: str = "text") -> DataFrame:
-    """doc_id, ids, n_ids and the text decoded from the ids, in one pass (one Python worker per task)."""
-    def make():
-        c = codec(model)
-
-        def one(text: str) -> tuple:
-            ids = c.encode(text)
-            return ids, c.decode(ids.tolist())
-        return one
-    both = per_text("ids array<int>, decoded string", make)(text_col)
-    return (docs.select(F.col(id_col).alias("doc_id"), both.alias("c")).select("doc_id", "c.ids", "c.decoded")
-            .select("doc_id", "ids", F.size("ids").cast("long").alias("n_ids"), "decoded"))
