@@ -7,7 +7,7 @@ part of all sets; it is skipped, and paid for by looking at one of K reserved se
 allowed: under those, each set is indexed under all subsets lacking one element too.  K is chosen for each
 group by expected cost.  A set with more empty segments than K can pay for looks the rest up exactly.
 
-Equal sets are one set.  Candidates are screened by profiles: element counts of 64 coarse segments, whose
+Equal sets are one set.  Candidates are screened by profiles: element counts of coarse segments, whose
 L1 distance no pair's difference can be under.  Buckets are screened in blocks of bounded size, and a block
 hands on no more links than join its members.  Sets that screened links connect form a cluster, and the
 sets of a cluster are compared whole, exactly, again in blocks; so nothing lists the pairs of a group.
@@ -28,7 +28,7 @@ from .common import checkpoint, mix64, per_text, text_or_empty
 from .components import components
 
 BLOCK = 256
-PROFILE = 64
+PROFILE = 64  # segments of a small set's profile
 SEEN_SETS = 100_000
 CHUNK_WORDS = 400_000
 SUBSET, LESS_ONE, EMPTY, EMPTY_PROBE = 0, 1, 2, 3
@@ -62,9 +62,21 @@ def set_digest(x: np.ndarray) -> int:
 
 
 def profile(x: np.ndarray) -> bytes:
-    """Elements of the set in each of PROFILE coarse segments, counted up to 255."""
-    return np.minimum(np.bincount((mix64(x ^ _U(0x7F4A7C15)) >> _U(58)).astype(np.int64), minlength=PROFILE),
-                      255).astype(np.uint8).tobytes()
+    """Elements of the set in each of its coarse segments, counted up to 255.
+
+    PROFILE segments, or for a large set a power of two that is a quarter of its size or more: with less,
+    chance makes large unrelated sets look near.
+    """
+    bits = max(PROFILE, len(x) // 4 - 1).bit_length() if len(x) > 4 * PROFILE else PROFILE.bit_length() - 1
+    segment = (mix64(x ^ _U(0x7F4A7C15)) >> _U(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(segment, minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def folded(profiles: list[bytes]) -> np.ndarray:
+    """The profiles as rows, all folded to the shortest's segments (neighbours' counts add up)."""
+    rows = [np.frombuffer(p, dtype=np.uint8) for p in profiles]
+    width = min(map(len, rows))
+    return np.stack([r.reshape(width, -1).sum(axis=1, dtype=np.int32) for r in rows])
 
 
 def may_reach(distance, a, b, percent: int):
@@ -184,16 +196,15 @@ def reaches(common, a, b, percent: int):
     return 100 * common >= percent * (a + b - common)
 
 
-def _profiles(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column), dtype=np.uint8).reshape(-1, PROFILE).astype(np.int16)
-
-
 def _screen_pairs(percent: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            if len(b):
-                far = np.abs(_profiles(b["u_profile"]) - _profiles(b["v_profile"])).sum(axis=1, dtype=np.int64)
-                yield b.loc[may_reach(far, b["u_size"].to_numpy(), b["v_size"].to_numpy(), percent), ["u", "v"]]
+            far = []
+            for pair in zip(b["u_profile"], b["v_profile"]):
+                u, v = folded(pair)
+                far.append(int(np.abs(u - v).sum()))
+            near = may_reach(np.array(far, dtype=np.int64), b["u_size"].to_numpy(), b["v_size"].to_numpy(), percent)
+            yield b.loc[near, ["u", "v"]]
     return run
 
 
@@ -286,7 +297,7 @@ def _by_block(links_of):
 
 def _screen_blocks(percent: int):
     return _by_block(lambda rows, cross: near_profiles(
-        _profiles(r.profile for r in rows), np.array([r.size for r in rows]), percent, cross))
+        folded([r.profile for r in rows]), np.array([r.size for r in rows]), percent, cross))
 
 
 def _compare_blocks(percent: int):
