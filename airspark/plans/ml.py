@@ -1,8 +1,8 @@
 """Model training, comparison and scoring with Spark ML.
 
 Fitting is distributed by Spark ML (tree statistics and normal equations
-are aggregated across partitions); the training frame is written once by
-the feature plan, so repeated passes read it instead of recomputing it.
+are aggregated across partitions); the assembled vectors are written once,
+so the hundreds of passes of a fit read them instead of recomputing them.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from .. import schemas as S
 from ..operators.median import exact_medians
 from ..operators.split import time_split
 from ..operators.summarize import regression_metrics
-from ..session import scratch_path
+from ..session import checkpoint, scratch_path
 from ..sources.store import registry_append, registry_latest
 
 RIDGE, FOREST, BOOSTED = "Ridge Regression", "Random Forest", "Boosted Trees"
@@ -66,19 +66,36 @@ def estimators(train: DataFrame, features=None, label: str = S.TARGET_COLUMN, fo
             ((RIDGE, ridge), (FOREST, rf), (BOOSTED, gbt))}
 
 
-def side_metrics(model: PipelineModel, df: DataFrame, label: str = S.TARGET_COLUMN) -> dict:
+def assembled(est: Pipeline, df: DataFrame, label: str = S.TARGET_COLUMN) -> DataFrame:
+    """The label and the vector that the pipeline's last stage fits on, written once."""
+    return checkpoint(PipelineModel(est.getStages()[:-1]).transform(df).select(label, "features"), "assembled")
+
+
+def fit_assembled(est: Pipeline, vectors: DataFrame) -> PipelineModel:
+    """The pipeline fitted on vectors that ``assembled`` wrote; its stages before the last learn nothing."""
+    *before, last = est.getStages()
+    return PipelineModel([*before, last.fit(vectors)])
+
+
+def side_metrics(model, df: DataFrame, label: str = S.TARGET_COLUMN) -> dict:
     m = regression_metrics(model.transform(df), label, "prediction", digits=None).first()
     return {"MAE": m["mae"], "RMSE": m["rmse"], "R2": m["r2"]}
 
 
 def compare(train: DataFrame, test: DataFrame, ests: dict, label: str = S.TARGET_COLUMN):
-    """Fit each estimator on train; metrics on both sides; rows ordered best first."""
+    """Fit each estimator on train; metrics on both sides; rows ordered best first.
+
+    The estimators share their stages before the last (see ``estimators``).
+    """
     spark = train.sparkSession
+    shared = next(iter(ests.values()))
+    train_vectors, test_vectors = assembled(shared, train, label), assembled(shared, test, label)
     fitted, rows = {}, []
     for name, est in ests.items():
-        model = est.fit(train)
+        model = fit_assembled(est, train_vectors)
         fitted[name] = model
-        tr, te = side_metrics(model, train, label), side_metrics(model, test, label)
+        last = model.stages[-1]
+        tr, te = side_metrics(last, train_vectors, label), side_metrics(last, test_vectors, label)
         rows.append((name, tr["MAE"], tr["RMSE"], tr["R2"], te["MAE"], te["RMSE"], te["R2"]))
     metrics = spark.createDataFrame(rows, "model_name string, train_MAE double, train_RMSE double, train_R2 double, "
                                           "test_MAE double, test_RMSE double, test_R2 double")
@@ -128,7 +145,8 @@ def train_and_register(table: DataFrame, registry_path: str, name: str, features
     train, test = (parts.filter(F.col("split") == p).drop("split") for p in ("train", "test"))
     metrics, _, best = compare(train, test, estimators(train, feats, label, forest, boosted), label)
     held = metrics.filter(F.col("model_name") == best).first()
-    model = estimators(table, feats, label, forest, boosted)[best].fit(table)
+    est = estimators(table, feats, label, forest, boosted)[best]
+    model = fit_assembled(est, assembled(est, table, label))
     path = save_model(model, scratch_path(spark, "model"))
     record = table.agg(F.count(F.lit(1)).cast("bigint").alias("training_rows"),
                        F.min("timestamp").alias("training_start"), F.max("timestamp").alias("training_end")).select(
