@@ -30,9 +30,13 @@ RULES = [
     ("dup_lines", "n_dup_lines", "n_lines", 0.05, 0.60),
     ("word_length", "word_chars", "n_words", 12.0, 20.0),
 ]
-#: The rules are written so that a good document seldom trips one; EM may not estimate more than this.
-#: Without it, two rules that fire together become the bad class and single ones pass as noise.
-MAX_FALSE_ALARM = 0.003
+#: The rules are written so that a good document seldom trips one.  That is a prior on the false-alarm rates, not a
+#: ceiling: so many documents shaped like the start model, and so large a share of all documents besides.  The share
+#: decides where the data cannot (a rule that only ever fires alone); where bad documents trip several rules, the
+#: data outweighs it and a rule that fires on clean documents loses weight.
+PRIOR_GOOD_ROWS, PRIOR_GOOD_SHARE = 200.0, 0.05
+#: Bad documents may trip few of the rules: weak, so that a bad class with a single rule is possible.
+PRIOR_BAD_ROWS = 5.0
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 _ASCII_SPACE = " \t\n\v\f\r"
@@ -116,20 +120,21 @@ def fit(patterns: np.ndarray, weights: np.ndarray, rounds: int = 500, tolerance:
         prior_rows: float = 20.0) -> VoteModel:
     """EM over distinct vote patterns (rows x rules) with their document counts.
 
-    ``prior_rows`` documents shaped like the start model are mixed into every estimate, which keeps the
-    meaning of the two classes and every probability positive.  No patterns: the start model.
+    Documents shaped like the start model are mixed into every estimate (a Dirichlet prior), which keeps
+    the meaning of the two classes and every probability positive: ``prior_rows`` for the share of good
+    ones, PRIOR_BAD_ROWS and PRIOR_GOOD_ROWS plus PRIOR_GOOD_SHARE of all for the votes of either class.
+    No patterns: the start model.
     """
     model, start = start_model(), start_model()
     if not len(patterns):
         return model
+    strength = np.array([PRIOR_BAD_ROWS, PRIOR_GOOD_ROWS + PRIOR_GOOD_SHARE * weights.sum()])[:, None, None]
     onehot = np.stack([patterns == v for v in (0, 1)], axis=-1).astype(float)  # pattern, rule, vote
     for _ in range(rounds):
         good = 1 / (1 + np.exp(-model.log_odds(patterns)))
         mass = np.stack([weights * (1 - good), weights * good])
-        sums = np.einsum("yp,prv->yrv", mass, onehot) + prior_rows * start.table
+        sums = np.einsum("yp,prv->yrv", mass, onehot) + strength * start.table
         table = sums / sums.sum(axis=-1, keepdims=True)
-        table[1, :, 0] = np.minimum(table[1, :, 0], MAX_FALSE_ALARM)
-        table[1, :, 1] = 1 - table[1, :, 0]
         total = mass.sum(axis=1)
         last, model = model, VoteModel(float((total[1] + prior_rows * start.prior) / (total.sum() + prior_rows)), table)
         if max(np.abs(model.table - last.table).max(), abs(model.prior - last.prior)) < tolerance:

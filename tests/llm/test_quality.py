@@ -84,6 +84,33 @@ def test_em_finds_accuracies():
     assert (told == ~seen).mean() > 0.99
 
 
+@pytest.mark.parametrize("share", [0.03, 0.1, 0.3])
+def test_rule_tripped_by_clean_documents_loses_weight(share):
+    """Bad documents trip two or three rules; a hot source of clean ones trips one."""
+    rng = np.random.default_rng(0)
+    n, rules = 20_000, len(quality_rules.RULES)
+    bad = rng.random(n) < 0.08
+    votes = np.ones((n, rules), dtype=int)
+    for i in np.flatnonzero(bad):
+        votes[i, rng.choice(rules, rng.integers(2, 4), replace=False)] = 0
+    hot = ~bad & (rng.random(n) < share)
+    votes[hot, 2] = 0
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    model = quality_rules.fit(patterns, counts.astype(float))
+    assert abs(model.table[1, 2, 0] - share) < 0.1 * share + 0.002
+    assert model.weights()[2, 1] > model.weights()[0, 1] + 1  # a bad vote weighs less than another rule's
+    kept = model.log_odds(votes) > 0
+    assert kept[~bad].mean() > 0.99 and kept[bad].mean() < 0.01
+
+
+def test_rule_that_only_fires_alone_still_rejects():
+    votes = np.ones((10_000, len(quality_rules.RULES)), dtype=int)
+    votes[:800, 0] = 0
+    patterns, counts = np.unique(votes, axis=0, return_counts=True)
+    kept = quality_rules.fit(patterns, counts.astype(float)).log_odds(votes) > 0
+    assert not kept[:800].any() and kept[800:].all()
+
+
 def test_rank_model_fits_differences_and_quantile():
     rng = np.random.default_rng(1)
     n = 1500
