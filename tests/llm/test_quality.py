@@ -129,6 +129,12 @@ def test_rank_model_fits_differences_and_quantile():
         assert 0 <= m.probability(x[0]) <= 1
 
 
+def test_common_is_the_share_of_the_most_frequent_word():
+    at = quality_rank.FEATURES.index("common")
+    assert quality_rank.features("once upon a " + "spam " * 17)[at] == pytest.approx(17 / 20)
+    assert quality_rank.features("a b c d")[at] == pytest.approx(1 / 4) and quality_rank.features("")[at] == 0
+
+
 def test_classifier_on_held_out_rows(spark):
     rows = corpus(600) + [(None, None), (5000, ""), (7, corpus(600)[7][1])]
     labels = spark.createDataFrame([(i, int(i % 10 != 0)) for i in range(600)] + [(None, 1), (3, None), (9, 1)],
