@@ -2,12 +2,14 @@
 
 A text is the sequence of its lines that hold a word, each with a 64-bit hash and its word count.  At each
 line starts a gram: the shortest run of lines with at least NOISE words.  In every window (the shortest run
-with at least GUARANTEE words) the smallest gram hash is selected, so two texts that share a run of
-GUARANTEE words or more, cut alike, share a selected gram at the same place in it, and nothing under NOISE
-words is ever matched.  Each selected gram's occurrences are joined to its first one (smallest doc_id, then
-position); the match is extended line by line both ways, and the later run is deleted.
-
-The first occurrence of every gram stays, and a deleted line always has an equal one at an earlier place.
+with at least GUARANTEE words) the smallest gram hash is selected, so nothing under NOISE words is ever
+matched.  Besides, the windows themselves are marks: from every line the shortest run onwards, and to every
+line the shortest run back, with at least GUARANTEE words.  Each mark's occurrences are joined to its first one
+(smallest doc_id, then position); the match is extended line by line both ways, and the later run is deleted.
+
+Every line of a run of GUARANTEE words or more that an earlier place also holds lies in a window inside the
+run, so it meets an earlier text with all of that window and goes, however often its grams occur elsewhere.
+The first occurrence of every mark stays, and a deleted line always has an equal one at an earlier place.
 """
 
 from __future__ import annotations
@@ -46,15 +48,19 @@ def run_ends(words: np.ndarray, least: int) -> np.ndarray:
 
 
 def grams(hashes: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each gram: a polynomial of its lines' hashes in prefix sums (arithmetic modulo 2^64)."""
+    """Hash of each line's gram."""
+    return run_hashes(hashes, np.arange(len(hashes)), ends)
+
+
+def run_hashes(hashes: np.ndarray, start: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each run: a polynomial of its lines' hashes in prefix sums (arithmetic modulo 2^64)."""
     n = len(hashes)
     base = np.uint64(0x9E3779B97F4A7C15)
     powers = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, base, dtype=np.uint64), dtype=np.uint64)])
     sums = np.concatenate([[np.uint64(0)], np.cumsum(mix64(hashes) * powers[:n], dtype=np.uint64)])
-    start = np.arange(n)
     inverse = np.uint64(pow(int(base), -1, 1 << 64))
     undo = np.concatenate([[np.uint64(1)], np.cumprod(np.full(n, inverse, dtype=np.uint64), dtype=np.uint64)])
-    value = (sums[np.maximum(ends, start)] - sums[start]) * undo[:n]
+    value = (sums[np.maximum(ends, start)] - sums[start]) * undo[start]
     return mix64(value ^ (ends - start).astype(np.uint64))
 
 
@@ -82,14 +88,26 @@ def winnow(hashes: np.ndarray, words: np.ndarray, noise: int = NOISE, guarantee:
     return list(chosen.items())
 
 
+def windows(hashes: np.ndarray, words: np.ndarray, guarantee: int = GUARANTEE) -> tuple[np.ndarray, np.ndarray]:
+    """Start lines and hashes of the shortest runs with ``guarantee`` words from each line on and up to each line."""
+    n = len(hashes)
+    ends = run_ends(words, guarantee)
+    back = n - run_ends(words[::-1], guarantee)[::-1]  # n: no run ends with this line
+    onwards, upto = np.flatnonzero(ends), np.flatnonzero(back < n)
+    upto = upto[ends[back[upto]] != upto + 1]  # the others are runs onwards too
+    start, end = np.concatenate([onwards, back[upto]]), np.concatenate([ends[onwards], upto + 1])
+    return start, run_hashes(hashes, start, end)
+
+
 def _describe(text: str) -> tuple:
     _, lines = worded_lines(text)
     hashes = line_hashes(lines)
     words = np.array([len(x.split()) for x in lines], dtype=np.int64)
     picked = winnow(hashes, words)
+    at, value = windows(hashes, words)
     signed = hashes.view(np.int64)
-    return (signed.tolist(), words.tolist(), [p for p, _ in picked],
-            np.array([h for _, h in picked], dtype=np.uint64).view(np.int64).tolist())
+    marks = np.concatenate([np.array([h for _, h in picked], dtype=np.uint64), value]).view(np.int64)
+    return signed.tolist(), words.tolist(), [p for p, _ in picked] + at.tolist(), marks.tolist()
 
 
 def extend(own: np.ndarray, near: np.ndarray, diagonal: int, seeds: list[int], words: np.ndarray,

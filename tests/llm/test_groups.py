@@ -95,6 +95,42 @@ def test_line_dedup_against_brute_force(spark):
     assert all(x in kept for ls in lines.values() for x in ls)  # nothing is lost
 
 
+def all_pairs_removed(docs, guarantee):
+    """(doc, worded line) places in any run of ``guarantee`` words that an earlier place also holds."""
+    lines = [(i, k, x) for i, t in sorted(docs) for k, x in enumerate(y.strip() for y in t.split("\n") if y.strip())]
+    gone = set()
+    for b in range(len(lines)):
+        for a in range(b):
+            n = words = 0
+            while (b + n < len(lines) and lines[b + n][0] == lines[b][0] and lines[a + n][0] == lines[a][0]
+                   and lines[a + n][2] == lines[b + n][2]):
+                words += len(lines[b + n][2].split())
+                n += 1
+            if words >= guarantee:
+                gone |= {lines[b + x][:2] for x in range(n)}
+    return gone
+
+
+def test_line_dedup_deletes_all_of_every_repeated_passage(spark):
+    """Frequent lines stand alone in early documents, and next to shared passages in later ones."""
+    r = random.Random(12)
+    docs = []
+    for case in range(30):
+        hot, *more = [line(r, n) + f" {case}" for n in (30, 30, 6, 29)]
+        passage = [[hot, more[0]], [hot, *more], [more[2], hot, more[1]]][case % 3]
+        for k, middle in enumerate(([hot], [hot, more[2]], passage, passage)):
+            docs.append((4 * case + k, "\n".join([f"{line(r, 8)} {case} {k}", *middle, f"{line(r, 8)} {k} {case}"])))
+    gone = all_pairs_removed(docs, line_dedup.GUARANTEE)
+    got = {x.doc_id: x.text.split("\n") for x in line_dedup.clean(docs_frame(spark, docs)).collect()}
+    lines = {i: t.split("\n") for i, t in docs}
+    assert gone and not [(i, k) for i, k in gone if lines[i][k] in got[i]]
+    first = {}
+    for i, t in docs:  # nothing is lost, and a line that is not repeated stays
+        for x in lines[i]:
+            first.setdefault(x, i)
+    assert all(x in got[i] for x, i in first.items())
+
+
 def test_line_dedup_edges(spark):
     r = random.Random(4)
     long = "\n".join(line(r, 10) for _ in range(3000))
