@@ -61,7 +61,7 @@ def fitting_rule(host: Column, path: Column, rules: list[Rule]) -> Column:
 
 
 def tokens_of(host: Column, path: Column) -> Column:
-    """Distinct sorted tokens: host labels, path segments with digits as one "#", and the file extension."""
+    """Distinct sorted tokens: host labels, and path segments with each run of digits as one "#"."""
     labels = F.transform(F.filter(F.split(host, r"\."), lambda x: x != ""), lambda x: F.concat(F.lit("host="), x))
     parts = F.transform(F.filter(F.split(path, "/"), lambda x: x != ""),
                         lambda x: F.concat(F.lit("path="), F.regexp_replace(_ascii_lower(x), "[0-9]+", "#")))
