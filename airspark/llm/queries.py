@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import (jaccard_join, line_dedup, oracle_sql, packing, piece_codec, quality_rank, quality_rules, token_counts,
-               topk_search, toxicity, url_rules)
+from . import (conversation_repair, hard_negatives, jaccard_join, line_dedup, oracle_sql, packing, piece_codec, quality_rank,
+               quality_rules, shard_tree, token_counts, topk_search, toxicity, url_rules)
 from .common import read_table
 
 
@@ -55,7 +56,24 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(read_table(spark, sf_dir, "pages"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(read_table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair(damaged, copies=F.col("copies"))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read_table(spark, sf_dir, "embeddings"), lambda i: i % 50 == 0, label_col=label)
+
+
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shard_tree.assign(read_table(spark, sf_dir, "documents"), shard_tree.tree_of(24), shard_tree.tree_of(25))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_token_counts, op2_sentencepiece, op3_quality_rules, op4_toxicity,
-                            op5_line_dedup, op6_quality_classifier, op7_jaccard_join, op8_packing, op9_topk_search, op10_url_filter)}
-ORACLE: dict[str, str] = {"op7_jaccard_join": oracle_sql.JACCARD, "op9_topk_search": oracle_sql.TOPK, "op10_url_filter": oracle_sql.URLS}
+                            op5_line_dedup, op6_quality_classifier, op7_jaccard_join, op8_packing, op9_topk_search, op10_url_filter,
+                            op11_conversation_repair, op12_hard_negatives, op13_sharding)}
+ORACLE: dict[str, str] = {"op7_jaccard_join": oracle_sql.JACCARD, "op9_topk_search": oracle_sql.TOPK, "op10_url_filter": oracle_sql.URLS,
+                          "op11_conversation_repair": oracle_sql.CONVERSATIONS, "op12_hard_negatives": oracle_sql.NEGATIVES,
+                          "op13_sharding": oracle_sql.sharding()}
