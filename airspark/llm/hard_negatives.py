@@ -12,15 +12,14 @@ anchors that concern it, one after the other.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import checkpoint
-from .topk_search import quantise
+from .vector_blocks import blocks, deal, meet, quantise, whole, with_more
 
 #: Segments of a vector at each level of refinement (fewer if it has fewer components).
 LEVELS = (1, 2, 4, 8, 16)
@@ -66,8 +65,8 @@ def survivors(query: int, asked: Summaries, rows: Summaries, keep: Callable[[np.
 
 
 def exact(query: int, asked: Summaries, rows: Summaries, among: np.ndarray) -> np.ndarray:
-    """The scores of the rows ``among``; beyond what a long holds, its ends."""
-    return np.clip(np.nan_to_num(rows.vectors[among] @ asked.vectors[query]), -9.2e18, 9.2e18)
+    """The scores of the rows ``among``."""
+    return whole(rows.vectors[among] @ asked.vectors[query])
 
 
 def best_scores(k: int) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
@@ -95,103 +94,45 @@ def _top(ids: np.ndarray, rows: np.ndarray, scores: np.ndarray, k: int) -> np.nd
     return np.lexsort((rows, ids, -scores))[:k]
 
 
-def _unpack(ids: bytes, vectors: bytes, width: int) -> tuple[np.ndarray, Summaries]:
-    i = np.frombuffer(ids, dtype=np.int64).reshape(2, -1)
-    return i, Summaries(np.frombuffer(vectors, dtype=np.float64).reshape(i.shape[1], width))
-
-
-def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sorted rows (width, label, block, id, row, vector) -> one row a block: its ids and vectors as bytes."""
-    key, ids, rows, vectors = None, [], [], []
-
-    def out():
-        return pd.DataFrame({"width": [key[0]], "label": [key[1]], "block": [key[2]],
-                             "ids": [np.array([ids, rows], dtype=np.int64).tobytes()],
-                             "vectors": [np.array(vectors, dtype=np.float64).tobytes()]})
-
-    for b in batches:
-        for width, label, block, i, row, v in zip(b["width"], b["label"], b["block"], b["id"], b["row"], b["vector"]):
-            if key is not None and key != (width, label, block):
-                yield out()
-                ids, rows, vectors = [], [], []
-            key = width, label, block
-            ids.append(i)
-            rows.append(row)
-            vectors.append(v)
-    if key is not None:
-        yield out()
-
-
-def _blocks(rows: DataFrame, size: int, name: str) -> DataFrame:
-    """Blocks of about ``size`` rows of one width and label, as many as its rows need."""
-    counts = rows.groupBy("width", "label").agg(F.count("*").alias("n"))
-    dealt = (rows.join(counts, ["width", "label"])
-             .withColumn("block", F.pmod(F.xxhash64("row", F.lit(name)), F.ceil(F.col("n") / size)).cast("int")))
-    key = ["width", "label", "block"]
-    return checkpoint(dealt.select(*key, "id", "row", "vector").repartition(*key).sortWithinPartitions(*key, "row")
-                      .mapInPandas(_pack, "width int, label int, block int, ids binary, vectors binary"), name)
-
-
-def _meet(shards: DataFrame, asked: DataFrame, same_label: bool, search, schema: str) -> DataFrame:
-    """``search`` over each shard and the blocks of its width that concern its label.
-
-    Blocks, not rows, are copied to the shards, through the small table of shard counts; a task holds one
-    shard and one block at a time.
-    """
-    by = ["width", "s_label", "s_block"]
-    counts = shards.groupBy("width", F.col("label").alias("s_label")).agg((F.max("block") + 1).alias("n"))
-    fits = F.col("label") == F.col("s_label") if same_label else F.col("label") != F.col("s_label")
-    sent = (asked.join(counts, "width").where(fits)
-            .withColumn("s_block", F.explode(F.sequence(F.lit(0), F.col("n") - 1))))
-    both = (shards.select("width", F.col("label").alias("s_label"), F.col("block").alias("s_block"), F.lit(None).cast("int").alias("label"),
-                          F.lit(-1).alias("block"), "ids", "vectors", F.lit(None).cast("binary").alias("more"))
-            .unionByName(sent.select(*by, "label", "block", "ids", "vectors", "more")))
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        at, names, rows = None, None, None
-        for b in batches:
-            for width, label, block, number, ids, vectors, more in zip(*(b[c] for c in (*by, "block", "ids", "vectors", "more"))):
-                if number < 0:  # the shard itself comes before its blocks
-                    at, (names, rows) = (width, label, block), _unpack(ids, vectors, width)
-                elif at == (width, label, block):  # else hashing gave this shard no rows
-                    out = search(names, rows, *_unpack(ids, vectors, width), more)
-                    if out:
-                        yield pd.DataFrame(out, columns=[c.split()[0] for c in schema.split(", ")])
-
-    return both.repartition(*by).sortWithinPartitions(*by, "block", "label").mapInPandas(run, schema)
-
-
 def _find_positives(k: int):
-    def search(names: np.ndarray, rows: Summaries, anchors: np.ndarray, asked: Summaries, _more: bytes) -> list[tuple]:
-        out = []
-        for q, (anchor, own) in enumerate(anchors.T.tolist()):
-            among = survivors(q, asked, rows, best_scores(k), np.flatnonzero(names[1] != own))
-            scores = exact(q, asked, rows, among)
-            for i in _top(names[0][among], names[1][among], scores, k):
-                out.append((own, anchor, int(names[1][among[i]]), int(names[0][among[i]]), int(scores[i])))
-        return out
-    return search
+    def prepare(names: np.ndarray, vectors: np.ndarray):
+        rows = Summaries(vectors)
+
+        def find(anchors: np.ndarray, queries: np.ndarray, _more: bytes) -> list[tuple]:
+            asked, out = Summaries(queries), []
+            for q, (anchor, own) in enumerate(anchors.T.tolist()):
+                among = survivors(q, asked, rows, best_scores(k), np.flatnonzero(names[1] != own))
+                scores = exact(q, asked, rows, among)
+                for i in _top(names[0][among], names[1][among], scores, k):
+                    out.append((own, anchor, int(names[1][among[i]]), int(names[0][among[i]]), int(scores[i])))
+            return out
+        return find
+    return prepare
 
 
 def _find_negatives(k: int, low: int, high: int):
-    def search(names: np.ndarray, rows: Summaries, anchors: np.ndarray, asked: Summaries, more: bytes) -> list[tuple]:
-        wanted = np.frombuffer(more, dtype=np.float64).reshape(anchors.shape[1], -1)  # positive scores, filled with NaN
-        out = []
-        for q, (anchor, own) in enumerate(anchors.T.tolist()):
-            goals = np.unique(wanted[q][wanted[q] >= 0])  # below 0 no score lies in the range
-            if not len(goals):
-                continue
-            # Widened by rounding's reach; the test below is on whole numbers.
-            ranges = np.stack([low * goals / 100 * (1 - 1e-9) - 1e-6, high * goals / 100 * (1 + 1e-9) + 1e-6], axis=1)
-            among = survivors(q, asked, rows, best_in_ranges(k, ranges), np.arange(names.shape[1]))
-            scores = exact(q, asked, rows, among)
-            for goal in goals.tolist():
-                hit = np.flatnonzero((low * goal <= 100 * scores) & (100 * scores <= high * goal))
-                found = among[hit]
-                for i in _top(names[0][found], names[1][found], scores[hit], k):
-                    out.append((own, anchor, int(goal), int(names[1][found[i]]), int(names[0][found[i]]), int(scores[hit][i])))
-        return out
-    return search
+    def prepare(names: np.ndarray, vectors: np.ndarray):
+        rows = Summaries(vectors)
+
+        def find(anchors: np.ndarray, queries: np.ndarray, more: bytes) -> list[tuple]:
+            wanted = np.frombuffer(more, dtype=np.float64).reshape(anchors.shape[1], -1)  # positive scores, filled with NaN
+            asked, out = Summaries(queries), []
+            for q, (anchor, own) in enumerate(anchors.T.tolist()):
+                goals = np.unique(wanted[q][wanted[q] >= 0])  # below 0 no score lies in the range
+                if not len(goals):
+                    continue
+                # Widened by rounding's reach; the test below is on whole numbers.
+                ranges = np.stack([low * goals / 100 * (1 - 1e-9) - 1e-6, high * goals / 100 * (1 + 1e-9) + 1e-6], axis=1)
+                among = survivors(q, asked, rows, best_in_ranges(k, ranges), np.arange(names.shape[1]))
+                scores = exact(q, asked, rows, among)
+                for goal in goals.tolist():
+                    hit = np.flatnonzero((low * goal <= 100 * scores) & (100 * scores <= high * goal))
+                    found = among[hit]
+                    for i in _top(names[0][found], names[1][found], scores[hit], k):
+                        out.append((own, anchor, int(goal), int(names[1][found[i]]), int(names[0][found[i]]), int(scores[hit][i])))
+            return out
+        return find
+    return prepare
 
 
 def mine(vectors: DataFrame, is_anchor, k_positives: int = 5, k_negatives: int = 3, low: int = 50, high: int = 95,
@@ -218,57 +159,24 @@ def mine(vectors: DataFrame, is_anchor, k_positives: int = 5, k_negatives: int =
             .where(F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("vector").isNotNull())
             .withColumns({"width": F.size("vector"), "row": F.monotonically_increasing_id()}))
     rows = checkpoint(rows, "negatives-vectors")
-    shards = _blocks(rows, shard_rows, "negatives-shards")
-    asked = _blocks(rows.where(is_anchor(F.col("id"))), block_rows, "negatives-anchors")
+    shards = blocks(rows, shard_rows, "negatives-shards")
+    asked = blocks(rows.where(is_anchor(F.col("id"))), block_rows, "negatives-anchors")
 
-    near = _meet(shards, asked.withColumn("more", F.lit(b"")), True, _find_positives(k_positives),
-                 "row long, id long, positive_row long, positive_id long, positive_score long")
+    same = F.col("label") == F.col("s_label")
+    near = meet(shards, deal(asked, shards, same).withColumn("more", F.lit(b"")), _find_positives(k_positives),
+                "row long, id long, positive_row long, positive_id long, positive_score long")
     # Each shard's best meet in one exact cut.
     best = Window.partitionBy("row").orderBy(F.desc("positive_score"), "positive_id", "positive_row")
     positives = checkpoint(near.withColumn("place", F.row_number().over(best)).where(F.col("place") <= k_positives),
                            "negatives-positives")
 
-    scores = positives.groupBy("row").agg(F.sort_array(F.collect_list("positive_score")).alias("goals"))
-    second = _with_goals(asked, scores, k_positives)
-    far = _meet(shards, second, False, _find_negatives(k_negatives, low, high),
-                "row long, id long, positive_score long, negative_row long, negative_id long, negative_score long")
+    scores = positives.groupBy("row").agg(F.collect_list(F.col("positive_score").cast("double")).alias("numbers"))
+    second = checkpoint(with_more(asked, scores, k_positives), "negatives-goals")
+    far = meet(shards, deal(second, shards, ~same), _find_negatives(k_negatives, low, high),
+               "row long, id long, positive_score long, negative_row long, negative_id long, negative_score long")
     # The positives of one anchor with equal scores share their negatives.
     best = Window.partitionBy("row", "positive_score").orderBy(F.desc("negative_score"), "negative_id", "negative_row")
     negatives = far.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k_negatives)
     return (positives.join(negatives.drop("id"), ["row", "positive_score"])
             .select(F.col("id").alias("anchor_id"), "positive_id", F.col("rank").cast("int").alias("rank"), "negative_id",
                     "positive_score", "negative_score"))
-
-
-def _with_goals(asked: DataFrame, scores: DataFrame, k: int) -> DataFrame:
-    """Each block with its anchors' positive scores, k places each, as bytes in the column ``more``."""
-    key = ["width", "label", "block"]
-
-    def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for width, label, block, ids in zip(b["width"], b["label"], b["block"], b["ids"]):
-                own = np.frombuffer(ids, dtype=np.int64).reshape(2, -1)[1]
-                yield pd.DataFrame({"width": width, "label": label, "block": block, "at": np.arange(len(own)), "row": own})
-
-    def fill(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, held = None, []
-
-        def out():
-            return pd.DataFrame({"width": [now[0]], "label": [now[1]], "block": [now[2]],
-                                 "more": [np.array(held, dtype=np.float64).tobytes()]})
-
-        for b in batches:
-            for width, label, block, goals in zip(b["width"], b["label"], b["block"], b["goals"]):
-                if now is not None and now != (width, label, block):
-                    yield out()
-                    held = []
-                now = width, label, block
-                own = [] if goals is None else list(goals)
-                held.append(own + [np.nan] * (k - len(own)))
-        if now is not None:
-            yield out()
-
-    places = asked.select(*key, "ids").mapInPandas(rows_of, "width int, label int, block int, at long, row long")
-    more = (places.join(scores, "row", "left").repartition(*key).sortWithinPartitions(*key, "at")
-            .select(*key, "goals").mapInPandas(fill, "width int, label int, block int, more binary"))
-    return asked.join(more, key)

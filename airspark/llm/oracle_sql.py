@@ -43,15 +43,15 @@ FROM s LEFT JOIN sets t ON list_sort(s.shingles) = t.shingles LEFT JOIN label l
 
 TOPK = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS e
+  SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 256)) AS e
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
 ), scored AS (
-  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.e, c.e)::BIGINT AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+  SELECT q.row, q.vec_id AS query_id, c.vec_id, c.row AS other, list_dot_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.row <> q.row AND len(q.e) = len(c.e)
 ), ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+  SELECT *, row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id, other)::INTEGER AS rank FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """

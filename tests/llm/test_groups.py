@@ -333,16 +333,20 @@ def test_top_k_against_brute_force(spark):
     rows[20] = (20, [1.0, None, 0.0, 0.0, 0.0, 0.0], "x")
     rows[30] = (30, [float("nan")] + [0.0] * 5, "x")
     rows[40] = (40, [float("inf")] + [0.0] * 5, "x")
-    rows += [(None, [1.0] * 6, "x"), (7, rows[7][1], "x"), (2000, [], "x")]
+    rows += [(None, [1.0] * 6, "x"), (7, rows[7][1], "x"), (100, rows[3][1], "x"), (150, rows[150][1], "x")]  # repeated ids and rows
+    rows += [(2000 + 25 * i, [1.0, 0.5 * i, -1.0], "x") for i in range(6)]  # another length
+    rows += [(3000, [2.0] * 4, "x"), (3050, [], "x"), (3051, [], "x")]  # a length of its own; no components
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score string")
-    got = topk_search.top_k(df, lambda i: i % 50 == 0, k=5, shard_rows=100, block_rows=4, legs=3).collect()
-    ok = {i: np.floor(256 * np.array(v, dtype=float)) for i, v, _ in rows
-          if i is not None and i < 2000 and v is not None and None not in v and np.isfinite(v).all()}
+    ok = [(i, np.floor(256 * np.array(v, dtype=float))) for i, v, _ in rows
+          if i is not None and v is not None and None not in v and np.isfinite(v).all()]
     want = []
-    for q in (i for i in ok if i % 50 == 0):
-        best = sorted((-int(ok[q] @ v), i) for i, v in ok.items() if i != q)[:5]
-        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
-    assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
+    for a, (q, u) in enumerate(ok):
+        if q % 50 == 0:
+            best = sorted((-int(u @ v), i) for b, (i, v) in enumerate(ok) if a != b and len(u) == len(v))[:5]
+            want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
+    for more in ({"shard_rows": 100, "block_rows": 4}, {}):
+        got = topk_search.top_k(df, lambda i: i % 50 == 0, k=5, **more).collect()
+        assert sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in got) == sorted(want)
     few = df.where("vec_id < 3")
     assert topk_search.top_k(few, lambda i: i % 50 == 0).count() == 2
     assert topk_search.top_k(df.limit(0), lambda i: i % 50 == 0).count() == 0
@@ -351,13 +355,13 @@ def test_top_k_against_brute_force(spark):
 def test_tree_boxes_bound_their_points():
     rng = np.random.default_rng(4)
     points = rng.normal(size=(2000, 5)).round(1)
-    tree = topk_search.Tree(np.arange(2000), points)
+    tree = topk_search.Tree(np.array([np.arange(2000)] * 2), points)
     queries = rng.normal(size=(20, 5))
     bound = tree.bounds(queries)
     for node, (a, z) in enumerate(tree.spans):
         if z > a:
             assert (tree.vectors[a:z] @ queries.T <= bound[:, node] + 1e-9).all()
-    assert sorted(tree.ids) == list(range(2000))
+    assert sorted(tree.names[0]) == list(range(2000))
 
 
 # ---- URL filter
