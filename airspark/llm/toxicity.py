@@ -91,11 +91,6 @@ def evidence(folded: str, automaton) -> tuple[float, ...]:
     return 1.0, total / math.sqrt(words), max(hits.values(), default=0.0)
 
 
-def _keys(text: str) -> tuple[str, str]:
-    """The folded text, and its longest line: copies and near copies of a document share the latter."""
-    return fold(text), max(text.split("\n"), key=len)
-
-
 def _entries(folded: str) -> set[str]:
     words = set(folded.split())
     return {f" {w} " for w in words} | {f" {w[:n]}" for n in STEMS for w in words if len(w) > n}
@@ -145,17 +140,16 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           more_entries: dict[str, float] | None = None, more_exceptions: list[str] | None = None) -> Lexicon:
     """Learn entries, weights, exceptions and the scale from a bounded sample of labelled documents.
 
-    Documents that share their longest line count once, so a word of one much copied document is no
-    evidence.  Only accepted entries reach the driver; each needs MIN_DOCS of the sample's documents.
+    Documents with the same folded text count once, with the label that most of them have (toxic, if as many
+    have either), so a word of one much copied document is no evidence; others that share lines all count.
+    Only accepted entries reach the driver; each needs MIN_DOCS of the sample's documents.
     """
     sample = label_sample(labels, label_col, modulus, remainder, bound)
-    keyed = per_text("folded string, line string", lambda: _keys)
+    folded = per_text("folded string", lambda: lambda t: (fold(t),))
     rows = (docs.select(F.col(id_col).alias("doc_id"), text_or_empty(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
-            .select("label", keyed("text").alias("k"))
-            .select("label", F.col("k.folded").alias("folded"), F.xxhash64("k.line").alias("line"))
-            .groupBy("line").agg(F.max_by("folded", F.struct("label", F.length("folded"), "folded")).alias("folded"),
-                                 F.max("label").alias("label")))
-    rows = checkpoint(rows.select("folded", "label"), "toxicity-sample")
+            .select("label", folded("text")["folded"].alias("folded"))
+            .groupBy("folded").agg((F.avg("label") >= 0.5).cast("int").alias("label")))
+    rows = checkpoint(rows, "toxicity-sample")
     n = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     n1, n0 = float(n.get(1, 0)), float(n.get(0, 0))
     entries: dict[str, float] = {}
