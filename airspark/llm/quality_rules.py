@@ -175,6 +175,9 @@ def keep_good(docs: DataFrame, text_col: str = "text", threshold: float = 0.5) -
     Two passes over the texts and no shuffle of them: one for the pattern counts, one to filter.
     """
     model = learn(docs.select(counts(text_col).alias("_c")))
-    c = F.col("_rule_counts")
-    return (docs.withColumn("_rule_counts", counts(text_col))
-            .where(~base_failed(c) & (model.posterior(c) >= threshold)).drop("_rule_counts"))
+    name = "_rule_counts"
+    while name in docs.columns:
+        name += "_"
+    c = F.col(name)
+    return (docs.withColumn(name, counts(text_col))
+            .where(~base_failed(c) & (model.posterior(c) >= threshold)).drop(name))

@@ -8,6 +8,7 @@ stage's tasks at most.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from airspark.llm import jaccard_join, line_dedup, packing, quality_rank, quality_rules
 from airspark.llm.common import checkpoint, read_table
@@ -28,8 +29,8 @@ def quality_classifier_stage(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated runs of lines are deleted from the texts."""
-    return line_dedup.clean(docs)
+    """Later copies of repeated runs of lines are deleted from the texts; documents left without a word go."""
+    return line_dedup.clean(docs).where(F.col("text").rlike(r"[^\x20\x09-\x0D]"))
 
 
 def near_duplicates_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

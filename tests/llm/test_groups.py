@@ -418,7 +418,9 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
     base = line(r, 200)
     rows += [(400 + k, base.replace(" ", "  " if k == 1 else " ", 5) + f" {'tail' * k}", "en", "s", 1) for k in range(3)]
     rows += [(500, None, None, None, None), (501, "short", "en", "s", 5)]
-    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars int").write.parquet(
+    rows += [(600, rows[1][1], "en", "s", 1), (601, passage, "en", "s", 1)]  # line dedup leaves nothing of them
+    spark.createDataFrame([(*x, "kept", "kept") for x in rows], "doc_id long, text string, lang string, source string, n_chars int, "
+                          "_rule_counts string, _rank_score string").write.parquet(
         f"{tmp_path}/documents.parquet")
     spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
     docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
@@ -430,8 +432,11 @@ def test_pipeline_stages_take_effect(spark, tmp_path):
         docs.write.parquet(f"{tmp_path}/{len(seen)}")
         docs = spark.read.parquet(f"{tmp_path}/{len(seen)}")
         seen.append({x.doc_id: x.text for x in docs.collect()})
-    good = {i for i in range(240) if i % 8} | {300, 301, 302, 400, 401, 402}
-    assert set(seen[0]) == good and len(set(seen[1]) & good) >= 0.97 * len(good)
+    assert {x._rule_counts for x in docs.collect()} == {x._rank_score for x in docs.collect()} == {"kept"}
+    clean = {300, 301, 302, 400, 401, 402, 600, 601}  # not labelled, and without the number that labelled texts end in
+    good = {i for i in range(240) if i % 8} | clean
+    assert set(seen[0]) == good and clean <= set(seen[1]) and len(set(seen[1]) & good) >= 0.97 * len(good)
+    assert set(seen[2]) == set(seen[1]) - {600, 601} and all(t.strip() for t in seen[2].values())
     assert sum(passage in t for t in seen[2].values()) == 1
     assert {400, 401, 402} & set(seen[3]) == {min({400, 401, 402} & set(seen[2]))}
     out = corpus_pipeline.run(spark, str(tmp_path)).collect()
