@@ -19,6 +19,9 @@ MEMO_WORDS = 600_000
 MEMO_BYTES = 48
 # Characters whose classes and case are alike in every Unicode version; single spaces and line feeds.
 _PLAIN = re.compile("[!-~À-ÖØ-öø-įı-ſ \n]*")
+# The tokenizer's pattern that this module knows, and what it finds in a plain text in lower case.
+_WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-įı-ſ]+|[0-9]|[^ \na-zß-öø-įı-ſ0-9]+")
 
 
 def _parts_spaced(text: str) -> list[str] | None:
@@ -49,6 +52,13 @@ class MemoEncoder:
         # Byte-level with its own pattern keeps white space; a split that removes what it does not match drops it.
         self.spaced = steps[0]["type"] == "ByteLevel" and steps[0]["use_regex"] and not steps[0]["add_prefix_space"]
         self.dropped = steps[0]["type"] == "Split" and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
+        # Lower case, parts by that pattern, and a last token that shows where a part ends.
+        suffix = spec["model"].get("end_of_word_suffix")
+        small = any(n["type"] == "Lowercase" for n in (spec["normalizer"] or {}).get("normalizers", []))
+        self.ends = None
+        if self.dropped and suffix and small and steps[0]["pattern"].get("Regex") == _WORD_PATTERN:
+            self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
+            self.ends[[i for token, i in spec["model"]["vocab"].items() if token.endswith(suffix)]] = True
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.memo: dict = {}
         self.older: dict = {}
@@ -59,26 +69,35 @@ class MemoEncoder:
     def _bytes(self, text: str) -> list[bytes]:
         if any(a in text for a in self.added):
             return [self._encode(text)]
-        if self.dropped:
+        if self.ends is not None and _PLAIN.fullmatch(text):
+            parts = _WORDS.findall(text.lower())
+        elif self.dropped:
             parts = text.encode("utf-8", "surrogatepass").split()  # at ASCII white space
         elif not self.spaced or (parts := _parts_spaced(text)) is None:
             return [self._encode(text)]
         memo = self.memo
-        got = list(map(memo.get, parts))
-        if None in got:
-            new = {p: self.older.get(p) for p, ids in zip(parts, got) if ids is None}
-            unknown = [p for p, ids in new.items() if ids is None]
-            if unknown:
-                new.update(zip(unknown, self._encode_apart(unknown)))
-            got = [new[p] if ids is None else ids for p, ids in zip(parts, got)]
-            memo.update((p, ids) for p, ids in new.items() if len(p) <= MEMO_BYTES)
-            if len(memo) > MEMO_WORDS:  # words not met again in one generation go with the next
-                self.older, self.memo = memo, {}
+        if unknown := set(parts).difference(memo):
+            memo.update((p, self.older[p]) for p in unknown if p in self.older)
+            if rest := [p for p in unknown if p not in memo]:
+                memo.update(zip(rest, self._encode_apart(rest)))
+        got = list(map(memo.__getitem__, parts))
+        for p in unknown:
+            if len(p) > MEMO_BYTES:
+                del memo[p]
+        if len(memo) > MEMO_WORDS:  # words not met again in one generation go with the next
+            self.older, self.memo = memo, {}
         return got
 
     def _encode_apart(self, parts: list) -> list[bytes]:
-        """Each part's ids, by one call: an added token between two parts keeps them apart."""
+        """Each part's ids, by one call: last tokens end the parts, or an added token between two keeps them apart."""
         texts = [p if isinstance(p, str) else p.decode("utf-8", "surrogatepass") for p in parts]
+        if self.ends is not None and isinstance(parts[0], str):
+            ids = np.array(self.whole(" ".join(texts)), dtype=self.type)
+            at = np.flatnonzero(self.ends[ids]) + 1
+            if len(at) == len(texts) and at[-1] == len(ids):
+                raw, width = ids.tobytes(), self.type.itemsize
+                edges = [0, *(at * width).tolist()]
+                return [raw[s:e] for s, e in zip(edges, edges[1:])]
         if self.added and len(texts) > 1:
             ids = np.array(self.whole(self.added[-1].join(texts)), dtype=self.type)
             at = np.flatnonzero(ids == self.tokenizer.token_to_id(self.added[-1]))
