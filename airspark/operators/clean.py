@@ -98,7 +98,11 @@ def select_outputs(df: DataFrame, cols) -> DataFrame:
 
 
 def training_clean(df: DataFrame, order=("ingestion_timestamp",)) -> DataFrame:
-    """Coerce, round integer time features, dedupe, drop incomplete rows."""
+    """Coerce, round integer time features, dedupe, drop incomplete rows.
+
+    The result is written once, for its users read it several times; without
+    a row left it raises.
+    """
     required = ["city", "timestamp", *S.MODEL_FEATURE_COLUMNS, S.TARGET_COLUMN]
     missing = [c for c in required if c not in df.columns]
     if missing:
@@ -109,7 +113,9 @@ def training_clean(df: DataFrame, order=("ingestion_timestamp",)) -> DataFrame:
     out = out.withColumns({c: try_double(c) for c in S.INT_TIME_COLUMNS})
     out = round_to_int(out, S.INT_TIME_COLUMNS)
     out = dedupe_keep_last(out, key=("city", "timestamp"), order=order)
-    return drop_incomplete(out, S.MODEL_FEATURE_COLUMNS + [S.TARGET_COLUMN])
+    from .quality import written_rows
+    return written_rows(drop_incomplete(out, S.MODEL_FEATURE_COLUMNS + [S.TARGET_COLUMN]), "training-clean",
+                        "No rows left after cleaning the training table.")
 
 
 def convert_units(df: DataFrame) -> DataFrame:

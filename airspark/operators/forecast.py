@@ -10,6 +10,7 @@ from ..functions.numeric import clip, np_round, try_double
 from .clean import (add_time_features, coerce_timestamp, dedupe_keep_last, localize_timestamps,
                     normalize_columns)
 from .median import median_impute
+from .quality import written_rows
 
 
 RUN_COLUMNS = ("forecast_run_timestamp", "ingestion_timestamp")
@@ -76,7 +77,8 @@ def prepare_scoring(store: DataFrame, feature_columns=None, horizon: int = S.DEF
 
     normalise names -> local time -> newest run per city -> future rows ->
     one row per (city, timestamp) -> first ``horizon`` per city -> per-city
-    median fill of the features (groups of at most ``horizon`` rows).
+    median fill of the features (groups of at most ``horizon`` rows).  The
+    result is written once; without a future row it raises.
     """
     feature_columns = [str(c).strip().lower() for c in (feature_columns or S.MODEL_FEATURE_COLUMNS)]
     df = normalize_columns(store)
@@ -96,7 +98,7 @@ def prepare_scoring(store: DataFrame, feature_columns=None, horizon: int = S.DEF
         df = add_time_features(df)
     df = df.withColumns({c: try_double(c) if c not in S.INT_TIME_COLUMNS else F.col(c)
                          for c in feature_columns})
-    return median_impute(df, feature_columns, by=["city"])
+    return written_rows(median_impute(df, feature_columns, by=["city"]), "scoring-rows", "No future forecast rows available.")
 
 
 def clip_round_prediction(raw_prediction, digits: int):

@@ -10,6 +10,7 @@ from ..operators.clean import (add_time_features, clip_bounds, coerce_numeric, c
                                drop_incomplete, select_outputs)
 from ..operators.forecast import horizon_rows
 from ..operators.median import median_impute
+from ..operators.quality import quality_report, written_rows
 from ..operators.series import DEFAULT_BUCKET_ROWS, series_features
 from ..session import checkpoint
 
@@ -45,7 +46,9 @@ def build_training_features(observations: DataFrame, bucket_rows: int = DEFAULT_
     """Keyed observation rows (possibly several runs) -> 31-column training table.
 
     dedupe (newest run per key) -> fill -> clip -> roll -> convert -> time
-    parts -> median impute -> clip -> drop incomplete -> project.
+    parts -> median impute -> clip -> drop incomplete -> project.  Without a
+    row to train on it raises (seen on the write, so not with
+    ``materialize=False``).
     """
     df = coerce_numeric(observations, S.RAW_FEATURE_COLUMNS + [S.TARGET_COLUMN])
     df = dedupe_keep_last(df, order=("ingestion_timestamp",))
@@ -59,8 +62,11 @@ def build_training_features(observations: DataFrame, bucket_rows: int = DEFAULT_
         # NULL counts are observed during that write (no extra pass).
         seen = Observation("nulls")
         df = checkpoint(df.observe(seen, *[
-            F.count(F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), 1)).alias(c) for c in required]))
+            F.count(F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), 1)).alias(c) for c in required],
+            F.count(F.lit(1)).alias("_rows")))
         null_counts = seen.get
+        if not null_counts["_rows"]:
+            raise ValueError("No rows left for the training table.")
     df = median_impute(df, required, by=median_by, null_counts=null_counts)
     df = clip_bounds(df)
     df = drop_incomplete(df, required)
@@ -75,7 +81,7 @@ def flag_future(df: DataFrame, as_of, ts: str = "timestamp") -> DataFrame:
 
 def build_forecast_features(observations: DataFrame, as_of, horizon: int = S.DEFAULT_HORIZON_HOURS,
                             bucket_rows: int = DEFAULT_BUCKET_ROWS, context: bool = False,
-                            prior: DataFrame | None = None, bounded: bool = True) -> DataFrame:
+                            prior: DataFrame | None = None, bounded: bool = True, validate: bool = True) -> DataFrame:
     """Past+future rows -> 33-column forecast table: first ``horizon`` future rows per city.
 
     Windows run over past and future together; only then the future rows
@@ -83,6 +89,8 @@ def build_forecast_features(observations: DataFrame, as_of, horizon: int = S.DEF
     ``bounded`` (default) windows only the future rows and the 23 past rows
     they read, with fill carried from the older rows, instead of the whole
     history; ``context=True`` returns every row with its features.
+    ``validate`` (default) writes the result, at most ``horizon`` rows a city,
+    and raises if it has no rows, NULL features or repeated keys.
     """
     df = observations
     if S.REFERENCE_COLUMN not in df.columns and S.TARGET_COLUMN in df.columns:
@@ -104,74 +112,6 @@ def build_forecast_features(observations: DataFrame, as_of, horizon: int = S.DEF
         df = checkpoint(dedupe_keep_last(df, order=order), "forecast-rows")
     else:
         df = dedupe_keep_last(df, order=order)
-    out = series_features(df, fill_cols=value_cols, clip_bounds=bounds, rolls=ROLLS,
-                          bucket_rows=bucket_rows)
-    out = convert_units(out)
-    return add_time_features(out)
-
-
-def build_training_features(observations: DataFrame, bucket_rows: int = DEFAULT_BUCKET_ROWS,
-                            materialize: bool = True, median_by=None) -> DataFrame:
-    """Keyed observation rows (possibly several runs) -> 31-column training table.
-
-    dedupe (newest run per key) -> fill -> clip -> roll -> convert -> time
-    parts -> median impute -> clip -> drop incomplete -> project.
-    """
-    df = coerce_numeric(observations, S.RAW_FEATURE_COLUMNS + [S.TARGET_COLUMN])
-    df = dedupe_keep_last(df, order=("ingestion_timestamp",))
-    df = derive_series(df, S.RAW_FEATURE_COLUMNS + [S.TARGET_COLUMN], bucket_rows)
-    required = S.RAW_FEATURE_COLUMNS + S.DERIVED_DIAGNOSTIC_COLUMNS + S.MODEL_FEATURE_COLUMNS + [S.TARGET_COLUMN]
-    df = df.select(*S.TRAINING_OUTPUT_COLUMNS)
-    null_counts = None
-    if materialize:
-        # The whole-frame median needs more than one pass: cut the lineage
-        # into the shared checkpoint folder instead of recomputing the windows.
-        # NULL counts are observed during that write (no extra pass).
-        seen = Observation("nulls")
-        df = checkpoint(df.observe(seen, *[
-            F.count(F.when(F.col(c).isNull() | F.isnan(F.col(c).cast("double")), 1)).alias(c) for c in required]))
-        null_counts = seen.get
-    df = median_impute(df, required, by=median_by, null_counts=null_counts)
-    df = clip_bounds(df)
-    df = drop_incomplete(df, required)
-    return select_outputs(df, S.TRAINING_OUTPUT_COLUMNS)
-
-
-def flag_future(df: DataFrame, as_of, ts: str = "timestamp") -> DataFrame:
-    """is_future = timestamp > floor_hour(as_of) (strict)."""
-    cutoff = floor_hour(F.lit(as_of).cast("timestamp_ntz"))
-    return df.withColumn("is_future", (F.col(ts) > cutoff).cast("bigint"))
-
-
-def build_forecast_features(observations: DataFrame, as_of, horizon: int = S.DEFAULT_HORIZON_HOURS,
-                            bucket_rows: int = DEFAULT_BUCKET_ROWS, context: bool = False,
-                            prior: DataFrame | None = None, bounded: bool = True) -> DataFrame:
-    """Past+future rows -> 33-column forecast table: first ``horizon`` future rows per city.
-
-    Windows run over past and future together; only then the future rows
-    are kept.
-    ``bounded`` (default) windows only the future rows and the 23 past rows
-    they read, with fill carried from the older rows, instead of the whole
-    history; ``context=True`` returns every row with its features.
-    """
-    df = observations
-    if S.REFERENCE_COLUMN not in df.columns and S.TARGET_COLUMN in df.columns:
-        df = df.withColumnRenamed(S.TARGET_COLUMN, S.REFERENCE_COLUMN)
-    if prior is not None and S.REFERENCE_COLUMN not in prior.columns and S.TARGET_COLUMN in prior.columns:
-        prior = prior.withColumnRenamed(S.TARGET_COLUMN, S.REFERENCE_COLUMN)
-    if "forecast_run_timestamp" not in df.columns:
-        df = df.withColumn("forecast_run_timestamp", F.col("ingestion_timestamp"))
-    df = flag_future(df, as_of)
-    df = dedupe_keep_last(df, order=("forecast_run_timestamp", "ingestion_timestamp"))
-    value_cols = S.RAW_FEATURE_COLUMNS + [S.REFERENCE_COLUMN]
-    bounds = {c: S.CLIP_BOUNDS[c] for c in value_cols}
-    if bounded and not context and prior is None:
-        # Only the future rows are output: window future rows + the 23-row
-        # tail per city, with fill carried from the older rows (exact; see
-        # forecast_context_rows).  The deduped rows feed three branches, so
-        # they are written once.
-        df = checkpoint(df, "forecast-dedupe")
-        df, prior = forecast_context_rows(df, as_of, value_cols=value_cols)
     out = series_features(df, fill_cols=value_cols, clip_bounds=bounds, rolls=ROLLS,
                           bucket_rows=bucket_rows, keep_pos=True, prior=prior)
     out = add_time_features(convert_units(out))
@@ -180,7 +120,11 @@ def build_forecast_features(observations: DataFrame, as_of, horizon: int = S.DEF
         return out.drop("_pos")
     # A top-``horizon`` per city: map tasks send no more rows than that on.
     out = horizon_rows(out.filter(F.col("is_future") == 1), horizon).drop("_pos")
-    return select_outputs(out, S.FORECAST_OUTPUT_COLUMNS)
+    out = select_outputs(out, S.FORECAST_OUTPUT_COLUMNS)
+    if validate:
+        out = written_rows(out, "forecast-features", "No future rows available for the forecast table.")
+        quality_report(out, horizon=horizon, strict=True)
+    return out
 
 
 def forecast_context_rows(observations: DataFrame, as_of, value_cols=None, key: str = "city",

@@ -1,18 +1,22 @@
-"""Model training, comparison and scoring with Spark ML.
+"""Model training, comparison and scoring.
 
-Fitting is distributed by Spark ML (tree statistics and normal equations
-are aggregated across partitions); the assembled vectors are written once,
-so the hundreds of passes of a fit read them instead of recomputing them.
+Ridge is solved from mergeable statistics, the forest is Spark ML's, the boosted trees are histogram trees;
+every fitted model is a Spark ML stage, so one ``PipelineModel`` saves, loads and scores it.  The assembled
+vectors are written once, so the hundreds of passes of a fit read them instead of recomputing them.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from dataclasses import dataclass, field
+
+from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, functions as F
+from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .. import schemas as S
+from ..operators import ridge as R
+from ..operators.boosting import BoostedTrees
 from ..operators.median import exact_medians
 from ..operators.split import time_split
 from ..operators.summarize import regression_metrics
@@ -23,58 +27,118 @@ RIDGE, FOREST, BOOSTED = "Ridge Regression", "Random Forest", "Boosted Trees"
 
 # Reference hyper-parameters (library defaults).
 FOREST_PARAMS = dict(numTrees=300, maxDepth=14, minInstancesPerNode=3, featureSubsetStrategy="0.85", seed=42)
-BOOSTED_PARAMS = dict(maxIter=300, stepSize=0.05, maxDepth=4, minInstancesPerNode=3, subsamplingRate=0.85,
-                      featureSubsetStrategy="0.85", seed=42)
+FOREST_MIN_SPLIT = 8
+BOOSTED_PARAMS = dict(rounds=300, learning_rate=0.05, depth=4, min_child=3.0, rows=0.85, columns=0.85, l1=0.1, l2=2.0,
+                      seed=42)
 RIDGE_ALPHA = 1.0
-FILLED = "_filled_"
+FILLED, ARRAY = "_filled_", "_x"
 
 
 def preprocessing(train: DataFrame, features=None) -> list:
-    """Stages saved with every model: missing features take the exact training medians, then one vector.
+    """Stages saved with every model: missing features take the exact training medians, then one array and vector.
 
-    Scaling needs no stage: the ridge estimator standardises inside, the trees do not need it.  A
+    Scaling needs no stage: the ridge solves on standardised features, the trees do not need it.  A
     feature without any training value becomes 0.
     """
     feats = list(features or S.MODEL_FEATURE_COLUMNS)
     medians = exact_medians(train, feats)
     filled = ", ".join(f"coalesce(nullif(cast(`{c}` AS double), double('NaN')), {float(medians[c] or 0.0)!r}D) "
                        f"AS `{FILLED}{c}`" for c in feats)
+    array = ", ".join(f"`{FILLED}{c}`" for c in feats)
     return [SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"),
+            SQLTransformer(statement=f"SELECT *, array({array}) AS {ARRAY} FROM __THIS__"),
             VectorAssembler(inputCols=[FILLED + c for c in feats], outputCol="features")]
 
 
 def without_inner(df: DataFrame) -> DataFrame:
     """Predictions without the preprocessing's own columns."""
-    return df.drop("features", *[c for c in df.columns if c.startswith(FILLED)])
+    return df.drop("features", ARRAY, *[c for c in df.columns if c.startswith(FILLED)])
+
 
+@dataclass
+class Learner:
+    """Preprocessing stages and how the last stage is fitted on what ``assembled`` wrote.
 
-def ridge_reg_param(train: DataFrame, alpha: float = RIDGE_ALPHA, label: str = S.TARGET_COLUMN) -> float:
-    """Spark scales the L2 term by the label deviation: alpha * std_pop(y) / n equals closed-form ridge."""
-    row = train.agg(F.stddev_pop(label).alias("s"), F.count(F.lit(1)).alias("n")).first()
-    return float(alpha) * float(row["s"] or 0.0) / max(int(row["n"]), 1)
+    ``fit_last`` gives (Spark ML stage, feature importances).
+    """
+
+    name: str
+    stages: list
+    params: dict = field(default_factory=dict)
+    features: list = field(default_factory=lambda: list(S.MODEL_FEATURE_COLUMNS))
+    label: str = S.TARGET_COLUMN
+
+    def fit_last(self, vectors: DataFrame) -> tuple:
+        if self.name == RIDGE:
+            rows = vectors.select(self.label, "city", "timestamp", *[F.col(ARRAY)[i].alias(c) for i, c in enumerate(self.features)])
+            model = R.solve(R.statistics(rows, self.features, self.label), self.features, self.label, **self.params)
+            return model.stage(), model.importances
+        if self.name == BOOSTED:
+            model = BoostedTrees(**self.params, label=self.label, array=ARRAY).fit(vectors)
+            return model.stage(), model.importances
+        params = dict(self.params)
+        least = params.pop("min_split", FOREST_MIN_SPLIT)
+        model = RandomForestRegressor(featuresCol="features", labelCol=self.label, **params).fit(vectors)
+        model = prune_small(model, least)
+        return model, [float(v) for v in model.featureImportances.toArray()]
+
+    def fit(self, df: DataFrame) -> PipelineModel:
+        return fit_assembled(self, assembled(self, df))
+
+
+def prune_small(model: RandomForestRegressionModel, least: int) -> RandomForestRegressionModel:
+    """The forest as if nodes of fewer than ``least`` rows had not been split.
+
+    Trees grow from the top, so not splitting a node changes nothing but what hangs below it; counts fall
+    on the way down, so a node goes if its parent is too small.  Works on the saved table of nodes, whose
+    ids number each tree from the root, left subtree first.
+    """
+    from pyspark.sql import SparkSession
+    spark = SparkSession.active()
+    source, target = scratch_path(spark, "forest"), scratch_path(spark, "forest-pruned")
+    model.write().save(source)
+    nodes = spark.read.parquet(f"{source}/data")
+    small = nodes.where((F.col("nodeData.leftChild") >= 0) & (F.col("nodeData.rawCount") < least))
+    gone = small.select("treeID", F.explode(F.array("nodeData.leftChild", "nodeData.rightChild")).alias("id"))
+    kept = (nodes.join(gone, (nodes["treeID"] == gone["treeID"]) & (nodes["nodeData.id"] == gone["id"]), "left_anti")
+            .withColumn("new", (F.row_number().over(W.partitionBy("treeID").orderBy("nodeData.id")) - 1).cast("int")))
+    right = kept.select(F.col("treeID").alias("_tree"), F.col("nodeData.id").alias("_id"), F.col("new").alias("_right"))
+    old = F.col("nodeData")
+    leaf = (old["leftChild"] < 0) | (old["rawCount"] < least)
+    no_split = F.struct(F.lit(-1).alias("featureIndex"), F.array().cast("array<double>").alias("leftCategoriesOrThreshold"),
+                        F.lit(-1).alias("numCategories"))
+    node = F.struct(
+        F.col("new").alias("id"), old["prediction"].alias("prediction"), F.when(leaf, -1.0).otherwise(old["impurity"]).alias("impurity"),
+        old["impurityStats"].alias("impurityStats"), old["rawCount"].alias("rawCount"), F.when(leaf, -1.0).otherwise(old["gain"]).alias("gain"),
+        F.when(leaf, -1).otherwise(F.col("new") + 1).alias("leftChild"), F.when(leaf, -1).otherwise(F.col("_right")).alias("rightChild"),
+        F.when(leaf, no_split).otherwise(old["split"]).alias("split"))
+    (kept.join(right, (F.col("treeID") == F.col("_tree")) & (old["rightChild"] == F.col("_id")), "left")
+     .select("treeID", node.alias("nodeData")).write.parquet(f"{target}/data"))
+    spark.read.text(f"{source}/metadata").write.text(f"{target}/metadata")
+    spark.read.parquet(f"{source}/treesMetadata").write.parquet(f"{target}/treesMetadata")
+    return RandomForestRegressionModel.load(target)
 
 
 def estimators(train: DataFrame, features=None, label: str = S.TARGET_COLUMN, forest=None, boosted=None,
-               alpha: float = RIDGE_ALPHA) -> dict:
+               alpha: float = RIDGE_ALPHA, only=(RIDGE, FOREST, BOOSTED)) -> dict:
+    """The learners asked for; they share their preprocessing."""
     feats = list(features or S.MODEL_FEATURE_COLUMNS)
-    ridge = LinearRegression(featuresCol="features", labelCol=label, solver="normal", elasticNetParam=0.0,
-                             standardization=True, regParam=ridge_reg_param(train, alpha, label))
-    rf = RandomForestRegressor(featuresCol="features", labelCol=label, **{**FOREST_PARAMS, **(forest or {})})
-    gbt = GBTRegressor(featuresCol="features", labelCol=label, **{**BOOSTED_PARAMS, **(boosted or {})})
+    params = {RIDGE: dict(alpha=alpha), FOREST: {**FOREST_PARAMS, **(forest or {})}, BOOSTED: {**BOOSTED_PARAMS, **(boosted or {})}}
     stages = preprocessing(train, feats)
-    return {name: Pipeline(stages=[*stages, est]) for name, est in
-            ((RIDGE, ridge), (FOREST, rf), (BOOSTED, gbt))}
+    return {name: Learner(name, stages, params[name], feats, label) for name in only}
 
 
-def assembled(est: Pipeline, df: DataFrame, label: str = S.TARGET_COLUMN) -> DataFrame:
-    """The label and the vector that the pipeline's last stage fits on, written once."""
-    return checkpoint(PipelineModel(est.getStages()[:-1]).transform(df).select(label, "features"), "assembled")
+def assembled(est: Learner, df: DataFrame) -> DataFrame:
+    """Label, key, array and vector that the last stage fits on, written once."""
+    return checkpoint(PipelineModel(est.stages).transform(df).select(est.label, "city", "timestamp", ARRAY, "features"), "assembled")
 
 
-def fit_assembled(est: Pipeline, vectors: DataFrame) -> PipelineModel:
+def fit_assembled(est: Learner, vectors: DataFrame) -> PipelineModel:
     """The pipeline fitted on vectors that ``assembled`` wrote; its stages before the last learn nothing."""
-    *before, last = est.getStages()
-    return PipelineModel([*before, last.fit(vectors)])
+    last, importances = est.fit_last(vectors)
+    model = PipelineModel([*est.stages, last])
+    model.importances = importances
+    return model
 
 
 def side_metrics(model, df: DataFrame, label: str = S.TARGET_COLUMN) -> dict:
@@ -83,17 +147,16 @@ def side_metrics(model, df: DataFrame, label: str = S.TARGET_COLUMN) -> dict:
 
 
 def compare(train: DataFrame, test: DataFrame, ests: dict, label: str = S.TARGET_COLUMN):
-    """Fit each estimator on train; metrics on both sides; rows ordered best first.
+    """Fit each learner on train; metrics on both sides; the best by (test RMSE, test MAE).
 
-    The estimators share their stages before the last (see ``estimators``).
+    The learners share their stages before the last (see ``estimators``).
     """
     spark = train.sparkSession
     shared = next(iter(ests.values()))
-    train_vectors, test_vectors = assembled(shared, train, label), assembled(shared, test, label)
+    train_vectors, test_vectors = assembled(shared, train), assembled(shared, test)
     fitted, rows = {}, []
     for name, est in ests.items():
-        model = fit_assembled(est, train_vectors)
-        fitted[name] = model
+        fitted[name] = model = fit_assembled(est, train_vectors)
         last = model.stages[-1]
         tr, te = side_metrics(last, train_vectors, label), side_metrics(last, test_vectors, label)
         rows.append((name, tr["MAE"], tr["RMSE"], tr["R2"], te["MAE"], te["RMSE"], te["R2"]))
@@ -103,21 +166,14 @@ def compare(train: DataFrame, test: DataFrame, ests: dict, label: str = S.TARGET
     return metrics, fitted, best
 
 
-def feature_importance(model: PipelineModel, name: str, train: DataFrame, features=None) -> DataFrame:
-    """Tree importances; for ridge |coef| on standardised features; else zeros."""
-    feats = list(features or S.MODEL_FEATURE_COLUMNS)
-    last = model.stages[-1]
-    if hasattr(last, "featureImportances"):
-        values = [float(v) for v in last.featureImportances.toArray()]
-    elif hasattr(last, "coefficients"):
-        sd = train.agg(*[F.stddev_pop(c).alias(c) for c in feats]).first()
-        values = [abs(float(c) * float(sd[f] or 0.0)) for c, f in zip(last.coefficients.toArray(), feats)]
-    else:
-        values = [0.0] * len(feats)
-    spark = train.sparkSession
-    df = spark.createDataFrame([(f, v, name) for f, v in zip(feats, values)],
-                               "feature string, importance double, model_name string")
-    return df.orderBy(F.col("importance").desc())
+def feature_importance(registered: DataFrame) -> DataFrame:
+    """(feature, importance, model_name) of one registry row, highest first.
+
+    Stored at training: tree importances as shares of the gain; for ridge |coef| on standardised features.
+    """
+    pairs = F.arrays_zip(F.col("feature_columns").alias("feature"), F.col("feature_importance").alias("importance"))
+    return (registered.select("best_model_name", F.inline(pairs))
+            .select("feature", "importance", F.col("best_model_name").alias("model_name")).orderBy(F.col("importance").desc()))
 
 
 def score(model: PipelineModel, rows: DataFrame, digits: int = 1) -> DataFrame:
@@ -145,8 +201,7 @@ def train_and_register(table: DataFrame, registry_path: str, name: str, features
     train, test = (parts.filter(F.col("split") == p).drop("split") for p in ("train", "test"))
     metrics, _, best = compare(train, test, estimators(train, feats, label, forest, boosted), label)
     held = metrics.filter(F.col("model_name") == best).first()
-    est = estimators(table, feats, label, forest, boosted)[best]
-    model = fit_assembled(est, assembled(est, table, label))
+    model = estimators(table, feats, label, forest, boosted, only=(best,))[best].fit(table)
     path = save_model(model, scratch_path(spark, "model"))
     record = table.agg(F.count(F.lit(1)).cast("bigint").alias("training_rows"),
                        F.min("timestamp").alias("training_start"), F.max("timestamp").alias("training_end")).select(
@@ -154,13 +209,41 @@ def train_and_register(table: DataFrame, registry_path: str, name: str, features
         F.lit(held["test_R2"]).alias("r2"), F.lit(len(feats)).cast("bigint").alias("feature_count"),
         F.lit(best).alias("best_model_name"), F.array(*[F.lit(c) for c in feats]).alias("feature_columns"),
         "training_rows", "training_start", "training_end", F.col("training_end").alias("created_at"),
-        F.lit(path).alias("model_path"))
+        F.lit(path).alias("model_path"), F.array(*[F.lit(v) for v in model.importances]).alias("feature_importance"))
     return best, model, registry_append(spark, registry_path, record)
 
 
+def table_digest(table: DataFrame) -> str:
+    """Names a table by its rows, whatever their order: a model trained on it needs no second training."""
+    row = table.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*table.columns).cast("decimal(38,0)")).alias("a"),
+                    F.sum(F.xxhash64(F.lit("again"), *table.columns).cast("decimal(38,0)")).alias("b")).first()
+    return f"{row['n']}-{int(row['a'] or 0) & (1 << 64) - 1:016x}{int(row['b'] or 0) & (1 << 64) - 1:016x}"
+
+
+def registered_model(table: DataFrame, registry_path: str, name: str, **params) -> DataFrame:
+    """The newest registry row of the model trained on just this table; trains and registers it if there is none.
+
+    Models are kept apart by the table's digest, so every caller with the same data shares one training and
+    changed data are trained anew.
+    """
+    from ..session import path_exists
+    from ..sources.store import read_registry
+    spark, own = table.sparkSession, f"{name}-{table_digest(table)}"
+    if path_exists(spark, registry_path):
+        found = registry_latest(read_registry(spark, registry_path), own)
+        if not found.isEmpty():
+            return found
+    _, _, registry = train_and_register(table, registry_path, own, **params)
+    return registry_latest(registry, own)
+
+
 def score_registered(registry: DataFrame, name: str, rows, digits: int = 1) -> DataFrame:
     """Load the newest registered model of a name and score ``rows(its stored features)`` with it."""
     latest = registry_latest(registry, name).first()
     if latest is None:
         raise ValueError(f"No registered model: {name}")
+    return score_with(latest, rows, digits)
+
+
+def score_with(latest, rows, digits: int = 1) -> DataFrame:
     return score(PipelineModel.load(latest["model_path"]), rows(list(latest["feature_columns"])), digits)

@@ -1,21 +1,23 @@
-"""Spark ML queries.  Model fits have no SQL equivalent (rows-only checks); the preprocessing has.
+"""Model queries.  Ridge and the preprocessing have an exact SQL form; fits of trees have none (rows-only checks,
+brute force in the tests).
 
 ``queries()`` fits with the library defaults, which are the reference's (300
-trees, 300 boosting rounds).  Every query fits its own models: nothing is
-kept between calls.
+trees, 300 boosting rounds).  The four queries that use the selected model share one training: it is registered
+under the digest of the training table, and whoever comes with the same table loads it.
 """
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.numeric import np_round
 from ..operators.clean import training_clean
 from ..operators.forecast import prepare_scoring
 from ..operators.split import time_split
-from ..session import scratch_path
+from ..session import ensure_checkpoint_dir, scratch_path
 from ..sources import fixture as FX
 from ..sources import store as ST
 from . import ml as M
@@ -40,14 +42,39 @@ def _split(spark, sf_dir):
 
 def _fit_one(spark, sf_dir, name):
     train, test = _split(spark, sf_dir)
-    est = M.estimators(train)[name]
-    model = M.fit_assembled(est, M.assembled(est, train))
+    model = M.estimators(train, only=(name,))[name].fit(train)
     return model.transform(test).select("city", "timestamp", S.TARGET_COLUMN, "prediction")
 
 
-@register("ml_ridge")
+def _ridge_sql():
+    """The normal equations on standardised features, solved by elimination."""
+    n, y = len(S.MODEL_FEATURE_COLUMNS), S.TARGET_COLUMN
+    split = ("sp AS (SELECT *, row_number() OVER (ORDER BY timestamp, city) <= "
+             "(SELECT CAST(floor(count(*) * 0.8e0) AS BIGINT) FROM train) AS learned FROM train)")
+    cols = S.MODEL_FEATURE_COLUMNS
+    moments = "mo AS (SELECT avg({0}) AS my, {1} FROM sp WHERE learned)".format(y, ", ".join(
+        f"avg({c}) AS m{i}, stddev_pop({c}) AS d{i}" for i, c in enumerate(cols)))
+    z = "z AS (SELECT sp.city, sp.timestamp, sp.learned, sp.{0}, mo.my, {1} FROM sp, mo)".format(y, ", ".join(
+        f"CASE WHEN d{i} > 0 THEN (sp.{c} - m{i}) / d{i} ELSE 0e0 END AS z{i}" for i, c in enumerate(cols)))
+    rows = ", ".join("[" + ", ".join(
+        [f"sum(z{i} * z{j})" + (f" + {O.dbl(M.RIDGE_ALPHA)}" if i == j else "") for j in range(n)] + [f"sum(z{i} * ({y} - my))"]) + "]"
+        for i in range(n))
+    eliminate = ("el AS (SELECT 1 AS k, m FROM mat UNION ALL SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN i = k "
+                 "THEN list_transform(r, lambda x: x / r[k]) ELSE list_transform(r, lambda x, j: x - r[k] * m[k][j] / m[k][k]) END) "
+                 f"FROM el WHERE k <= {n})")
+    fit = " + ".join(f"m[{i + 1}][{n + 1}] * z{i}" for i in range(n))
+    ctes = [*O.training_ctes(), split, moments, z, f"mat AS (SELECT [{rows}] AS m FROM z WHERE learned)", eliminate]
+    text = O.with_(ctes, f"SELECT city, timestamp, {O.r6(y)} AS {y}, {O.r_digits('my + ' + fit, 4)} AS prediction FROM z, el "
+                         f"WHERE k = {n + 1} AND NOT learned")
+    return text.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@register("ml_ridge", _ridge_sql())
 def q_ml_ridge(spark, sf_dir):
-    return _fit_one(spark, sf_dir, M.RIDGE)
+    """Test-side predictions; rounded to the digits that two ways of solving share."""
+    from ..functions.numeric import stable6
+    got = _fit_one(spark, sf_dir, M.RIDGE)
+    return got.withColumns({S.TARGET_COLUMN: stable6(F.col(S.TARGET_COLUMN)), "prediction": np_round("prediction", 4)})
 
 
 @register("ml_forest")
@@ -67,42 +94,51 @@ def q_ml_compare(spark, sf_dir):
     return metrics
 
 
-def _trained(spark, sf_dir):
-    """(winner, fitted model, registry, table): the whole training job, run anew."""
+def _registered(spark, sf_dir):
+    """(registry row of the selected model, table): trained once for a table, then loaded."""
     table = _table(spark, sf_dir)
-    best, model, registry = M.train_and_register(table, scratch_path(spark, "registry"), MODEL_NAME)
-    return best, model, registry, table
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/airspark/registry"
+    return M.registered_model(table, path, MODEL_NAME), table
 
 
 @register("ml_refit")
 def q_ml_refit(spark, sf_dir):
-    best, model, _, full = _trained(spark, sf_dir)
-    return model.transform(full).select("city", "timestamp", S.TARGET_COLUMN, "prediction",
-                                        F.lit(best).alias("model_name"))
+    row, full = _registered(spark, sf_dir)
+    row = row.first()
+    return PipelineModel.load(row["model_path"]).transform(full).select(
+        "city", "timestamp", S.TARGET_COLUMN, "prediction", F.lit(row["best_model_name"]).alias("model_name"))
 
 
 @register("ml_importance")
 def q_ml_importance(spark, sf_dir):
-    best, model, _, full = _trained(spark, sf_dir)
-    return M.feature_importance(model, best, full)
+    row, _ = _registered(spark, sf_dir)
+    return M.feature_importance(row)
 
 
 @register("ml_score")
 def q_ml_score(spark, sf_dir):
     """The registered model, loaded from its folder, with its stored feature list."""
-    _, _, registry, _ = _trained(spark, sf_dir)
-    return M.score_registered(registry, MODEL_NAME, lambda features: prepare_scoring(
+    row, _ = _registered(spark, sf_dir)
+    return M.score_with(row.first(), lambda features: prepare_scoring(
         forecast_store(spark, sf_dir), features, horizon=72, timezone=FX.CITY_TIMEZONE)
     ).select("city", "timestamp", "predicted_aqi", "aqi_category")
 
 
-@register("registry_append")
+REGISTERED = ["name", "version", "feature_count", "training_rows", "training_start", "training_end", "created_at"]
+
+
+@register("registry_append", O.with_(O.training_ctes(), f"""SELECT '{MODEL_NAME}' AS name, v AS version,
+ CAST({len(S.MODEL_FEATURE_COLUMNS)} AS BIGINT) AS feature_count, CAST(count(*) AS BIGINT) AS training_rows,
+ min(timestamp) AS training_start, max(timestamp) AS training_end, max(timestamp) AS created_at,
+ TRUE AS scored FROM train, (VALUES (CAST(1 AS BIGINT)), (CAST(2 AS BIGINT))) AS t(v) GROUP BY v"""))
 def q_registry_append(spark, sf_dir):
-    """Two versions of one model; the metrics are the winner's on the held-out part."""
-    best, model, registry, _ = _trained(spark, sf_dir)
+    """Two versions of the selected model: key, training rows and span, and whether it holds metrics and importances."""
+    row, _ = _registered(spark, sf_dir)
     path = scratch_path(spark, "registry-twice")
-    ST.registry_append(spark, path, registry.drop("version"))
-    return ST.registry_append(spark, path, registry.drop("version")).drop("feature_columns", "model_path")
+    record = row.drop("version").withColumn("name", F.lit(MODEL_NAME))
+    ST.registry_append(spark, path, record)
+    scored = (F.col("mae") >= 0) & (F.col("rmse") >= F.col("mae")) & (F.size("feature_importance") == F.col("feature_count"))
+    return ST.registry_append(spark, path, record).select(*REGISTERED, scored.alias("scored"))
 
 
 GAP = "hour % 7 = 0"  # rows whose features are taken away, to be filled by the medians

@@ -214,6 +214,14 @@ def table_schema(columns) -> T.StructType:
     return T.StructType([T.StructField(c, column_type(c), True) for c in columns])
 
 
+REGISTRY_SCHEMA = T.StructType([
+    T.StructField("name", T.StringType()), T.StructField("version", T.LongType()), T.StructField("mae", T.DoubleType()),
+    T.StructField("rmse", T.DoubleType()), T.StructField("r2", T.DoubleType()), T.StructField("feature_count", T.LongType()),
+    T.StructField("best_model_name", T.StringType()), T.StructField("feature_columns", T.ArrayType(T.StringType())),
+    T.StructField("training_rows", T.LongType()), T.StructField("training_start", T.TimestampNTZType()),
+    T.StructField("training_end", T.TimestampNTZType()), T.StructField("created_at", T.TimestampNTZType()),
+    T.StructField("model_path", T.StringType()), T.StructField("feature_importance", T.ArrayType(T.DoubleType())),
+])
 TRAINING_SCHEMA = table_schema(TRAINING_OUTPUT_COLUMNS)
 FORECAST_SCHEMA = table_schema(FORECAST_OUTPUT_COLUMNS)
 

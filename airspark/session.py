@@ -83,9 +83,13 @@ def checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:
     return spark.read.parquet(path)
 
 
+def hadoop_path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table folder exists (the only test for "not written yet")."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p = hadoop_path(spark, path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 

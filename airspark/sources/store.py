@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import schemas as S
 from ..functions.time import parse_timestamp
 from ..operators.clean import dedupe_keep_last
-from ..session import drop_scratch, path_exists, scratch_path
+from ..session import drop_scratch, hadoop_path, path_exists, scratch_path
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
@@ -206,20 +206,60 @@ def display_table(df: DataFrame) -> DataFrame:
 
 REGISTRY_COLUMNS = ["name", "version", "mae", "rmse", "r2", "feature_count", "best_model_name",
                     "feature_columns", "training_rows", "training_start", "training_end", "created_at",
-                    "model_path"]
+                    "model_path", "feature_importance"]
+
+
+def read_registry(spark: SparkSession, registry_path: str) -> DataFrame:
+    """All committed records.  The schema is declared, so an empty registry reads as no rows."""
+    return spark.read.schema(S.REGISTRY_SCHEMA).parquet(registry_path)
+
+
+def create_once(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; False if it is there already.  One writer of many gets True where the store creates atomically."""
+    from py4j.protocol import Py4JJavaError
+    p = hadoop_path(spark, path)
+    try:
+        return p.getFileSystem(spark._jsc.hadoopConfiguration()).createNewFile(p)
+    except Py4JJavaError as e:  # taken between the look and the creation
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+
+
+def claimed(spark: SparkSession, folder: str) -> list[int]:
+    """The numbers taken in a folder of marker files."""
+    p = hadoop_path(spark, folder)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(int(f.getPath().getName()) for f in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def claim_version(spark: SparkSession, registry_path: str, name: str) -> int:
+    """A version number of the name that no other writer gets.
+
+    A marker file is created exclusively; whoever finds it taken goes on to the next number.  A writer that
+    dies behind its claim leaves a gap, never a doubled version.
+    """
+    from urllib.parse import quote
+    folder = f"{registry_path}/_versions/{quote(name, safe='')}"
+    version = 1 + max(claimed(spark, folder), default=0)
+    while not create_once(spark, f"{folder}/{version}"):
+        version += 1
+    return version
 
 
 def registry_append(spark: SparkSession, registry_path: str, record: DataFrame) -> DataFrame:
-    """Append one model record; version = previous highest + 1 for the name."""
-    if path_exists(spark, registry_path):
-        current = spark.read.parquet(registry_path)
-        top = current.groupBy("name").agg(F.max("version").alias("_top"))
-        rec = (record.join(top, "name", "left")
-               .withColumn("version", (F.coalesce(F.col("_top"), F.lit(0)) + 1).cast("bigint")).drop("_top"))
-    else:
-        rec = record.withColumn("version", F.lit(1).cast("bigint"))
+    """Append model records; each takes the next free version of its name.
+
+    The row is the commit: until it is written, a claimed version is not seen.
+    """
+    names = [r["name"] for r in record.select("name").distinct().collect()]  # one training job's models
+    versions = {n: claim_version(spark, registry_path, n) for n in names}
+    number = F.create_map(*[F.lit(x) for n, v in versions.items() for x in (n, v)])
+    rec = record.withColumn("version", number[F.col("name")].cast("bigint"))
+    missing = [c for c in REGISTRY_COLUMNS if c not in rec.columns]
+    rec = rec.withColumns({c: F.lit(None).cast(S.REGISTRY_SCHEMA[c].dataType) for c in missing})
     rec.select(*REGISTRY_COLUMNS).write.mode("append").parquet(registry_path)
-    return spark.read.parquet(registry_path)
+    return read_registry(spark, registry_path)
 
 
 def registry_latest(registry: DataFrame, name: str | None = None, version: int | None = None) -> DataFrame:

@@ -119,7 +119,7 @@ def score_touched(spark: SparkSession, table_path: str, predictions_path: str, a
                .join(touched, "city", "left_semi"))
         # Bounded recompute: future rows + 23-row tail + carried values.
         rows, prior = forecast_context_rows(obs, as_of)
-        fc = build_forecast_features(rows, as_of, horizon=horizon, prior=prior)
+        fc = build_forecast_features(rows, as_of, horizon=horizon, prior=prior, validate=False)
         keyed_upsert(scorer(fc), predictions_path, order=("forecast_run_timestamp", "ingestion_timestamp"),
                      month_partitions=True)
 

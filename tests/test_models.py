@@ -1,7 +1,8 @@
 """The registered model queries fit the reference's job."""
 
 import pytest
-from pyspark.ml import PipelineModel
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import functions as F
 
 from airspark import schemas as S
@@ -30,11 +31,10 @@ def test_queries_fit_300_trees_and_300_rounds(spark, rows, monkeypatch):
 
     monkeypatch.setattr(q_ml, "_table", lambda spark, sf_dir: rows)
     monkeypatch.setattr(M, "assembled", stop)
-    for query, size in ((q_ml.q_ml_forest, "numTrees"), (q_ml.q_ml_boosted, "maxIter")):
+    for query, size in ((q_ml.q_ml_forest, "numTrees"), (q_ml.q_ml_boosted, "rounds")):
         with pytest.raises(Stop):
             query(spark, "")
-        last = seen["est"].getStages()[-1]
-        assert last.getOrDefault(size) == 300
+        assert seen["est"].params[size] == 300
 
     def compared(train, test, ests, *args):
         seen["ests"] = ests
@@ -45,14 +45,19 @@ def test_queries_fit_300_trees_and_300_rounds(spark, rows, monkeypatch):
         seen.clear()
         with pytest.raises(Stop):
             query(spark, "")
-        assert seen["ests"][M.FOREST].getStages()[-1].getNumTrees() == 300
-        assert seen["ests"][M.BOOSTED].getStages()[-1].getMaxIter() == 300
+        assert seen["ests"][M.FOREST].params == {**M.FOREST_PARAMS} and M.FOREST_PARAMS["numTrees"] == 300
+        assert seen["ests"][M.BOOSTED].params == {**M.BOOSTED_PARAMS} and M.BOOSTED_PARAMS["rounds"] == 300
 
 
 def test_fit_on_written_vectors_equals_the_pipeline(spark, rows, tmp_path):
     est = M.estimators(rows)[M.RIDGE]
     model = M.fit_assembled(est, M.assembled(est, rows))
     M.save_model(model, f"{tmp_path}/m")
+    # Spark ML's own ridge: its penalty is scaled by the label's deviation and the row count.
+    n, deviation = rows.count(), rows.agg(F.stddev_pop(S.TARGET_COLUMN)).first()[0]
+    own = LinearRegression(featuresCol="features", labelCol=S.TARGET_COLUMN, solver="normal", elasticNetParam=0.0,
+                           standardization=True, regParam=M.RIDGE_ALPHA * deviation / n)
+    want = Pipeline(stages=[*est.stages, own]).fit(rows)
     got, again, want = ([r.prediction for r in m.transform(rows).orderBy("timestamp").collect()]
-                        for m in (model, PipelineModel.load(f"{tmp_path}/m"), est.fit(rows)))
-    assert got == again and got == pytest.approx(want, rel=1e-9, abs=1e-9)
+                        for m in (model, PipelineModel.load(f"{tmp_path}/m"), want))
+    assert got == again and got == pytest.approx(want, rel=1e-6, abs=1e-6)
