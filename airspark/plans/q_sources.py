@@ -272,8 +272,7 @@ def _payloads(spark, sf_dir):
     hourly = checkpoint(scored_api(spark, sf_dir), "scored-hours")
     return prediction_payload(hourly, SU.daily_summary_api(hourly), SU.pollutant_summary(hourly),
                               SU.headline_summary(hourly),
-                              {"model_name": "aqi_model", "model_version": 1, "best_model_name": "stand-in",
-                               "feature_columns": S.MODEL_FEATURE_COLUMNS}, "norland", FX.CITY_TIMEZONE)
+                              {**MODEL_PART, "feature_columns": S.MODEL_FEATURE_COLUMNS}, "norland", FX.CITY_TIMEZONE)
 
 
 def _parsed(spark, sf_dir):
@@ -297,9 +296,42 @@ def q_payload_read_pollutants(spark, sf_dir):
     return _parsed(spark, sf_dir)[2].select(*PS_COLS)
 
 
-@register("prediction_payload")
+def _text_payloads(spark, sf_dir):
+    """The documents as a careless writer gives them: every number as text, the temperature unreadable, and no
+    days where the city's name has an even length."""
+    docs = checkpoint(_payloads(spark, sf_dir), "payloads")
+    text = F.regexp_replace("payload", r'"(\w+)":(-?[0-9][0-9.eE+-]*)', '"$1":" $2 "')
+    text = F.regexp_replace(text, r'"temperature_2m":"[^"]*"', '"temperature_2m":"n/a"')
+    no_days = F.when(F.length("city") % 2 == 0, F.regexp_replace(text, '"daily":', '"other":')).otherwise(text)
+    return docs.select("city", no_days.alias("payload"))
+
+
+@register("payload_read_text", sql(API + ["pr AS (SELECT * REPLACE (CAST(NULL AS DOUBLE) AS temperature_2m) FROM api)"],
+                                   HR_COLS, "pr", set(HR_COLS) - {"city", "timestamp", "aqi_category"}))
+def q_payload_read_text(spark, sf_dir):
+    from .payload import payload_read
+    return out(payload_read(_text_payloads(spark, sf_dir))[0].select(*HR_COLS))
+
+
+@register("payload_read_text_daily", f"SELECT * FROM ({ORACLE['daily_summary_api']}) WHERE length(city) % 2 = 1")
+def q_payload_read_text_daily(spark, sf_dir):
+    from .payload import payload_read
+    return out(payload_read(_text_payloads(spark, sf_dir))[1].select(*DAPI_COLS))
+
+
+MODEL_PART = {"model_name": "aqi_model", "model_version": 1, "best_model_name": "stand-in"}
+
+
+@register("prediction_payload", f"""SELECT h.*, 'success' AS status, 'norland' AS country, '{FX.CITY_TIMEZONE}' AS timezone,
+ 'aqi_model' AS model_name, CAST(1 AS BIGINT) AS model_version, 'stand-in' AS best_model_name,
+ CAST({len(S.MODEL_FEATURE_COLUMNS)} AS BIGINT) AS feature_count, CAST({len(S.MODEL_FEATURE_COLUMNS)} AS BIGINT) AS features,
+ h.forecast_hours AS hours, (SELECT CAST(count(*) AS BIGINT) FROM ({ORACLE['daily_summary_api']}) d WHERE d.city = h.city) AS days,
+ (SELECT CAST(count(*) AS BIGINT) FROM ({ORACLE['pollutant_summary']}) p WHERE p.city = h.city) AS pollutants
+ FROM ({ORACLE['headline_summary']}) h""")
 def q_prediction_payload(spark, sf_dir):
-    return _payloads(spark, sf_dir)
+    """Every document parsed back: status, place, summary, model and the lengths of its arrays."""
+    from .payload import payload_head
+    return out(payload_head(checkpoint(_payloads(spark, sf_dir), "payloads")))
 
 
 @register("src_air_forecast", sql(FX_CTES + [f"fc AS (SELECT * RENAME (us_aqi AS {S.REFERENCE_COLUMN}) FROM air)"],

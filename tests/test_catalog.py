@@ -10,8 +10,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.join(ROOT, "scripts")]
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"prediction_payload", "ml_ridge", "ml_forest", "ml_boosted", "ml_compare", "ml_refit",
-             "ml_importance", "ml_score", "registry_append"}
+ROWS_ONLY = {"ml_forest", "ml_boosted", "ml_compare", "ml_refit", "ml_importance", "ml_score"}
 
 
 def catalog():
