@@ -1,13 +1,15 @@
 """Exact quantiles over a whole frame without gathering a column anywhere.
 
 ``percentile``/``median`` over one global group keep every distinct value in
-one aggregation buffer, which does not scale.  Here each target rank is
-found by narrowing: a grouped histogram (bin, count, min, max) over the
-current bracket is computed with map-side partial aggregation, only the
-bin holding the rank is kept, and once a bracket holds at most
-``max_collect`` values they are fetched (bounded) and the rank is read off.
-Bins are monotone in the value, so each bracket [min, max] of the chosen bin
-holds exactly that bin's values and the count below it is exact.
+one aggregation buffer, which does not scale.  Here mergeable KLL sketches
+(Spark's ``kll_sketch_agg_double``, combined map-side) bracket each target
+rank with their guaranteed rank error.  The next scan proves the bracket by
+counting the values below it and at its ends, and fetches what lies strictly
+between if that is little, or sketches it again if it is not.  Each scan is one
+aggregate without grouping: no row is exploded, whatever the number of columns
+and ranks, and only a bounded number of values ever reaches the driver.  A
+bracket that the counts refute (sketches are right with high probability,
+not always) is widened and tried again, so the result is exact always.
 
 Quantiles use numpy's default linear interpolation bit for bit (what
 pandas ``quantile`` returns); the median is the mean of the two middle
@@ -17,117 +19,134 @@ values, as pandas ``median``.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.numeric import nan_to_null
 
+#: Items of a sketch, and a rank error that it keeps nearly always (the sketch's own bound at this size, with room).
+SKETCH_K = 4096
+RANK_ERROR = 0.003
+#: Conditional sums of one aggregate; more brackets take another scan.
+BRACKETS_A_SCAN = 200
 
-def exact_quantiles(df: DataFrame, cols, probs=(0.5,), max_collect: int = 50_000,
-                    bins: int = 1024, max_fetch_total: int = 1_000_000) -> dict:
+
+@dataclass
+class _Bracket:
+    """A column's ranks (first, last) and the values that should enclose them."""
+
+    column: int
+    first: int
+    last: int
+    low: float
+    high: float
+    expected: float            # values between the ends, by the sketch
+    outer: tuple = ()          # the proven bracket around it: (low, high, below, inside, sketch bytes)
+    error: float = RANK_ERROR
+    found: dict = field(default_factory=dict)
+
+
+def exact_quantiles(df: DataFrame, cols, probs=(0.5,), max_collect: int = 50_000, max_fetch_total: int = 1_000_000,
+                    k: int = SKETCH_K, error: float = RANK_ERROR) -> dict:
     """{col: {p: value or None}} for every column and probability."""
     cols = list(cols)
     vals = df.select(*[nan_to_null(F.col(c).cast("double")).alias(f"c{i}") for i, c in enumerate(cols)])
-    # Infinities are counted at the ends and kept out of the histogram.
+    # Infinities are counted at the ends and kept out of the sketches.
     finite = [F.when(F.abs(f"c{i}") < float("inf"), F.col(f"c{i}")) for i in range(len(cols))]
     stats = vals.agg(*[F.count(f"c{i}").alias(f"n{i}") for i in range(len(cols))],
                      *[F.count(F.when(F.col(f"c{i}") == float("-inf"), 1)).alias(f"neg{i}") for i in range(len(cols))],
                      *[F.count(x).alias(f"fin{i}") for i, x in enumerate(finite)],
                      *[F.min(x).alias(f"lo{i}") for i, x in enumerate(finite)],
-                     *[F.max(x).alias(f"hi{i}") for i, x in enumerate(finite)]).first()
-
-    result = {c: {p: None for p in probs} for c in cols}
-    found = {}            # (col index, rank) -> value
-    # probe: (col index, lo, hi, below, count) -> set of ranks wanted inside it
-    probes = {}
-    for i in range(len(cols)):
-        n = stats[f"n{i}"]
-        if not n:
-            continue
-        ranks = set()
-        for p in probs:
-            ranks.update(_ranks(n, p))
-        neg, fin = stats[f"neg{i}"], stats[f"fin{i}"]
-        found.update({(i, r): float("-inf") for r in ranks if r < neg})
-        found.update({(i, r): float("inf") for r in ranks if r >= neg + fin})
-        inside = {r for r in ranks if neg <= r < neg + fin}
-        if inside:
-            probes.setdefault((i, stats[f"lo{i}"], stats[f"hi{i}"], neg, fin), set()).update(inside)
-
-    while probes:
-        # Resolve probes that are constant or small enough to fetch; the
-        # values fetched in one round stay under ``max_fetch_total`` (the
-        # rest take another histogram pass, which always narrows them).
-        small, budget = {}, max_fetch_total
-        for k, v in sorted(probes.items(), key=lambda kv: kv[0][4]):
-            if k[1] == k[2]:
-                small[k] = v
-            elif k[4] <= max_collect and k[4] <= budget:
-                small[k] = v
-                budget -= k[4]
-        for (i, lo, hi, below, cnt), ranks in small.items():
-            if lo == hi:
-                for r in ranks:
-                    found[(i, r)] = lo
-        fetch = [(k, v) for k, v in small.items() if k[1] != k[2]]
-        if fetch:
-            parts = [F.when((F.col(f"c{k[0]}") >= F.lit(k[1])) & (F.col(f"c{k[0]}") <= F.lit(k[2])),
-                            F.struct(F.lit(j).alias("p"), F.col(f"c{k[0]}").alias("v")))
-                     for j, (k, _) in enumerate(fetch)]
-            rows = (vals.select(F.explode(F.array(*parts)).alias("s")).filter(F.col("s").isNotNull())
-                    .select("s.p", "s.v").collect())
-            per = {}
-            for r in rows:
-                per.setdefault(r["p"], []).append(r["v"])
-            for j, ((i, lo, hi, below, cnt), ranks) in enumerate(fetch):
-                values = sorted(per.get(j, []))
-                for r in ranks:
-                    found[(i, r)] = values[r - below]
-        for k in small:
-            probes.pop(k)
-        if not probes:
-            break
-
-        # One histogram pass for all remaining probes.
-        plist = list(probes.items())
-        parts = []
-        for j, ((i, lo, hi, below, cnt), _) in enumerate(plist):
-            c = F.col(f"c{i}")
-            # In halves, so that the width of the whole double range is finite.
-            width = (hi * 0.5 - lo * 0.5) / bins
-            if width > 0:
-                b = F.least(F.floor((c * 0.5 - F.lit(lo * 0.5)) / F.lit(width)), F.lit(bins - 1)).cast("int")
-            else:  # too narrow to divide: split off the smallest value
-                b = F.when(c == F.lit(lo), 0).otherwise(1)
-            parts.append(F.when((c >= F.lit(lo)) & (c <= F.lit(hi)),
-                                F.struct(F.lit(j).alias("p"), b.alias("b"), c.alias("v"))))
-        hist = (vals.select(F.explode(F.array(*parts)).alias("s")).filter(F.col("s").isNotNull())
-                .groupBy("s.p", "s.b").agg(F.count(F.lit(1)).alias("n"), F.min("s.v").alias("mn"),
-                                           F.max("s.v").alias("mx"))
-                .collect())
-        per = {}
-        for r in hist:
-            per.setdefault(r["p"], []).append((r["b"], r["n"], r["mn"], r["mx"]))
-        probes = {}
-        for j, ((i, lo, hi, below, cnt), ranks) in enumerate(plist):
-            acc = below
-            for b, n, mn, mx in sorted(per.get(j, [])):
-                inside = {r for r in ranks if acc <= r < acc + n}
-                if inside:
-                    if (mn, mx, n) == (lo, hi, cnt) and lo != hi:
-                        raise ValueError(f"Quantile bracket [{lo}, {hi}] of {cols[i]} does not narrow.")
-                    probes.setdefault((i, mn, mx, acc, n), set()).update(inside)
-                acc += n
+                     *[F.max(x).alias(f"hi{i}") for i, x in enumerate(finite)],
+                     *[F.kll_sketch_agg_double(x, F.lit(k)).alias(f"s{i}") for i, x in enumerate(finite)]).first()
 
+    ranks, found, todo = {}, {}, []  # found: (column, rank) -> value
     for i, c in enumerate(cols):
-        n = stats[f"n{i}"]
-        if not n:
+        n, neg, fin = stats[f"n{i}"], stats[f"neg{i}"], stats[f"fin{i}"]
+        for p in probs if n else ():
+            first, last = ranks[i, p] = _ranks(n, p)
+            found.update({(i, r): float("-inf") for r in (first, last) if r < neg})
+            found.update({(i, r): float("inf") for r in (first, last) if r >= neg + fin})
+            inside = [r for r in (first, last) if neg <= r < neg + fin]
+            if inside:
+                whole = (stats[f"lo{i}"], stats[f"hi{i}"], neg, fin, stats[f"s{i}"])
+                todo.append(_Bracket(i, inside[0], inside[-1], 0.0, 0.0, 0.0, whole, error))
+    todo = _narrow(df.sparkSession, todo)
+    while todo:
+        todo, later = todo[:BRACKETS_A_SCAN], todo[BRACKETS_A_SCAN:]
+        todo = _scan(vals, todo, found, max_collect, max_fetch_total, k) + later
+
+    return {c: {p: _value(found, i, ranks[i, p], stats[f"n{i}"], p) if (i, p) in ranks else None for p in probs}
+            for i, c in enumerate(cols)}
+
+
+def _narrow(spark, brackets: list[_Bracket]) -> list[_Bracket]:
+    """Set each bracket's ends from the sketch of the proven bracket around it."""
+    if not brackets:
+        return []
+    asked: dict[bytes, list] = {}  # each sketch is asked once, for all ranks wanted of it
+    places = []
+    for b in brackets:
+        _, _, below, inside, sketch = b.outer
+        share = [min(max((r - below) / inside, 0.0), 1.0) for r in
+                 (b.first - b.error * inside - 1, b.last + b.error * inside + 2)]
+        of = asked.setdefault(bytes(sketch), [])
+        places.append((bytes(sketch), len(of), share))
+        of += share
+    row = spark.range(1).select(*[F.kll_sketch_get_quantile_double(F.lit(s), F.array(*map(F.lit, shares))) for s, shares in asked.items()]).first()
+    answers = dict(zip(asked, row))
+    for b, (sketch, at, (a, z)) in zip(brackets, places):
+        low, high, _, inside, _ = b.outer
+        b.low, b.high = (answers[sketch][at] if a > 0 else low), (answers[sketch][at + 1] if z < 1 else high)
+        b.expected = (z - a) * inside
+    return brackets
+
+
+def _scan(vals: DataFrame, brackets: list[_Bracket], found: dict, max_collect: int, budget: int, k: int) -> list[_Bracket]:
+    """One aggregate over all brackets: prove each, then read its ranks off or sketch its inside.  Returns the open ones."""
+    fetch, aggs = set(), []
+    for j, b in sorted(enumerate(brackets), key=lambda x: x[1].expected):
+        if b.expected <= min(max_collect, budget):
+            fetch.add(j)
+            budget -= int(b.expected) + 1
+    for j, b in enumerate(brackets):
+        c, low, high = F.col(f"c{b.column}"), F.lit(b.low), F.lit(b.high)
+        between = F.when((c > low) & (c < high), c)
+        aggs += [F.count(F.when(c < low, 1)).alias(f"b{j}"), F.count(F.when(c == low, 1)).alias(f"l{j}"),
+                 F.count(F.when(c == high, 1)).alias(f"h{j}"), F.count(between).alias(f"m{j}")]
+        aggs.append((F.collect_list(between) if j in fetch else F.kll_sketch_agg_double(between, F.lit(k))).alias(f"v{j}"))
+    got = vals.agg(*aggs).first()
+    again = []
+    for j, b in enumerate(brackets):
+        below, at_low, between = got[f"b{j}"], got[f"l{j}"], got[f"m{j}"]
+        at_high = got[f"h{j}"] if b.high > b.low else 0
+        if not (below <= b.first and b.last < below + at_low + between + at_high):
+            b.error *= 4  # the sketch missed: look wider inside the proven bracket
+            again.append(b)
             continue
-        for p in probs:
-            lo_r, hi_r = _ranks(n, p)
-            a, b = found[(i, lo_r)], found[(i, hi_r)]
-            result[c][p] = (a + b) / 2 if p == MEDIAN else lerp(a, b, _gamma(n, p))
-    return result
+        missing = []
+        inner = sorted(got[f"v{j}"]) if j in fetch else None
+        for r in {b.first, b.last}:
+            place = r - below
+            if place < at_low:
+                found[b.column, r] = b.low
+            elif place >= at_low + between:
+                found[b.column, r] = b.high
+            elif inner is not None:
+                found[b.column, r] = inner[place - at_low]
+            else:
+                missing.append(r)
+        if missing:
+            # Only what lies strictly between the ends was sketched.
+            again.append(_Bracket(b.column, min(missing), max(missing), 0.0, 0.0, 0.0,
+                                  (b.low, b.high, below + at_low, between, got[f"v{j}"]), max(RANK_ERROR, b.error / 2)))
+    return _narrow(vals.sparkSession, again)
+
+
+def _value(found: dict, column: int, ranks: tuple, n: int, p) -> float:
+    a, b = (found[column, r] for r in ranks)
+    return (a + b) / 2 if p == MEDIAN else lerp(a, b, _gamma(n, p))
 
 
 MEDIAN = "median"

@@ -5,8 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from .. import schemas as S
+from ..functions.numeric import nan_to_null
 from ..operators.median import exact_quantiles
 
+DECILES = tuple(i / 10 for i in range(1, 10))
+
 
 def distribution(df: DataFrame, cols) -> DataFrame:
     """count, mean, std, min, exact quartiles, max per column (long format)."""
@@ -31,25 +34,27 @@ def correlation(df: DataFrame, cols, target: str = S.TARGET_COLUMN) -> DataFrame
 
 def drift_psi(df_with_split: DataFrame, cols, expected: str = "train", actual: str = "test",
               eps: float = 1e-6) -> DataFrame:
-    """Population stability index per column: 10 bins from exact deciles of the expected side."""
-    cols = list(cols)
-    exp = df_with_split.filter(F.col("split") == expected)
-    probs = tuple(i / 10 for i in range(1, 10))
-    q = exact_quantiles(exp, cols, probs)
-    parts = []
-    for c in cols:
-        edges = [q[c][p] for p in probs]
-        b = sum((F.col(c) > F.lit(float(e))).cast("int") for e in edges)
-        parts.append(F.struct(F.lit(c).alias("feature"), b.alias("bin")))
-    long = df_with_split.select("split", F.explode(F.array(*parts)).alias("x")).select("split", "x.*")
-    totals = long.groupBy("feature").agg(
-        F.sum((F.col("split") == expected).cast("long")).alias("_ne"),
-        F.sum((F.col("split") == actual).cast("long")).alias("_na"))
-    counts = long.groupBy("feature", "bin").agg(
-        F.sum((F.col("split") == expected).cast("long")).alias("_ce"),
-        F.sum((F.col("split") == actual).cast("long")).alias("_ca"))
-    j = counts.join(totals, "feature")
-    pe = F.greatest(F.col("_ce") / F.col("_ne"), F.lit(eps))
-    pa = F.greatest(F.col("_ca") / F.col("_na"), F.lit(eps))
-    return j.groupBy("feature").agg(F.sum((pa - pe) * F.log(pa / pe)).alias("psi"))
+    """Population stability index per column: 10 bins from exact deciles of the expected side.
 
+    The bins are counted by conditional sums of one aggregate, a count a decile and side; missing values are
+    in no bin.
+    """
+    cols = list(cols)
+    q = exact_quantiles(df_with_split.filter(F.col("split") == expected), cols, DECILES)
+    sides = {"e": F.col("split") == expected, "a": F.col("split") == actual}
+    aggs = []
+    for i, c in enumerate(cols):
+        v = nan_to_null(F.col(c).cast("double"))
+        for s, own in sides.items():
+            aggs.append(F.count(F.when(own, v)).alias(f"{s}{i}_n"))
+            aggs += [F.count(F.when(own & (v <= F.lit(q[c][p])), 1)).alias(f"{s}{i}_{j}") for j, p in enumerate(DECILES)]
+    one = df_with_split.agg(*aggs)
+
+    def psi(i: int):
+        share = {}
+        for s in sides:
+            up_to = [F.lit(0), *[F.col(f"{s}{i}_{j}") for j in range(len(DECILES))], F.col(f"{s}{i}_n")]
+            share[s] = [F.greatest((b - a) / F.col(f"{s}{i}_n"), F.lit(eps)) for a, b in zip(up_to, up_to[1:])]
+        return sum((a - e) * F.log(a / e) for e, a in zip(share["e"], share["a"]))
+
+    return one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), psi(i).alias("psi")) for i, c in enumerate(cols)])))

@@ -7,13 +7,13 @@ import pytest
 from airspark.operators.median import exact_quantiles, median_impute
 
 
-@pytest.mark.parametrize("n,max_collect,bins", [(1, 10, 4), (2, 10, 4), (101, 7, 4), (400, 25, 8), (1000, 50_000, 1024)])
-def test_exact_quantiles_match_numpy(spark, n, max_collect, bins):
+@pytest.mark.parametrize("n,max_collect,k,error", [(1, 10, 8, 0.1), (2, 10, 8, 0.1), (101, 7, 16, 0.05), (400, 25, 8, 0.01), (1000, 50_000, 4096, 0.003)])
+def test_exact_quantiles_match_numpy(spark, n, max_collect, k, error):
     rng = np.random.default_rng(n)
     vals = np.round(rng.normal(50, 20, size=n), 1)  # ties on purpose
     df = spark.createDataFrame(pd.DataFrame({"v": vals}))
     probs = (0.1, 0.25, 0.5, 0.75, 0.9)
-    got = exact_quantiles(df, ["v"], probs, max_collect=max_collect, bins=bins)["v"]
+    got = exact_quantiles(df, ["v"], probs, max_collect=max_collect, k=k, error=error)["v"]
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12, abs=1e-12)
 
@@ -34,7 +34,7 @@ def test_fetch_budget_forces_extra_rounds(spark):
     rng = np.random.default_rng(3)
     data = {c: np.round(rng.uniform(0, 100, size=300), 2) for c in ("a", "b", "c")}
     df = spark.createDataFrame(pd.DataFrame(data))
-    got = exact_quantiles(df, list(data), (0.2, 0.5, 0.8), max_collect=40, bins=8, max_fetch_total=45)
+    got = exact_quantiles(df, list(data), (0.2, 0.5, 0.8), max_collect=40, k=16, error=0.1, max_fetch_total=45)
     for c, vals in data.items():
         for p in (0.2, 0.5, 0.8):
             assert got[c][p] == pytest.approx(float(np.quantile(vals, p)), rel=1e-12)
@@ -49,7 +49,7 @@ def test_infinities_and_tiny_ranges_end(spark):
             "d": [*(rng.uniform(-1, 1, size=99) * 1e308), -1.7e308, 1.7e308]}
     df = spark.createDataFrame([tuple(map(float, r)) for r in zip(*cols.values())], "a double, b double, c double, d double")
     probs = (0.0, 0.1, 0.5, 1.0)
-    got = exact_quantiles(df, list(cols), probs, max_collect=10, bins=8)
+    got = exact_quantiles(df, list(cols), probs, max_collect=10, k=16, error=0.05)
     for c, v in cols.items():
         v = sorted(v)
         assert [got[c][p] for p in probs] == [v[0], v[10], v[50], v[100]]
@@ -60,3 +60,26 @@ def test_median_impute_takes_nan_as_missing(spark):
     df = spark.createDataFrame([("a", nan), ("a", 1.0), ("a", 3.0), ("a", 5.0)], "city string, x double")
     for by in (None, ["city"]):
         assert sorted(r.x for r in median_impute(df, ["x"], by=by).collect()) == [1.0, 3.0, 3.0, 5.0]
+
+
+def test_a_heavy_value_is_counted_not_fetched(spark):
+    """Two thirds of all rows are one value; the fetched ones are few."""
+    from airspark.operators import median as M
+    df = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN id / 60000 ELSE 0.25 END AS v")
+    want = np.quantile([i / 60000 if i % 3 == 0 else 0.25 for i in range(60_000)], [0.05, 0.3, 0.5, 0.9])
+    got = exact_quantiles(df, ["v"], (0.05, 0.3, 0.5, 0.9), max_collect=400)["v"]
+    assert [got[p] for p in (0.05, 0.3, 0.5, 0.9)] == want.tolist()
+    assert M.BRACKETS_A_SCAN >= 171  # all deciles of all model features in one scan
+
+
+def test_three_scans_without_explode(spark, monkeypatch):
+    from airspark.operators import median as M
+    scans = []
+    inner = M._scan
+    monkeypatch.setattr(M, "_scan", lambda *a: scans.append(len(a[1])) or inner(*a))
+    df = spark.range(200_000).selectExpr("rand(3) AS a", "rand(4) * 1e6 AS b")
+    got = exact_quantiles(df, ["a", "b"], tuple(i / 10 for i in range(1, 10)))
+    values = df.toPandas()
+    assert scans == [18]  # one scan behind the one that sketches
+    for c in "ab":
+        assert [got[c][i / 10] for i in range(1, 10)] == [float(np.quantile(values[c], i / 10)) for i in range(1, 10)]
