@@ -32,11 +32,15 @@ def join_air_weather(air: DataFrame, weather: DataFrame, key=("city", "timestamp
     return out
 
 
-def derive_series(df: DataFrame, value_cols, bucket_rows: int = DEFAULT_BUCKET_ROWS) -> DataFrame:
-    """Fill (per city) -> clip -> rolling means -> unit conversion -> time parts."""
+def derive_series(df: DataFrame, value_cols, bucket_rows: int = DEFAULT_BUCKET_ROWS,
+                  prior: DataFrame | None = None) -> DataFrame:
+    """Fill (per city) -> clip -> rolling means -> unit conversion -> time parts.
+
+    ``prior``: last values before ``df`` starts, if it is the later part of a longer series.
+    """
     bounds = {c: S.CLIP_BOUNDS[c] for c in value_cols if c in S.CLIP_BOUNDS}
     out = series_features(df, fill_cols=value_cols, clip_bounds=bounds, rolls=ROLLS,
-                          bucket_rows=bucket_rows)
+                          bucket_rows=bucket_rows, prior=prior)
     out = convert_units(out)
     return add_time_features(out)
 
@@ -53,8 +57,12 @@ def build_training_features(observations: DataFrame, bucket_rows: int = DEFAULT_
     df = coerce_numeric(observations, S.RAW_FEATURE_COLUMNS + [S.TARGET_COLUMN])
     df = dedupe_keep_last(df, order=("ingestion_timestamp",))
     df = derive_series(df, S.RAW_FEATURE_COLUMNS + [S.TARGET_COLUMN], bucket_rows)
+    return finish_training(df.select(*S.TRAINING_OUTPUT_COLUMNS), materialize, median_by)
+
+
+def finish_training(df: DataFrame, materialize: bool = True, median_by=None) -> DataFrame:
+    """Whole-frame median imputation, clip and the last clean-up of rows with their windows."""
     required = S.RAW_FEATURE_COLUMNS + S.DERIVED_DIAGNOSTIC_COLUMNS + S.MODEL_FEATURE_COLUMNS + [S.TARGET_COLUMN]
-    df = df.select(*S.TRAINING_OUTPUT_COLUMNS)
     null_counts = None
     if materialize:
         # The whole-frame median needs more than one pass: cut the lineage

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from .. import schemas as S
 from ..operators.clean import round_doubles
@@ -353,3 +353,17 @@ def q_union_all(spark, sf_dir):
     a = fc.select("city", "timestamp", F.lit("pm25_24h").alias("series"), F.col("pm25_24h").alias("value"))
     b = fc.select("city", "timestamp", F.lit("reference").alias("series"), F.col(S.REFERENCE_COLUMN).alias("value"))
     return out(a.unionByName(b))
+
+
+@register("build_training_features_incremental", O.with_(O.training_ctes(), O.round_select(
+    S.TRAINING_OUTPUT_COLUMNS, O.doubles_of(S.TRAINING_OUTPUT_COLUMNS), "train")))
+def q_build_training_features_incremental(spark, sf_dir):
+    """The same table from three runs: first landing, late hours, corrections; each recomputes only what it changes."""
+    from ..session import scratch_path
+    from .incremental import FeatureStore
+    store = FeatureStore(spark, scratch_path(spark, "feature-store"), grain="week")
+    obs = observations(spark, sf_dir)
+    late = F.col("emax") % 5 == 0
+    for part in ((F.col("run") == 1) & ~late, (F.col("run") == 1) & late, F.col("run") == 2):
+        store.update(obs.where(part).drop("emax", "run", "forecast_run_timestamp"))
+    return out(store.training_features())

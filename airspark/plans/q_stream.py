@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from .. import schemas as S
 from ..operators.forecast import predict_api, standin_score
@@ -10,8 +10,10 @@ from ..operators.clean import round_doubles
 from ..session import scratch_path
 from ..sources import fixture as FX
 from ..sources import landing as L
+from ..sources.store import MONTH_PARTITION, read_keyed, stored_schema
 from ..streaming.ingest import landed_responses, score_touched, stream_ingest
 from .catalog import register
+from .incremental import FeatureStore
 from .q_core import DD_CTES, RAW_DBL, sql
 from .q_scoring import API, HR_COLS
 
@@ -33,20 +35,22 @@ def _land(spark, sf_dir, landing):
 
 def _run(spark, sf_dir, scorer=None):
     base = scratch_path(spark, "stream")
-    landing, table, stage, cp, preds = (f"{base}/{p}" for p in ("landing", "table", "stage", "checkpoint", "preds"))
+    landing, stage, cp, preds = (f"{base}/{p}" for p in ("landing", "stage", "checkpoint", "preds"))
+    store = FeatureStore(spark, f"{base}/store", grain="week")
     _land(spark, sf_dir, landing)
-    on_batch = score_touched(spark, table, preds, FX.AS_OF, scorer) if scorer else None
-    stream_ingest(spark, f"{landing}/*", table, stage, cp, on_batch=on_batch, max_files_per_trigger=16)
-    return table, preds
+    on_batch = score_touched(store, preds, FX.AS_OF, scorer) if scorer else None
+    stream_ingest(spark, f"{landing}/*", store, stage, cp, on_batch=on_batch, max_files_per_trigger=16)
+    return store, preds
 
 
 @register("stream_ingest", sql(DD_CTES, INGEST_COLS, "dd", RAW_DBL))
 def q_stream_ingest(spark, sf_dir):
-    table, _ = _run(spark, sf_dir)
-    return round_doubles(spark.read.parquet(table).select(*INGEST_COLS))
+    store, _ = _run(spark, sf_dir)
+    return round_doubles(store.table("observations").select(*INGEST_COLS))
 
 
 @register("stream_score", sql(API, HR_COLS, "api", set(HR_COLS) - {"city", "timestamp", "aqi_category"}))
 def q_stream_score(spark, sf_dir):
     _, preds = _run(spark, sf_dir, scorer=lambda fc: predict_api(fc, standin_score()))
-    return round_doubles(spark.read.parquet(preds).select(*HR_COLS))
+    declared = T.StructType([T.StructField("city", T.StringType()), T.StructField(MONTH_PARTITION, T.DateType())])
+    return round_doubles(read_keyed(spark, preds, stored_schema(spark, preds, declared)).select(*HR_COLS))

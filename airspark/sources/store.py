@@ -124,8 +124,8 @@ def keyed_upsert(incoming: DataFrame, path: str, key=("city", "timestamp"),
     newest row per key wins (grouped ``max_by``, skew-safe), and only the
     touched partitions are overwritten (dynamic partition overwrite).
     ``month_partitions`` adds a (city, month) layout so an upsert of recent
-    hours rewrites one month of a city, not its whole history; the batch's
-    first and last month are literals in the scan's partition filter.
+    hours rewrites one month of a city, not its whole history.  The batch's
+    first and last value of a date partition are literals in the scan's filter.
     A column that only the batch has is added (NULL in stored rows); one that
     only the table has is kept (NULL in new rows); a changed type is an error.
     Returns the table as read back (without the partition helper column).
@@ -138,8 +138,9 @@ def keyed_upsert(incoming: DataFrame, path: str, key=("city", "timestamp"),
     if path_exists(spark, path):
         schema = stored_schema(spark, path, incoming.schema)
         existing = read_keyed(spark, path, schema)
-        if month_partitions:
-            existing = existing.filter(month_range(incoming))
+        for c in partition_by:  # time partitions are pruned by literals
+            if incoming.schema[c].dataType.typeName() == "date":
+                existing = existing.filter(month_range(incoming, c))
         touched = incoming.select(*partition_by).distinct()
         # semi join keeps only partitions the batch touches (the side is one row per city and month)
         merged = existing.join(touched, list(partition_by), "left_semi").unionByName(

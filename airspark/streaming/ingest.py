@@ -13,10 +13,10 @@ micro-batch, in ``foreachBatch``:
    into the observation table (an hour whose other side has not landed yet
    joins when it arrives);
 3. optionally, forecast features of those cities are recomputed and
-   scored into the prediction table.  The recompute is bounded: future rows
-   plus the last 23 past rows per city (what the 24-row windows read), with
-   forward fill continuing from the last values of the older rows (one
-   grouped aggregate), so the result equals a full recompute.
+   scored into the prediction table.  The store's index of bucket summaries
+   says from which bucket on the 24-row windows read and which values come
+   before it, so neither a new nor a late row makes the job scan history,
+   and the result equals a full recompute.
 
 ``trigger(availableNow=True)`` processes everything landed and stops; the
 checkpoint folder lets a restarted job resume exactly where it stopped.
@@ -27,6 +27,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas as S
+from ..plans.incremental import FeatureStore
 from ..sources import landing as L
 from ..session import path_exists
 from ..sources.store import MONTH_PARTITION, keyed_upsert, month_range, read_keyed, stored_schema
@@ -61,9 +62,9 @@ def _month_schema(rows: DataFrame) -> T.StructType:
     return T.StructType([*rows.schema, T.StructField(MONTH_PARTITION, T.DateType())])
 
 
-def stream_ingest(spark: SparkSession, landing_path: str, table_path: str, stage_path: str,
+def stream_ingest(spark: SparkSession, landing_path: str, store: FeatureStore, stage_path: str,
                   checkpoint_path: str, on_batch=None, max_files_per_trigger: int | None = None):
-    """Run the ingestion stream to completion (availableNow); returns the query."""
+    """Run the ingestion stream into the store's observations (availableNow); returns the query."""
     reader = spark.readStream.schema(LANDED_SCHEMA)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -97,7 +98,7 @@ def stream_ingest(spark: SparkSession, landing_path: str, table_path: str, stage
             joined = (sides["air"].join(weather_side, key, "inner")
                       .withColumn("ingestion_timestamp", F.greatest("ingestion_timestamp", "_weather_run"))
                       .drop("_weather_run"))
-            keyed_upsert(joined, table_path, month_partitions=True)
+            store.observe(joined)
             if on_batch is not None:
                 on_batch(keys.select("city").distinct(), batch_id)
         finally:
@@ -109,17 +110,12 @@ def stream_ingest(spark: SparkSession, landing_path: str, table_path: str, stage
     return q
 
 
-def score_touched(spark: SparkSession, table_path: str, predictions_path: str, as_of, scorer, horizon: int = 72):
-    """Return an ``on_batch`` callback that rescores the touched cities."""
-    from ..plans.features import build_forecast_features, forecast_context_rows
-
+def score_touched(store: FeatureStore, predictions_path: str, as_of, scorer, horizon: int = 72):
+    """Return an ``on_batch`` callback that rescores the touched cities from the store's index."""
     def on_batch(touched: DataFrame, batch_id: int):
-        declared = T.StructType([T.StructField("city", T.StringType()), T.StructField(MONTH_PARTITION, T.DateType())])
-        obs = (read_keyed(spark, table_path, stored_schema(spark, table_path, declared)).drop(MONTH_PARTITION)
-               .join(touched, "city", "left_semi"))
-        # Bounded recompute: future rows + 23-row tail + carried values.
-        rows, prior = forecast_context_rows(obs, as_of)
-        fc = build_forecast_features(rows, as_of, horizon=horizon, prior=prior, validate=False)
+        if store.table("index") is None:
+            return  # no hour has both its sides yet
+        fc = store.forecast_features(touched, as_of, horizon)
         keyed_upsert(scorer(fc), predictions_path, order=("forecast_run_timestamp", "ingestion_timestamp"),
                      month_partitions=True)
 

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from airspark import schemas as S
+from airspark.plans.incremental import FeatureStore
 from airspark.sources import landing as L
 from airspark.streaming.ingest import landed_responses, stream_ingest
 
@@ -38,7 +39,8 @@ def _land(spark, path, kind, run, hours, value):
 
 def test_late_runs_and_weather_only_corrections_land(spark):
     base = tempfile.mkdtemp(prefix="stream-", dir="/tmp")
-    args = (f"{base}/landing", f"{base}/table", f"{base}/stage", f"{base}/checkpoint")
+    store = FeatureStore(spark, f"{base}/store")
+    args = (f"{base}/landing", store, f"{base}/stage", f"{base}/checkpoint")
     for kind in ("air", "weather"):
         _land(spark, base, kind, "2024-01-02 12:00:00", range(3), 1)
     stream_ingest(spark, *args)
@@ -46,9 +48,9 @@ def test_late_runs_and_weather_only_corrections_land(spark):
         _land(spark, base, kind, "2024-01-02 04:00:00", range(2, 6), 2)
     stream_ingest(spark, *args)
     pm, temp = S.RAW_AIR_QUALITY_COLUMNS[0], S.RAW_WEATHER_COLUMNS[0]
-    got = [(r[pm], r[temp]) for r in spark.read.parquet(args[1]).orderBy("timestamp").collect()]
+    got = [(r[pm], r[temp]) for r in store.table("observations").orderBy("timestamp").collect()]
     assert got == [(1.0, 1.0)] * 3 + [(2.0, 2.0)] * 3
     _land(spark, base, "weather", "2024-01-03 00:00:00", [1], 7)
     stream_ingest(spark, *args)
-    row = spark.read.parquet(args[1]).where(F.col("timestamp") == F.lit(T0 + dt.timedelta(hours=1))).first()
+    row = store.table("observations").where(F.col("timestamp") == F.lit(T0 + dt.timedelta(hours=1))).first()
     assert (row[pm], row[temp]) == (1.0, 7.0) and str(row["ingestion_timestamp"]) == "2024-01-03 00:00:00"
