@@ -24,7 +24,7 @@ from . import ml as M
 from . import oracle as O
 from .catalog import register
 from .q_core import training_table
-from .q_scoring import forecast_store
+from .q_scoring import stored_forecast
 
 MODEL_NAME = "aqi_model"
 
@@ -120,7 +120,7 @@ def q_ml_score(spark, sf_dir):
     """The registered model, loaded from its folder, with its stored feature list."""
     row, _ = _registered(spark, sf_dir)
     return M.score_with(row.first(), lambda features: prepare_scoring(
-        forecast_store(spark, sf_dir), features, horizon=72, timezone=FX.CITY_TIMEZONE)
+        stored_forecast(spark, sf_dir, newest_days=0), features, horizon=72, timezone=FX.CITY_TIMEZONE)
     ).select("city", "timestamp", "predicted_aqi", "aqi_category")
 
 

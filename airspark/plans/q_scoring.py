@@ -17,6 +17,7 @@ from ..operators.clean import round_doubles
 from ..sources import fixture as FX
 from . import oracle as O
 from .catalog import register
+from ..sources.store import read_forecast_table, write_forecast_run
 from .q_core import forecast_context, out, sql, training_table
 
 REF = S.REFERENCE_COLUMN
@@ -33,8 +34,14 @@ def forecast_store(spark, sf_dir):
     return cur.unionByName(old)
 
 
+def stored_forecast(spark, sf_dir, newest_days=None):
+    """The snapshots in the run-date layout, read back."""
+    path = write_forecast_run(forecast_store(spark, sf_dir))
+    return read_forecast_table(spark, path, newest_days)
+
+
 def prepared(spark, sf_dir):
-    return FO.prepare_scoring(forecast_store(spark, sf_dir), horizon=72, timezone=FX.CITY_TIMEZONE)
+    return FO.prepare_scoring(stored_forecast(spark, sf_dir, newest_days=0), horizon=72, timezone=FX.CITY_TIMEZONE)
 
 
 def scored_api(spark, sf_dir):
@@ -58,9 +65,7 @@ def q_prepare_scoring(spark, sf_dir):
 @register("src_forecast_table", sql(SC, FOUT, "store"))
 def q_src_forecast_table(spark, sf_dir):
     """Forecast table written to the shared folder and read back whole."""
-    from ..sources.store import read_forecast_table, write_table
-    path = write_table(forecast_store(spark, sf_dir), "forecast_table")
-    return out(read_forecast_table(spark, path).select(*FOUT))
+    return out(stored_forecast(spark, sf_dir).select(*FOUT))
 
 
 CR_COLS = ["city", "timestamp", "raw_score", "predicted_aqi_api", "predicted_aqi_eval"]

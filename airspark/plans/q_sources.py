@@ -44,11 +44,25 @@ def q_src_weather_hourly(spark, sf_dir):
 
 @register("src_landing_files", sql(FX_CTES, AIR_OUT, "air", set(O.AIR)))
 def q_src_landing_files(spark, sf_dir):
-    path = L.land_responses(air_responses(spark, sf_dir), name="landing-air")
-    landed = L.read_landed(spark, path, S.AIR_RESPONSE_SCHEMA)
+    """Landed files, with a cut-off copy of every response beside it: those are set apart."""
+    responses = checkpoint(air_responses(spark, sf_dir), "responses")
+    path = L.land_responses(responses, name="landing-air")
+    cut = responses.select("city", "chunk_start", F.substring(F.to_json(F.struct("hourly")), 1, 200).alias("value"))
+    cut.write.mode("append").partitionBy("city", "chunk_start").text(path)
+    landed = L.read_landed(spark, path, S.AIR_RESPONSE_SCHEMA, bad_path=scratch_path(spark, "landing-bad"))
     return out(L.rows_from_responses(landed, L.AIR_RENAME).select(*AIR_OUT))
 
 
+@register("src_landing_range", sql(FX_CTES + ["ar AS (SELECT * FROM air WHERE timestamp >= TIMESTAMP '2024-01-10' AND timestamp < TIMESTAMP '2024-01-20')"],
+                                   AIR_OUT, "ar", set(O.AIR)))
+def q_src_landing_range(spark, sf_dir):
+    """A date range: folders of other weeks are not read."""
+    path = L.land_responses(air_responses(spark, sf_dir, 7), name="landing-air")
+    landed = L.read_landed(spark, path, S.AIR_RESPONSE_SCHEMA, "2024-01-10", "2024-01-19", chunk_days=7)
+    rows = L.rows_from_responses(landed, L.AIR_RENAME)
+    return out(rows.filter(F.to_date("timestamp").between("2024-01-10", "2024-01-19")).select(*AIR_OUT))
+
+
 CHUNK_COLS = ["city", "chunk_index", "chunk_start", "chunk_end"]
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import schemas as S
 from ..functions.numeric import nan_to_null
 from ..functions.time import parse_timestamp
-from ..session import scratch_path
+from ..session import checkpoint, scratch_path
 
 TIME_TEXT = "yyyy-MM-dd'T'HH:mm"
 
@@ -66,15 +66,39 @@ def rows_from_responses(responses: DataFrame, rename: dict, key: str = "city",
 
 
 def land_responses(responses: DataFrame, path: str | None = None, name: str = "landing") -> str:
-    """Write responses as JSON files, one folder per city (landing layout)."""
+    """Write responses as JSON files, one folder per city and first day of the chunk (landing layout)."""
     path = path or scratch_path(responses.sparkSession, name)
-    responses.write.mode("append").partitionBy("city").json(path)
+    responses.write.mode("append").partitionBy("city", "chunk_start").json(path)
     return path
 
 
-def read_landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read landed JSON with an explicit schema (no inference)."""
-    return spark.read.schema(schema).json(path)
+BAD_RECORD = "_bad_record"
+
+
+def read_landed(spark: SparkSession, path: str, schema: T.StructType, start=None, end=None, chunk_days: int = 30,
+                bad_path: str | None = None) -> DataFrame:
+    """Read landed JSON with an explicit schema (no inference).
+
+    ``start`` and ``end`` (dates) read only the folders of chunks, of ``chunk_days`` days at most, that can hold such
+    days.  A record that does not parse, cut off or of other types, is not read; with ``bad_path`` it is set apart
+    there (file, record), and the parsed records are written once, so the files are read a single time.
+    """
+    reader = spark.read.option("ignoreCorruptFiles", True)
+    if bad_path:
+        reader = reader.schema(T.StructType([*schema, T.StructField(BAD_RECORD, T.StringType())])).option("columnNameOfCorruptRecord", BAD_RECORD)
+    else:
+        reader = reader.schema(schema).option("mode", "DROPMALFORMED")
+    df = reader.json(path)
+    if start is not None:
+        df = df.filter(F.col("chunk_start") > F.date_sub(F.lit(start).cast("date"), chunk_days))
+    if end is not None:
+        df = df.filter(F.col("chunk_start") <= F.lit(end).cast("date"))
+    if not bad_path:
+        return df.select(*schema.names)
+    df = checkpoint(df.withColumn("_file", F.input_file_name()), "landed")
+    bad = df.filter(F.col(BAD_RECORD).isNotNull()).select(F.col("_file").alias("file"), F.col(BAD_RECORD).alias("record"))
+    bad.write.mode("append").parquet(bad_path)
+    return df.filter(F.col(BAD_RECORD).isNull()).select(*schema.names)
 
 
 def backfill_chunks(spans: DataFrame, chunk_days: int, key: str = "city") -> DataFrame:

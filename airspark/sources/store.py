@@ -7,6 +7,8 @@ the caller gives).  The keyed upsert keeps the newest row per
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas as S
@@ -39,8 +41,39 @@ def read_training_table(spark: SparkSession, path: str, columns=None) -> DataFra
     return df
 
 
-def read_forecast_table(spark: SparkSession, path: str) -> DataFrame:
-    df = spark.read.parquet(path)
+RUN_PARTITION = "run_date"
+
+
+def write_forecast_run(df: DataFrame, name: str = "forecast_table", path: str | None = None) -> str:
+    """Append forecast rows, one folder for each day on which a run was made."""
+    path = path or scratch_path(df.sparkSession, name)
+    runs = [F.col(c) for c in ("forecast_run_timestamp", "ingestion_timestamp") if c in df.columns]
+    df.withColumn(RUN_PARTITION, F.to_date(F.coalesce(*runs))).write.mode("append").partitionBy(RUN_PARTITION).parquet(path)
+    return path
+
+
+def run_dates(spark: SparkSession, path: str) -> list[str]:
+    """The run dates of a forecast table, oldest first, from its folder names alone."""
+    p = hadoop_path(spark, path)
+    names = [f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p) if f.isDirectory()]
+    return sorted(n.partition("=")[2] for n in names if n.startswith(f"{RUN_PARTITION}=") and "__HIVE" not in n)
+
+
+def read_forecast_table(spark: SparkSession, path: str, newest_days: int | None = None) -> DataFrame:
+    """The forecast table with its declared schema; an empty one is an error.
+
+    ``newest_days``: only runs of the newest run date and so many days before it; it is found by listing folders and
+    given to the scan as a literal, so older runs are neither listed as files nor read.  A city whose newest run is
+    older than that is left out.
+    """
+    dates = run_dates(spark, path)
+    if newest_days is not None and not dates:
+        raise ValueError(f"Forecast table is empty: {path}")
+    schema = S.FORECAST_SCHEMA if not dates else T.StructType([*S.FORECAST_SCHEMA, T.StructField(RUN_PARTITION, T.DateType())])
+    df = spark.read.schema(schema).parquet(path)
+    if newest_days is not None:
+        df = df.filter(F.col(RUN_PARTITION) >= F.lit(str(dt.date.fromisoformat(dates[-1]) - dt.timedelta(days=newest_days))).cast("date"))
+    df = df.drop(RUN_PARTITION)
     if df.isEmpty():
         raise ValueError(f"Forecast table is empty: {path}")
     return df
