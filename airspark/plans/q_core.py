@@ -367,3 +367,14 @@ def q_build_training_features_incremental(spark, sf_dir):
     for part in ((F.col("run") == 1) & ~late, (F.col("run") == 1) & late, F.col("run") == 2):
         store.update(obs.where(part).drop("emax", "run", "forecast_run_timestamp"))
     return out(store.training_features())
+
+
+@register("join_air_weather_bucketed", sql(FX_CTES, RAW_OUT, "raw", RAW_DBL))
+def q_join_air_weather_bucketed(spark, sf_dir):
+    """Both sides as bucketed tables of the catalog, joined bucket by bucket."""
+    import uuid
+    from ..sources.bucketed import join_bucketed, write_bucketed
+    run = uuid.uuid4().hex[:8]
+    h = FX.hourly_seed(spark, sf_dir)
+    sides = [write_bucketed(df, f"airspark_{name}_{run}", 8) for name, df in (("air", FX.air_rows(h)), ("weather", FX.weather_rows(h)))]
+    return out(join_bucketed(spark, *sides).select(*RAW_OUT))
