@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F, ty
 
 from .. import schemas as S
 from ..operators.clean import coerce_numeric
-from ..session import checkpoint, path_exists
-from ..sources.store import keyed_upsert, read_keyed, stored_schema
+from ..session import checkpoint
+from ..sources.store import keyed_upsert, read_keyed, stored_schema, table_exists
 from .features import ROLLS, build_forecast_features, derive_series, finish_training, forecast_context_rows
 
 BUCKET = "obs_bucket"
@@ -42,7 +42,7 @@ class FeatureStore:
 
     def table(self, name: str) -> DataFrame | None:
         path = f"{self.path}/{name}"
-        if not path_exists(self.spark, path):
+        if not table_exists(self.spark, path):
             return None
         declared = T.StructType([T.StructField("city", T.StringType()), T.StructField(BUCKET, T.DateType())])
         return read_keyed(self.spark, path, stored_schema(self.spark, path, declared))

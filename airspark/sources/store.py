@@ -2,19 +2,21 @@
 
 Tables are Parquet folders under the shared checkpoint folder (or any path
 the caller gives).  The keyed upsert keeps the newest row per
-(city, timestamp) and rewrites only the city partitions it touches.
+(city, timestamp), rewrites only the city partitions it touches, and commits before it does.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .. import schemas as S
 from ..functions.time import parse_timestamp
 from ..operators.clean import dedupe_keep_last
-from ..session import drop_scratch, hadoop_path, path_exists, scratch_path
+from ..session import hadoop_path, scratch_path
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss"
 MINUTE_FORMAT = "yyyy-MM-dd HH:mm"
@@ -148,9 +150,70 @@ def _partition_columns(spark: SparkSession, path: str) -> set[str]:
         p = names[0]
 
 
+class _Commits:
+    """The commits of one keyed table: numbered marker files that name a staged folder.
+
+    A marker is created exclusively and is the commit: before it the table is as it was, after it the staged partitions
+    replace the table's, by this writer or, if it dies, by whoever writes next.
+    """
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+        self.fs = hadoop_path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def last(self) -> int:
+        return max(claimed(self.spark, f"{self.path}/_commits"), default=0)
+
+    def staged(self, name: str) -> str:
+        return f"{self.path}/_staged/{name}"
+
+    def commit(self, number: int, name: str, partition_by) -> bool:
+        """False if another writer has this number."""
+        from py4j.protocol import Py4JJavaError
+        try:
+            out = self.fs.create(hadoop_path(self.spark, f"{self.path}/_commits/{number}"), False)
+        except Py4JJavaError as e:
+            if "FileAlreadyExists" in e.java_exception.getClass().getName():
+                return False
+            raise
+        out.writeUTF(",".join([name, *partition_by]))
+        out.close()
+        return True
+
+    def apply(self, name: str, partition_by) -> None:
+        """Replace the staged partitions; doing it twice changes nothing."""
+        (self.spark.read.parquet(self.staged(name)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy(*partition_by).parquet(self.path))
+        self.fs.delete(hadoop_path(self.spark, self.staged(name)), True)
+        for n in claimed(self.spark, f"{self.path}/_commits")[:-1]:
+            self.fs.delete(hadoop_path(self.spark, f"{self.path}/_commits/{n}"), False)
+
+    def finish(self, patience: float) -> None:
+        """Apply the last commit if its writer has not; it gets ``patience`` seconds from its commit on."""
+        n = self.last()
+        marker = hadoop_path(self.spark, f"{self.path}/_commits/{n}")
+        if not n or not self.fs.getFileStatus(marker).getLen():
+            return  # a writer that died in the act has committed nothing
+        read = self.fs.open(marker)
+        name, *partition_by = read.readUTF().split(",")
+        read.close()
+        staged = hadoop_path(self.spark, self.staged(name))
+        while self.fs.exists(staged):
+            if time.time() - self.fs.getFileStatus(marker).getModificationTime() / 1000 >= patience:
+                return self.apply(name, partition_by)
+            time.sleep(0.5)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a keyed table holds any partition (a first write may have died before its commit)."""
+    p = hadoop_path(spark, path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(not f.getPath().getName().startswith(("_", ".")) for f in fs.listStatus(p))
+
+
 def keyed_upsert(incoming: DataFrame, path: str, key=("city", "timestamp"),
                  order=("ingestion_timestamp",), partition_by=("city",),
-                 month_partitions: bool = False, ts: str = "timestamp") -> DataFrame:
+                 month_partitions: bool = False, ts: str = "timestamp", patience: float = 300.0, attempts: int = 5) -> DataFrame:
     """Insert-or-replace by primary key into a Parquet table partitioned by city.
 
     Existing rows of the touched partitions are unioned with the batch, the
@@ -161,30 +224,40 @@ def keyed_upsert(incoming: DataFrame, path: str, key=("city", "timestamp"),
     first and last value of a date partition are literals in the scan's filter.
     A column that only the batch has is added (NULL in stored rows); one that
     only the table has is kept (NULL in new rows); a changed type is an error.
+
+    The merged rows are staged in the table's folder, then committed under the next number, then put in place.  A
+    writer that dies before its commit leaves the table as it was; one that dies after it is finished by the next
+    (``patience`` seconds after the commit).  Of two writers with the same number one merges anew, so no update is lost.
     Returns the table as read back (without the partition helper column).
     """
     spark = incoming.sparkSession
     if month_partitions:
         incoming = incoming.withColumn(MONTH_PARTITION, F.trunc(F.to_date(ts), "month"))
         partition_by = (*partition_by, MONTH_PARTITION)
-    merged, schema = incoming, incoming.schema
-    if path_exists(spark, path):
-        schema = stored_schema(spark, path, incoming.schema)
-        existing = read_keyed(spark, path, schema)
-        for c in partition_by:  # time partitions are pruned by literals
-            if incoming.schema[c].dataType.typeName() == "date":
-                existing = existing.filter(month_range(incoming, c))
-        touched = incoming.select(*partition_by).distinct()
-        # semi join keeps only partitions the batch touches (the side is one row per city and month)
-        merged = existing.join(touched, list(partition_by), "left_semi").unionByName(
-            incoming, allowMissingColumns=True)
-    merged = dedupe_keep_last(merged.select(*schema.names), key=key, order=order)
-    # Materialise before overwriting the partitions the plan reads from.
-    staged = scratch_path(spark, "upsert-stage")
-    merged.write.mode("overwrite").parquet(staged)
-    (spark.read.parquet(staged).select(*schema.names).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
-    drop_scratch(spark, staged)
+    commits = _Commits(spark, path)
+    for _ in range(attempts):
+        commits.finish(patience)
+        base = commits.last()
+        merged, schema = incoming, incoming.schema
+        if table_exists(spark, path):
+            schema = stored_schema(spark, path, incoming.schema)
+            existing = read_keyed(spark, path, schema)
+            for c in partition_by:  # time partitions are pruned by literals
+                if incoming.schema[c].dataType.typeName() == "date":
+                    existing = existing.filter(month_range(incoming, c))
+            touched = incoming.select(*partition_by).distinct()
+            # semi join keeps only partitions the batch touches (the side is one row per city and month)
+            merged = existing.join(touched, list(partition_by), "left_semi").unionByName(
+                incoming, allowMissingColumns=True)
+        merged = dedupe_keep_last(merged.select(*schema.names), key=key, order=order)
+        name = uuid.uuid4().hex
+        merged.select(*schema.names).write.parquet(commits.staged(name))
+        if commits.commit(base + 1, name, partition_by):
+            commits.apply(name, partition_by)
+            break
+        commits.fs.delete(hadoop_path(spark, commits.staged(name)), True)
+    else:
+        raise RuntimeError(f"{attempts} other writers were faster: {path}")
     names = dict.fromkeys([*incoming.columns, *schema.names])
     return read_keyed(spark, path, schema).select(*names).drop(MONTH_PARTITION)
 

@@ -29,8 +29,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from .. import schemas as S
 from ..plans.incremental import FeatureStore
 from ..sources import landing as L
-from ..session import path_exists
-from ..sources.store import MONTH_PARTITION, keyed_upsert, month_range, read_keyed, stored_schema
+from ..sources.store import MONTH_PARTITION, keyed_upsert, month_range, read_keyed, stored_schema, table_exists
 
 LANDED_SCHEMA = T.StructType([
     T.StructField("kind", T.StringType()),
@@ -88,7 +87,7 @@ def stream_ingest(spark: SparkSession, landing_path: str, store: FeatureStore, s
             sides = {}
             for kind, rows in (("air", air), ("weather", weather)):
                 path = f"{stage_path}/{kind}"
-                if not path_exists(spark, path):
+                if not table_exists(spark, path):
                     return  # that side has not arrived yet; its hours join when it does
                 schema = stored_schema(spark, path, _month_schema(rows))
                 sides[kind] = (read_keyed(spark, path, schema).filter(months).drop(MONTH_PARTITION)
