@@ -18,11 +18,13 @@ from .common import checkpoint, per_text
 
 SYMBOLS = "#*$%&|<>"
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines", "n_upper", "n_letters",
-          "n_bangs", "n_echo_words"]
+          "n_bangs", "n_echo_words", "n_symbol_words", "n_symbol_runs"]
 SCHEMA = ", ".join(f"{c} long" for c in COUNTS)
 #: (rule, numerator, denominator, good at or below, bad at or above); between them the rule abstains.
 RULES = [
     ("symbols", "n_symbols", "n_words", 0.02, 0.10),
+    ("symbol_words", "n_symbol_words", "n_words", 0.01, 0.05),
+    ("symbol_runs", "n_symbol_runs", "n_words", 0.005, 0.02),
     ("bangs", "n_bangs", "n_words", 0.02, 0.20),
     ("upper", "n_upper", "n_letters", 0.20, 0.50),
     ("repeats", "n_repeat_words", "n_words", 0.10, 0.30),
@@ -30,16 +32,17 @@ RULES = [
     ("dup_lines", "n_dup_lines", "n_lines", 0.05, 0.60),
     ("word_length", "word_chars", "n_words", 12.0, 20.0),
 ]
-#: The rules are written so that a good document seldom trips one.  That is a prior on the false-alarm rates, not a
-#: ceiling: so many documents shaped like the start model, and so large a share of all documents besides.  The share
-#: decides where the data cannot (a rule that only ever fires alone); where bad documents trip several rules, the
-#: data outweighs it and a rule that fires on clean documents loses weight.
-PRIOR_GOOD_ROWS, PRIOR_GOOD_SHARE = 200.0, 0.05
+#: The rules are written so that a good document seldom trips one: a prior on the false-alarm rates of so many documents
+#: shaped like the start model.  It is fixed, so it washes out as the table grows; several rules look at one defect
+#: (symbols, words that hold them, runs of them; repeats and echoes; upper case and bangs), so that the data can tell
+#: a rule that fires on clean documents.
+PRIOR_GOOD_ROWS = 1000.0
 #: Bad documents may trip few of the rules: weak, so that a bad class with a single rule is possible.
 PRIOR_BAD_ROWS = 5.0
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 _ASCII_SPACE = " \t\n\v\f\r"
+_ONE_SYMBOL = bytes.maketrans(SYMBOLS.encode(), b"#" * len(SYMBOLS))
 _UPPER, _LOWER = string.ascii_uppercase.encode(), string.ascii_lowercase.encode()
 
 
@@ -64,9 +67,11 @@ def describe(text: str) -> tuple:
     lines = [line for line in text.split("\n") if line.strip(_ASCII_SPACE)]
     n_upper = len(raw) - len(raw.translate(None, _UPPER))
     n_letters = n_upper + len(raw) - len(raw.translate(None, _LOWER))
-    return (len(words), len(text) - sum(map(text.count, _ASCII_SPACE)), sum(map(text.count, SYMBOLS)),
+    n_symbols = sum(map(text.count, SYMBOLS))
+    marked = raw.translate(_ONE_SYMBOL) if n_symbols else b""
+    return (len(words), len(text) - sum(map(text.count, _ASCII_SPACE)), n_symbols,
             len(lines) - len(set(lines)), repeated_words(words), len(lines), n_upper, n_letters, text.count("!"),
-            sum(map(bytes.__eq__, words, words[1:])))
+            sum(map(bytes.__eq__, words, words[1:])), sum(b"#" in w for w in marked.split()), marked.count(b"##"))
 
 
 def counts(text: str | Column) -> Column:
@@ -122,13 +127,13 @@ def fit(patterns: np.ndarray, weights: np.ndarray, rounds: int = 500, tolerance:
 
     Documents shaped like the start model are mixed into every estimate (a Dirichlet prior), which keeps
     the meaning of the two classes and every probability positive: ``prior_rows`` for the share of good
-    ones, PRIOR_BAD_ROWS and PRIOR_GOOD_ROWS plus PRIOR_GOOD_SHARE of all for the votes of either class.
+    ones, PRIOR_BAD_ROWS and PRIOR_GOOD_ROWS for the votes of either class.
     No patterns: the start model.
     """
     model, start = start_model(), start_model()
     if not len(patterns):
         return model
-    strength = np.array([PRIOR_BAD_ROWS, PRIOR_GOOD_ROWS + PRIOR_GOOD_SHARE * weights.sum()])[:, None, None]
+    strength = np.array([PRIOR_BAD_ROWS, PRIOR_GOOD_ROWS])[:, None, None]
     onehot = np.stack([patterns == v for v in (0, 1)], axis=-1).astype(float)  # pattern, rule, vote
     for _ in range(rounds):
         good = 1 / (1 + np.exp(-model.log_odds(patterns)))
@@ -145,7 +150,7 @@ def fit(patterns: np.ndarray, weights: np.ndarray, rounds: int = 500, tolerance:
 def learn(described: DataFrame) -> VoteModel:
     """Fit on every described document (column ``_c``) that the base rules let pass; base failures go anyway.
 
-    Only the counts of vote patterns reach the driver: at most 3^7 rows, whatever the input.
+    Only the counts of vote patterns reach the driver: at most 3^9 rows, whatever the input.
     """
     names = [r[0] for r in RULES]
     rows = (described.where(~base_failed(F.col("_c")))
