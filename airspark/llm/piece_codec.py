@@ -5,8 +5,8 @@ ends there, and each is relaxed against what is known at the piece's start.
 
 * Unigram models: the relaxation keeps the best sum of scores (Viterbi).
 * BPE models have no additive score; a word's BPE encoding is the only path whose neighbouring pieces all
-  stay apart when merged alone.  The relaxation keeps, at each position, the piece whose predecessor
-  passes that test, which gives the library's ids.
+  stay apart when merged alone.  A step scores 0 if its piece does so behind the best path's last piece and
+  minus infinity if not; the best sum is the library's encoding.
 
 Words are cut where no piece can straddle, so equal words are encoded once per task (bounded memo).
 """
@@ -34,6 +34,40 @@ MEMO_CHARS = 64
 MEMO_PAIRS = 300_000
 
 
+#: Model types in a model file.
+UNIGRAM, BPE = 1, 2
+
+
+def model_type(path: str) -> int:
+    """The type that the model file states (trainer specification, field 3; unigram if it says nothing)."""
+    def fields(raw: bytes) -> Iterator[tuple[int, int | bytes]]:
+        at = 0
+
+        def number() -> int:
+            nonlocal at
+            value = shift = 0
+            while True:
+                byte = raw[at]
+                at += 1
+                value |= (byte & 127) << shift
+                shift += 7
+                if byte < 128:
+                    return value
+
+        while at < len(raw):
+            key = number()
+            if key & 7 == 0:
+                yield key >> 3, number()
+            else:
+                size = {1: 8, 5: 4}.get(key & 7) or number()
+                yield key >> 3, raw[at: at + size]
+                at += size
+
+    with open(path, "rb") as f:
+        spec = [v for k, v in fields(f.read()) if k == 2]
+    return next((v for raw in spec for k, v in fields(raw) if k == 3), UNIGRAM)
+
+
 class PieceCodec:
     def __init__(self, model: str = "piece_bpe_32k.model"):
         import sentencepiece
@@ -50,9 +84,7 @@ class PieceCodec:
         self.ids = {p: i for i, p in enumerate(self.names) if p in self.score}
         self._raw = [bytes([self.bytes[i]]) if i in self.bytes else " ⁇ ".encode() if i == self.unknown
                      else b"" if i in self.special else p.encode() for i, p in enumerate(self.names)]
-        # BPE scores are minus the merge rank; a unigram model's are log-probabilities.
-        learned = [s for s in self.score.values() if s > -1e8]
-        self.is_bpe = all(s == int(s) for s in learned)
+        self.is_bpe = model_type(path) == BPE
         self.automaton = ahocorasick.Automaton()
         for p in self.score:
             self.automaton.add_word(p, (len(p), p))
@@ -114,22 +146,22 @@ class PieceCodec:
 
     def _path(self, word: str) -> list[str]:
         """The pieces of a word whose every character is a piece."""
-        last: list = [None] * (len(word) + 1)  # last piece of the path that ends at a position
-        last[0] = ""
-        if self.is_bpe:
-            known = self._apart.get
-            for end, (size, piece) in self.automaton.iter(word):
-                if last[end + 1] is None and (before := last[end + 1 - size]) is not None:
-                    fits = known((before, piece))
-                    if fits or fits is None and self._stay_apart(before, piece):
-                        last[end + 1] = piece
-        else:
-            best = [-inf] * (len(word) + 1)
-            best[0] = 0.0
-            for end, (size, piece) in self.automaton.iter(word):
-                s = best[end + 1 - size] + self.score[piece]
-                if s > best[end + 1]:
-                    best[end + 1], last[end + 1] = s, piece
+        last: list = [""] * (len(word) + 1)  # last piece of the best path that ends at a position
+        best = [-inf] * (len(word) + 1)
+        best[0] = 0.0
+        known, score, is_bpe = self._apart.get, self.score, self.is_bpe
+        for end, (size, piece) in self.automaton.iter(word):
+            so_far = best[end + 1 - size]
+            if so_far <= best[end + 1]:
+                continue  # no gain is above 0, so this cannot be better than what is stored
+            if is_bpe:  # a step costs nothing if its piece stays apart from the one before, else it is barred
+                before = last[end + 1 - size]
+                fits = known((before, piece))
+                gain = 0.0 if fits or fits is None and self._stay_apart(before, piece) else -inf
+            else:
+                gain = score[piece]
+            if so_far + gain > best[end + 1]:
+                best[end + 1], last[end + 1] = so_far + gain, piece
         out, at = [], len(word)
         while at > 0:
             out.append(last[at])

@@ -92,6 +92,25 @@ def test_codec_gives_library_ids_and_text():
         assert codec.decode(ids) == sp.decode(ids), repr(t)
 
 
+def test_relaxation_keeps_the_best_sum_at_every_position():
+    """The BPE path against all paths: a step counts 0 if its piece stays apart from the one before, else it is barred."""
+    c = piece_codec.PieceCodec("piece_bpe_32k.model")
+    assert c.is_bpe and piece_codec.model_type(tokenizing.resolve("piece_bpe_32k.model")) == piece_codec.BPE
+    for word in ["\u2581the", "\u2581banana", "tion", "\u2581aaaa", "\u2581xyzzy"]:
+        paths = [[]]
+        done = []
+        while paths:
+            p = paths.pop()
+            at = sum(map(len, p))
+            if at == len(word):
+                done.append(p)
+            for z in range(at + 1, len(word) + 1):
+                piece = word[at:z]
+                if piece in c.score and c._stay_apart(p[-1] if p else "", piece):
+                    paths.append([*p, piece])
+        assert done == [c._path(word)]
+
+
 def test_codec_on_tables(spark):
     df = frame(spark, TEXTS)
     enc = piece_codec.encode(df)
@@ -113,7 +132,7 @@ def test_unigram_path_is_the_best_sum(monkeypatch):
     for _ in range(40):
         score["".join(r.choice("abcd") for _ in range(r.randint(2, 4)))] = -3.0 - 6 * r.random()
     c = piece_codec.PieceCodec.__new__(piece_codec.PieceCodec)
-    c.score, c.is_bpe, c._strangers = score, False, re.compile("([^abcd])")
+    c.score, c.is_bpe, c._strangers, c._apart = score, False, re.compile("([^abcd])"), {}
     c.automaton = ahocorasick.Automaton()
     for p in score:
         c.automaton.add_word(p, (len(p), p))
