@@ -111,6 +111,56 @@ def test_rule_that_only_fires_alone_still_rejects():
     assert not kept[:800].any() and kept[800:].all()
 
 
+def test_posterior_row_by_row(spark):
+    """Bayes' rule written out, over every row's votes, and the counts behind the overlapping rules."""
+    rows = corpus() + [(900, ""), (901, "word " * 200_000), (902, " ".join(f"w{i}" for i in range(100_000)) + " ##" * 9000)]
+    df = docs_frame(spark, rows)
+    got = {r.doc_id: r for r in quality_rules.judge(df).collect()}
+    model = quality_rules.learn(df.select(quality_rules.counts("text").alias("_c")))
+    for i, text in rows:
+        good, bad = model.prior, 1 - model.prior
+        c = dict(zip(quality_rules.COUNTS, quality_rules.describe(text)))
+        words = text.split()
+        assert c["n_symbol_words"] == sum(any(s in w for s in "#*$%&|<>") for w in words)
+        for k, (name, num, den, low, high) in enumerate(quality_rules.RULES):
+            vote = -1 if not c[den] else 1 if c[num] / c[den] <= low else 0 if c[num] / c[den] >= high else -1
+            assert got[i][f"vote_{name}"] == vote
+            if vote >= 0:
+                good, bad = good * model.table[1, k, vote], bad * model.table[0, k, vote]
+        assert got[i].posterior == pytest.approx(good / (good + bad), rel=1e-9, abs=1e-12)
+        assert got[i].kept == (not got[i].base_failed and got[i].posterior >= 0.5)
+
+
+def test_one_bad_vote_among_good_ones_does_not_decide(spark):
+    """Bad documents trip the overlapping rules; clean ones with a repeated line trip one."""
+    r = random.Random(11)
+    rows = corpus(600)
+    echo = "so it goes on and on " * 3
+    rows += [(1000 + i, prose(r, 70) + "\n" + echo + "\n" + echo) for i in range(12)]
+    got = {x.doc_id: x for x in quality_rules.judge(docs_frame(spark, rows)).collect()}
+    tripped = [x for x in got.values() if x.doc_id >= 1000 and x.vote_repeats == 0]
+    assert tripped and all(x.kept for x in tripped)
+    assert not any(got[i].kept for i in range(0, 600, 10)) and all(got[i].kept for i in range(600) if i % 10)
+
+
+def test_rank_model_is_the_optimum_of_its_loss():
+    rng = np.random.default_rng(2)
+    y = (rng.random(300) < 0.7).astype(float)
+    x = rng.normal(size=(300, len(quality_rank.FEATURES))) * rng.uniform(0.001, 2, len(quality_rank.FEATURES))
+    x[:, 2] += y
+    model = quality_rank.fit(x, y, np.arange(300))
+    a, b = quality_rank.pairs(np.flatnonzero(y == 1), np.flatnonzero(y == 0))
+    scale = np.maximum(x.std(axis=0), quality_rank.LEAST_SCALE)
+    diff = (x[a] - x[b]) / scale
+    w = np.zeros(x.shape[1])
+    for _ in range(20_000):  # plain gradient descent on the Bradley-Terry loss
+        w += 0.5 * (diff.T @ (1 / (1 + np.exp(diff @ w))) / len(diff) - quality_rank.RIDGE * w)
+    assert model.weights * scale == pytest.approx(w, abs=1e-4)
+    wild = x[0].copy()
+    wild[5] = 1e9  # no feature counts beyond what was learned
+    assert model.probability(wild) == model.probability(np.where(np.arange(len(wild)) == 5, x[:, 5].max(), wild))
+
+
 def test_rank_model_fits_differences_and_quantile():
     rng = np.random.default_rng(1)
     n = 1500
@@ -166,6 +216,57 @@ def test_exceptions_and_length():
     assert toxicity.evidence(" x ", toxicity.Lexicon({}).automaton())[1] == 0
 
 
+def test_evidence_against_plain_search():
+    r = random.Random(13)
+    words = ["ab", "aba", "abab", "ba", "b", "bab", "c"]
+    for _ in range(400):
+        entries = {f" {w} " if r.random() < 0.5 else f" {w}": r.choice([0.5, 1.0, 2.0]) for w in r.sample(words, 3)}
+        phrases = [f" {r.choice(words)} {r.choice(words)} " for _ in range(r.randint(0, 2))]
+        text = toxicity.fold(" ".join(r.choice(words) for _ in range(r.randint(0, 12))))
+        places = lambda e: [i for i in range(len(text)) if text.startswith(e, i)]
+        spared = [(i, i + len(p) - 1) for p in phrases for i in places(p)]
+        hits = {}
+        for e, weight in entries.items():
+            for i in places(e):
+                if not any(s <= i < z for s, z in spared):
+                    hits[i] = max(weight, hits.get(i, 0.0))
+        n = max(len(text.split()), 1)
+        got = toxicity.evidence(text, toxicity.Lexicon(entries, phrases).automaton())
+        assert got == pytest.approx((1.0, sum(hits.values()) / n ** 0.5, max(hits.values(), default=0.0)))
+
+
+def test_a_shared_line_does_not_join_documents(spark):
+    """All labelled documents hold the same long line; copies count once, with the label that most have."""
+    r = random.Random(14)
+    boiler = "this page is provided as it stands " * 12
+    rows, labels = [], []
+    for i in range(400):
+        words = prose(r, 30).split(" ")
+        if i % 4 == 0:
+            words.insert(r.randrange(len(words)), "gribble")
+        rows.append((i, " ".join(words) + "\n" + boiler))
+        labels.append((i, int(i % 4 == 0)))
+    copied = "the only text with blort " * 3
+    rows += [(1000 + i, copied) for i in range(60)]
+    labels += [(1000 + i, 1) for i in range(60)]
+    df = docs_frame(spark, rows)
+    lexicon = toxicity.learn(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    assert " gribble " in lexicon.entries and " blort " not in lexicon.entries
+    got = {x.doc_id: x.predicted for x in toxicity.score(df, None, lexicon=lexicon).collect()}
+    assert all(got[i] == (i % 4 == 0) for i in range(400))
+
+
+def test_very_long_texts(spark):
+    text = "fine words here " * 150_000
+    rows = [(1, text), (2, text + "snark"), (3, None)]
+    lexicon = toxicity.Lexicon({" snark ": 3.0}, [], (-4.0, 900.0, 0.0))
+    got = {x.doc_id: x.score for x in toxicity.score(docs_frame(spark, rows), None, lexicon=lexicon).collect()}
+    assert got[2] > got[1] == got[3]
+    assert len(quality_rank.features(text)) == len(quality_rank.FEATURES)
+    labels = spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, quality int")
+    assert len(quality_rank.score(docs_frame(spark, rows), labels).collect()) == 3
+
+
 def test_toxicity_on_held_out_rows(spark):
     r = random.Random(8)
     bad = ["gribble", "snark", "blort"]
