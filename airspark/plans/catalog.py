@@ -25,5 +25,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all():
     # Importing the query modules fills the registry.
-    from . import q_core, q_eda, q_ml, q_scoring, q_sources, q_stream  # noqa: F401
+    from . import q_core, q_eda, q_evaluation, q_ml, q_scoring, q_sources, q_stream  # noqa: F401
     return QUERIES, ORACLE

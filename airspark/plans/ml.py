@@ -200,17 +200,25 @@ def train_and_register(table: DataFrame, registry_path: str, name: str, features
     parts = time_split(table)
     train, test = (parts.filter(F.col("split") == p).drop("split") for p in ("train", "test"))
     metrics, _, best = compare(train, test, estimators(train, feats, label, forest, boosted), label)
-    held = metrics.filter(F.col("model_name") == best).first()
+    held = metrics.filter(F.col("model_name") == best).first().asDict()
     model = estimators(table, feats, label, forest, boosted, only=(best,))[best].fit(table)
+    return best, model, register_model(model, table, registry_path, name, best, feats, held)
+
+
+def register_model(model: PipelineModel, table: DataFrame, registry_path: str, name: str, title: str, feats: list,
+                   held: dict | None = None) -> DataFrame:
+    """Save a fitted model and append its record; ``held`` has its metrics on held-out rows, if there are any."""
+    spark, held = table.sparkSession, held or {}
+    number = lambda key: F.lit(held.get(key)).cast("double")
     path = save_model(model, scratch_path(spark, "model"))
     record = table.agg(F.count(F.lit(1)).cast("bigint").alias("training_rows"),
                        F.min("timestamp").alias("training_start"), F.max("timestamp").alias("training_end")).select(
-        F.lit(name).alias("name"), F.lit(held["test_MAE"]).alias("mae"), F.lit(held["test_RMSE"]).alias("rmse"),
-        F.lit(held["test_R2"]).alias("r2"), F.lit(len(feats)).cast("bigint").alias("feature_count"),
-        F.lit(best).alias("best_model_name"), F.array(*[F.lit(c) for c in feats]).alias("feature_columns"),
+        F.lit(name).alias("name"), number("test_MAE").alias("mae"), number("test_RMSE").alias("rmse"),
+        number("test_R2").alias("r2"), F.lit(len(feats)).cast("bigint").alias("feature_count"),
+        F.lit(title).alias("best_model_name"), F.array(*[F.lit(c) for c in feats]).alias("feature_columns"),
         "training_rows", "training_start", "training_end", F.col("training_end").alias("created_at"),
         F.lit(path).alias("model_path"), F.array(*[F.lit(v) for v in model.importances]).alias("feature_importance"))
-    return best, model, registry_append(spark, registry_path, record)
+    return registry_append(spark, registry_path, record)
 
 
 def table_digest(table: DataFrame) -> str:

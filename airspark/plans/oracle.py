@@ -290,10 +290,10 @@ def api_ctes() -> list[str]:
     ]
 
 
-def eval_ctes() -> list[str]:
+def eval_ctes(raw: str = STANDIN_SQL, src: str = "prep") -> list[str]:
     ref = S.REFERENCE_COLUMN
     return scoring_ctes() + [
-        f"ev0 AS (SELECT *, round_even({clip_sql(STANDIN_SQL, 0, 500)} * 1e2, 0) / 1e2 AS predicted_aqi FROM prep)",
+        f"ev0 AS (SELECT *, round_even({clip_sql(raw, 0, 500)} * 1e2, 0) / 1e2 AS predicted_aqi FROM {src})",
         f"ev AS (SELECT *, round_even(abs({ref} - predicted_aqi) * 1e2, 0) / 1e2 AS absolute_error, "
         f"round_even(({ref} - predicted_aqi) * ({ref} - predicted_aqi) * 1e2, 0) / 1e2 AS squared_error, "
         "CAST(row_number() OVER (PARTITION BY city ORDER BY timestamp) AS BIGINT) AS forecast_hour FROM ev0)",

@@ -46,27 +46,42 @@ def _fit_one(spark, sf_dir, name):
     return model.transform(test).select("city", "timestamp", S.TARGET_COLUMN, "prediction")
 
 
-def _ridge_sql():
-    """The normal equations on standardised features, solved by elimination."""
-    n, y = len(S.MODEL_FEATURE_COLUMNS), S.TARGET_COLUMN
-    split = ("sp AS (SELECT *, row_number() OVER (ORDER BY timestamp, city) <= "
-             "(SELECT CAST(floor(count(*) * 0.8e0) AS BIGINT) FROM train) AS learned FROM train)")
-    cols = S.MODEL_FEATURE_COLUMNS
-    moments = "mo AS (SELECT avg({0}) AS my, {1} FROM sp WHERE learned)".format(y, ", ".join(
-        f"avg({c}) AS m{i}, stddev_pop({c}) AS d{i}" for i, c in enumerate(cols)))
-    z = "z AS (SELECT sp.city, sp.timestamp, sp.learned, sp.{0}, mo.my, {1} FROM sp, mo)".format(y, ", ".join(
-        f"CASE WHEN d{i} > 0 THEN (sp.{c} - m{i}) / d{i} ELSE 0e0 END AS z{i}" for i, c in enumerate(cols)))
+def ridge_ctes(src: str, learned: str = "TRUE") -> list[str]:
+    """mo, mat, el: the normal equations over standardised features of some rows of ``src``, solved by elimination."""
+    n, y, cols = len(S.MODEL_FEATURE_COLUMNS), S.TARGET_COLUMN, S.MODEL_FEATURE_COLUMNS
+    moments = f"mo AS (SELECT avg({y}) AS my, " + ", ".join(
+        f"avg({c}) AS m{i}, stddev_pop({c}) AS d{i}" for i, c in enumerate(cols)) + f" FROM {src} WHERE {learned})"
+    z = f"zl AS (SELECT {src}.{y}, mo.my, " + ", ".join(f"{_standard(c, i)} AS z{i}" for i, c in enumerate(cols)) + f" FROM {src}, mo WHERE {learned})"
     rows = ", ".join("[" + ", ".join(
         [f"sum(z{i} * z{j})" + (f" + {O.dbl(M.RIDGE_ALPHA)}" if i == j else "") for j in range(n)] + [f"sum(z{i} * ({y} - my))"]) + "]"
         for i in range(n))
     eliminate = ("el AS (SELECT 1 AS k, m FROM mat UNION ALL SELECT k + 1, list_transform(m, lambda r, i: CASE WHEN i = k "
                  "THEN list_transform(r, lambda x: x / r[k]) ELSE list_transform(r, lambda x, j: x - r[k] * m[k][j] / m[k][k]) END) "
                  f"FROM el WHERE k <= {n})")
-    fit = " + ".join(f"m[{i + 1}][{n + 1}] * z{i}" for i in range(n))
-    ctes = [*O.training_ctes(), split, moments, z, f"mat AS (SELECT [{rows}] AS m FROM z WHERE learned)", eliminate]
-    text = O.with_(ctes, f"SELECT city, timestamp, {O.r6(y)} AS {y}, {O.r_digits('my + ' + fit, 4)} AS prediction FROM z, el "
-                         f"WHERE k = {n + 1} AND NOT learned")
-    return text.replace("WITH ", "WITH RECURSIVE ", 1)
+    return [moments, z, f"mat AS (SELECT [{rows}] AS m FROM zl)", eliminate, f"fit AS (SELECT m FROM el WHERE k = {n + 1})"]
+
+
+def _standard(column: str, i: int) -> str:
+    return f"CASE WHEN d{i} > 0 THEN ({column} - m{i}) / d{i} ELSE 0e0 END"
+
+
+def ridge_prediction() -> str:
+    """The prediction for a row joined with ``mo`` and ``fit``."""
+    n = len(S.MODEL_FEATURE_COLUMNS)
+    return "my + " + " + ".join(f"m[{i + 1}][{n + 1}] * {_standard(c, i)}" for i, c in enumerate(S.MODEL_FEATURE_COLUMNS))
+
+
+def recursive(ctes, final: str) -> str:
+    return O.with_(ctes, final).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+def _ridge_sql():
+    y = S.TARGET_COLUMN
+    split = ("sp AS (SELECT *, row_number() OVER (ORDER BY timestamp, city) <= "
+             "(SELECT CAST(floor(count(*) * 0.8e0) AS BIGINT) FROM train) AS learned FROM train)")
+    return recursive([*O.training_ctes(), split, *ridge_ctes("sp", "learned")],
+                     f"SELECT city, timestamp, {O.r6(y)} AS {y}, {O.r_digits(ridge_prediction(), 4)} AS prediction "
+                     "FROM sp, mo, fit WHERE NOT learned")
 
 
 @register("ml_ridge", _ridge_sql())

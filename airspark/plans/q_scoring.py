@@ -149,9 +149,9 @@ DEV_COLS = (["city", "forecast_day", "predicted_daily_avg_aqi", "start_time", "e
             + [f"{c}_avg" for c in POLL] + ["absolute_error", "squared_error"])
 
 
-def _daily_eval_sql():
+def _daily_eval_sql(ctes=EV):
     avg = ", ".join(f"round_even(avg({c}) * 1e2, 0) / 1e2 AS {c}_avg" for c in POLL)
-    return EV + [
+    return ctes + [
         "de0 AS (SELECT city, forecast_day, round_even(avg(predicted_aqi) * 1e2, 0) / 1e2 AS predicted_daily_avg_aqi, "
         f"min(timestamp) AS start_time, max(timestamp) AS end_time, round_even(avg({REF}) * 1e2, 0) / 1e2 AS "
         f"openmeteo_daily_avg_aqi, {avg} FROM evd GROUP BY city, forecast_day)",
