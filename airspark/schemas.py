@@ -139,6 +139,12 @@ POLLUTANT_COLUMNS = [
     ("NO₂", "no2_1h_ppb", "ppb", "Nitrogen dioxide"),
 ]
 
+# Columns of a payload's hourly records, in order; those that a table lacks are left out.
+HOURLY_RECORD_COLUMNS = [
+    "timestamp", "predicted_aqi", "aqi_category", "openmeteo_us_aqi_reference", "pm25_24h", "pm10_24h", "o3_8h_ppb",
+    "co_8h_ppm", "no2_1h_ppb", "temperature_2m", "relative_humidity_2m", "precipitation", "windspeed_10m", "surface_pressure",
+]
+
 # Dashboard display names.
 DISPLAY_NAMES = {
     "forecast_day": "Forecast Day",

@@ -281,13 +281,8 @@ def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def hourly_records(hourly: DataFrame) -> DataFrame:
-    """Payload hourly columns in order; reference AQI at position 4 when present."""
-    cols = ["timestamp", "predicted_aqi", "aqi_category", *S.POLLUTANT_FEATURE_COLUMNS, "temperature_2m",
-            "relative_humidity_2m", "precipitation", "windspeed_10m", "surface_pressure"]
-    if S.REFERENCE_COLUMN in hourly.columns:
-        cols.insert(3, S.REFERENCE_COLUMN)
-    keep = (["city"] if "city" in hourly.columns else []) + [c for c in cols if c in hourly.columns]
-    out = hourly.select(*keep)
+    """Payload hourly columns in order, as far as the table has them."""
+    out = hourly.select(*[c for c in ("city", *S.HOURLY_RECORD_COLUMNS) if c in hourly.columns])
     return out.withColumn("timestamp", F.date_format("timestamp", TS_FORMAT))
 
 
