@@ -20,6 +20,10 @@ CACHE_SCHEMA = T.StructType([
     T.StructField("n_tokens", T.LongType())])
 
 
+#: So many missing digests, of 32 bytes or so, are sent to the texts; beyond that texts and digests are shuffled.
+BROADCAST_MISSES = 100_000
+
+
 def content_digest(text) -> F.Column:
     """128 bits of SHA-256 of the normalised text."""
     return F.unhex(F.substring(F.sha2(F.encode(text_or_empty(text), "UTF-8"), 256), 1, 32))
@@ -42,6 +46,16 @@ def _cached(spark, cache_path: str, version: str) -> DataFrame:
             .groupBy("content").agg(F.min("n_tokens").alias("n_tokens")))
 
 
+def _standing_for(keyed: DataFrame, misses: DataFrame, n: int) -> DataFrame:
+    """content, row, text of the rows that stand for the ``n`` missing digests.
+
+    Few digests go to the texts, so that a warm cache moves no text; many stream through a hashed semi-join, whose
+    text side is neither sorted nor collected.
+    """
+    side = F.broadcast(misses) if n <= BROADCAST_MISSES else misses.hint("shuffle_hash")
+    return keyed.select("content", "row", "text").join(side, ["content", "row"], "left_semi")
+
+
 def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", cache_path: str | None = None,
                  id_col: str = "doc_id", text_col: str = "text", limit: int = 512) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for every row of ``docs``.
@@ -49,7 +63,8 @@ def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", cache_pa
     One row out per row in, also for NULL, repeated or clashing ids; a NULL or empty text counts 0
     tokens.  ``cache_path`` names a cache shared by runs; without it the call starts an empty one.
     Equal texts, however many, are encoded once: their copies meet only as 16-byte digests, which are
-    pre-aggregated, and the text is sent on for one row of each digest.
+    pre-aggregated, and the text is sent on for one row of each missing digest.  With none missing no text is
+    read a second time.
     """
     spark = docs.sparkSession
     version = tokenizing.version_digest(tokenizer)
@@ -60,14 +75,15 @@ def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", cache_pa
                          F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("row"))
     digests = checkpoint(keyed.select("doc_id", "content", "row", F.octet_length("text").cast("long").alias("n_bytes")),
                          "token-digests")
-    misses = (digests.groupBy("content").agg(F.min("row").alias("row"))
-              .join(_cached(spark, cache_path, version), "content", "left_anti"))
-    encode = per_text("n_tokens long", lambda: (lambda count: lambda t: (count(t),))(_counter(tokenizer)))
-    # The texts stream through a hashed semi-join: their side is neither sorted nor collected.  Rows that
-    # repeat both id and text remain, and the cache's reader keeps one of them.
-    chosen = keyed.select("content", "row", "text").join(misses.hint("shuffle_hash"), ["content", "row"], "left_semi")
-    (chosen.select("content", F.lit(version).alias("tokenizer"), encode("text")["n_tokens"].alias("n_tokens"))
-     .write.mode("append").parquet(cache_path))
+    misses = checkpoint(digests.groupBy("content").agg(F.min("row").alias("row"))
+                        .join(_cached(spark, cache_path, version), "content", "left_anti"), "token-misses")
+    n = misses.count()
+    if n:
+        encode = per_text("n_tokens long", lambda: (lambda count: lambda t: (count(t),))(_counter(tokenizer)))
+        # Rows that repeat both id and text remain, and the cache's reader keeps one of them.
+        (_standing_for(keyed, misses, n)
+         .select("content", F.lit(version).alias("tokenizer"), encode("text")["n_tokens"].alias("n_tokens"))
+         .write.mode("append").parquet(cache_path))
     # Written apart, so that the join below has no aggregate in it and Spark can split a hot digest.
     counts = checkpoint(_cached(spark, cache_path, version), "token-counts")
     return (digests.select("doc_id", "content", "n_bytes").join(counts, "content")

@@ -83,6 +83,24 @@ def test_cache_is_read_before_anything_is_encoded(spark):
     assert {r.n_tokens for r in other} == {2}
 
 
+def test_a_warm_cache_moves_no_text(spark, monkeypatch):
+    cache = scratch_path(spark, "test-cache")
+    df = frame(spark, TEXTS)
+    token_counts.count_tokens(df, cache_path=cache).count()
+    n, seen = spark.read.parquet(cache).count(), []
+    inner = token_counts._standing_for
+    monkeypatch.setattr(token_counts, "_standing_for", lambda *a: seen.append(inner(*a)) or seen[-1])
+    again = token_counts.count_tokens(df, cache_path=cache)
+    assert again.count() == len(TEXTS) and not seen and spark.read.parquet(cache).count() == n
+    more = frame(spark, [*TEXTS, "never seen before"])
+    assert token_counts.count_tokens(more, cache_path=cache).count() == len(TEXTS) + 1
+    plan = seen[0]._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hash" not in plan and "BroadcastHashJoin" in plan and spark.read.parquet(cache).count() == n + 1
+    keyed = df.select(token_counts.content_digest("text").alias("content"), F.lit("").alias("row"), "text")
+    many = inner(keyed, keyed.select("content", "row").distinct(), 10 ** 9)
+    assert "ShuffledHashJoin" in many._jdf.queryExecution().executedPlan().toString()
+
+
 def test_codec_gives_library_ids_and_text():
     sp = spm.SentencePieceProcessor(model_file=tokenizing.resolve("piece_bpe_32k.model"))
     codec = piece_codec.PieceCodec()
