@@ -64,10 +64,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_SCRATCH: dict[str, list[str]] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/airspark/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/airspark/{name}-{uuid.uuid4().hex[:12]}"
+    _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def release_scratch(spark: SparkSession) -> int:
+    """Delete every folder that ``scratch_path`` has named in this application; returns how many there were.
+
+    For a job's end: results that were not written elsewhere read these folders, so nothing here deletes them
+    on its own.
+    """
+    paths = _SCRATCH.pop(spark.sparkContext.applicationId, [])
+    there = [p for p in paths if path_exists(spark, p)]
+    for p in there:
+        drop_scratch(spark, p)
+    return len(there)
 
 
 def checkpoint(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -30,7 +30,7 @@ from airspark.plans import eda as E  # noqa: E402
 from airspark.plans import ml as M  # noqa: E402
 from airspark.plans.features import build_forecast_features, build_training_features  # noqa: E402
 from airspark.plans.q_core import observations  # noqa: E402
-from airspark.session import get_session, scratch_path  # noqa: E402
+from airspark.session import get_session, release_scratch, scratch_path  # noqa: E402
 
 BENCH_AS_OF = "1998-06-01 00:00:00"  # lineitem ship dates end in 1998
 
@@ -116,6 +116,7 @@ def main():
     total = round(sum(timings.values()), 3)
     print(json.dumps({"metric": "total_query_seconds", "value": total, "unit": "sec", "queries": timings,
                       "sf": sf}))
+    release_scratch(spark)
     spark.stop()
 
 

@@ -78,3 +78,14 @@ def test_a_slower_writer_merges_anew(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(ST._Commits, "commit", lambda *a: False)
     with pytest.raises(RuntimeError, match="faster"):
         ST.keyed_upsert(rows(spark, "a", [9], 7, 3), path, attempts=2)
+
+
+def test_scratch_is_released(spark, tmp_path, monkeypatch):
+    from airspark import session
+    monkeypatch.setattr(session, "_SCRATCH", {})
+    kept = session.scratch_path(spark, "never-written")
+    done = session.checkpoint(spark.range(3), "released")
+    assert done.count() == 3 and not session.path_exists(spark, kept)
+    (path,) = [p for p in session._SCRATCH[spark.sparkContext.applicationId] if p != kept]
+    assert session.release_scratch(spark) == 1 and not session.path_exists(spark, path)
+    assert session.release_scratch(spark) == 0
