@@ -8,7 +8,8 @@ ends there, and each is relaxed against what is known at the piece's start.
   stay apart when merged alone.  A step scores 0 if its piece does so behind the best path's last piece and
   minus infinity if not; the best sum is the library's encoding.
 
-Words are cut where no piece can straddle, so equal words are encoded once per task (bounded memo).
+Words are cut where no piece can straddle: before a space, and between a letter and a sign that no piece of the model
+joins.  Equal ones are encoded once per task (bounded memo).
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ SPACE = "▁"
 MEMO_WORDS = 400_000
 MEMO_CHARS = 64
 MEMO_PAIRS = 300_000
+#: Letters and signs between which words are cut if no piece of the model joins the two.
+LETTERS, SIGNS = "A-Za-zÀ-ÖØ-öø-ÿ", ".,!?;:#*$%&|<>()"
 
 
 #: Model types in a model file.
@@ -87,14 +90,19 @@ class PieceCodec:
         self.is_bpe = model_type(path) == BPE
         self.automaton = ahocorasick.Automaton()
         for p in self.score:
-            self.automaton.add_word(p, (len(p), p))
+            self.automaton.add_word(p, (len(p), p, {}))  # the last one: whether it stays apart behind a piece
         self.automaton.make_automaton()
         # Pieces of spaces alone are the only ones with a space after their first character.
         spaces_alone = all(SPACE not in p[1:] or not p.strip(SPACE) for p in self.score)
         self._words = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+") if spaces_alone else None
+        joined = re.compile(f"[{LETTERS}]([{re.escape(SIGNS)}])|([{re.escape(SIGNS)}])[{LETTERS}]")
+        sticky = {c for p in self.score for pair in joined.findall(p) for c in pair if c}
+        apart = re.escape("".join(c for c in SIGNS if c not in sticky))
+        # Unknown characters that meet become one unknown piece, unless they are written as bytes.
+        self._cuts = re.compile(f"(?<=[{LETTERS}])(?=[{apart}])|(?<=[{apart}])(?=[{LETTERS}])") if apart and self.byte_ids else None
         singles = "".join(map(re.escape, sorted(p for p in self.score if len(p) == 1)))
         self._strangers = re.compile(f"([^{singles}])")
-        self._apart: dict[tuple[str, str], bool] = {}
+        self._pairs = 0
         self._memo: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
@@ -138,30 +146,36 @@ class PieceCodec:
 
     def _stay_apart(self, a: str, b: str) -> bool:
         """Whether ``a`` then ``b`` is the encoding of their joined text."""
-        apart = a + b not in self.score and self._merge(a + b) == [a, b] if a else self._merge(b) == [b]
-        if len(self._apart) >= MEMO_PAIRS:
-            self._apart.clear()
-        self._apart[a, b] = apart
-        return apart
+        return a + b not in self.score and self._merge(a + b) == [a, b] if a else self._merge(b) == [b]
+
+    def _judge(self, before: str, piece: str, known: dict) -> bool:
+        """``_stay_apart``, kept with the piece; all is forgotten when too many pairs are known."""
+        self._pairs += 1
+        if self._pairs > MEMO_PAIRS:
+            self._pairs = 1
+            for _, _, pairs in self.automaton.values():
+                pairs.clear()
+        known[before] = fits = self._stay_apart(before, piece)
+        return fits
 
     def _path(self, word: str) -> list[str]:
         """The pieces of a word whose every character is a piece."""
         last: list = [""] * (len(word) + 1)  # last piece of the best path that ends at a position
         best = [-inf] * (len(word) + 1)
         best[0] = 0.0
-        known, score, is_bpe = self._apart.get, self.score, self.is_bpe
-        for end, (size, piece) in self.automaton.iter(word):
-            so_far = best[end + 1 - size]
-            if so_far <= best[end + 1]:
-                continue  # no gain is above 0, so this cannot be better than what is stored
-            if is_bpe:  # a step costs nothing if its piece stays apart from the one before, else it is barred
-                before = last[end + 1 - size]
-                fits = known((before, piece))
-                gain = 0.0 if fits or fits is None and self._stay_apart(before, piece) else -inf
-            else:
-                gain = score[piece]
-            if so_far + gain > best[end + 1]:
-                best[end + 1], last[end + 1] = so_far + gain, piece
+        if self.is_bpe:  # a step scores 0 if its piece stays apart from the one before, else it is barred
+            for end, (size, piece, known) in self.automaton.iter(word):
+                at = end + 1
+                if best[at - size] > best[at]:
+                    before = last[at - size]
+                    fits = known.get(before)
+                    if fits or fits is None and self._judge(before, piece, known):
+                        best[at], last[at] = best[at - size], piece
+        else:
+            for end, (size, piece, _) in self.automaton.iter(word):
+                s = best[end + 1 - size] + self.score[piece]
+                if s > best[end + 1]:
+                    best[end + 1], last[end + 1] = s, piece
         out, at = [], len(word)
         while at > 0:
             out.append(last[at])
@@ -180,6 +194,14 @@ class PieceCodec:
                 ids.append(self.unknown)
         return np.array(ids, dtype=np.int32).tobytes()
 
+    def _known_ids(self, part: str) -> bytes:
+        ids = self._memo.get(part) or self._older.get(part)
+        if ids is None:
+            ids = self._word_ids(part)
+            if len(part) <= MEMO_CHARS:
+                self._memo[part] = ids
+        return ids
+
     def encode(self, text: str) -> np.ndarray:
         text = self.normalise(text)
         words = self._words.findall(text) if self._words else [text]
@@ -188,7 +210,8 @@ class PieceCodec:
         for i, known in enumerate(got):
             if known is None:
                 w = words[i]
-                got[i] = memo.get(w) or self._older.get(w) or self._word_ids(w)
+                parts = self._cuts.split(w) if self._cuts else ()
+                got[i] = b"".join(map(self._known_ids, parts)) if len(parts) > 1 else self._known_ids(w)
                 if len(w) <= MEMO_CHARS:
                     memo[w] = got[i]
         if len(memo) > MEMO_WORDS:  # words not met again in one generation go with the next

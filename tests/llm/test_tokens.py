@@ -85,19 +85,20 @@ def test_cache_is_read_before_anything_is_encoded(spark):
 
 def test_a_warm_cache_moves_no_text(spark, monkeypatch):
     cache = scratch_path(spark, "test-cache")
-    df = frame(spark, TEXTS)
+    texts = [*TEXTS, *(f"text number {i}" for i in range(200))]
+    df = frame(spark, texts)
     token_counts.count_tokens(df, cache_path=cache).count()
     n, seen = spark.read.parquet(cache).count(), []
     inner = token_counts._standing_for
     monkeypatch.setattr(token_counts, "_standing_for", lambda *a: seen.append(inner(*a)) or seen[-1])
     again = token_counts.count_tokens(df, cache_path=cache)
-    assert again.count() == len(TEXTS) and not seen and spark.read.parquet(cache).count() == n
-    more = frame(spark, [*TEXTS, "never seen before"])
-    assert token_counts.count_tokens(more, cache_path=cache).count() == len(TEXTS) + 1
+    assert again.count() == len(texts) and not seen and spark.read.parquet(cache).count() == n
+    more = frame(spark, [*texts, "never seen before"])
+    assert token_counts.count_tokens(more, cache_path=cache).count() == len(texts) + 1
     plan = seen[0]._jdf.queryExecution().executedPlan().toString()
     assert "Exchange hash" not in plan and "BroadcastHashJoin" in plan and spark.read.parquet(cache).count() == n + 1
     keyed = df.select(token_counts.content_digest("text").alias("content"), F.lit("").alias("row"), "text")
-    many = inner(keyed, keyed.select("content", "row").distinct(), 10 ** 9)
+    many = inner(keyed, keyed.select("content", "row").distinct(), 3, 10)
     assert "ShuffledHashJoin" in many._jdf.queryExecution().executedPlan().toString()
 
 
@@ -150,10 +151,10 @@ def test_unigram_path_is_the_best_sum(monkeypatch):
     for _ in range(40):
         score["".join(r.choice("abcd") for _ in range(r.randint(2, 4)))] = -3.0 - 6 * r.random()
     c = piece_codec.PieceCodec.__new__(piece_codec.PieceCodec)
-    c.score, c.is_bpe, c._strangers, c._apart = score, False, re.compile("([^abcd])"), {}
+    c.score, c.is_bpe, c._strangers = score, False, re.compile("([^abcd])")
     c.automaton = ahocorasick.Automaton()
     for p in score:
-        c.automaton.add_word(p, (len(p), p))
+        c.automaton.add_word(p, (len(p), p, {}))
     c.automaton.make_automaton()
 
     def best(word):
