@@ -20,8 +20,9 @@ CACHE_SCHEMA = T.StructType([
     T.StructField("n_tokens", T.LongType())])
 
 
-#: So many missing digests, of 32 bytes or so, are sent to the texts; beyond that texts and digests are shuffled.
-BROADCAST_MISSES = 100_000
+#: A warm cache misses few digests, of 32 bytes or so: at most so many, and a small share of all rows.  These are sent to
+#: the texts; else texts and digests are shuffled.
+BROADCAST_MISSES, BROADCAST_SHARE = 100_000, 0.01
 
 
 def content_digest(text) -> F.Column:
@@ -46,13 +47,13 @@ def _cached(spark, cache_path: str, version: str) -> DataFrame:
             .groupBy("content").agg(F.min("n_tokens").alias("n_tokens")))
 
 
-def _standing_for(keyed: DataFrame, misses: DataFrame, n: int) -> DataFrame:
-    """content, row, text of the rows that stand for the ``n`` missing digests.
+def _standing_for(keyed: DataFrame, misses: DataFrame, n: int, of: int) -> DataFrame:
+    """content, row, text of the rows that stand for the ``n`` missing digests of ``of`` rows.
 
     Few digests go to the texts, so that a warm cache moves no text; many stream through a hashed semi-join, whose
     text side is neither sorted nor collected.
     """
-    side = F.broadcast(misses) if n <= BROADCAST_MISSES else misses.hint("shuffle_hash")
+    side = F.broadcast(misses) if n <= min(BROADCAST_MISSES, BROADCAST_SHARE * of) else misses.hint("shuffle_hash")
     return keyed.select("content", "row", "text").join(side, ["content", "row"], "left_semi")
 
 
@@ -81,7 +82,7 @@ def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", cache_pa
     if n:
         encode = per_text("n_tokens long", lambda: (lambda count: lambda t: (count(t),))(_counter(tokenizer)))
         # Rows that repeat both id and text remain, and the cache's reader keeps one of them.
-        (_standing_for(keyed, misses, n)
+        (_standing_for(keyed, misses, n, digests.count())
          .select("content", F.lit(version).alias("tokenizer"), encode("text")["n_tokens"].alias("n_tokens"))
          .write.mode("append").parquet(cache_path))
     # Written apart, so that the join below has no aggregate in it and Spark can split a hot digest.
