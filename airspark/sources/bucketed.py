@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..session import scratch_path
+
 KEY = ("city", "timestamp")
 #: A bucket should hold about this many rows of the table's expected size.
 ROWS_A_BUCKET = 5_000_000
@@ -21,13 +23,17 @@ def buckets_for(rows: int, least: int = 8) -> int:
     return n
 
 
-def write_bucketed(df: DataFrame, table: str, buckets: int, key=KEY, mode: str = "overwrite") -> str:
+def write_bucketed(df: DataFrame, table: str, buckets: int, key=KEY, mode: str = "overwrite", path: str | None = None) -> str:
     """Write (or append a batch to) a bucketed table in the session's catalog; returns its name.
 
-    Rows are dealt to the buckets before the write, so a batch makes one file a bucket.
+    Its files lie under ``path``, else in a scratch folder.  Rows are dealt to the buckets before the write, so a batch
+    makes one file a bucket.
     """
-    (df.repartition(buckets, *[F.col(c) for c in key]).write.mode(mode).format("parquet")
-     .bucketBy(buckets, *key).sortBy(*key).saveAsTable(table))
+    spark = df.sparkSession
+    writer = df.repartition(buckets, *[F.col(c) for c in key]).write.mode(mode).format("parquet").bucketBy(buckets, *key).sortBy(*key)
+    if not (mode == "append" and spark.catalog.tableExists(table)):  # a table that is there knows its place
+        writer = writer.option("path", path or scratch_path(spark, table))
+    writer.saveAsTable(table)
     return table
 
 
