@@ -1,21 +1,25 @@
 """Second-order gradient boosting on histograms, squared error.
 
-Features are binned once.  A level of a tree is one grouped aggregate over (node, feature, bin): sums of
-gradients and counts (the hessian of squared error is 1), combined map-side, so the driver gets at most
-nodes x features x bins rows whatever the input.  There the best splits are chosen:
+Features are binned once and kept as arrays.  A level of a tree needs the sums of gradients and counts (the hessian of
+squared error is 1) by (node, feature, bin): each block of rows adds up its own, so the driver gets at most
+nodes / 2 x features x bins numbers a block, summed in the blocks' order.  Rows of a single task need no exchange, so
+there one job grows all trees; else a level is one job over the kept blocks.  The best splits are chosen by
 
     gain = s(left) + s(right) - s(node),  s(G, H) = T(G)^2 / (H + l2),  T(G) = sign(G) max(|G| - l1, 0)
 
 and a leaf's weight is -T(G) / (H + l2) times the learning rate.  Rows are sampled per tree by a hash of
-their number, columns per tree by the seed.  Fitted trees are parameters of one expression whose shape
-never changes, so its generated code is compiled once; the running prediction is written every few rounds.
+their number, columns per tree by the seed.
 """
 
 from __future__ import annotations
 
+import pickle
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,7 +29,10 @@ from ..session import checkpoint
 #: feature and the lowest cut, whatever the order of summation.
 GAIN_TIE = 1e-9
 LEAST_GAIN = 1e-6
+#: So few rows are one task's work.
 ROWS_OF_A_TASK = 200_000
+#: Of more rows, a block has this many, or up to the second number if there would be more blocks than cores.
+ROWS_OF_A_BLOCK = (50_000, 1_000_000)
 #: Sampling draws are hashed to so many values.
 DRAWS = 1 << 20
 
@@ -60,7 +67,7 @@ class BoostedTrees:
     l2: float = 2.0
     seed: int = 42
     max_bins: int = 256
-    write_every: int = 25
+    write_every: int = 25  # so many trees' values are summed before they are added to the running prediction
     label: str = "us_aqi"
     array: str = "_x"
     trees: list[Tree] = field(default_factory=list)
@@ -73,20 +80,21 @@ class BoostedTrees:
         rows = df.where(F.col(self.label).isNotNull()).select(
             F.col(self.label).cast("double").alias("y"),
             F.array(*[_bin(f"{self.array}[{i}]", e) for i, e in enumerate(edges)]).alias("b"),
-            F.lit(base).alias("p"), F.monotonically_increasing_id().alias("r"))
+            F.monotonically_increasing_id().alias("r"))
         rows = checkpoint(rows, "boosting-rows")
-        # So few rows are one task's work, and then no level needs a shuffle.
-        alone = rows.count() <= ROWS_OF_A_TASK
-        rows = rows.coalesce(1) if alone else rows
-        rng, new = np.random.default_rng(self.seed), []
-        for turn in range(self.rounds if edges else 0):
-            picked = np.sort(rng.permutation(len(edges))[:max(1, int(len(edges) * self.columns))])
-            tree = self._grow(rows, new, turn, picked, edges)
-            model.trees.append(tree)
-            new.append(tree)
-            if len(new) == self.write_every:
-                rows = checkpoint(rows.withColumn("p", F.col("p") + _added("b", new)), "boosting-rows")
-                rows, new = rows.coalesce(1) if alone else rows, []
+        n = rows.count()
+        if not edges or not n:
+            return FittedBoostedTrees(model)
+        rng = np.random.default_rng(self.seed)
+        picks = [np.sort(rng.permutation(len(edges))[:max(1, int(len(edges) * self.columns))]) for _ in range(self.rounds)]
+        rows = rows.select("y", "b", "r", F.xxhash64("r", F.lit(self.seed)).alias("draw"))
+        if n <= ROWS_OF_A_TASK:
+            grown = rows.coalesce(1).mapInArrow(model._alone(edges, picks), "tree binary").collect()
+            model.trees = [pickle.loads(r["tree"]) for r in grown]
+        else:
+            few, many = (-(-n // size) for size in ROWS_OF_A_BLOCK)
+            tasks = min(few, max(many, df.sparkSession.sparkContext.defaultParallelism))
+            model.trees = model._over_blocks(rows.repartition(tasks), edges, picks)
         return FittedBoostedTrees(model)
 
     def _prepare(self, df: DataFrame) -> tuple[float, list[list[float]]]:
@@ -101,22 +109,63 @@ class BoostedTrees:
                        for i in range(n)]).first() if n else []
         return float(low["mean"] or 0.0), [sorted(set(got[i] or [])) for i in range(n)]
 
-    def _grow(self, rows: DataFrame, new: list[Tree], turn: int, picked: np.ndarray, edges: list[list[float]]) -> Tree:
-        tree = Tree.empty(self.depth)
-        drawn = F.expr(f"pmod(xxhash64(r, {self.seed}, {_held([turn], 'int')}[0]), {DRAWS}) < {int(DRAWS * self.rows)}")
-        seen = rows.where(drawn).select("b", (F.col("p") + _added("b", new) - F.col("y")).alias("g"))
-        open_nodes = {0}
-        for level in range(self.depth):
-            sums = (seen.select(_node("b", tree, level).alias("node"), "g", F.posexplode("b").alias("f", "bin"))
-                    .groupBy("node", "f", "bin").agg(F.sum("g").alias("g"), F.count("*").alias("h")).collect())
-            hist = {node: np.zeros((len(edges), max(map(len, edges)) + 1, 2)) for node in open_nodes}
-            for node, f, b, g, h in sums:
-                if node in hist:
-                    hist[node][f, b] = g, h
+    def _alone(self, edges: list[list[float]], picks: list[np.ndarray]) -> Callable:
+        """All rounds on the rows of one task."""
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            y, bins, draw = _arrays(batches, len(edges))
+            p, fresh = np.full(len(y), self.base), np.zeros(len(y))
+            for turn, picked in enumerate(picks):
+                g, drawn = p + fresh - y, np.flatnonzero(_drawn(draw, turn) < int(DRAWS * self.rows))
+                tree = self._grow(lambda tree, nodes: _histograms(bins, g, drawn, tree, nodes, picked, edges), picked, edges)
+                fresh += tree.value[_leaf(bins, tree)]
+                if (turn + 1) % self.write_every == 0:
+                    p, fresh = p + fresh, np.zeros(len(y))
+                yield pa.RecordBatch.from_pydict({"tree": pa.array([pickle.dumps(tree)], pa.binary())})
+
+        return run
+
+    def _over_blocks(self, rows: DataFrame, edges: list[list[float]], picks: list[np.ndarray]) -> list[Tree]:
+        """All rounds, a job a level, over blocks of rows that are kept with their running prediction."""
+        base, size, share = self.base, len(edges), int(DRAWS * self.rows)
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            y, bins, draw = _arrays(batches, size)
+            block = pickle.dumps((y, bins, draw, np.full(len(y), base)))
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.binary())})
+
+        kept = StorageLevel.MEMORY_AND_DISK
+        blocks = rows.mapInArrow(pack, "block binary").rdd.map(lambda r: pickle.loads(r["block"])).persist(kept)
+        trees, new = [], []
+        for turn, picked in enumerate(picks):
+            def sums(tree: Tree, nodes: list[int]) -> np.ndarray:
+                def of(block, new=tuple(new)):
+                    y, bins, draw, p = block
+                    drawn = np.flatnonzero(_drawn(draw, turn) < share)
+                    return _histograms(bins, p + _fresh(bins, new) - y, drawn, tree, nodes, picked, edges)
+                return sum(blocks.map(of).collect())
+
+            new.append(self._grow(sums, picked, edges))
+            if len(new) == self.write_every:
+                trees, last = trees + new, blocks
+                blocks = last.map(lambda b, new=tuple(new): (*b[:3], b[3] + _fresh(b[1], new))).persist(kept)
+                blocks.count()
+                last.unpersist()
+                new = []
+        blocks.unpersist()
+        return trees + new
+
+    def _grow(self, sums: Callable[[Tree, list[int]], np.ndarray], picked: np.ndarray, edges: list[list[float]]) -> Tree:
+        """A tree; ``sums(tree so far, nodes)`` gives these nodes' histograms over all drawn rows."""
+        tree, open_nodes, above = Tree.empty(self.depth), {0}, {}
+        for _ in range(self.depth):
+            # Of two siblings the left one is summed; the right one is what is left of their parent.
+            counted = [at for at in sorted(open_nodes) if at % 2 or not at]
+            hist = dict(zip(counted, sums(tree, counted)))
+            hist |= {at + 1: above[at // 2] - hist[at] for at in counted if at}
             grown = set()
-            for node in sorted(open_nodes):
-                grown |= self._split(tree, node, hist[node], picked, edges)
-            open_nodes = grown
+            for at in sorted(open_nodes):
+                grown |= self._split(tree, at, hist[at], picked, edges)
+            open_nodes, above = grown, hist
             if not open_nodes:
                 break
         return tree
@@ -129,10 +178,10 @@ class BoostedTrees:
         def score(g, h):
             return np.maximum(np.abs(g) - self.l1, 0.0) ** 2 / (h + self.l2)
 
-        whole = hist[picked[0]].sum(axis=0)  # any feature's bins hold all rows of the node
+        left = hist[picked].cumsum(axis=1)
+        whole = left[0, -1]  # any feature's bins hold all rows of the node
         if node == 0:
             tree.value[0] = self._weight(*whole)
-        left = hist[picked].cumsum(axis=1)
         right = whole - left
         gain = score(left[..., 0], left[..., 1]) + score(right[..., 0], right[..., 1]) - score(*whole)
         gain[(left[..., 1] < self.min_child) | (right[..., 1] < self.min_child)] = -np.inf
@@ -203,27 +252,58 @@ def _bin(value: str, edges: list[float]) -> Column:
     return F.expr(f"cast({found} AS smallint)")
 
 
-def _walk(bins: str, features: str, cuts: str, start: str, steps: str) -> str:
-    """The node that a row of bins reaches in the tree that begins at ``start``, a step a level."""
-    at = f"get({features}, {start} + n)"
-    return f"aggregate({steps}, 0, (n, i) -> if({at} < 0, n, 2 * n + 1 + if(get({bins}, {at}) > get({cuts}, {start} + n), 1, 0)))"
-
-
-def _node(bins: str, tree: Tree, levels: int) -> Column:
-    """The node that a row reaches within so many levels of one tree."""
-    if not levels:
-        return F.lit(0)
-    return F.expr(_walk(bins, _held(tree.feature.tolist(), "int"), _held(tree.bin.tolist(), "int"), "0",
-                        _held(range(levels), "int")))
-
-
-def _added(bins: str, trees: list[Tree]) -> Column:
-    """The sum of several trees' values for a row of bins."""
-    if not trees:
-        return F.lit(0.0)
-    size = len(trees[0].feature)
-    depth = (size + 1).bit_length() - 2
-    features, cuts = (_held(np.concatenate([getattr(t, name) for t in trees]).tolist(), "int") for name in ("feature", "bin"))
-    values = _held(np.concatenate([t.value for t in trees]).tolist(), "double")
-    leaf = _walk(bins, features, cuts, "t", _held(range(depth), "int"))
-    return F.expr(f"aggregate({_held([size * i for i in range(len(trees))], 'int')}, 0D, (total, t) -> total + get({values}, t + {leaf}))")
+def _arrays(batches: Iterator[pa.RecordBatch], n_features: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Labels, bins (feature x row) and hashes of a task's rows in the order of their numbers."""
+    y, b, r, draw = [np.empty(0)], [np.empty((0, n_features), dtype=np.int16)], [np.empty(0, dtype=int)], [np.empty(0, dtype=int)]
+    for batch in batches:
+        y.append(batch.column("y").to_numpy(zero_copy_only=False))
+        b.append(batch.column("b").flatten().to_numpy(zero_copy_only=False).reshape(-1, n_features))
+        r.append(batch.column("r").to_numpy(zero_copy_only=False))
+        draw.append(batch.column("draw").to_numpy(zero_copy_only=False))
+    order = np.argsort(np.concatenate(r), kind="stable")
+    return (np.concatenate(y)[order], np.ascontiguousarray(np.concatenate(b)[order].T), np.concatenate(draw)[order].view(np.uint64))
+
+
+def _drawn(draw: np.ndarray, turn: int) -> np.ndarray:
+    """``xxhash64(..., turn)`` modulo DRAWS, given the hash of the columns before it."""
+    p1, p2, p3, p5 = (np.uint64(p) for p in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5))
+    h = (draw + p5 + np.uint64(4)) ^ (np.array([turn], dtype=np.uint64) * p1)
+    h = (h << np.uint64(23) | h >> np.uint64(41)) * p2 + p3
+    h = (h ^ h >> np.uint64(33)) * p2
+    h = (h ^ h >> np.uint64(29)) * p3
+    return (h ^ h >> np.uint64(32)) & np.uint64(DRAWS - 1)
+
+
+def _leaf(bins: np.ndarray, tree: Tree) -> np.ndarray:
+    """The node of a tree, grown as far as it is, that each row (feature x row) reaches."""
+    node, every = np.zeros(bins.shape[1], dtype=int), np.arange(bins.shape[1])
+    while True:
+        feature = tree.feature[node]
+        if (feature < 0).all():
+            return node
+        node = np.where(feature < 0, node, 2 * node + 1 + (bins[feature, every] > tree.bin[node]))
+
+
+def _fresh(bins: np.ndarray, trees: tuple[Tree, ...]) -> np.ndarray:
+    """The sum of several trees' values for each row."""
+    total = np.zeros(bins.shape[1])
+    for tree in trees:
+        total += tree.value[_leaf(bins, tree)]
+    return total
+
+
+def _histograms(bins: np.ndarray, g: np.ndarray, drawn: np.ndarray, tree: Tree, nodes: list[int],
+                picked: np.ndarray, edges: list[list[float]]) -> np.ndarray:
+    """(node, feature, bin, [sum of gradients, count]) of one block's drawn rows; features not picked stay 0."""
+    size = max(map(len, edges)) + 1
+    hist = np.zeros((len(nodes), len(edges), size, 2))
+    node = _leaf(bins, tree)[drawn]
+    slot = np.searchsorted(nodes, node)
+    here = np.take(nodes, slot, mode="clip") == node
+    rows, start = drawn[here], slot[here] * size
+    weights = g[rows]
+    for f in picked:
+        at = start + bins[f, rows]
+        hist[:, f, :, 0] = np.bincount(at, weights, len(nodes) * size).reshape(-1, size)
+        hist[:, f, :, 1] = np.bincount(at, minlength=len(nodes) * size).reshape(-1, size)
+    return hist

@@ -9,6 +9,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from airspark import schemas as S
+from airspark.operators import boosting
 from airspark.operators import ridge as R
 from airspark.operators.boosting import BoostedTrees
 from airspark.plans import ml as M
@@ -90,6 +91,35 @@ def test_boosting_samples_and_edges(spark, tmp_path):
     assert fit.transform(curve).agg(F.avg(F.abs(F.col("us_aqi") - F.col("prediction")))).first()[0] < 1.5
 
 
+def test_boosting_takes_as_many_jobs_whatever_its_rounds(spark):
+    df, sc = frame(spark, *data(60)).cache(), spark.sparkContext
+    jobs = []
+    for rounds in (2, 9):
+        sc.setJobGroup(f"boost-{rounds}", "")
+        BoostedTrees(rounds=rounds).fit(df)
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"boost-{rounds}")))
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] <= jobs[0]
+
+
+def test_boosting_over_several_blocks_grows_the_same_trees(spark, monkeypatch):
+    x, y = data(300)
+    df = frame(spark, x, y).cache()
+    one = BoostedTrees(rounds=6).fit(df)
+    monkeypatch.setattr(boosting, "ROWS_OF_A_TASK", 150)
+    monkeypatch.setattr(boosting, "ROWS_OF_A_BLOCK", (100, 200))
+    two = BoostedTrees(rounds=6, write_every=4).fit(df)
+    for a, b in zip(one.model.trees, two.model.trees, strict=True):
+        assert (a.feature == b.feature).all() and (a.cut == b.cut).all()
+        assert a.value == pytest.approx(b.value, abs=1e-9)
+
+
+def test_boosting_draws_rows_by_the_hash(spark):
+    rows = spark.range(500).selectExpr("xxhash64(id, 42) AS draw", f"pmod(xxhash64(id, 42, 7), {boosting.DRAWS}) AS want").collect()
+    draw = np.array([r.draw for r in rows]).view(np.uint64)
+    assert boosting._drawn(draw, 7).tolist() == [r.want for r in rows]
+
+
 def test_pruned_forest_is_one_that_never_split_small_nodes(spark):
     from pyspark.ml.functions import array_to_vector
     x, y = data(300)
