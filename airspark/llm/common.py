@@ -14,7 +14,7 @@ from .. import session
 from ..session import ensure_checkpoint_dir, read_table, scratch_path
 
 __all__ = ["checkpoint", "ensure_checkpoint_dir", "read_table", "scratch_path", "per_text", "text_or_empty",
-           "held_out", "label_sample", "sigmoid", "fit_logistic", "mix64"]
+           "held_out", "labelled", "label_sample", "sigmoid", "fit_logistic", "mix64"]
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -63,18 +63,26 @@ def held_out(id_col: Column, modulus: int, remainder: int) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % modulus == remainder, F.lit(False))
 
 
-def label_sample(labels: DataFrame, label_col: str, modulus: int, remainder: int, bound: int,
-                 id_col: str = "doc_id") -> DataFrame:
-    """(doc_id, label): a bounded hash sample of the labelled rows that may be learned from.
+def labelled(labels: DataFrame, label_col: str, modulus: int, remainder: int, id_col: str = "doc_id") -> DataFrame:
+    """(doc_id, label): the labelled rows that may be learned from.
 
     Rows with a NULL id or label and the held-out rows are left out; an id labelled twice takes its
-    lowest label.  ``bound`` is the expected number of rows kept; below it every row is kept.  The
-    choice depends on the id's hash alone, so it is the same on every run.
+    lowest label.
     """
-    rows = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
+    return (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
             .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
             .where(~held_out(F.col("doc_id"), modulus, remainder))
             .groupBy("doc_id").agg(F.min("label").alias("label")))
+
+
+def label_sample(labels: DataFrame, label_col: str, modulus: int, remainder: int, bound: int,
+                 id_col: str = "doc_id") -> DataFrame:
+    """A bounded hash sample of ``labelled``.
+
+    ``bound`` is the expected number of rows kept; below it every row is kept.  The choice depends on the id's
+    hash alone, so it is the same on every run.
+    """
+    rows = labelled(labels, label_col, modulus, remainder, id_col)
     n = rows.count()
     if n <= bound:
         return rows

@@ -2,7 +2,8 @@
 
 A good document is preferred to a bad one.  With a linear score w.f(x), the Bradley-Terry likelihood of
 a pair is logistic in w.(f(good) - f(bad)); the weights minimise that loss over pairs drawn from the
-labels.  The decision threshold is a quantile of the learned documents' scores.
+labels.  The decision threshold is a quantile of the learned documents' scores.  All labelled rows are learned from:
+few on the driver, more by Spark jobs of which only sums reach it.
 """
 
 from __future__ import annotations
@@ -10,18 +11,24 @@ from __future__ import annotations
 import math
 import string
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import fit_logistic, held_out, label_sample, per_text, sigmoid
+from ..operators.median import exact_quantiles
+from .common import checkpoint, fit_logistic, held_out, labelled, per_text, sigmoid
 
 FEATURES = ["log_words", "word_length", "symbols", "bars", "bangs", "upper", "echoes", "distinct", "common", "stops",
             "digits", "line_words", "dup_lines", "long_words"]
-#: Expected number of labelled rows that are learned from; the others are only scored.
-SAMPLE_ROWS = 20_000
+#: So many labelled rows' features are fitted on the driver; Spark fits more.
+DRIVER_ROWS = 20_000
+#: Rows that are put in order by one task when rows are dealt into pairs.
+DEAL_ROWS = 20_000
 PAIRS_PER_GOOD = 4
 CUT = 0.3
 #: No feature is told apart more finely than this, so a nearly constant one gets no runaway weight.
@@ -100,12 +107,83 @@ def fit(x: np.ndarray, y: np.ndarray, ids: np.ndarray) -> RankModel:
     return RankModel(w, float(np.quantile(scores, len(bad) / len(y), method="midpoint")), x.min(axis=0), x.max(axis=0))
 
 
+def dealt(rows: DataFrame, n: int) -> DataFrame:
+    """(round, label, rank, f): each class in a shuffled order, another in each of PAIRS_PER_GOOD rounds, ranks from 0.
+
+    Rows are ordered by a hash, inside a share of its range; the shares' counts give where each share begins.
+    """
+    shares = -(-n // DEAL_ROWS)
+    drawn = rows.select("doc_id", "label", "f", F.explode(F.sequence(F.lit(0), F.lit(PAIRS_PER_GOOD - 1))).alias("round"))
+    drawn = drawn.withColumn("draw", F.xxhash64("doc_id", "round")).withColumn("share", F.shiftrightunsigned("draw", 33) % shares)
+    counts = drawn.groupBy("round", "label", "share").agg(F.count(F.lit(1)).alias("n"))
+    begins = counts.select("round", "label", "share", (F.sum("n").over(W.partitionBy("round", "label").orderBy("share")) - F.col("n")).alias("begin"))
+    place = F.row_number().over(W.partitionBy("round", "label", "share").orderBy("draw", "doc_id", "f"))
+    return (drawn.withColumn("place", place).join(F.broadcast(begins), ["round", "label", "share"])
+            .select("round", "label", (F.col("begin") + F.col("place") - 1).alias("rank"), "f"))
+
+
+def _sums(w: np.ndarray, scale: np.ndarray):
+    """One Newton step's sums over a task's pairs: gradient, then Hessian."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        grad, hess = np.zeros(len(w)), np.zeros((len(w), len(w)))
+        for b in batches:
+            x = (np.array(b["good"].tolist()) - np.array(b["bad"].tolist())).reshape(-1, len(w)) / scale
+            p = sigmoid(x @ w)
+            grad += x.T @ (p - 1)
+            hess += (x * (p * (1 - p))[:, None]).T @ x
+        yield pd.DataFrame({"sums": [np.concatenate([grad, hess.ravel()])]})
+    return run
+
+
+def fit_spread(rows: DataFrame, n: int, n_bad: int) -> RankModel:
+    """``fit`` as Spark jobs over written (doc_id, label, f): the same loss over pairs dealt by a hash, the exact quantile.
+
+    A pair seen from its other side adds the same gradient and Hessian, so one side is enough.
+    """
+    size = len(FEATURES)
+    each = [F.col("f")[i] for i in range(size)]
+    seen = rows.agg(F.array(*map(F.stddev_pop, each)).alias("scale"), F.array(*map(F.min, each)).alias("low"),
+                    F.array(*map(F.max, each)).alias("high")).first()
+    scale = np.maximum(seen["scale"], LEAST_SCALE)
+    fewer = min(n_bad, n - n_bad)
+    ranked = checkpoint(dealt(rows, n).withColumn("key", F.col("rank") % fewer), "quality-ranked")
+    good, bad = (ranked.where(F.col("label") == y).select("round", "key", F.col("f").alias(name)) for y, name in ((1, "good"), (0, "bad")))
+    # The class with fewer rows has each key once.
+    drawn = checkpoint(good.join(bad, ["round", "key"]).select("good", "bad"), "quality-pairs")
+    pairs_n, w = PAIRS_PER_GOOD * max(n_bad, n - n_bad), np.zeros(size)
+    for _ in range(50):
+        sums = sum(np.array(r["sums"]) for r in drawn.mapInPandas(_sums(w, scale), "sums array<double>").collect()) / pairs_n
+        step = np.linalg.solve(sums[size:].reshape(size, size) + RIDGE * np.eye(size), sums[:size] + RIDGE * w)
+        w = w - step
+        if np.abs(step).max() < 1e-10:
+            break
+    w = w / scale
+
+    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"s": [float(np.array(f) @ w) for f in b["f"]]})
+
+    at = (n - 1) * n_bad / n
+    ends = sorted({math.floor(at) / (n - 1), math.ceil(at) / (n - 1)})
+    found = exact_quantiles(rows.select("f").mapInPandas(scores, "s double"), ["s"], ends)["s"]
+    return RankModel(w, sum(found[p] for p in ends) / len(ends), np.array(seen["low"]), np.array(seen["high"]))
+
+
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          label_col: str = "quality", modulus: int = 5, remainder: int = 0, bound: int = SAMPLE_ROWS) -> RankModel:
-    """Fit on a bounded sample of labelled documents (see ``label_sample``); only its features reach the driver."""
-    sample = label_sample(labels, label_col, modulus, remainder, bound)
-    rows = (docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(sample), "doc_id").select("doc_id", "label", feature_column("text").alias("f")).collect())
+          label_col: str = "quality", modulus: int = 5, remainder: int = 0, driver_rows: int = DRIVER_ROWS) -> RankModel:
+    """Fit on all labelled documents that are not held out."""
+    known = labelled(labels, label_col, modulus, remainder)
+    # Features first: they are far narrower than texts, should the join shuffle.
+    rows = (docs.select(F.col(id_col).alias("doc_id"), feature_column(text_col).alias("f"))
+            .join(known, "doc_id").select("doc_id", "label", "f"))
+    rows = checkpoint(rows, "quality-features")
+    counts = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
+    n, n_bad = sum(counts.values()), counts.get(0, 0)
+    if n > driver_rows and 0 < n_bad < n:
+        return fit_spread(rows, n, n_bad)
+    if n > driver_rows:  # one label alone: a row says all that is learned
+        rows = rows.limit(1)
+    rows = rows.collect()
     return fit(np.array([r["f"] for r in rows]).reshape(len(rows), len(FEATURES)),
                np.array([r["label"] for r in rows], dtype=float), np.array([r["doc_id"] for r in rows]))
 
@@ -117,13 +195,12 @@ def probability_column(model: RankModel, text: str | Column) -> Column:
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          modulus: int = 5, remainder: int = 0, bound: int = SAMPLE_ROWS) -> DataFrame:
+          modulus: int = 5, remainder: int = 0, driver_rows: int = DRIVER_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted for every row; NULL texts are scored as empty ones.
 
-    Labels serve learning only; texts are read once to learn (labelled rows) and once to score, and
-    are never shuffled for scoring.  Repeated rows score alike; an empty table gives an empty result.
+    Labels serve learning only; texts are read once to learn and once to score, and are never shuffled.  Repeated rows score alike; an empty table gives an empty result.
     """
-    model = learn(docs, labels, id_col, text_col, "quality", modulus, remainder, bound)
+    model = learn(docs, labels, id_col, text_col, "quality", modulus, remainder, driver_rows)
     return (docs.select(F.col(id_col).alias("doc_id"), probability_column(model, F.col(text_col)).alias("score"))
             .select("doc_id", held_out(F.col("doc_id"), modulus, remainder).alias("held_out"), "score",
                     (F.col("score") >= CUT).cast("int").alias("predicted")))

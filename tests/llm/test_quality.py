@@ -185,6 +185,32 @@ def test_common_is_the_share_of_the_most_frequent_word():
     assert quality_rank.features("a b c d")[at] == pytest.approx(1 / 4) and quality_rank.features("")[at] == 0
 
 
+def test_classifier_learns_from_every_labelled_row(spark, monkeypatch):
+    monkeypatch.setattr(quality_rank, "DEAL_ROWS", 100)
+    rows = corpus(600)
+    labels = [(i, int(i % 10 != 0)) for i in range(600)]
+    model = quality_rank.learn(docs_frame(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int"), driver_rows=50)
+    text, ids = dict(rows), [i for i in range(600) if zlib.crc32(str(i).encode()) % 5]
+    x, y = np.array([quality_rank.features(text[i]) for i in ids]), np.array([i % 10 != 0 for i in ids])
+    assert (model.low == x.min(axis=0)).all() and (model.high == x.max(axis=0)).all()
+    assert model.threshold == pytest.approx(np.quantile(x @ model.weights, (~y).mean(), method="midpoint"), rel=1e-6)
+    # The pairs: in each round every good row once, every bad one as often as the others, give or take one.
+    known = spark.createDataFrame([(i, int(g), f.tolist()) for i, g, f in zip(ids, y, x)], "doc_id long, label int, f array<double>")
+    dealt = quality_rank.dealt(known, len(ids)).collect()
+    diff = []
+    for turn in range(quality_rank.PAIRS_PER_GOOD):
+        good, bad = ({r["rank"]: np.array(r["f"]) for r in dealt if (r["round"], r["label"]) == (turn, c)} for c in (1, 0))
+        assert sorted(good) == list(range(y.sum())) and sorted(bad) == list(range((~y).sum()))
+        diff += [good[k] - bad[k % len(bad)] for k in good]
+    scale = np.maximum(x.std(axis=0), quality_rank.LEAST_SCALE)
+    d, w = np.array(diff) / scale, model.weights * scale
+    assert np.abs(d.T @ (1 / (1 + np.exp(d @ w))) / len(d) - quality_rank.RIDGE * w).max() < 1e-9
+    few = quality_rank.fit(x, y.astype(float), np.array(ids))
+    assert [model.probability(f) >= 0.3 for f in x] == pytest.approx([few.probability(f) >= 0.3 for f in x])
+    only = spark.createDataFrame([(i, 1) for i in ids], "doc_id long, quality int")
+    assert not quality_rank.learn(docs_frame(spark, rows), only, driver_rows=50).weights.any()
+
+
 def test_classifier_on_held_out_rows(spark):
     rows = corpus(600) + [(None, None), (5000, ""), (7, corpus(600)[7][1])]
     labels = spark.createDataFrame([(i, int(i % 10 != 0)) for i in range(600)] + [(None, 1), (3, None), (9, 1)],
