@@ -77,17 +77,12 @@ class BoostedTrees:
     def fit(self, df: DataFrame) -> "FittedBoostedTrees":
         base, edges = self._prepare(df)
         model = BoostedTrees(**{**self.__dict__, "trees": [], "base": base, "n_features": len(edges)})
-        rows = df.where(F.col(self.label).isNotNull()).select(
-            F.col(self.label).cast("double").alias("y"),
-            F.array(*[_bin(f"{self.array}[{i}]", e) for i, e in enumerate(edges)]).alias("b"),
-            F.monotonically_increasing_id().alias("r"))
-        rows = checkpoint(rows, "boosting-rows")
+        rows = binned(df, edges, self.label, self.array, self.seed)
         n = rows.count()
         if not edges or not n:
             return FittedBoostedTrees(model)
         rng = np.random.default_rng(self.seed)
         picks = [np.sort(rng.permutation(len(edges))[:max(1, int(len(edges) * self.columns))]) for _ in range(self.rounds)]
-        rows = rows.select("y", "b", "r", F.xxhash64("r", F.lit(self.seed)).alias("draw"))
         if n <= ROWS_OF_A_TASK:
             grown = rows.coalesce(1).mapInArrow(model._alone(edges, picks), "tree binary").collect()
             model.trees = [pickle.loads(r["tree"]) for r in grown]
@@ -98,16 +93,7 @@ class BoostedTrees:
         return FittedBoostedTrees(model)
 
     def _prepare(self, df: DataFrame) -> tuple[float, list[list[float]]]:
-        """Mean label and each feature's cut candidates: all its values, or quantiles if it has many."""
-        n = df.select(F.max(F.size(self.array))).first()[0] or 0
-        probs = [i / self.max_bins for i in range(1, self.max_bins)]
-        x = F.col(self.array)
-        few = [F.array_sort(F.collect_set(x[i])) for i in range(n)]
-        low = df.agg(F.avg(self.label).alias("mean"), *[F.approx_count_distinct(x[i]).alias(f"d{i}") for i in range(n)]).first()
-        some = [i for i in range(n) if low[f"d{i}"] <= self.max_bins // 2]  # surely at most max_bins values
-        got = df.agg(*[(few[i] if i in some else F.percentile_approx(x[i], probs, 10_000)).alias(f"e{i}")
-                       for i in range(n)]).first() if n else []
-        return float(low["mean"] or 0.0), [sorted(set(got[i] or [])) for i in range(n)]
+        return cuts(df, self.label, self.array, self.max_bins)
 
     def _alone(self, edges: list[list[float]], picks: list[np.ndarray]) -> Callable:
         """All rounds on the rows of one task."""
@@ -235,6 +221,28 @@ class FittedBoostedTrees:
         return self.stage().transform(df)
 
 
+def cuts(df: DataFrame, label: str, array: str, max_bins: int) -> tuple[float, list[list[float]]]:
+    """Mean label and each feature's cut candidates: all its values, or quantiles if it has many."""
+    n = df.select(F.max(F.size(array))).first()[0] or 0
+    probs = [i / max_bins for i in range(1, max_bins)]
+    x = F.col(array)
+    few = [F.array_sort(F.collect_set(x[i])) for i in range(n)]
+    low = df.agg(F.avg(label).alias("mean"), *[F.approx_count_distinct(x[i]).alias(f"d{i}") for i in range(n)]).first()
+    some = [i for i in range(n) if low[f"d{i}"] <= max_bins // 2]  # surely at most max_bins values
+    got = df.agg(*[(few[i] if i in some else F.percentile_approx(x[i], probs, 10_000)).alias(f"e{i}")
+                   for i in range(n)]).first() if n else []
+    return float(low["mean"] or 0.0), [sorted(set(got[i] or [])) for i in range(n)]
+
+
+def binned(df: DataFrame, edges: list[list[float]], label: str, array: str, seed: int) -> DataFrame:
+    """Label, bins, number and hash of each labelled row, written once."""
+    rows = df.where(F.col(label).isNotNull()).select(
+        F.col(label).cast("double").alias("y"),
+        F.array(*[_bin(f"{array}[{i}]", e) for i, e in enumerate(edges)]).alias("b"),
+        F.monotonically_increasing_id().alias("r"))
+    return checkpoint(rows, "binned-rows").select("y", "b", "r", F.xxhash64("r", F.lit(seed)).alias("draw"))
+
+
 def _held(values, kind: str) -> str:
     """A literal array as SQL, folded by Catalyst.
 

@@ -7,6 +7,7 @@ vectors are written once, so the hundreds of passes of a fit read them instead o
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
@@ -17,6 +18,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 from .. import schemas as S
 from ..operators import ridge as R
 from ..operators.boosting import BoostedTrees
+from ..operators.forest import Forest
 from ..operators.median import exact_medians
 from ..operators.split import time_split
 from ..operators.summarize import regression_metrics
@@ -31,6 +33,8 @@ FOREST_MIN_SPLIT = 8
 BOOSTED_PARAMS = dict(rounds=300, learning_rate=0.05, depth=4, min_child=3.0, rows=0.85, columns=0.85, l1=0.1, l2=2.0,
                       seed=42)
 RIDGE_ALPHA = 1.0
+#: Rows on which a tree of the forest grows within one task.
+ROWS_OF_A_TREE = 1_000_000
 FILLED, ARRAY = "_filled_", "_x"
 
 
@@ -76,16 +80,39 @@ class Learner:
         if self.name == BOOSTED:
             model = BoostedTrees(**self.params, label=self.label, array=ARRAY).fit(vectors)
             return model.stage(), model.importances
-        params = dict(self.params)
-        least = params.pop("min_split", FOREST_MIN_SPLIT)
-        model = RandomForestRegressor(featuresCol="features", labelCol=self.label, **params).fit(vectors)
-        model = prune_small(model, least)
+        model = fit_forest(vectors, self.label, **self.params)
         return model, [float(v) for v in model.featureImportances.toArray()]
 
     def fit(self, df: DataFrame) -> PipelineModel:
         return fit_assembled(self, assembled(self, df))
 
 
+def fit_forest(vectors: DataFrame, label: str, min_split: int = FOREST_MIN_SPLIT, **params) -> RandomForestRegressionModel:
+    """A forest of these Spark ML parameters in which nodes of fewer than ``min_split`` rows are not split.
+
+    Up to ``ROWS_OF_A_TREE`` rows each tree grows within a task; of more rows Spark ML aggregates every level.
+    """
+    learner = RandomForestRegressor(featuresCol="features", labelCol=label, **params)
+    known = {"numTrees", "maxDepth", "minInstancesPerNode", "featureSubsetStrategy", "seed"}
+    if not (known >= set(params) and re.fullmatch(r"0?\.\d+|1\.0", learner.getFeatureSubsetStrategy())
+            and vectors.count() <= ROWS_OF_A_TREE):
+        return prune_small(learner.fit(vectors), min_split)
+    own = Forest(learner.getNumTrees(), learner.getMaxDepth(), learner.getMinInstancesPerNode(), min_split,
+                 float(learner.getFeatureSubsetStrategy()), learner.getSeed(), label=label, array=ARRAY)
+    return with_nodes(learner.fit(vectors.limit(1)), own.grow(vectors))
+
+
+def with_nodes(model: RandomForestRegressionModel, nodes: DataFrame) -> RandomForestRegressionModel:
+    """A forest of the same parameters and number of trees with other nodes (treeID, nodeData)."""
+    spark = nodes.sparkSession
+    source, target = scratch_path(spark, "forest"), scratch_path(spark, "forest-nodes")
+    model.write().save(source)
+    nodes.write.parquet(f"{target}/data")
+    spark.read.text(f"{source}/metadata").write.text(f"{target}/metadata")
+    spark.read.parquet(f"{source}/treesMetadata").write.parquet(f"{target}/treesMetadata")
+    return RandomForestRegressionModel.load(target)
+
+
 def prune_small(model: RandomForestRegressionModel, least: int) -> RandomForestRegressionModel:
     """The forest as if nodes of fewer than ``least`` rows had not been split.
 

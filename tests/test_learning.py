@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from airspark import schemas as S
 from airspark.operators import boosting
+from airspark.operators import forest as FO
 from airspark.operators import ridge as R
 from airspark.operators.boosting import BoostedTrees
+from airspark.operators.forest import Forest
 from airspark.plans import ml as M
 from airspark.sources import store as ST
 
@@ -146,6 +148,72 @@ def test_pruned_forest_is_one_that_never_split_small_nodes(spark):
     assert pruned.transform(df).exceptAll(M.prune_small(pruned, 8).transform(df)).count() == 0
 
 
+def brute_tree(x, y, w, heap, looks, depth, least_leaf=3, least_split=8):
+    """Exact greedy tree on rows that count ``w`` times; a function from a row to its prediction."""
+    mean = (w * y).sum() / w.sum()
+    error = lambda w, y: (w * y * y).sum() - (w * y).sum() ** 2 / w.sum()
+    best = (1e-6, None)
+    if depth and w.sum() >= least_split:
+        for f in np.flatnonzero(looks(heap)):
+            for cut in np.unique(x[:, f])[:-1]:
+                left = x[:, f] <= cut
+                if min(w[left].sum(), w[~left].sum()) >= least_leaf:
+                    gain = error(w, y) - error(w[left], y[left]) - error(w[~left], y[~left])
+                    if gain > best[0] * (1 + 1e-9):
+                        best = (gain, (f, cut, left))
+    if best[1] is None:
+        return lambda row: mean
+    f, cut, left = best[1]
+    below, above = (brute_tree(x[s], y[s], w[s], 2 * heap + 1 + i, looks, depth - 1) for i, s in enumerate((left, ~left)))
+    return lambda row: below(row) if row[f] <= cut else above(row)
+
+
+def test_forest_equals_exact_greedy(spark):
+    x, y = data(300)
+    df = frame(spark, x, y).cache()
+    from pyspark.ml.functions import array_to_vector
+    vectors = df.withColumn("features", array_to_vector("_x"))
+    model = M.fit_forest(vectors, "us_aqi", numTrees=3, maxDepth=6, minInstancesPerNode=3, featureSubsetStrategy="0.5", seed=5)
+    numbered = boosting.binned(df, [[]] * 4, "us_aqi", "_x", 5).orderBy("r").collect()  # numbers and hashes by place, as in the fit
+    placed = df.select("us_aqi", "_x").collect()
+    assert [r.y for r in numbered] == [r.us_aqi for r in placed]
+    xs, ys = np.array([r._x for r in placed]), np.array([r.us_aqi for r in placed])
+    draw = np.array([r.draw for r in numbered]).view(np.uint64)
+    trees = []
+    for t in range(3):
+        w = FO._poisson(boosting._drawn(draw, t))
+        assert 0.8 < w.mean() < 1.2 and w.max() < 9
+        looks = lambda heap, t=t: FO._picked(5, t, np.array([heap], dtype=np.uint64), 4, 2)[0]
+        assert sum(looks(0)) == 2
+        trees.append(brute_tree(xs[w > 0], ys[w > 0], w[w > 0], 0, looks, 6))
+    got = {tuple(r._x): r.prediction for r in model.transform(vectors).collect()}
+    for a in x.tolist():
+        assert got[tuple(a)] == pytest.approx(np.mean([t(a) for t in trees]), abs=1e-9)
+    assert sum(model.featureImportances) == pytest.approx(1)
+
+
+def test_forest_takes_as_many_jobs_whatever_its_depth(spark):
+    from pyspark.ml.functions import array_to_vector
+    vectors, sc = frame(spark, *data(400)).withColumn("features", array_to_vector("_x")).cache(), spark.sparkContext
+    jobs = []
+    for depth in (2, 12):
+        sc.setJobGroup(f"forest-{depth}", "")
+        est = M.Learner(M.FOREST, [], dict(numTrees=3, maxDepth=depth, minInstancesPerNode=3, featureSubsetStrategy="0.85", seed=1))
+        model, _ = est.fit_last(vectors)
+        jobs.append(len(sc.statusTracker().getJobIdsForGroup(f"forest-{depth}")))
+        assert max(t.depth for t in model.trees) == depth or depth == 12
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert jobs[1] <= jobs[0]
+
+
+def test_forest_edges(spark):
+    x, y = data(40)
+    one = Forest(trees=2, depth=3).grow(frame(spark, x[:2], y[:2])).collect()  # too few rows for a split
+    assert [r.nodeData.leftChild for r in one] == [-1, -1] and {r.treeID for r in one} == {0, 1}
+    flat = Forest(trees=2).grow(frame(spark, x, np.full(40, 7.1))).collect()  # nothing to gain
+    assert len(flat) == 2 and all(r.nodeData.prediction == pytest.approx(7.1) for r in flat)
+
+
 def observations(spark, n=900, seed=3):
     r = np.random.default_rng(seed)
     rows = [("ab"[i % 2], dt.datetime(2024, 1, 1) + dt.timedelta(hours=int(i) * 3), float(r.normal() * 20 + 50), 1013.0 + float(r.normal()),
