@@ -2,8 +2,8 @@
 
 Features are binned once (see ``boosting``).  A tree's rows are drawn with Poisson(1) counts from the hash of their
 number; every node looks at its own features, drawn from its place in the tree, and takes the cut that lowers the squared
-error most.  Rows stay sorted by (node, bin) for each feature, so a level costs one pass over a tree's rows whatever its
-number of nodes.  The nodes are written by the tasks as the table that a Spark ML forest loads.
+error most.  While a level's nodes have fewer bins than rows, it sums its rows by (node, bin); below, rows stay sorted by
+(node, bin), so a level costs one pass over a tree's rows whatever its number of nodes.  The nodes are written by the tasks as the table that a Spark ML forest loads.
 """
 
 from __future__ import annotations
@@ -62,36 +62,32 @@ class Forest:
             y, bins, draw, r = (np.concatenate(part, axis=-1) for part in zip(*blocks))
             order = np.argsort(r, kind="stable")
             y, bins, draw = y[order], bins[:, order], draw[order]
-            sorted_rows = np.argsort(bins, axis=1, kind="stable").astype(np.int32)
             for tree in range(task, self.trees, tasks):
                 counts = _poisson(_drawn(draw, tree))
                 counts = counts if counts.any() else np.ones_like(counts)  # of few rows, none may be drawn
-                nodes = self._tree(bins, y, counts, sorted_rows, tree, edges)
+                nodes = self._tree(bins, y, counts, tree, edges)
                 yield pa.RecordBatch.from_pydict({"treeID": pa.array([tree], pa.int32()), **{
                     k: pa.array([v], pa.list_({"f": pa.float64(), "i": pa.int32()}[v.dtype.kind] if k != "count" else pa.int64()))
                     for k, v in nodes.items()}})
 
         return run
 
-    def _tree(self, bins: np.ndarray, y: np.ndarray, counts: np.ndarray, sorted_rows: np.ndarray, tree: int,
-              edges: list[list[float]]) -> dict[str, np.ndarray]:
-        """A tree's nodes, a level after the other; ``sorted_rows``: feature x row numbers in the order of their bins."""
+    def _tree(self, bins: np.ndarray, y: np.ndarray, counts: np.ndarray, tree: int, edges: list[list[float]]) -> dict[str, np.ndarray]:
+        """A tree's nodes, a level after the other."""
         some = np.flatnonzero(counts)
-        y, w, b = y[some], counts[some], bins[:, some]
-        place = np.full(len(counts), -1, dtype=np.int32)
-        place[some] = np.arange(len(some), dtype=np.int32)
-        order = place[sorted_rows]
-        order = order[order >= 0].reshape(len(edges), -1)
-        looked = max(1, math.ceil(self.share * len(edges)))
-        least_gain, node, heap, levels, first = None, np.zeros(len(y), dtype=np.int32), np.zeros(1, dtype=np.uint64), [], 0
+        y, w, b = y[some], counts[some].astype(float), bins[:, some]
+        width, looked = max(map(len, edges), default=0) + 1, max(1, math.ceil(self.share * len(edges)))
+        least_gain, levels, first = 0.0, [], 0
+        node, heap, order = np.zeros(len(y), dtype=np.int32), np.zeros(1, dtype=np.uint64), None
         for depth in range(self.depth + 1):
-            # ``node``: the open node of each row that is left; rows of ``order`` stand by (node, bin).
+            # ``node``: the open node of each row that is left; ``order``: its rows by (node, bin), once there are many nodes.
             size = len(heap)
             count = np.bincount(node, w, size)
             mean = np.bincount(node, w * y, size) / count
-            g = w * (y - mean[node])
-            square = np.bincount(node, g * (y - mean[node]), size)
-            if least_gain is None:
+            g = y - mean[node]
+            square = np.bincount(node, w * g * g, size)
+            g *= w
+            if not depth:
                 least_gain = LEAST_GAIN * square[0] / count[0] + ROUNDING * mean[0] ** 2
             level = {"feature": np.full(size, -1, dtype=np.int32), "cut": np.zeros(size), "left": np.full(size, -1, dtype=np.int32),
                      "right": np.full(size, -1, dtype=np.int32), "gain": np.full(size, -1.0), "count": count.astype(np.int64),
@@ -101,11 +97,14 @@ class Forest:
             if depth == self.depth or not edges:
                 break
             picked = _picked(self.seed, tree, heap, len(edges), looked)
-            gain, feature, at = self._best(b, w, g, order, node, size, count, picked)
+            if order is None and size * width > len(y):
+                order = [o[np.argsort(_short(node, size)[o], kind="stable")] for o in (np.argsort(x, kind="stable") for x in b)]
+                order = [o.astype(np.int32) for o in order]
+            gain, feature, bin_at = (self._best_summed(b, w, g, node, count, picked, width) if order is None else
+                                     self._best_sorted(b, w, g, node, count, picked, order))
             split = (count >= self.least_split) & (gain > least_gain)
             if not split.any():
                 break
-            bin_at = b[feature, order[feature, at]]
             kids = np.cumsum(split) * 2 - 2  # the left child's number on the next level
             level["feature"][split] = feature[split]
             level["cut"][split] = [edges[f][k] for f, k in zip(feature[split], bin_at[split])]
@@ -114,39 +113,69 @@ class Forest:
             heap = np.stack([2 * heap[split] + np.uint64(1), 2 * heap[split] + np.uint64(2)], axis=1).ravel()
             # Rows of split nodes go on; a stable sort by the new node keeps the order of their bins.
             stays = split[node]
-            every = np.arange(len(node))
-            node = (kids[node] + (b[feature[node], every] > bin_at[node])).astype(np.int32)
-            place = (np.cumsum(stays) - 1).astype(np.int32)
-            order = order[stays[order]].reshape(len(edges), -1)
-            number = node.astype(np.uint16 if len(heap) < 1 << 16 else np.int64)  # short numbers are sorted by radix
-            order = np.stack([place[o[np.argsort(number[o], kind="stable")]] for o in order])
-            node, y, w, b = node[stays], y[stays], w[stays], b[:, stays]
+            node = (kids[node] + (b[feature[node], np.arange(len(node))] > bin_at[node])).astype(np.int32)
+            if order is not None:
+                place, number = (np.cumsum(stays) - 1).astype(np.int32), _short(node, len(heap))
+                order = [o[stays[o]] for o in order]
+                order = [place[o[np.argsort(number[o], kind="stable")]] for o in order]
+            if not stays.all():
+                node, y, w, b = node[stays], y[stays], w[stays], b[:, stays]
         return {k: np.concatenate([level[k] for level in levels]) for k in levels[0]}
 
-    def _best(self, b, w, g, order, node, size, count, picked) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Each open node's best lowering of the squared error, its feature and the place in ``order`` of its last left row."""
+    def _gain(self, left: np.ndarray, total: np.ndarray, right: np.ndarray, ok) -> np.ndarray:
+        """How much cuts lower the squared error, given counts and the left side's sums.
+
+        Sums are of what is left of the label without the node's mean, so those of the two sides cancel.
+        """
+        ok = ok & (left >= self.least_leaf) & (right >= self.least_leaf)
+        return np.where(ok, total * total * (1 / np.maximum(left, 1) + 1 / np.maximum(right, 1)), -np.inf)
+
+    def _best_summed(self, b, w, g, node, count, picked, width) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Each open node's best lowering of the squared error, its feature and its last bin on the left."""
+        size = len(count)
+        gains, cut = np.full((len(b), size), -np.inf), np.zeros((len(b), size), dtype=np.int64)
+        start = node * np.int32(width)
+        for f, x in enumerate(b):
+            at = start + x
+            left, total = (np.bincount(at, v, size * width).reshape(size, width).cumsum(axis=1) for v in (w, g))
+            gain = self._gain(left, total, count[:, None] - left, True)
+            gains[f] = gain.max(axis=1)
+            cut[f] = (gain >= (gains[f] * (1 - GAIN_TIE))[:, None]).argmax(axis=1)
+        return _first_best(gains, cut, picked)
+
+    def _best_sorted(self, b, w, g, node, count, picked, order) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same from rows sorted by (node, bin)."""
+        size = len(count)
         rows = np.bincount(node, minlength=size)
         start = np.cumsum(rows) - rows
-        of = np.repeat(np.arange(size), rows)
-        inner = np.append(of[1:] == of[:-1], False)  # places followed by another row of their node
-        gains, places = np.full((len(order), size), -np.inf), np.zeros((len(order), size), dtype=np.int64)
+        of = np.repeat(np.arange(size, dtype=np.int32), rows)
+        inner, whole = np.append(of[1:] == of[:-1], False), count[of]  # places followed by another row of their node
+        gains, cut = np.full((len(b), size), -np.inf), np.zeros((len(b), size), dtype=np.int64)
         for f, o in enumerate(order):
-            left, total, bins = np.cumsum(w[o]), np.cumsum(g[o]), b[f, o]
-            left -= np.append(0, left)[start][of]
+            left, total, bins = np.cumsum(w[o]), np.cumsum(g[o]), b[f][o]
+            left -= np.append(0.0, left)[start][of]
             total -= np.append(0.0, total)[start][of]
-            right = count[of] - left
-            ok = inner & (left >= self.least_leaf) & (right >= self.least_leaf)
-            ok[:-1] &= bins[1:] != bins[:-1]
-            # Sums are of what is left of the label without the node's mean, so those of the two sides cancel.
-            gain = np.where(ok, total * total * (1 / np.maximum(left, 1) + 1 / np.maximum(right, 1)), -np.inf)
+            last = inner.copy()
+            last[:-1] &= bins[1:] != bins[:-1]
+            gain = self._gain(left, total, whole - left, last)
             gains[f] = np.maximum.reduceat(gain, start)
             hit = np.flatnonzero(gain >= (gains[f] * (1 - GAIN_TIE))[of])
             one = np.append(True, of[hit][1:] != of[hit][:-1])
-            places[f, of[hit[one]]] = hit[one]
-        gains[~picked.T] = -np.inf
-        best = gains.max(axis=0)
-        feature = (gains >= best * (1 - GAIN_TIE)).argmax(axis=0)  # ties: the first feature, the lowest cut
-        return best, feature, places[feature, np.arange(size)]
+            cut[f, of[hit[one]]] = bins[hit[one]]
+        return _first_best(gains, cut, picked)
+
+
+def _first_best(gains: np.ndarray, cut: np.ndarray, picked: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the features a node looks at, the best; ties go to the first."""
+    gains[~picked.T] = -np.inf
+    best = gains.max(axis=0)
+    feature = (gains >= best * (1 - GAIN_TIE)).argmax(axis=0)
+    return best, feature, cut[feature, np.arange(len(best))]
+
+
+def _short(numbers: np.ndarray, size: int) -> np.ndarray:
+    """Numbers below ``size`` in a type that is sorted by radix, if there is one."""
+    return numbers.astype(np.uint16 if size <= 1 << 16 else np.int64)
 
 
 def _pack(n_features: int) -> Callable:

@@ -61,3 +61,22 @@ def test_fit_on_written_vectors_equals_the_pipeline(spark, rows, tmp_path):
     got, again, want = ([r.prediction for r in m.transform(rows).orderBy("timestamp").collect()]
                         for m in (model, PipelineModel.load(f"{tmp_path}/m"), want))
     assert got == again and got == pytest.approx(want, rel=1e-6, abs=1e-6)
+
+
+def test_metrics_of_both_sides_come_from_one_prediction_of_each_row(spark, rows):
+    calls = spark.sparkContext.accumulator(0)
+
+    class Counting:
+        def transform(self, df):
+            def run(batches):
+                for b in batches:
+                    calls.add(b.num_rows)
+                    yield b
+            return df.withColumn("prediction", F.col(S.TARGET_COLUMN) + F.when(F.col(M.SIDE) == "test", 2.0).otherwise(0.0)).mapInArrow(
+                run, f"{M.SIDE} string, {S.TARGET_COLUMN} double, prediction double")
+
+    sides = rows.select(F.when(F.col("timestamp") < "1970-01-02", "train").otherwise("test").alias(M.SIDE), S.TARGET_COLUMN)
+    found = M.side_metrics(Counting(), sides)
+    assert calls.value == 60
+    assert found["train"] == {"MAE": 0.0, "RMSE": 0.0, "R2": 1.0}
+    assert found["test"]["MAE"] == found["test"]["RMSE"] == 2.0 and found["test"]["R2"] < 1
