@@ -1,6 +1,6 @@
 """Model training, comparison and scoring.
 
-Ridge is solved from mergeable statistics, the forest is Spark ML's, the boosted trees are histogram trees;
+Ridge is solved from mergeable statistics, the forest's trees grow in parallel tasks, the boosted trees are histogram trees;
 every fitted model is a Spark ML stage, so one ``PipelineModel`` saves, loads and scores it.  The assembled
 vectors are written once, so the hundreds of passes of a fit read them instead of recomputing them.
 """

@@ -273,3 +273,26 @@ def test_two_writers_never_share_a_version(spark, tmp_path, monkeypatch):
     # A writer that saw nothing of the others' claims finds them taken.
     monkeypatch.setattr(ST, "claimed", lambda spark, folder: [])
     assert ST.claim_version(spark, path, "a b/c") == 5
+
+
+def test_forest_cuts_are_the_same_from_sums_and_from_sorted_rows():
+    r = np.random.default_rng(4)
+    b, node = r.integers(0, 9, (5, 400)).astype(np.int16), r.integers(0, 6, 400).astype(np.int32)
+    w, g = r.integers(1, 4, 400).astype(float), r.normal(size=400)
+    count = np.bincount(node, w)
+    g -= (np.bincount(node, g) / count)[node] * w  # sums of a node are nothing
+    picked = r.random((6, 5)) < 0.7
+    picked[:, 0] = True
+    order = [o[np.argsort(node[o], kind="stable")] for o in np.argsort(b, axis=1, kind="stable")]
+    forest = Forest()
+    one, two = (forest._best_summed(b, w, g, node, count, picked, 9), forest._best_sorted(b, w, g, node, count, picked, order))
+    assert one[0] == pytest.approx(two[0]) and (one[1] == two[1]).all() and (one[2] == two[2]).all()
+
+
+def test_forest_may_be_saved_as_a_pipeline(spark, tmp_path):
+    rows = model_rows(spark).cache()
+    model = M.estimators(rows, forest=dict(numTrees=3))[M.FOREST].fit(rows)
+    M.save_model(model, f"{tmp_path}/m")
+    again = PipelineModel.load(f"{tmp_path}/m")
+    assert again.stages[-1].getNumTrees == 3 and len(model.importances) == 19
+    assert again.transform(rows).select("prediction").exceptAll(model.transform(rows).select("prediction")).count() == 0
