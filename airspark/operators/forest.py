@@ -23,6 +23,8 @@ from .boosting import DRAWS, GAIN_TIE, _arrays, _drawn, binned, cuts
 LEAST_GAIN = 1e-9
 #: Or, if labels are equal, than this share of their square: what rounding leaves of them.
 ROUNDING = 1e-18
+#: Rows that are sent to the tasks as one value.
+ROWS_OF_A_BLOCK = 50_000
 NODES = ("treeID int, feature array<int>, cut array<double>, left array<int>, right array<int>, gain array<double>, "
          "count array<bigint>, mean array<double>, square array<double>")
 
@@ -179,13 +181,15 @@ def _short(numbers: np.ndarray, size: int) -> np.ndarray:
 
 
 def _pack(n_features: int) -> Callable:
-    """Rows of a task as one block."""
+    """Rows of a task as blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batches = list(batches)
         y, bins, draw = _arrays(iter(batches), n_features)
         r = np.sort(np.concatenate([np.empty(0, dtype=int), *[x.column("r").to_numpy(zero_copy_only=False) for x in batches]]))
-        if len(y):
-            yield pa.RecordBatch.from_pydict({"block": pa.array([pickle.dumps((y, bins, draw, r))], pa.binary())})
+        for at in range(0, len(y), ROWS_OF_A_BLOCK):
+            part = slice(at, at + ROWS_OF_A_BLOCK)
+            block = pickle.dumps((y[part], bins[:, part], draw[part], r[part]))
+            yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.binary())})
 
     return run
 

@@ -289,6 +289,13 @@ def test_forest_cuts_are_the_same_from_sums_and_from_sorted_rows():
     assert one[0] == pytest.approx(two[0]) and (one[1] == two[1]).all() and (one[2] == two[2]).all()
 
 
+def test_forest_grows_the_same_trees_from_many_blocks(spark, monkeypatch):
+    df = frame(spark, *data(300)).cache()
+    one = Forest(trees=3, depth=5).grow(df).collect()
+    monkeypatch.setattr(FO, "ROWS_OF_A_BLOCK", 7)
+    assert sorted(Forest(trees=3, depth=5).grow(df).collect()) == sorted(one)
+
+
 def test_forest_may_be_saved_as_a_pipeline(spark, tmp_path):
     rows = model_rows(spark).cache()
     model = M.estimators(rows, forest=dict(numTrees=3))[M.FOREST].fit(rows)
