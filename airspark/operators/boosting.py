@@ -74,10 +74,9 @@ class BoostedTrees:
     base: float = 0.0
     n_features: int = 0
 
-    def fit(self, df: DataFrame) -> "FittedBoostedTrees":
-        base, edges = self._prepare(df)
+    def fit(self, df: DataFrame, kept: dict | None = None) -> "FittedBoostedTrees":
+        base, edges, rows = prepared(df, self.label, self.array, self.max_bins, self.seed, kept)
         model = BoostedTrees(**{**self.__dict__, "trees": [], "base": base, "n_features": len(edges)})
-        rows = binned(df, edges, self.label, self.array, self.seed)
         n = rows.count()
         if not edges or not n:
             return FittedBoostedTrees(model)
@@ -92,9 +91,6 @@ class BoostedTrees:
             model.trees = model._over_blocks(rows.repartition(tasks), edges, picks)
         return FittedBoostedTrees(model)
 
-    def _prepare(self, df: DataFrame) -> tuple[float, list[list[float]]]:
-        return cuts(df, self.label, self.array, self.max_bins)
-
     def _alone(self, edges: list[list[float]], picks: list[np.ndarray]) -> Callable:
         """All rounds on the rows of one task."""
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -201,18 +197,27 @@ class FittedBoostedTrees:
         return (mean / mean.sum() if mean.sum() else mean).tolist()
 
     def expression(self) -> str:
-        """The prediction as SQL: one CASE a tree, summed."""
-        m = self.model
-
-        def case(t: Tree, node: int) -> str:
-            if t.feature[node] < 0:
-                return f"{float(t.value[node])!r}D"
-            return (f"CASE WHEN {m.array}[{t.feature[node]}] > {float(t.cut[node])!r}D THEN {case(t, 2 * node + 2)} "
-                    f"ELSE {case(t, 2 * node + 1)} END")
+        """The prediction as SQL: a walk down each tree, summed.
 
+        The nodes of all trees are a few arrays, so parsing and planning the expression does not grow with the number
+        of trees, as it does with one CASE a tree.  Trees are filled up to full depth: all below a leaf has its value.
+        """
+        m = self.model
         if not m.trees:
             return f"{m.base!r}D"
-        return f"aggregate(array({', '.join(case(t, 0) for t in m.trees)}), {m.base!r}D, (a, x) -> a + x)"
+        feature, cut, value = (np.stack([getattr(t, k) for t in m.trees]) for k in ("feature", "cut", "value"))
+        size = feature.shape[1]
+        left = 2 * np.arange(size) + 1 + size * np.arange(len(m.trees))[:, None]  # a node's left child among all nodes
+        for node in range(size // 2):
+            ends = feature[:, node] < 0
+            feature[ends, node] = 0
+            for child in (2 * node + 1, 2 * node + 2):
+                value[ends, child] = value[ends, node]
+        held = lambda a, kind: _held(a.ravel().tolist(), kind)
+        step = f"get({held(left, 'int')}, n) + if({m.array}[get({held(feature, 'int')}, n)] > get({held(cut, 'double')}, n), 1, 0)"
+        leaf = f"aggregate(sequence(1, {m.depth}), root, (n, level) -> {step})" if m.depth else "root"
+        return (f"aggregate(sequence(0, {size * (len(m.trees) - 1)}, {size}), {m.base!r}D, "
+                f"(total, root) -> total + get({held(value, 'double')}, {leaf}))")
 
     def stage(self, output: str = "prediction") -> SQLTransformer:
         return SQLTransformer(statement=f"SELECT *, {self.expression()} AS {output} FROM __THIS__")
@@ -224,7 +229,7 @@ class FittedBoostedTrees:
 def cuts(df: DataFrame, label: str, array: str, max_bins: int) -> tuple[float, list[list[float]]]:
     """Mean label and each feature's cut candidates: all its values, or quantiles if it has many."""
     n = df.select(F.max(F.size(array))).first()[0] or 0
-    probs = [i / max_bins for i in range(1, max_bins)]
+    probs = F.array(*[F.lit(i / max_bins) for i in range(1, max_bins)])
     x = F.col(array)
     few = [F.array_sort(F.collect_set(x[i])) for i in range(n)]
     low = df.agg(F.avg(label).alias("mean"), *[F.approx_count_distinct(x[i]).alias(f"d{i}") for i in range(n)]).first()
@@ -234,6 +239,16 @@ def cuts(df: DataFrame, label: str, array: str, max_bins: int) -> tuple[float, l
     return float(low["mean"] or 0.0), [sorted(set(got[i] or [])) for i in range(n)]
 
 
+def prepared(df: DataFrame, label: str, array: str, max_bins: int, seed: int,
+             kept: dict | None = None) -> tuple[float, list[list[float]], DataFrame]:
+    """Mean label, cut candidates and binned rows.  ``kept`` holds them for the next learner of the same table."""
+    kept, key = {} if kept is None else kept, (label, array, max_bins, seed)
+    if key not in kept:
+        mean, edges = cuts(df, label, array, max_bins)
+        kept[key] = mean, edges, binned(df, edges, label, array, seed)
+    return kept[key]
+
+
 def binned(df: DataFrame, edges: list[list[float]], label: str, array: str, seed: int) -> DataFrame:
     """Label, bins, number and hash of each labelled row, written once."""
     rows = df.where(F.col(label).isNotNull()).select(

@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .boosting import DRAWS, GAIN_TIE, _arrays, _drawn, binned, cuts
+from .boosting import DRAWS, GAIN_TIE, _arrays, _drawn, prepared
 
 #: A cut must lower a node's squared error by more than this share of the label's variance.
 LEAST_GAIN = 1e-9
@@ -43,10 +43,9 @@ class Forest:
     label: str = "us_aqi"
     array: str = "_x"
 
-    def grow(self, df: DataFrame) -> DataFrame:
+    def grow(self, df: DataFrame, kept: dict | None = None) -> DataFrame:
         """(treeID, nodeData) as Spark ML saves a forest; children have higher ids than their parents."""
-        _, edges = cuts(df, self.label, self.array, self.max_bins)
-        rows = binned(df, edges, self.label, self.array, self.seed)
+        _, edges, rows = prepared(df, self.label, self.array, self.max_bins, self.seed, kept)
         tasks = min(self.trees, 3 * df.sparkSession.sparkContext.defaultParallelism)
         dealt = (rows.mapInArrow(_pack(len(edges)), "block binary")
                  .withColumn("task", F.explode(F.sequence(F.lit(0), F.lit(tasks - 1)))).repartitionById(tasks, "task"))

@@ -10,6 +10,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
@@ -63,7 +64,7 @@ def without_inner(df: DataFrame) -> DataFrame:
 class Learner:
     """Preprocessing stages and how the last stage is fitted on what ``assembled`` wrote.
 
-    ``fit_last`` gives (Spark ML stage, feature importances).
+    ``fit_last`` gives (Spark ML stage, feature importances); ``kept`` holds what learners of the same vectors share.
     """
 
     name: str
@@ -72,22 +73,23 @@ class Learner:
     features: list = field(default_factory=lambda: list(S.MODEL_FEATURE_COLUMNS))
     label: str = S.TARGET_COLUMN
 
-    def fit_last(self, vectors: DataFrame) -> tuple:
+    def fit_last(self, vectors: DataFrame, kept: dict | None = None) -> tuple:
         if self.name == RIDGE:
             rows = vectors.select(self.label, "city", "timestamp", *[F.col(ARRAY)[i].alias(c) for i, c in enumerate(self.features)])
             model = R.solve(R.statistics(rows, self.features, self.label), self.features, self.label, **self.params)
             return model.stage(), model.importances
         if self.name == BOOSTED:
-            model = BoostedTrees(**self.params, label=self.label, array=ARRAY).fit(vectors)
+            model = BoostedTrees(**self.params, label=self.label, array=ARRAY).fit(vectors, kept)
             return model.stage(), model.importances
-        model = fit_forest(vectors, self.label, **self.params)
+        model = fit_forest(vectors, self.label, kept=kept, **self.params)
         return model, [float(v) for v in model.featureImportances.toArray()]
 
     def fit(self, df: DataFrame) -> PipelineModel:
         return fit_assembled(self, assembled(self, df))
 
 
-def fit_forest(vectors: DataFrame, label: str, min_split: int = FOREST_MIN_SPLIT, **params) -> RandomForestRegressionModel:
+def fit_forest(vectors: DataFrame, label: str, min_split: int = FOREST_MIN_SPLIT, kept: dict | None = None,
+               **params) -> RandomForestRegressionModel:
     """A forest of these Spark ML parameters in which nodes of fewer than ``min_split`` rows are not split.
 
     Up to ``ROWS_OF_A_TREE`` rows each tree grows within a task; of more rows Spark ML aggregates every level.
@@ -99,7 +101,7 @@ def fit_forest(vectors: DataFrame, label: str, min_split: int = FOREST_MIN_SPLIT
         return prune_small(learner.fit(vectors), min_split)
     own = Forest(learner.getNumTrees(), learner.getMaxDepth(), learner.getMinInstancesPerNode(), min_split,
                  float(learner.getFeatureSubsetStrategy()), learner.getSeed(), label=label, array=ARRAY)
-    return with_nodes(learner.fit(vectors.limit(1)), own.grow(vectors))
+    return with_nodes(learner.fit(vectors.limit(1)), own.grow(vectors, kept))
 
 
 def with_nodes(model: RandomForestRegressionModel, nodes: DataFrame) -> RandomForestRegressionModel:
@@ -160,9 +162,9 @@ def assembled(est: Learner, df: DataFrame) -> DataFrame:
     return checkpoint(PipelineModel(est.stages).transform(df).select(est.label, "city", "timestamp", ARRAY, "features"), "assembled")
 
 
-def fit_assembled(est: Learner, vectors: DataFrame) -> PipelineModel:
+def fit_assembled(est: Learner, vectors: DataFrame, kept: dict | None = None) -> PipelineModel:
     """The pipeline fitted on vectors that ``assembled`` wrote; its stages before the last learn nothing."""
-    last, importances = est.fit_last(vectors)
+    last, importances = est.fit_last(vectors, kept)
     model = PipelineModel([*est.stages, last])
     model.importances = importances
     return model
@@ -189,14 +191,15 @@ def compare(train: DataFrame, test: DataFrame, ests: dict, label: str = S.TARGET
     # Vectors are small as files, so a few tasks would read them; hundreds of trees on a row are worth all cores.
     sides = (train_vectors.withColumn(SIDE, F.lit("train")).unionByName(test_vectors.withColumn(SIDE, F.lit("test")))
              .repartition(spark.sparkContext.defaultParallelism))
-    fitted, rows = {}, []
+    fitted, rows, kept = {}, [], {}
     for name, est in ests.items():
-        fitted[name] = model = fit_assembled(est, train_vectors)
+        fitted[name] = model = fit_assembled(est, train_vectors, kept)
         found = side_metrics(model.stages[-1], sides, label)
         tr, te = found["train"], found["test"]
         rows.append((name, tr["MAE"], tr["RMSE"], tr["R2"], te["MAE"], te["RMSE"], te["R2"]))
-    metrics = spark.createDataFrame(rows, "model_name string, train_MAE double, train_RMSE double, train_R2 double, "
-                                          "test_MAE double, test_RMSE double, test_R2 double")
+    # Arrow rows stay a local table, which the caller reads without a job.
+    names = ["model_name", *[f"{side}_{m}" for side in ("train", "test") for m in ("MAE", "RMSE", "R2")]]
+    metrics = spark.createDataFrame(pa.table([pa.array(c, pa.float64() if i else pa.string()) for i, c in enumerate(zip(*rows))], names))
     best = sorted(rows, key=lambda r: (r[5], r[4]))[0][0]
     return metrics, fitted, best
 
@@ -234,7 +237,8 @@ def train_and_register(table: DataFrame, registry_path: str, name: str, features
     feats = list(features or S.MODEL_FEATURE_COLUMNS)
     parts = time_split(table)
     train, test = (parts.filter(F.col("split") == p).drop("split") for p in ("train", "test"))
-    metrics, _, best = compare(train, test, estimators(train, feats, label, forest, boosted), label)
+    metrics, fitted, best = compare(train, test, estimators(train, feats, label, forest, boosted), label)
+    del fitted  # the driver need not hold them while the winner is fitted anew
     held = metrics.filter(F.col("model_name") == best).first().asDict()
     model = estimators(table, feats, label, forest, boosted, only=(best,))[best].fit(table)
     return best, model, register_model(model, table, registry_path, name, best, feats, held)

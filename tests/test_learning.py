@@ -104,6 +104,34 @@ def test_boosting_takes_as_many_jobs_whatever_its_rounds(spark):
     assert jobs[1] <= jobs[0]
 
 
+def test_boosted_expression_walks_every_tree_and_does_not_grow_with_them(spark):
+    x, y = data(300)
+    df = frame(spark, x, y).cache()
+    parser, leaves = spark._jsparkSession.sessionState().sqlParser(), []
+    for rounds in (1, 9):
+        fitted = BoostedTrees(rounds=rounds, learning_rate=0.3, min_child=20.0).fit(df)
+        leaves.append(parser.parseExpression(fitted.expression()).collectLeaves().size())
+    assert leaves[0] == leaves[1]
+    trees = fitted.model.trees
+    assert any(t.feature[n] < 0 <= t.feature[(n - 1) // 2] for t in trees for n in (1, 2, 3, 4, 5, 6))  # leaves above the last level
+
+    def predict(row):
+        total = fitted.model.base
+        for t in trees:
+            n = 0
+            while t.feature[n] >= 0:
+                v = row[t.feature[n]]
+                n = 2 * n + (2 if v is not None and v > t.cut[n] else 1)
+            total += t.value[n]
+        return total
+
+    odd = spark.createDataFrame([([None, 2.0, None, 7.0],), ([float("inf"), -1.0, float("-inf"), 7.0],)], "_x array<double>")
+    for r in fitted.transform(df.select("_x").unionByName(odd)).collect():
+        assert r.prediction == predict(r._x)
+    stump = BoostedTrees(rounds=2, depth=0).fit(df)  # every tree is its root
+    assert stump.transform(odd).first().prediction == stump.model.base + stump.model.trees[0].value[0] + stump.model.trees[1].value[0]
+
+
 def test_boosting_over_several_blocks_grows_the_same_trees(spark, monkeypatch):
     x, y = data(300)
     df = frame(spark, x, y).cache()
@@ -263,6 +291,22 @@ def test_one_training_serves_every_caller(spark, tmp_path, monkeypatch):
         M.registered_model(rows.limit(200), path, "m", **small)  # other data: trained anew
 
 
+def test_learners_share_binned_rows_and_metrics_take_no_job(spark, monkeypatch):
+    rows, written, keep = model_rows(spark).cache(), [], boosting.checkpoint
+    monkeypatch.setattr(boosting, "checkpoint", lambda df, name: written.append(name) or keep(df, name))
+    ests = M.estimators(rows, forest=dict(numTrees=2), boosted=dict(rounds=2))
+    metrics, fitted, best = M.compare(rows, rows, ests)
+    assert written == ["binned-rows"]
+    sc = spark.sparkContext
+    sc.setJobGroup("held-metrics", "")
+    held = metrics.filter(F.col("model_name") == best).first()
+    assert len(sc.statusTracker().getJobIdsForGroup("held-metrics")) == 0
+    sc.setLocalProperty("spark.jobGroup.id", None)
+    assert held.train_RMSE == held.test_RMSE and [f.name for f in metrics.schema if f.dataType.typeName() == "double"] == metrics.columns[1:]
+    again = ests[M.BOOSTED].fit(rows)  # alone, as beside the forest
+    assert again.transform(rows).select("prediction").exceptAll(fitted[M.BOOSTED].transform(rows).select("prediction")).count() == 0
+
+
 def test_two_writers_never_share_a_version(spark, tmp_path, monkeypatch):
     path = f"{tmp_path}/registry"
     assert [ST.claim_version(spark, path, "a b/c") for _ in range(3)] == [1, 2, 3]
